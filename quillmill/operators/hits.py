@@ -87,10 +87,11 @@ def search(spark: SparkSession, queries: DataFrame, providers: Sequence[Provider
     splits frequent words otherwise.
     """
     dump = provider_rows(spark, providers)
-    query_words = queries.select("query_idx", F.array_distinct(tx.words(F.col("query"))).alias("words"))
-    query_words = query_words.select("query_idx", F.size("words").alias("wanted"), F.explode("words").alias("word"))
+    # number and text together tell queries apart, as every topic numbers its own
+    asked = queries.select("query_idx", "query").distinct().withColumn("words", F.array_distinct(tx.words(F.col("query"))))
+    query_words = asked.select("query_idx", "query", F.size("words").alias("wanted"), F.explode("words").alias("word"))
     title_words = dump.withColumn("word", F.explode(F.array_distinct(tx.words(F.col("title")))))
-    identity = ["query_idx", "source_idx", "hit_idx", *schemas.HIT_COLUMNS, "wanted"]
+    identity = ["query_idx", "query", "source_idx", "hit_idx", *schemas.HIT_COLUMNS, "wanted"]
     matched = title_words.join(query_words, "word").groupBy(*identity).agg(F.count(F.lit(1)).alias("found"))
     return matched.filter(F.col("found") == F.col("wanted")).select(
         *schemas.HIT_COLUMNS, F.struct("query_idx", "source_idx", "hit_idx").alias("ord")

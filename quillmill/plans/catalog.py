@@ -91,7 +91,7 @@ def paper_ids(i: Inputs) -> DataFrame:
 
 @query
 def topic_queries(i: Inputs) -> DataFrame:
-    variants = lambda topic: [topic, F.lower(topic), F.upper(topic), F.lower(topic)]
+    variants = lambda topic: [topic, F.lower(topic), F.concat(topic, F.lit(" review")), F.lower(topic)]
     expanded = hits.topic_to_queries(i.topics.select("topic").distinct(), variants)
     return _longs(expanded, "query_idx")
 
@@ -161,8 +161,7 @@ def fetch_plan(i: Inputs) -> DataFrame:
 def found_papers(i: Inputs) -> DataFrame:
     topics = i.topics.select("topic").distinct()
     found = literature.find_papers(i.spark, topics, i.providers, i.oa_snapshot, i.pmc_snapshot)
-    # several topics have query number 0, so which hit came first is told by provider order alone
-    return found.select("pdf_url")
+    return found.select("doi", "pdf_url", "resolver_source")
 
 
 # -- de-duplication and statistics --------------------------------------------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -28,6 +29,11 @@ def local_session(app: str = "quillmill", cores: str = "*", shuffle_partitions:
     return spark
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="quillmill-")
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder under ``spark.checkpoint.dir``.
 
@@ -38,6 +44,5 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="quillmill-")
-        spark.conf.set(CHECKPOINT_DIR, root)
+        root = _local_root()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
