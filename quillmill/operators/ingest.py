@@ -65,8 +65,12 @@ def accepted_fetches(fetch_log: DataFrame) -> DataFrame:
     return ok.withColumn("sha256", F.sha2("content", 256)).withColumn("size", F.length("content").cast("bigint"))
 
 
+def http_reason(status: Column) -> Column:
+    return F.concat(F.lit("HTTP "), F.coalesce(status.cast("string"), F.lit("?")))
+
+
 def rejected_fetches(fetch_log: DataFrame) -> DataFrame:
     """``(stage, key, reason)`` of the other ones."""
     failed = fetch_log.filter(F.col("status").isNull() | (F.col("status") != 200))
-    reason = F.concat(F.lit("HTTP "), F.coalesce(F.col("status").cast("string"), F.lit("?")))
-    return failed.select(F.lit("download").alias("stage"), F.col("pdf_url").alias("key"), reason.alias("reason"))
+    reason = http_reason(F.col("status")).alias("reason")
+    return failed.select(F.lit("download").alias("stage"), F.col("pdf_url").alias("key"), reason)

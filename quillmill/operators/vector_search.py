@@ -237,7 +237,12 @@ def model_embedder(load):
 def embed_sections(section_rows: DataFrame, embedder, key: str, text: str = "section_text") -> tuple[DataFrame, DataFrame]:
     """``(key, embedding_type, embedding)`` of the sections that could be embedded, and rejects
     of documents for which none could."""
-    embedded = embedder(section_rows, text).select(key, "embedding_type", "embedding")
+    return split_embedded(embedder(section_rows, text), key)
+
+
+def split_embedded(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """``(key, embedding_type, embedding)`` of the embedded rows, and rejects of documents without any."""
+    embedded = rows.select(key, "embedding_type", "embedding")
     done = embedded.filter(F.col("embedding").isNotNull())
     failed = embedded.groupBy(key).agg(F.count("embedding").alias("n")).filter(F.col("n") == 0)
     rejects = failed.select(

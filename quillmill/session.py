@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -46,3 +46,14 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
         root = _local_root()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows of ``df``, computed once and read back from a table in the shared work folder.
+
+    For results that several later steps use: a lost executor then costs a read and not the
+    whole lineage, and models and parsers run once per row.
+    """
+    path = work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from quillmill.session import written
+
 BUCKET = "key_bucket"
 DEFAULT_BUCKETS = 64
 
@@ -46,9 +48,12 @@ def edit_table(
 ) -> None:
     """Rewrite the buckets that the keys of ``incoming`` fall into as ``edit(existing, incoming)``.
 
+    ``incoming`` is computed once, into the work folder.
+
     Buckets are replaced by a dynamic partition overwrite, whose files appear at job commit; other
     buckets are neither read nor written. Running an upsert again gives the same table.
     """
+    incoming = written(incoming, "incoming")
     touched = incoming.select(key_bucket(keys, buckets).alias(BUCKET)).distinct().collect()  # at most `buckets` rows
     numbers = [row[BUCKET] for row in touched]
     if not numbers:

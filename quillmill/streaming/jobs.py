@@ -18,6 +18,7 @@ from quillmill import schemas
 from quillmill.functions import text as tx
 from quillmill.operators import documents, ingest, store, vector_search
 from quillmill.operators.dedupe import last_by_key
+from quillmill.session import written
 from quillmill.sources import files, tables
 
 # Fixed value: bound of the reference queues, here files per micro-batch
@@ -116,52 +117,65 @@ class IngestFlow:
         return writer.trigger(availableNow=True).start()
 
     def store_batch(self, batch: DataFrame, batch_id: int) -> None:
-        """One micro-batch, or a whole backlog as a batch job, through all stages."""
+        """One micro-batch, or a whole backlog as a batch job, through all stages.
+
+        Each stage's result is written once to the work folder; the steps after it read that.
+        """
         spark = batch.sparkSession
         now = F.current_timestamp() if self.as_of is None else self.as_of
-        batch = batch.persist()
-        fetched = ingest.accepted_fetches(batch)
-        parsed = fetched.withColumn("text", self.parse(F.col("content")))
-        parsed, unparsed = documents.split_empty(parsed, "text", "pdf_url")
-        parsed = last_by_key(parsed.drop("content"), ["doi"], ["ord"]).persist()
-        usable, same_content = self._one_doi_per_content(spark, parsed)
-        usable = usable.persist()
+        parsed = written(self._parsed(batch), "parsed")
+        judged = written(self._judged(spark, parsed), "judged")
+        usable = judged.filter(F.col("reason").isNull())
         self._upsert(spark, "papers", usable.select("doi", "title", "year", "pdf_url", "sha256", "source", "ord"),
                      lambda old, new, **ids: store.upsert_papers(old, new, now, **ids))
-        ids = usable.select("doi", "text", "ord").join(
-            self.table(spark, "papers").select("doi", F.col("id").alias("paper_id")), "doi"
-        ).persist()
-        summaries = self.summarise(ids, "text", "paper_id", "ord")
-        embedded, unembedded = vector_search.embed_sections(
-            documents.sections(ids, "text", "paper_id"), self.embedder, "paper_id"
-        )
+        stored = self.table(spark, "papers").select("doi", F.col("id").alias("paper_id"))
+        texts = parsed.join(usable.select("doi", "ord"), ["doi", "ord"], "left_semi").select("doi", "text", "ord")
+        texts = written(texts.join(stored, "doi"), "texts")
+        summaries = self.summarise(texts, "text", "paper_id", "ord")
         self._upsert(spark, "summaries", summaries,
                      lambda old, new, **ids: store.upsert(old, new, ["paper_id", "summary_type"], ["content"], now, **ids))
-        self._upsert(spark, "embeddings", embedded.withColumn("ord", F.col("paper_id")),
+        embedded = written(self.embedder(documents.sections(texts, "text", "paper_id"), "section_text"), "embedded")
+        vectors, unembedded = vector_search.split_embedded(embedded, "paper_id")
+        self._upsert(spark, "embeddings", vectors.withColumn("ord", F.col("paper_id")),
                      lambda old, new, **ids: store.upsert(old, new, ["paper_id", "embedding_type"], ["embedding"], now, touch=False, **ids))
-        rejects = ingest.rejected_fetches(batch).unionByName(unparsed).unionByName(same_content).unionByName(unembedded)
-        done = fetched.select(F.lit("download").alias("stage"), F.col("pdf_url").alias("key"))
-        done = done.unionByName(parsed.select(F.lit("parse").alias("stage"), F.col("pdf_url").alias("key")))
-        done = done.unionByName(usable.select(F.lit("store").alias("stage"), F.col("pdf_url").alias("key")))
-        log = done.select("stage", "key", F.lit(True).alias("ok"), F.lit(None).cast("string").alias("reason")).unionByName(
-            rejects.select("stage", "key", F.lit(False).alias("ok"), "reason")
-        )
-        log = log.withColumn("at", now).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        writer = log.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
-        writer.parquet(self.path("stage_log"))
-        for held in (ids, usable, parsed, batch):
-            held.unpersist()
-
-    def _one_doi_per_content(self, spark: SparkSession, parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """The first DOI of each file stays, counting those already stored; the others are rejected."""
-        first = parsed.groupBy("sha256").agg(F.min_by("doi", "ord").alias("_first"))
+        self._log(parsed, judged, unembedded, now, batch_id)
+
+    def _parsed(self, batch: DataFrame) -> DataFrame:
+        """Every fetched row with its hash and text, or with the reason why there is none."""
+        accepted = F.col("status") == 200
+        text = F.when(accepted, self.parse(F.col("content")))
+        rows = batch.withColumn("sha256", F.when(accepted, tx.sha256_hex(F.col("content")))).withColumn("text", text)
+        empty = F.col("text").isNull() | tx.is_blank(F.col("text"))
+        reason = F.when(~F.coalesce(accepted, F.lit(False)), ingest.http_reason(F.col("status"))).when(empty, "empty_text")
+        return rows.withColumn("reason", reason).drop("content")
+
+    def _judged(self, spark: SparkSession, parsed: DataFrame) -> DataFrame:
+        """Parsed rows without their texts, one per DOI, with a reason for those not to be stored.
+
+        The last row of a DOI counts, and the first DOI of each file; DOIs stored before go first.
+        """
+        narrow = parsed.filter(F.col("reason").isNull()).drop("text")
+        latest = last_by_key(narrow, ["doi"], ["ord"])
+        first = latest.groupBy("sha256").agg(F.min_by("doi", "ord").alias("_first"))
         stored = self.table(spark, "papers").select("sha256", F.col("doi").alias("_stored"))
-        owners = first.join(stored, "sha256", "left").select("sha256", F.coalesce("_stored", "_first").alias("doi"))
-        # with the DOI in the key no key is hot, however many copies a file has
-        rejects = parsed.join(owners, ["sha256", "doi"], "left_anti").select(
-            F.lit("store").alias("stage"), F.col("pdf_url").alias("key"), F.lit("duplicate_sha256").alias("reason")
+        owners = first.join(stored, "sha256", "left").select(
+            "sha256", F.coalesce("_stored", "_first").alias("doi"), F.lit(True).alias("_owns")
         )
-        return parsed.join(owners, ["sha256", "doi"], "left_semi"), rejects
+        # with the DOI in the key no key is hot, however many copies a file has
+        marked = latest.join(owners, ["sha256", "doi"], "left")
+        return marked.withColumn("reason", F.when(F.col("_owns").isNull(), "duplicate_sha256")).drop("_owns")
+
+    def _log(self, parsed: DataFrame, judged: DataFrame, unembedded: DataFrame, now: Column, batch_id: int) -> None:
+        def stage(name: str, rows: DataFrame, reason: Column) -> DataFrame:
+            return rows.select(F.lit(name).alias("stage"), F.col("pdf_url").alias("key"), reason.alias("reason"))
+
+        fetched = F.col("sha256").isNotNull()
+        log = stage("download", parsed, F.when(~fetched, F.col("reason")))
+        log = log.unionByName(stage("parse", parsed.filter(fetched), F.col("reason")))
+        log = log.unionByName(stage("store", judged, F.col("reason"))).unionByName(unembedded)
+        log = log.withColumn("ok", F.col("reason").isNull()).withColumn("at", now)
+        writer = log.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(self.path("stage_log"))
 
     def _upsert(self, spark: SparkSession, name: str, incoming: DataFrame, edit) -> None:
         schema, keys = PAPER_TABLES[name]
