@@ -6,12 +6,14 @@ Nothing is filtered away to make work smaller: every view covers its whole table
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmill.operators import dedupe
 from quillmill.operators.hits import Provider
+from quillmill.session import written
 from quillmill.sources.tables import driver_table
 
 CREATED = "2024-01-01 00:00:00"
@@ -71,16 +73,19 @@ class Inputs:
     def documents(self) -> DataFrame:
         return self.table("documents")
 
-    @property
+    @cached_property
     def hits(self) -> DataFrame:
-        """Every document as a search hit, in ``doc_id`` order; keeps ``doc_id`` and ``lang``."""
+        """Every document as a search hit, in ``doc_id`` order; keeps ``doc_id`` and ``lang``.
+
+        Written once per query: plans that use hits several times then read the texts once.
+        """
         hashed = self.documents.withColumn("h", F.substring(F.sha2("text", 256), 1, 12))
-        return hashed.select(
+        return written(hashed.select(
             title().alias("title"), doi().alias("doi"), url().alias("url"),
             (F.lit(2000) + F.col("n_chars") % 25).cast("int").alias("year"), "source",
             ((F.col("n_chars") % 100) / 100.0).alias("score"),
-            F.col("doc_id").alias("ord"), "doc_id", "lang", "h",
-        )
+            F.col("doc_id").alias("ord"), "doc_id", "lang", "h", F.sha2("text", 256).alias("sha256"),
+        ), "hits")
 
     @property
     def oa_snapshot(self) -> DataFrame:
@@ -101,21 +106,20 @@ class Inputs:
     @property
     def incoming_papers(self) -> DataFrame:
         """Every document with a non-empty DOI or none, as a row to store; copies share a DOI."""
-        texts = self.documents.select("doc_id", F.sha2("text", 256).alias("sha256"))
-        found = self.hits.filter(F.col("doi").isNull() | (F.col("doi") != "")).join(texts, "doc_id")
+        found = self.hits.filter(F.col("doi").isNull() | (F.col("doi") != ""))
         return found.select("doi", "title", "year", F.col("url").alias("pdf_url"), "sha256", "source", "ord")
 
-    @property
+    @cached_property
     def papers(self) -> DataFrame:
-        """The labelled documents as stored papers, one per DOI."""
+        """The labelled documents as a stored table of papers, one per DOI."""
         labelled = self.hits.filter(F.col("doi") != "").join(self.table("labels").select("doc_id"), "doc_id", "left_semi")
         first = dedupe.merge_hits(labelled)
-        return first.select(
+        return written(first.select(
             F.col("doc_id").alias("id"), "doi", F.concat(F.lit("old "), F.col("title")).alias("title"),
             F.array(F.col("lang")).alias("authors"), F.lit(1999).alias("year"), F.col("url").alias("pdf_url"),
             F.lit(None).cast("string").alias("file_path"), F.col("h").alias("sha256"), "source",
             stamp(CREATED).alias("created_at"), stamp(CREATED).alias("updated_at"),
-        )
+        ), "papers")
 
     @property
     def titled(self) -> DataFrame:

@@ -368,18 +368,18 @@ sums AS (
 _TITLE_ROWS = f"SELECT doc_id AS ord, {_TITLE} AS sentence FROM documents"
 _ONE_QUERY = f"""
     SELECT 0 AS query_id, word, count(*) AS tf FROM (SELECT unnest({_words(repr(RANK_QUERY))}) AS word) GROUP BY word"""
-_ALL = "SELECT ord, sentence, round(coalesce(score, 0), 6) AS score FROM source LEFT JOIN sums USING (ord)"
+_ALL = "SELECT ord, sentence, round(round(coalesce(score, 0), 9), 6) AS score FROM source LEFT JOIN sums USING (ord)"
 _add("rank_titles", _ALL, _scores(_TITLE_ROWS, _ONE_QUERY))
 _add("relevance_filter", _ALL + " WHERE round(score, 9) >= 0.35", _scores(_TITLE_ROWS, _ONE_QUERY))
 _add("ranked_titles_json", _ALL.replace("SELECT ord, ", "SELECT "), _scores(_TITLE_ROWS, _ONE_QUERY))
 _add(
     "rank_passages",
-    "SELECT ord AS corpus_id, sentence AS text, round(coalesce(score, 0), 6) AS score FROM source LEFT JOIN sums USING (ord)",
+    "SELECT ord AS corpus_id, sentence AS text, round(round(coalesce(score, 0), 9), 6) AS score FROM source LEFT JOIN sums USING (ord)",
     _scores("SELECT item_id AS ord, text AS sentence FROM benchmark", _ONE_QUERY),
 )
 _add(
     "top_titles_per_query",
-    """SELECT query_id, ord, round(score, 6) AS score,
+    """SELECT query_id, ord, round(round(score, 9), 6) AS score,
         row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, ord) AS rank
     FROM sums WHERE round(score, 9) > 0 QUALIFY rank <= 5""",
     _scores(
