@@ -25,7 +25,7 @@ def null_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def foreign_key_violations(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child rows that point at no parent; NULL points nowhere and is allowed."""
     parents = parent.select(F.col(parent_key).alias(column))
-    return child.filter(F.col(column).isNotNull()).join(parents, column, "left_anti")
+    return child.filter(F.col(column).isNotNull()).join(parents, column, "left_anti").select(*child.columns)
 
 
 def enum_violations(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFrame:

@@ -40,7 +40,7 @@ def unique_by_url(resolved: DataFrame, order: str = "ord") -> DataFrame:
 
 def drop_processed(items: DataFrame, processed: DataFrame, key: str = "pdf_url") -> DataFrame:
     """Items whose key is not in the table of processed ones."""
-    return items.join(processed.select(key).distinct(), key, "left_anti")
+    return items.join(processed.select(key).distinct(), key, "left_anti").select(*items.columns)
 
 
 def split_by_content(df: DataFrame, content: Column, row_id: str) -> tuple[DataFrame, DataFrame]:
@@ -55,7 +55,7 @@ def split_by_content(df: DataFrame, content: Column, row_id: str) -> tuple[DataF
     winners = known.groupBy("sha256").agg(F.min(row_id).alias(row_id)).select(row_id)
     kept = known.join(winners, row_id, "left_semi").unionByName(hashed.filter(F.col("sha256").isNull()))
     rejects = known.join(winners, row_id, "left_anti").withColumn("reason", F.lit("duplicate_sha256"))
-    return kept, rejects
+    return kept.select(*hashed.columns), rejects.select(*hashed.columns, "reason")
 
 
 def title_key(title: Column) -> Column:

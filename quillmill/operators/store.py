@@ -193,7 +193,12 @@ def delete_rows(existing: DataFrame, ids: DataFrame, key: str) -> tuple[DataFram
     asked = ids.select(key).distinct()
     there = existing.select(key).distinct().withColumn("_there", F.lit(True))
     report = asked.join(there, key, "left").select(key, F.col("_there").isNotNull().alias("existed"))
-    return existing.join(asked, key, "left_anti"), report
+    return _keeping(existing, asked, key, "left_anti"), report
+
+
+def _keeping(df: DataFrame, keys: DataFrame, key: str, how: str) -> DataFrame:
+    """A semi or anti join that leaves the columns in their order."""
+    return df.join(keys, key, how).select(*df.columns)
 
 
 @dataclass(frozen=True)
@@ -227,16 +232,16 @@ def cascade_delete(tables: dict[str, DataFrame], root: str, key: str, ids: DataF
     ``children`` stand in parent-first order. Only keys of deleted rows travel down, so a delete
     of few rows joins small key sets.
     """
-    gone = {root: tables[root].join(ids.select(key).distinct(), key, "left_semi")}
-    left = dict(tables)
-    left[root] = tables[root].join(ids.select(key).distinct(), key, "left_anti")
+    asked = ids.select(key).distinct()
+    gone = {root: _keeping(tables[root], asked, key, "left_semi")}
+    left = {**tables, root: _keeping(tables[root], asked, key, "left_anti")}
     for child in children:
         if child.parent not in gone:
             continue
         dead = gone[child.parent].select(F.col(child.parent_key).alias(child.column)).distinct()
-        removed = left[child.table].join(dead, child.column, "left_semi")
+        removed = _keeping(left[child.table], dead, child.column, "left_semi")
         gone[child.table] = gone[child.table].unionByName(removed) if child.table in gone else removed
-        left[child.table] = left[child.table].join(dead, child.column, "left_anti")
+        left[child.table] = _keeping(left[child.table], dead, child.column, "left_anti")
     return left
 
 

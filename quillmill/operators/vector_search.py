@@ -72,21 +72,24 @@ def search_many(
     ``MAX_QUERY_BYTES`` are searched in several rounds over the vectors.
     """
     size = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("dim")).first()
-    rounds = max(1, -(-(size["n"] or 0) * (size["dim"] or 0) * 8 // MAX_QUERY_BYTES))
+    dim = size["dim"] or 0
+    rounds = max(1, -(-size["n"] * dim * 8 // MAX_QUERY_BYTES))
     results = None
     for i in range(rounds):
         mine = queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(rounds)) == i)
-        found = _search_round(vectors.select(vector_id, vector), mine, k, similarity_threshold, vector_id)
+        found = _search_round(vectors.select(vector_id, vector), mine, dim, k, similarity_threshold, vector_id)
         results = found if results is None else results.unionByName(found)
     best = Window.partitionBy("query_id").orderBy(F.desc("similarity"), vector_id)
     return results.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
-def _search_round(vectors: DataFrame, queries: DataFrame, k: int, threshold: float | None, vector_id: str) -> DataFrame:
+def _search_round(
+    vectors: DataFrame, queries: DataFrame, dim: int, k: int, threshold: float | None, vector_id: str
+) -> DataFrame:
     rows = queries.select("query_id", "embedding").toPandas()
     spark = vectors.sparkSession
     digits = vec.SIMILARITY_DIGITS
-    matrix = np.array(rows["embedding"].tolist(), dtype="float64").reshape(len(rows), -1)
+    matrix = np.array(rows["embedding"].tolist(), dtype="float64").reshape(len(rows), dim)
     lengths = np.linalg.norm(matrix, axis=1)
     usable = lengths > 0
     shared = spark.sparkContext.broadcast((
@@ -104,7 +107,6 @@ def _search_round(vectors: DataFrame, queries: DataFrame, k: int, threshold: flo
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_ids, targets = shared.value
-        dim = targets.shape[0]
         best = None
         worst = np.full(len(query_ids), -np.inf)  # the k-th best score so far, per query
         for batch in batches:

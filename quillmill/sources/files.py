@@ -9,7 +9,7 @@ from quillmill.functions import text as tx
 
 
 def read_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """``(path, content)`` of all files in a folder."""
+    """``(path, content)`` of all files in a folder; Spark passes over files without a byte."""
     reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
     return reader.load(path).select("path", "content")
 
