@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
 from quillmill.functions import text as tx
-from quillmill.operators.joins import salted_lookup
+from quillmill.operators.joins import frequent_first_lookup
 from quillmill.operators.running import running_total
 
 # Sizes, sections and prompts
@@ -179,16 +179,19 @@ def keep_complete(summaries: DataFrame, key: str, wanted: int) -> tuple[DataFram
 def keywords(df: DataFrame, text: str, key: str, top: int = 5, min_letters: int = 5) -> DataFrame:
     """``(key, rank, keyword, weight)``: the ``top`` words of each text by TF-IDF, ties alphabetically.
 
-    ``weight`` is the count in the text times ln(texts / texts with the word). Document counts
-    are joined with salt, as the commonest words occur in every text.
+    ``weight`` is the count in the text times ln(texts / texts with the word).
     """
     every_word = tx.words(F.col(text))
     long_words = F.filter(every_word, lambda w: F.length(w) >= min_letters)
     counts = df.select(key, F.explode(long_words).alias("keyword")).groupBy(key, "keyword").agg(F.count(F.lit(1)).alias("tf"))
-    document_counts = counts.groupBy("keyword").agg(F.count(F.lit(1)).alias("df"))
+    # from each text's distinct words: the shuffle carries one row per word and task, not per word and text
+    occurring = df.select(F.explode(F.array_distinct(long_words)).alias("keyword"))
+    document_counts = occurring.groupBy("keyword").agg(F.count(F.lit(1)).alias("df"))
     texts = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    # a word of at least 1% of the texts: there are at most 100 times the mean distinct words of a text
+    frequent = F.col("df") * 100 >= texts
     weight = F.round(F.col("tf") * F.ln(texts / F.col("df")), 9)
-    weighted = salted_lookup(counts, document_counts, "keyword", key).withColumn("weight", weight)
+    weighted = frequent_first_lookup(counts, document_counts, "keyword", "df", frequent, key).withColumn("weight", weight)
     best = Window.partitionBy(key).orderBy(F.desc("weight"), "keyword")
     ranked = weighted.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
     return ranked.select(key, "rank", "keyword", "weight")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -18,3 +18,21 @@ def salted_lookup(facts: DataFrame, lookup: DataFrame, key: str, spread_by: str,
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
     repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, [key, "_salt"], "left").drop("_salt")
+
+
+def frequent_first_lookup(
+    facts: DataFrame, lookup: DataFrame, key: str, value: str, frequent: Column, spread_by: str
+) -> DataFrame:
+    """Left join of ``facts`` with ``lookup (key, value)`` where the keys that many facts have are known.
+
+    Keys for which ``frequent`` holds are broadcast; the caller sees to it that they are few
+    whatever the size of the data. Facts settled that way go through the second join under a
+    key that matches nothing and spreads them, so no task gets a frequent key's rows.
+    """
+    common = lookup.filter(frequent).select(key, F.col(value).alias("_common"))
+    rare = lookup.filter(~frequent).select(F.col(key).alias("_rare_key"), F.col(value).alias("_rare"))
+    settled = facts.join(F.broadcast(common), key, "left")
+    spread = F.concat(F.lit("\x00"), F.xxhash64(spread_by, key).cast("string"))
+    second = F.when(F.col("_common").isNull(), F.col(key)).otherwise(spread)
+    joined = settled.withColumn("_second", second).join(rare, F.col("_second") == F.col("_rare_key"), "left")
+    return joined.withColumn(value, F.coalesce("_common", "_rare")).drop("_second", "_rare_key", "_common", "_rare")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillmill.functions import text as tx
+from quillmill.session import written
 
 # Fixed value
 RELEVANCE_THRESHOLD = 0.35
@@ -123,6 +124,7 @@ def top_sentences(
     weights = weighted.join(lengths, "query_id").select(
         "query_id", "word", (F.col("w") / F.col("length")).alias("w")
     )
+    weights = written(weights, "weights")
     sizes = weights.agg(F.count_distinct("query_id").alias("q"), F.count_distinct("word").alias("v")).first()
     rounds = max(1, -(-sizes["q"] * sizes["v"] * 8 // MAX_QUERY_BYTES))
     results = None

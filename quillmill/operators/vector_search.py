@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from quillmill import schemas
 from quillmill.functions import text as tx
 from quillmill.functions import vectors as vec
+from quillmill.session import written
 
 # Defaults of the search
 SIMILARITY_THRESHOLD = 0.7
@@ -71,6 +72,7 @@ def search_many(
     its vectors with them in blocks and sends on only its ``k`` best per query. Queries that exceed
     ``MAX_QUERY_BYTES`` are searched in several rounds over the vectors.
     """
+    queries = written(queries.select("query_id", "embedding"), "queries")
     size = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("dim")).first()
     dim = size["dim"] or 0
     rounds = max(1, -(-size["n"] * dim * 8 // MAX_QUERY_BYTES))

@@ -282,7 +282,7 @@ def clean_text(i: Inputs) -> DataFrame:
 
 @query
 def html_text(i: Inputs) -> DataFrame:
-    return i.table("pages").select("page_id", tx.strip_html(F.col("html")).alias("text"))
+    return i.pages.select("page_id", tx.strip_html(F.col("html")).alias("text"))
 
 
 @query
@@ -298,7 +298,7 @@ def opening_of_turns(i: Inputs) -> DataFrame:
 
 @query
 def empty_text_rejects(i: Inputs) -> DataFrame:
-    texts = i.table("pages").withColumn("body", F.regexp_extract("html", r"(?s)<h2[^>]*>(.*?)</h2>", 1))
+    texts = i.pages.withColumn("body", F.regexp_extract("html", r"(?s)<h2[^>]*>(.*?)</h2>", 1))
     return documents.split_empty(texts, "body", "page_id")[1]
 
 

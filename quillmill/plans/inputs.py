@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from quillmill.operators import dedupe
 from quillmill.operators.hits import Provider
 from quillmill.session import written
-from quillmill.sources.tables import driver_table
+from quillmill.sources.tables import driver_table, spread_table
 
 CREATED = "2024-01-01 00:00:00"
 AS_OF = "2024-06-01 00:00:00"
@@ -71,7 +71,11 @@ class Inputs:
 
     @property
     def documents(self) -> DataFrame:
-        return self.table("documents")
+        return spread_table(self.spark, self.folder, "documents")
+
+    @property
+    def pages(self) -> DataFrame:
+        return spread_table(self.spark, self.folder, "pages")
 
     @cached_property
     def hits(self) -> DataFrame:

@@ -18,6 +18,16 @@ def driver_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table for work that is heavy per row: dealt out when it comes in fewer pieces than there are cores.
+
+    Large tables come in many pieces and are read as they are, without a shuffle.
+    """
+    df = driver_table(spark, folder, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def key_bucket(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
