@@ -61,7 +61,8 @@ def similarity_to(query: Sequence[float]):
                 scores[usable] = np.round(block @ target / lengths, SIMILARITY_DIGITS)
         return pa.array(scores, mask=~np.isfinite(scores))
 
-    return similarity
+    # else a filter on the result is pushed below the projection, and every vector scored twice
+    return similarity.asNondeterministic()
 
 
 def cosine_distance(a: Column, b: Column) -> Column:

@@ -80,7 +80,7 @@ def assemble_chunks(
     head = F.substring(F.col("_body"), F.lit(1), room)
     tail = tx.char_chunks(F.substring(F.col("_body"), room + 1, F.lit(2**31 - 1)), size)
     pieces = piece_source.select(
-        doc, "_page", F.floor(F.col("_begin") / size).alias("_first"), F.posexplode(F.concat(F.array(head), tail))
+        doc, "_page", F.expr(f"_begin div {size}").alias("_first"), F.posexplode(F.concat(F.array(head), tail))
     ).select(doc, "_page", (F.col("_first") + F.col("pos")).alias("chunk_no"), F.col("col").alias("_piece"))
     grouped = pieces.groupBy(doc, "chunk_no").agg(F.array_sort(F.collect_list(F.struct("_page", "_piece"))).alias("_pieces"))
     return grouped.select(doc, "chunk_no", F.array_join(F.col("_pieces._piece"), "").alias("chunk"))

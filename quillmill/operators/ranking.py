@@ -58,7 +58,8 @@ def _query_weights(words: Sequence[str], counts: dict[str, int], total: int) ->
 def model_scorer(load: Callable[[], Callable[[Sequence[str], Sequence[str]], Sequence[float]]]) -> Scorer:
     """A scorer from a pair model: ``load()`` gives ``predict(queries, sentences) -> scores``.
 
-    The model is loaded once per task and scores whole batches.
+    The model is loaded once per task and scores whole batches. Scores are written to the work
+    folder, as a sort would otherwise score everything a second time for its sample.
     """
 
     def score(sentences: DataFrame, query: str, sentence: str = "sentence") -> DataFrame:
@@ -68,7 +69,7 @@ def model_scorer(load: Callable[[], Callable[[Sequence[str], Sequence[str]], Seq
             for batch in batches:
                 yield pd.Series(np.asarray(model([query] * len(batch), list(batch)), dtype="float64"))
 
-        return sentences.withColumn("score", predict(F.col(sentence)))
+        return written(sentences.withColumn("score", predict(F.col(sentence))), "scores")
 
     return score
 

@@ -25,7 +25,7 @@ def running_total(
     meets in a window, and the rest is done inside the ranges.
     """
     keys = list(by)
-    ranged = df.withColumn("_range", F.floor(F.col(order) / F.lit(width))).withColumn("_value", value)
+    ranged = df.withColumn("_range", F.expr(f"`{order}` div {width}")).withColumn("_value", value)
     subtotals = ranged.groupBy(*keys, "_range").agg(F.sum("_value").alias("_subtotal"))
     before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = subtotals.select(

@@ -52,14 +52,16 @@ def upsert(
     broadcast by Spark; ids are numbered without a one-task window.
     """
     keys = list(keys)
-    latest = latest_incoming(incoming, keys, order)
-    return _updated(existing, latest, keys, updates, as_of, touch).unionByName(
-        _inserted(existing, latest, keys, as_of, order, id_column, max_id)
+    keyed = last_by_key(incoming.filter(_all_set(keys)), keys, [order])
+    unkeyed = incoming.filter(~_all_set(keys))
+    return _updated(existing, keyed, keys, updates, as_of, touch).unionByName(
+        _inserted(existing, keyed, unkeyed, keys, as_of, order, id_column, max_id)
     )
 
 
 def _updated(existing, latest, keys, updates, as_of, touch) -> DataFrame:
-    changes = latest.filter(_all_set(keys)).select(
+    """The present rows; rows without a key stay out of the join."""
+    changes = latest.select(
         *[F.col(k).alias(f"_key_{k}") for k in keys], *[F.col(c).alias(f"_new_{c}") for c in updates],
         F.lit(True).alias("_changed"),
     )
@@ -77,9 +79,10 @@ def _updated(existing, latest, keys, updates, as_of, touch) -> DataFrame:
     return joined.select(*[next_value(c) for c in existing.columns]).unionByName(unkeyed)
 
 
-def _inserted(existing, latest, keys, as_of, order, id_column, max_id) -> DataFrame:
-    new = latest.join(existing.select(*keys), keys, "left_anti")
-    if id_column in existing.columns and id_column not in keys and id_column not in latest.columns:
+def _inserted(existing, keyed, unkeyed, keys, as_of, order, id_column, max_id) -> DataFrame:
+    """The new rows: keyed ones whose key is not there, and all without a key, which skip the join."""
+    new = keyed.join(existing.select(*keys), keys, "left_anti").unionByName(unkeyed)
+    if id_column in existing.columns and id_column not in keys and id_column not in new.columns:
         if max_id is None:
             max_id = existing.agg(F.coalesce(F.max(id_column), F.lit(0))).scalar()
         new = assign_ids(new, order, id_column, max_id, ties=keys)
@@ -129,21 +132,24 @@ def upsert_metadata(metadata: DataFrame, incoming: DataFrame, as_of: Column, ord
 
 def insert_if_absent(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], as_of: Column, order: str = "ord", id_column: str | None = "id") -> DataFrame:
     """``existing`` and the incoming rows whose key it lacks; the first of several counts."""
-    keyed = first_by_key(incoming.filter(_all_set(keys)), list(keys), [order])
-    wanted = keyed.unionByName(incoming.filter(~_all_set(keys)))
-    return existing.unionByName(_inserted(existing, wanted, list(keys), as_of, order, id_column, None))
+    keys = list(keys)
+    keyed = first_by_key(incoming.filter(_all_set(keys)), keys, [order])
+    unkeyed = incoming.filter(~_all_set(keys))
+    return existing.unionByName(_inserted(existing, keyed, unkeyed, keys, as_of, order, id_column, None))
 
 
 def insert_edges(edges: DataFrame, incoming: DataFrame, as_of: Column, order: str = "ord") -> tuple[DataFrame, DataFrame]:
     """Edges after the insert, and the incoming rows in conflict with an edge or with each other."""
     keys = ["source_paper_id", "target_paper_id", "relationship_type"]
-    taken = edges.select(*keys).withColumn("_taken", F.lit(True))
-    repeated = incoming.groupBy(*keys).agg(F.min(order).alias("_first"))
-    marked = incoming.join(repeated, keys).join(taken, keys, "left")
-    accepted = F.col("_taken").isNull() & (F.col(order) == F.col("_first"))
-    inserted = _inserted(edges, marked.filter(accepted).drop("_first", "_taken"), keys, as_of, order, "id", None)
-    conflicts = marked.filter(~accepted).drop("_first", "_taken").withColumn("reason", F.lit("duplicate_edge"))
-    return edges.unionByName(inserted), conflicts
+    keyed, unkeyed = incoming.filter(_all_set(keys)), incoming.filter(~_all_set(keys))
+    firsts = keyed.groupBy(*keys).agg(F.min(order).alias(order))
+    accepted = firsts.join(edges.select(*keys), keys, "left_anti")
+    # the arrival number is part of the key here, so a pair that comes very often is no hot key
+    inserted = _inserted(
+        edges, keyed.join(accepted, [*keys, order], "left_semi").select(*incoming.columns), unkeyed, keys, as_of, order, "id", None
+    )
+    conflicts = keyed.join(accepted, [*keys, order], "left_anti").select(*incoming.columns)
+    return edges.unionByName(inserted), conflicts.withColumn("reason", F.lit("duplicate_edge"))
 
 
 def create_rows(existing: DataFrame, incoming: DataFrame, defaults: dict[str, Column]) -> DataFrame:

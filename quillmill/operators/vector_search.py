@@ -240,8 +240,9 @@ def model_embedder(load):
 
 def embed_sections(section_rows: DataFrame, embedder, key: str, text: str = "section_text") -> tuple[DataFrame, DataFrame]:
     """``(key, embedding_type, embedding)`` of the sections that could be embedded, and rejects
-    of documents for which none could."""
-    return split_embedded(embedder(section_rows, text), key)
+    of documents for which none could. The embedder sees every section once."""
+    embedded = embedder(section_rows, text).select(key, "embedding_type", "embedding")
+    return split_embedded(written(embedded, "embedded"), key)
 
 
 def split_embedded(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:

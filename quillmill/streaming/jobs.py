@@ -134,8 +134,9 @@ class IngestFlow:
         summaries = self.summarise(texts, "text", "paper_id", "ord")
         self._upsert(spark, "summaries", summaries,
                      lambda old, new, **ids: store.upsert(old, new, ["paper_id", "summary_type"], ["content"], now, **ids))
-        embedded = written(self.embedder(documents.sections(texts, "text", "paper_id"), "section_text"), "embedded")
-        vectors, unembedded = vector_search.split_embedded(embedded, "paper_id")
+        vectors, unembedded = vector_search.embed_sections(
+            documents.sections(texts, "text", "paper_id"), self.embedder, "paper_id"
+        )
         self._upsert(spark, "embeddings", vectors.withColumn("ord", F.col("paper_id")),
                      lambda old, new, **ids: store.upsert(old, new, ["paper_id", "embedding_type"], ["embedding"], now, touch=False, **ids))
         self._log(parsed, judged, unembedded, now, batch_id)
