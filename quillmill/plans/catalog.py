@@ -43,7 +43,7 @@ def _longs(df: DataFrame, *columns: str) -> DataFrame:
 def hit_json_roundtrip(i: Inputs) -> DataFrame:
     path = work_dir(i.spark, "hits")
     hit_files.write_hits_json(i.hits, path)
-    return hit_files.read_hits_json(i.spark, path, multi_line=False)
+    return _longs(hit_files.read_hits_json(i.spark, path, multi_line=False), "year")
 
 
 @query
@@ -51,7 +51,7 @@ def resolved_json_roundtrip(i: Inputs) -> DataFrame:
     path = work_dir(i.spark, "resolved")
     resolved = resolve.keep_resolved(resolve.resolve(i.hits, i.oa_snapshot, i.pmc_snapshot))
     hit_files.write_resolved_json(resolved, path)
-    return i.spark.read.schema(schemas.HIT + ", pdf_url string, resolver_source string").json(path)
+    return _longs(i.spark.read.schema(schemas.HIT + ", pdf_url string, resolver_source string").json(path), "year")
 
 
 @query

@@ -127,7 +127,7 @@ fetches AS (
 QUEUE = f"""
 queue AS (
     SELECT c_custkey AS ingest_id, c_name AS file_id, CASE WHEN c_mktsegment = 'BUILDING' THEN 'pending' ELSE 'done' END AS status,
-        0 AS retries, CAST(NULL AS VARCHAR) AS last_error, TIMESTAMP '{CREATED}' AS updated_at
+        0::BIGINT AS retries, CAST(NULL AS VARCHAR) AS last_error, TIMESTAMP '{CREATED}' AS updated_at
     FROM customer)"""
 
 
@@ -176,7 +176,7 @@ _add("paper_ids", "SELECT id FROM papers ORDER BY id", PAPERS)
 
 _add(
     "topic_queries",
-    """SELECT topic, 0 AS query_idx, topic AS query FROM topics
+    """SELECT topic, 0::BIGINT AS query_idx, topic AS query FROM topics
     UNION ALL SELECT topic, 1, lower(topic) FROM topics WHERE lower(topic) <> topic
     UNION ALL SELECT topic, CASE WHEN lower(topic) = topic THEN 1 ELSE 2 END, topic || ' review' FROM topics""",
     TOPICS,
@@ -184,7 +184,7 @@ _add(
 )
 SEARCH = f"""
 found AS (
-    SELECT item_id AS query_idx, CASE WHEN lang = 'en' THEN 0 ELSE 1 END AS source_idx, doc_id AS hit_idx, title, doi, url
+    SELECT item_id AS query_idx, CASE WHEN lang = 'en' THEN 0::BIGINT ELSE 1 END AS source_idx, doc_id AS hit_idx, title, doi, url
     FROM asked JOIN hits ON list_has_all({_words('title')}, {_words('topic')}) WHERE len({_words('topic')}) > 0)"""
 _add("provider_search", "SELECT * FROM found", TOPICS, HITS, SEARCH)
 _add(
@@ -201,7 +201,7 @@ _add(
 )
 _add(
     "union_sources",
-    "SELECT title, doi, doc_id AS hit_idx, CASE WHEN lang = 'en' THEN 0 ELSE 1 END AS source_idx FROM hits",
+    "SELECT title, doi, doc_id AS hit_idx, CASE WHEN lang = 'en' THEN 0::BIGINT ELSE 1 END AS source_idx FROM hits",
     HITS,
 )
 _add("resolver_chain", "SELECT doc_id, doi, url, pdf_url, resolver_source FROM resolved", RESOLVED)
@@ -214,8 +214,8 @@ _add(
 )
 _add(
     "fetch_plan",
-    """SELECT pdf_url, 0 AS try_no, replace(pdf_url, '/pdf', '/pdf/') AS request_url,
-        'https://www.ncbi.nlm.nih.gov/' AS referer, 13 AS n_headers
+    """SELECT pdf_url, 0::BIGINT AS try_no, replace(pdf_url, '/pdf', '/pdf/') AS request_url,
+        'https://www.ncbi.nlm.nih.gov/' AS referer, 13::BIGINT AS n_headers
     FROM resolved WHERE pdf_url LIKE '%ncbi.nlm.nih.gov%' AND pdf_url LIKE '%/pdf%'
     UNION ALL
     SELECT pdf_url, CASE WHEN pdf_url LIKE '%ncbi.nlm.nih.gov%' AND pdf_url LIKE '%/pdf%' THEN 1 ELSE 0 END, pdf_url,
@@ -226,7 +226,7 @@ _add(
 )
 FOUND = f"""
 matching AS (
-    SELECT *, CASE WHEN lang = 'en' THEN 0 ELSE 1 END AS source_idx FROM resolved WHERE doi <> '' AND EXISTS (
+    SELECT *, CASE WHEN lang = 'en' THEN 0::BIGINT ELSE 1 END AS source_idx FROM resolved WHERE doi <> '' AND EXISTS (
         SELECT 1 FROM asked WHERE len({_words('topic')}) > 0 AND list_has_all({_words('title')}, {_words('topic')}))),
 merged AS (SELECT * FROM matching QUALIFY row_number() OVER (PARTITION BY doi ORDER BY source_idx, doc_id) = 1),
 located AS (
@@ -438,7 +438,7 @@ _PROMPT_ROWS = ", ".join(
 )
 _add(
     "prompt_table",
-    """SELECT doc_id, summary_type, model, instruction || chr(10) || chr(10) || substr(text, 1, 4000) AS prompt, 500 AS max_tokens
+    """SELECT doc_id, summary_type, model, instruction || chr(10) || chr(10) || substr(text, 1, 4000) AS prompt, 500::BIGINT AS max_tokens
     FROM documents, prompts WHERE text <> ''""",
     f"prompts(summary_type, model, instruction) AS (VALUES {_PROMPT_ROWS})",
 )
@@ -489,7 +489,7 @@ SQL["find_similar_sql"] = SQL["find_similar_papers"]
 _add(
     "find_similar_best_per_paper",
     f"""{_OUT} (
-        SELECT label AS paper_id, title, max(similarity) AS similarity FROM scored JOIN titled ON label = titled.paper_id
+        SELECT label::BIGINT AS paper_id, title, max(similarity) AS similarity FROM scored JOIN titled ON label = titled.paper_id
         WHERE similarity > 0.2 GROUP BY ALL {_TOP})""",
     VECTORS, TITLED,
 )
@@ -501,7 +501,7 @@ _add(
 )
 _add(
     "cosine_to_centre",
-    """SELECT vec_id AS paper_id, label, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), centre), 6) AS similarity,
+    """SELECT vec_id AS paper_id, label::BIGINT AS label, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), centre), 6) AS similarity,
         round(1 - list_cosine_similarity(CAST(embedding AS DOUBLE[]), centre), 6) AS distance
     FROM embeddings JOIN centres USING (label)""",
     CENTRES,
@@ -518,14 +518,14 @@ _add(
     FROM pairs QUALIFY rank <= 10""",
     CENTRES,
     """pairs AS (
-        SELECT centres.label AS query_id, vec_id AS paper_id,
+        SELECT centres.label::BIGINT AS query_id, vec_id AS paper_id,
             round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), centre), 9) AS s
         FROM embeddings, centres)""",
 )
 _add("ivf_search_all_cells", f"SELECT paper_id, round(similarity, 6) AS similarity FROM (FROM scored {_TOP})", VECTORS)
 _add("wrong_dimension", "SELECT vec_id AS paper_id, len(embedding) AS dims FROM embeddings WHERE len(embedding) <> 768")
 SQL["embed_sections"] = (
-    "SELECT doc_id, embedding_type, 256 AS dims, 1.0::DOUBLE AS length FROM (" + SQL["section_slices"] + ")"
+    "SELECT doc_id, embedding_type, 256::BIGINT AS dims, 1.0::DOUBLE AS length FROM (" + SQL["section_slices"] + ")"
 )
 
 # -- table edits ----------------------------------------------------------------------------------------------
@@ -675,7 +675,7 @@ _add(
 )
 _add(
     "save_hits_works",
-    f"""SELECT doi, CAST(NULL AS VARCHAR) AS title, 36 AS id_chars, TIMESTAMP '{AS_OF}' AS created_at
+    f"""SELECT doi, CAST(NULL AS VARCHAR) AS title, 36::BIGINT AS id_chars, TIMESTAMP '{AS_OF}' AS created_at
     FROM hits WHERE doi <> ''""",
     HITS,
 )
@@ -787,7 +787,7 @@ parsed AS (SELECT * FROM fetched WHERE status = 200 AND text <> ''),
 stored AS (SELECT * FROM parsed QUALIFY row_number() OVER (PARTITION BY sha256 ORDER BY page_id) = 1)"""
 _add(
     "stream_ingest_papers",
-    "SELECT doi, title, 2024 AS year, pdf_url, sha256, 'web' AS source FROM stored",
+    "SELECT doi, title, 2024::BIGINT AS year, pdf_url, sha256, 'web' AS source FROM stored",
     _FETCHED,
 )
 _add(
