@@ -31,16 +31,20 @@ def with_fetches(resolved: DataFrame, fetch_log: DataFrame) -> DataFrame:
     """Landing rows for the ingest flow: each location with the body of its best attempt.
 
     An attempt at the alternate form of a URL is logged under the form that was tried; it counts for
-    the location itself, and a success comes before any failure.
+    the location itself, and a success comes before any failure. Attempts at a URL have numbers of their own.
     """
-    plan = resolve.fetch_plan(resolved).select("pdf_url", "try_no", F.col("request_url"))
-    tried = plan.join(fetch_log.withColumnRenamed("pdf_url", "request_url"), "request_url")
-    preference = F.struct((F.col("status") != 200).alias("failed"), "try_no", "attempt")
-    best = tried.groupBy("pdf_url").agg(F.min_by(F.struct("status", "content"), preference).alias("_best"))
-    joined = resolved.join(best, "pdf_url")
+    log = fetch_log.withColumnRenamed("pdf_url", "request_url")
+    failed = F.coalesce(F.col("status") != 200, F.lit(True))
+    # choose by small columns, one row per form that was tried, and fetch the chosen bodies last
+    tried = log.groupBy("request_url").agg(F.min(F.struct(failed.alias("failed"), "attempt")).alias("_try"))
+    plan = resolve.fetch_plan(resolved).select("pdf_url", "try_no", "request_url").join(tried, "request_url")
+    preference = F.struct("_try.failed", "try_no", "_try.attempt")
+    best = plan.groupBy("pdf_url").agg(F.min_by(F.struct("request_url", "_try.attempt"), preference).alias("_best"))
+    chosen = best.select("pdf_url", "_best.request_url", "_best.attempt")
+    bodies = chosen.join(log.select("request_url", "attempt", "status", "content"), ["request_url", "attempt"])
+    joined = resolved.join(bodies, "pdf_url")
     return joined.select(
-        "doi", "title", "year", F.col("resolver_source").alias("source"), "pdf_url",
-        F.col("_best.status").alias("status"), F.col("_best.content").alias("content"),
+        "doi", "title", "year", F.col("resolver_source").alias("source"), "pdf_url", "status", "content",
         hits.packed_order(F.col("ord")).alias("ord"),
     )
 

@@ -27,11 +27,11 @@ def sample_tables(spark: SparkSession, n: int, as_of: Column, dim: int = schemas
     no = F.col("id").cast("string")
     papers = ids.select(
         "id",
-        F.concat(F.lit("10.1234/sample"), no).alias("doi"),
+        F.concat(F.lit("10.5555/sample-"), no).alias("doi"),
         F.concat(F.lit("Sample paper "), no).alias("title"),
         F.array(F.concat(F.lit("Author "), no)).alias("authors"),
         (F.lit(2000) + F.col("id") % 25).cast("int").alias("year"),
-        F.format_string("https://example.com/papers/sample%d.pdf", "id").alias("pdf_url"),
+        F.format_string("https://files.example.org/sample-%d.pdf", "id").alias("pdf_url"),
         F.lit(None).cast("string").alias("file_path"),
         F.sha2(no, 256).alias("sha256"),
         F.lit("sample").alias("source"),
@@ -50,7 +50,7 @@ def sample_tables(spark: SparkSession, n: int, as_of: Column, dim: int = schemas
         vector.alias("embedding"), as_of.alias("created_at"),
     )
     values = F.array(
-        F.struct(F.lit("keywords").alias("key"), F.lit('["creatine","exercise","performance"]').alias("value")),
+        F.struct(F.lit("keywords").alias("key"), F.lit('["alpha","beta"]').alias("value")),
         F.struct(F.lit("abstract").alias("key"), F.lit('"A sample abstract"').alias("value")),
         F.struct(F.lit("citations").alias("key"), (F.col("id") % 100).cast("string").alias("value")),
     )

@@ -21,7 +21,7 @@ from quillmill.operators.dedupe import last_by_key
 from quillmill.session import written
 from quillmill.sources import files, tables
 
-# Fixed value: bound of the reference queues, here files per micro-batch
+# Fixed value: how much may wait, here as files per micro-batch
 MAX_FILES_PER_BATCH = 200
 
 ROCKSDB_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
