@@ -767,8 +767,8 @@ def apply_status_events(i: Inputs) -> DataFrame:
 @query
 def retry_schedule(i: Inputs) -> DataFrame:
     attempts = i.table("events").select(
-        F.concat_ws("/", F.col("user_id"), F.col("event_type")).alias("pdf_url"),
-        (F.col("value") >= 20).alias("ok"), F.col("ts").alias("at"),
+        F.concat_ws("/", F.col("user_id"), F.get_json_object("props", "$.k")).alias("pdf_url"),
+        (F.col("event_type") == "purchase").alias("ok"), F.col("ts").alias("at"),
     )
     return ingest.retry_schedule(attempts)
 

@@ -770,7 +770,8 @@ _add(
         CASE WHEN attempts < 3 THEN last_at + to_seconds(least(10, greatest(4, pow(2, attempts - 1)))::INT) END AS next_at
     FROM tried WHERE NOT done""",
     """tried AS (
-        SELECT user_id || '/' || event_type AS pdf_url, count(*) AS attempts, max(ts) AS last_at, bool_or(value >= 20) AS done
+        SELECT user_id || '/' || json_extract_string(props, '$.k') AS pdf_url, count(*) AS attempts, max(ts) AS last_at,
+            bool_or(event_type = 'purchase') AS done
         FROM events GROUP BY 1)""",
 )
 _add(
