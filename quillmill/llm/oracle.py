@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillmill.llm import secrets
+from quillmill.llm import decontam, secrets
 
 SQL: dict[str, str] = {}
 
@@ -54,3 +54,34 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
 FROM docs d LEFT JOIN per_doc p USING (doc_id)
 """
+
+
+_WORDS = (
+    "list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    f"{_q(decontam.WORD_BREAK)}), lambda x: x <> '')"
+)
+
+SQL["op4_decontam"] = f"""
+WITH items AS (
+    SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS w FROM benchmark
+), held AS (
+    SELECT DISTINCT item_id, array_to_string(w[i:i + {decontam.WINDOW - 1}], ' ') AS phrase, least(len(w), {decontam.WINDOW}) AS size
+    FROM items, unnest(range(1, greatest(len(w) - {decontam.WINDOW - 1}, 1) + 1)) AS r(i) WHERE len(w) > 0
+), docs AS (
+    SELECT doc_id, {_WORDS} AS w FROM documents
+), sizes AS (
+    SELECT DISTINCT size FROM held
+), hits AS (
+    SELECT d.doc_id, i, s.size, h.item_id
+    FROM docs d, sizes s, unnest(range(1, len(w) - s.size + 2)) AS r(i)
+    JOIN held h ON h.phrase = array_to_string(w[i:i + s.size - 1], ' ') AND h.size = s.size
+), covered AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hits) GROUP BY doc_id
+), named AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+    FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""

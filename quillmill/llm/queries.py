@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmill.llm import oracle, quality, secrets
+from quillmill.llm import decontam, oracle, quality, secrets
 from quillmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_decontam(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Repositories are the languages of a source, its owner."""
     return secrets.secret_scan(table(spark, folder, "documents"))
@@ -21,5 +25,5 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op8_secrets, op10_quality)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op4_decontam, op8_secrets, op10_quality)}
 SQL: dict[str, str] = dict(oracle.SQL)
