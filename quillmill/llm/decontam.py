@@ -68,14 +68,16 @@ def postings(docs: DataFrame, terms: DataFrame, radius: int, small: bool) -> Dat
     """The index: term, doc_id, row_key, pos (from 0), and the words from ``lo`` to ``radius`` beyond pos.
 
     Words are joined with the wanted terms before anything else is taken from the text, so only their
-    positions become rows.
+    positions become rows. The empty term stands behind the last word of every document: its position is
+    the number of words, so that lengths need no further pass over the texts.
     """
+    wanted = terms.select("term").unionByName(docs.sparkSession.createDataFrame([("",)], "term string"))
     spread = documents_of(docs).select("doc_id", "row_key", words(F.col("text")).alias("w"))
-    spread = spread.select("doc_id", "row_key", "w", F.posexplode("w").alias("pos", "term"))
+    # the outer form: for the plain one Spark would work out the words once more, to filter on their number
+    spread = spread.select("doc_id", "row_key", "w", F.posexplode_outer(F.concat("w", F.array(F.lit("")))).alias("pos", "term"))
     lo = F.greatest(F.col("pos") - radius, F.lit(0))
-    return spread.join(_sent(terms, small), "term").select(
-        "term", "doc_id", "row_key", "pos", lo.alias("lo"), F.slice("w", lo + 1, F.col("pos") - lo + radius + 1).alias("around")
-    )
+    around = F.when(F.col("term") != "", F.slice("w", lo + 1, F.col("pos") - lo + radius + 1))
+    return spread.join(_sent(wanted, small), "term").select("term", "doc_id", "row_key", "pos", lo.alias("lo"), around.alias("around"))
 
 
 def phrase_matches(index: DataFrame, rare: DataFrame, small: bool) -> DataFrame:
@@ -110,8 +112,9 @@ def _terms(phrases: DataFrame) -> DataFrame:
     return phrases.select(F.explode("window").alias("term")).distinct()
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
-    """doc_id, row_key, n_hit and ``items`` (sorted item ids) of every document with an occurrence of a window."""
+def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+    """Two tables: doc_id, row_key, n_words of every row; and doc_id, row_key, n_hit and ``items`` (sorted item
+    ids) of every document with an occurrence of a window."""
     held = written(windows(benchmark, size), "test-windows")
     small = held.count() <= BROADCAST_WINDOWS
     phrases = held.select("window").distinct()
@@ -126,7 +129,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
     covered = fresh.groupBy("doc_id", "row_key").agg(F.sum("fresh").alias("n_hit"))
     found = hits.join(_sent(held, small), "window").select("doc_id", "row_key", "item_id").distinct()
     items = found.groupBy("doc_id", "row_key").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
-    return covered.join(items, common.same_row(covered, items)).select(covered["doc_id"], covered["row_key"], "n_hit", "items")
+    found = covered.join(items, common.same_row(covered, items)).select(covered["doc_id"], covered["row_key"], "n_hit", "items")
+    return index.filter("term = ''").select("doc_id", "row_key", F.col("pos").cast("bigint").alias("n_words")), found
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -135,8 +139,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     A null or empty text has no words and no hits; without test items nothing is contaminated; repeated
     rows get the same result each.
     """
-    found = contamination(docs, benchmark)
-    left = documents_of(docs).select("doc_id", "row_key", F.size(words(F.col("text"))).cast("bigint").alias("n_words"))
+    left, found = contamination(docs, benchmark)
     met = left.join(found, common.same_row(left, found), "left")
     items = F.coalesce("items", F.array().cast("array<string>"))
     return met.select(
@@ -148,6 +151,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without any occurrence of a test window, columns as they are."""
-    found = contamination(docs, benchmark).select(F.col("doc_id").alias("_doc"), F.col("row_key").alias("_row"))
+    found = contamination(docs, benchmark)[1].select(F.col("doc_id").alias("_doc"), F.col("row_key").alias("_row"))
     key = F.xxhash64(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")))
     return docs.join(found, (key == F.col("_row")) & F.col("doc_id").cast("bigint").eqNullSafe(F.col("_doc")), "left_anti")
