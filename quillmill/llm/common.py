@@ -59,7 +59,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     return [(r["piece"], r["y"]) for r in rows]
 
 
-def batches_of(iterator: Iterator, size: int = 8_000_000) -> Iterator:
+def batches_of(iterator: Iterator, size: int = 3_000_000) -> Iterator:
     """Arrow batches cut so that the texts of each come to about ``size`` bytes; a text is never cut."""
     for batch in iterator:
         if batch.num_rows == 0:

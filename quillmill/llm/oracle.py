@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillmill.llm import decontam, secrets
+from quillmill.llm import decontam, repetition, secrets
 
 SQL: dict[str, str] = {}
 
@@ -85,3 +85,41 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_item
        sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM docs d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+
+_BLANK = r"[\x20\x09-\x0D]+"
+
+
+def _repeated(size: int) -> str:
+    """Words of each text in windows of ``size`` words that occur twice in it."""
+    return f"""
+        SELECT doc_id, count(DISTINCT p) AS n FROM (
+            SELECT doc_id, unnest(range(i, i + {size})) AS p FROM (
+                SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(w[i:i + {size - 1}], ' ')) AS times
+                FROM docs, unnest(range(1, len(w) - {size - 2})) AS r(i)
+            ) WHERE times > 1
+        ) GROUP BY doc_id"""
+
+
+SQL["op2_repetition"] = f"""
+WITH docs AS (
+    SELECT doc_id, coalesce(text, '') AS text, list_filter(string_split_regex(coalesce(text, ''), {_q(_BLANK)}), lambda x: x <> '') AS w
+    FROM documents
+), lines AS (
+    SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs)
+    WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
+), eights AS ({_repeated(repetition.WINDOW)}
+), fives AS ({_repeated(repetition.SHORTEST)}
+), longer AS ({_repeated(repetition.LONGEST + 1)}
+), measured AS (
+    SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+           CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(l.n, 0) AS n_dup_lines,
+           coalesce(e.n, 0) AS n_repeat_words, coalesce(f.n, 0) AS n_covered, g.n IS NULL AS short_repeats
+    FROM docs d LEFT JOIN lines l USING (doc_id) LEFT JOIN eights e USING (doc_id) LEFT JOIN fives f USING (doc_id) LEFT JOIN longer g USING (doc_id)
+), ruled AS (
+    SELECT *, n_words < {repetition.LEAST_WORDS} OR 100 * n_repeat_words > {repetition.MOST_REPEATED_PERCENT} * n_words AS base_failed FROM measured
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 100 * n_covered <= {repetition.MOST_COVERED_PERCENT} * n_words AND short_repeats AS kept
+FROM ruled
+"""
