@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmill.llm import decontam, oracle, quality, repetition, secrets
+from quillmill.llm import decontam, oracle, quality, repetition, secrets, toxicity
 from quillmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op2_repetition(spark: SparkSession, folder: str) -> DataFrame:
     rules = repetition.quality_rules(table(spark, folder, "documents"))
     return rules.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -30,5 +34,5 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_repetition, op4_decontam, op8_secrets, op10_quality)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_repetition, op4_decontam, op8_secrets, op10_quality)}
 SQL: dict[str, str] = dict(oracle.SQL)
