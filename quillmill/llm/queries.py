@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmill.llm import decontam, oracle, pii, quality, repetition, secrets, toxicity
+from quillmill.llm import decontam, oracle, pieces, pii, quality, repetition, secrets, toxicity
 from quillmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,9 +34,13 @@ def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_scan(table(spark, folder, "documents"))
 
 
+def op9_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.piece_digests(table(spark, folder, "documents"))
+
+
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_repetition, op4_decontam, op6_pii, op8_secrets, op10_quality)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_repetition, op4_decontam, op6_pii, op8_secrets, op9_pieces, op10_quality)}
 SQL: dict[str, str] = dict(oracle.SQL)
