@@ -59,12 +59,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     return [(r["piece"], r["y"]) for r in rows]
 
 
-def batches_of(iterator: Iterator, size: int = 3_000_000) -> Iterator:
+def batches_of(iterator: Iterator, column: str = "text", size: int = 3_000_000) -> Iterator:
     """Arrow batches cut so that the texts of each come to about ``size`` bytes; a text is never cut."""
     for batch in iterator:
         if batch.num_rows == 0:
             continue
-        ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column("text")), 0), dtype=np.int64))
+        ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64))
         start = 0
         while start < batch.num_rows:
             base = ends[start - 1] if start else 0

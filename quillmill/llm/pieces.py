@@ -19,6 +19,7 @@ import hashlib
 import re
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -32,7 +33,7 @@ from quillmill.session import written
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Characters of a chunk; texts up to this long are one chunk. Chunks of a block, which is multiplied by one task.
-CHUNK, BLOCK = 16384, 256
+CHUNK, BLOCK = 1 << 16, 256
 #: Added to the lowest score for a character that has no piece (the library's value).
 UNKNOWN_PENALTY = -10.0
 _B = np.uint64(0x9E3779B97F4A7C15)
@@ -73,6 +74,11 @@ class Vocabulary:
         """Whether no piece has a mark of space behind another character."""
         return not any(re.search(f"[^{SPACE}]{SPACE}", p) for p, o in zip(self.pieces, self.ordinary, strict=True) if o)
 
+    @cached_property
+    def weights(self) -> np.ndarray:
+        """Scores by id; the last, for id -1, is that of no piece."""
+        return np.append(np.array(self.scores), NEVER)
+
     @cached_property
     def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Sorted hashes of the pieces, their ids, and which leading 20 bits any of them has."""
@@ -147,7 +153,7 @@ def solve(vocabulary: Vocabulary, codes: np.ndarray, sizes: np.ndarray, entries:
     """All rows of characters [rows, width] at once, position by position, each from its own entry."""
     rows, width = codes.shape
     longest = min(vocabulary.longest, width)
-    scores = np.append(np.array(vocabulary.scores), NEVER)
+    scores = vocabulary.weights
     arcs, names = [], []
     h = np.zeros((rows, width), dtype=np.uint64)
     place = np.arange(width)
@@ -251,7 +257,7 @@ class Encoder:
         number, known = self.number, len(self.number)
         of_text = [np.array([number.setdefault(s, len(number)) for s in segments(t, self.vocabulary)], dtype=np.int64) for t in texts]
         if len(number) > known:
-            fresh = list(number)[known:]
+            fresh = list(islice(reversed(number), len(number) - known))[::-1]
             flat, sizes, sums = encode_segments(self.vocabulary, fresh)
             self.flat, self.sizes, self.sums = (np.concatenate(x) for x in ((self.flat, flat), (self.sizes, sizes), (self.sums, sums)))
         starts = np.cumsum(self.sizes) - self.sizes
@@ -300,9 +306,14 @@ def _solve_one(vocabulary: Vocabulary, text: str, entries: list[int]) -> Solved:
     return solve(vocabulary, codes, sizes, np.array(entries))
 
 
-def transfer(vocabulary: Vocabulary, chunk: Chunk) -> np.ndarray:
-    """Best sums [state at the start, state at the end] over the chunk; a state counts characters of the
-    chunk behind the cut that the piece across it has taken."""
+def transfers(encoder: Encoder, chunks: list[Chunk]) -> list[np.ndarray]:
+    """The chunks as matrices of best sums [state at the start, state at the end]; a state counts characters
+    of the chunk behind the cut that the piece across it has taken."""
+    inner = encoder.texts(["".join(c.inside) for c in chunks])[1]
+    return [_transfer(encoder.vocabulary, c, x) for c, x in zip(chunks, inner, strict=True)]
+
+
+def _transfer(vocabulary: Vocabulary, chunk: Chunk, inner: float) -> np.ndarray:
     states = vocabulary.longest
     out = np.full((states, states), NEVER)
     entries = [i for i in range(states) if i <= len(chunk.first)]
@@ -315,7 +326,6 @@ def transfer(vocabulary: Vocabulary, chunk: Chunk) -> np.ndarray:
                 out[i, :] = NEVER
                 out[i, i - chunk.size] = 0.0
         return out
-    inner = encode_texts(vocabulary, ["".join(chunk.inside)])[1][0]
     last = _solve_one(vocabulary, chunk.last, [0])
     ends = [last.best[0, chunk.last_size + j] if chunk.last_size + j <= len(chunk.last) else NEVER for j in range(states)]
     for row, i in enumerate(entries):
@@ -327,12 +337,16 @@ def _path(vocabulary: Vocabulary, text: str, entry: int, end: int) -> list[int]:
     return spell(vocabulary, *_solve_one(vocabulary, text, [entry]).trace(np.array([end])))[0].tolist()
 
 
-def trace_chunk(vocabulary: Vocabulary, chunk: Chunk, entry: int, leave: int) -> list[int]:
-    """Ids of the pieces that begin in the chunk, on the best path between two states."""
-    if chunk.last is None:
-        return _path(vocabulary, chunk.first, entry, chunk.size + leave) if entry < chunk.size + leave else []
-    inside = encode_texts(vocabulary, ["".join(chunk.inside)])[0][0].tolist()
-    return _path(vocabulary, chunk.first, entry, len(chunk.first)) + inside + _path(vocabulary, chunk.last, 0, chunk.last_size + leave)
+def trace_chunks(encoder: Encoder, chunks: list[Chunk], entries: list[int], leaves: list[int]) -> list[list[int]]:
+    """For each chunk the ids of the pieces that begin in it, on the best path between its two states."""
+    inside = encoder.texts(["".join(c.inside) for c in chunks])[0]
+    v, out = encoder.vocabulary, []
+    for c, middle, i, j in zip(chunks, inside, entries, leaves, strict=True):
+        if c.last is None:
+            out.append(_path(v, c.first, i, c.size + j) if i < c.size + j else [])
+        else:
+            out.append(_path(v, c.first, i, len(c.first)) + middle.tolist() + _path(v, c.last, 0, c.last_size + j))
+    return out
 
 
 def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -357,7 +371,7 @@ def _matrix(data: bytes) -> np.ndarray:
     return flat.reshape(int(len(flat) ** 0.5), -1)
 
 
-def _giant(docs: DataFrame, sent, longest: int) -> DataFrame:
+def _giant(docs: DataFrame, sent, longest: int, size: int) -> DataFrame:
     """doc_id, row_key, ids (little-endian 32-bit numbers) and score of texts longer than a chunk."""
     key = ["doc_id", "row_key"]
 
@@ -365,21 +379,24 @@ def _giant(docs: DataFrame, sent, longest: int) -> DataFrame:
         for batch in batches:
             for doc_id, row_key, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row_key", "text")), strict=True):
                 text = normalised(text)
-                starts = range(0, len(text), CHUNK)
+                starts = range(0, len(text), size)
                 for n in range(0, len(starts), 64):
                     part = starts[n : n + 64]
                     yield pa.RecordBatch.from_pydict(
                         {
                             "doc_id": pa.array([doc_id] * len(part), pa.int64()), "row_key": pa.array([row_key] * len(part), pa.int64()),
-                            "chunk": pa.array([s // CHUNK for s in part], pa.int64()), "final": [s + CHUNK >= len(text) for s in part],
-                            "body": [text[s : s + CHUNK] for s in part], "ahead": [text[s + CHUNK : s + CHUNK + longest - 1] for s in part],
+                            "chunk": pa.array([s // size for s in part], pa.int64()), "final": [s + size >= len(text) for s in part],
+                            "body": [text[s : s + size] for s in part], "ahead": [text[s + size : s + size + longest - 1] for s in part],
                         }
                     )
 
+    def chunks_of(batch):
+        return [Chunk.of(sent.value, b, a) for b, a in zip(batch.column("body").to_pylist(), batch.column("ahead").to_pylist(), strict=True)]
+
     def weigh(batches):
-        for batch in batches:
-            rows = zip(batch.column("body").to_pylist(), batch.column("ahead").to_pylist(), strict=True)
-            found = [transfer(sent.value, Chunk.of(sent.value, body, ahead)).tobytes() for body, ahead in rows]
+        encoder = Encoder(sent.value)
+        for batch in common.batches_of(batches, "body"):
+            found = [m.tobytes() for m in transfers(encoder, chunks_of(batch))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], names=[*batch.schema.names, "matrix"])
 
     cuts = docs.distinct().mapInArrow(cut, "doc_id bigint, row_key bigint, chunk bigint, final boolean, body string, ahead string")
@@ -416,16 +433,13 @@ def _giant(docs: DataFrame, sent, longest: int) -> DataFrame:
     known = chunks.join(names, (F.col("row_key") == F.col("r")) & F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("chunk") == F.col("c")))
 
     def trace(batches):
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("body", "ahead", "entry", "leave", "matrix")]
-            found = [
-                (np.array(trace_chunk(sent.value, Chunk.of(sent.value, body, ahead), i, j), dtype="<i4").tobytes(), float(_matrix(m)[i, j]))
-                for body, ahead, i, j, m in zip(*columns, strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("row_key"), batch.column("chunk"), pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.float64())],
-                names=[*key, "chunk", "ids", "score"],
-            )
+        encoder = Encoder(sent.value)
+        for batch in common.batches_of(batches, "body"):
+            entries, leaves = batch.column("entry").to_pylist(), batch.column("leave").to_pylist()
+            ids = [np.array(i, dtype="<i4").tobytes() for i in trace_chunks(encoder, chunks_of(batch), entries, leaves)]
+            sums = [float(_matrix(m)[i, j]) for m, i, j in zip(batch.column("matrix").to_pylist(), entries, leaves, strict=True)]
+            held = [batch.column(c) for c in (*key, "chunk")]
+            yield pa.RecordBatch.from_arrays([*held, pa.array(ids, pa.binary()), pa.array(sums, pa.float64())], names=[*key, "chunk", "ids", "score"])
 
     traced = known.select(*key, "chunk", "body", "ahead", "matrix", "entry", "leave").mapInArrow(
         trace, "doc_id bigint, row_key bigint, chunk bigint, ids binary, score double"
@@ -434,7 +448,7 @@ def _giant(docs: DataFrame, sent, longest: int) -> DataFrame:
     return traced.groupBy(*key).agg(F.unhex(ids).alias("ids"), F.sum("score").alias("score"))
 
 
-def encoded(docs: DataFrame, vocabulary: Vocabulary | None = None, model_path: str = MODEL_PATH) -> DataFrame:
+def encoded(docs: DataFrame, vocabulary: Vocabulary | None = None, model_path: str = MODEL_PATH, chunk: int = CHUNK) -> DataFrame:
     """doc_id, row_key, text, ``ids`` (little-endian 32-bit numbers) and ``score`` of every row.
 
     A null or empty text has no pieces and a score of 0.
@@ -442,7 +456,7 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary | None = None, model_path: s
     vocabulary = vocabulary or Vocabulary.read(model_path)
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)  # the model's pieces: of fixed size
     rows = common.texts(docs).withColumn("row_key", common.row_key())
-    long = F.length("text") >= CHUNK  # with the mark in front, longer than a chunk
+    long = F.length("text") >= chunk  # with the mark in front, longer than a chunk
 
     def encode(batches):
         encoder = Encoder(sent.value)
@@ -455,12 +469,12 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary | None = None, model_path: s
 
     short = rows.filter(~long).mapInArrow(encode, "doc_id bigint, text string, row_key bigint, ids binary, score double")
     giants = rows.filter(long)
-    found = _giant(giants, sent, vocabulary.longest)
+    found = _giant(giants, sent, vocabulary.longest, chunk)
     met = giants.join(found, common.same_row(giants, found)).select(giants["doc_id"], giants["text"], giants["row_key"], "ids", "score")
     return short.unionByName(met)
 
 
-def piece_digests(docs: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
+def piece_digests(docs: DataFrame, model_path: str = MODEL_PATH, chunk: int = CHUNK) -> DataFrame:
     """doc_id, n_pieces, score, ids_sha256 (of the ids as little-endian 32-bit numbers), round_trip.
 
     round_trip: decoding the ids gives the text back; false only for texts that hold the mark of space itself.
@@ -480,6 +494,6 @@ def piece_digests(docs: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
                 }
             )
 
-    return encoded(docs, vocabulary).select("doc_id", "text", "ids", "score").mapInArrow(
+    return encoded(docs, vocabulary, chunk=chunk).select("doc_id", "text", "ids", "score").mapInArrow(
         digest, "doc_id bigint, n_pieces bigint, score double, ids_sha256 string, round_trip boolean"
     )
