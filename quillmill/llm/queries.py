@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmill.llm import decontam, oracle, pieces, pii, quality, repetition, secrets, toxicity
+from quillmill.llm import decontam, lm, oracle, pieces, pii, quality, repetition, secrets, toxicity
 from quillmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op4_decontam(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op5_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.lm_scores(table(spark, folder, "documents"))
+
+
 def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.personal_data(table(spark, folder, "documents"))
 
@@ -42,5 +46,5 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_repetition, op4_decontam, op6_pii, op8_secrets, op9_pieces, op10_quality)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_repetition, op4_decontam, op5_lm, op6_pii, op8_secrets, op9_pieces, op10_quality)}
 SQL: dict[str, str] = dict(oracle.SQL)
