@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmill.llm import decontam, lm, oracle, pieces, pii, quality, repetition, secrets, toxicity
+from quillmill.llm import decontam, lm, oracle, passages, pieces, pii, quality, repetition, secrets, toxicity
 from quillmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op2_repetition(spark: SparkSession, folder: str) -> DataFrame:
     return rules.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op3_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.removed_passages(table(spark, folder, "documents"))
+
+
 def op4_decontam(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -46,5 +50,5 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_repetition, op4_decontam, op5_lm, op6_pii, op8_secrets, op9_pieces, op10_quality)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_repetition, op3_passages, op4_decontam, op5_lm, op6_pii, op8_secrets, op9_pieces, op10_quality)}
 SQL: dict[str, str] = dict(oracle.SQL)
