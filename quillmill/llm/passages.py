@@ -72,7 +72,7 @@ class Windows:
             return
         begin = self.ends - sizes
         starts = np.repeat(begin - (np.cumsum(valid) - valid), valid) + np.arange(int(valid.sum()))
-        grams = self.hash(np.arange(n - GRAM + 1), GRAM)
+        grams = common._scramble((self.sums[GRAM:] - self.sums[:-GRAM]) * self.back[: n - GRAM + 1] + _U(GRAM) * _U(_BACK))
         key = (grams & _U(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
         width, reach = LENGTH - GRAM + 1, 1
         while 2 * reach <= width:

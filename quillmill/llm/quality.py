@@ -134,6 +134,20 @@ def scores(docs: DataFrame, model: Model, columns: list[str] | None = None) -> D
     return held.mapInArrow(score, schema)
 
 
+def accepted(docs: DataFrame, labels: DataFrame, least: float = KEEP_FROM) -> DataFrame:
+    """The rows of ``docs`` whose score is at least ``least``, columns as they are. One pass, no shuffle."""
+    model = train(docs, labels)
+
+    def keep(batches):
+        scorer = Scorer(model.good, model.bad)
+        for batch in batches:
+            texts = batch.column("text").cast(pa.large_binary()).to_pylist()
+            z = np.array([model.slope * scorer.difference(t or b"") + model.intercept for t in texts])
+            yield batch.filter(pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))) >= least))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted of every row of ``docs``."""
     scored = scores(common.texts(docs), train(docs, labels))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmill.llm import decontam, lm, oracle, passages, pieces, pii, quality, repetition, secrets, toxicity
+from quillmill.llm import decontam, lm, neardup, oracle, passages, pieces, pii, quality, repetition, secrets, toxicity
 from quillmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,10 @@ def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.personal_data(table(spark, folder, "documents"))
 
 
+def op7_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, folder, "documents")).drop("row_key")
+
+
 def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Repositories are the languages of a source, its owner."""
     return secrets.secret_scan(table(spark, folder, "documents"))
@@ -50,5 +54,7 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_repetition, op3_passages, op4_decontam, op5_lm, op6_pii, op8_secrets, op9_pieces, op10_quality)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_toxicity, op2_repetition, op3_passages, op4_decontam, op5_lm, op6_pii, op7_neardup, op8_secrets, op9_pieces, op10_quality,
+)}
 SQL: dict[str, str] = dict(oracle.SQL)
