@@ -12,24 +12,18 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
     """``node`` and ``root``, the least node of its component, for the nodes of ``edges`` (a, b).
 
     Alternating large and small stars: each round every node hangs its larger neighbours, then its
-    smaller ones, on the least of them, until nothing changes; the number of rounds grows with the
+    smaller ones, on the least of them, until all are stars; the number of rounds grows with the
     logarithm of the longest path. No neighbourhood is gathered: only least neighbours are aggregated.
     """
     links = written(_ordered(edges.select("a", "b")), purpose)
-    state = _fingerprint(links)
-    while True:
+    while not _settled(links):
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = _ordered(large)
+        large = both.join(least, "a").filter("b > a").select(F.least("b", "m").alias("a"), F.greatest("b", "m").alias("b"))
         least = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(least, "b").select("m", "a", "b")
         hung = small.select(F.col("m").alias("a"), F.col("b")).unionByName(small.select(F.col("m").alias("a"), F.col("a").alias("b")))
         links = written(_ordered(hung), purpose)
-        now = _fingerprint(links)
-        if now == state:
-            break
-        state = now
     roots = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))
     tops = links.select(F.col("a").alias("node")).distinct().withColumn("root", F.col("node"))
     return roots.unionByName(tops)
@@ -40,5 +34,9 @@ def _ordered(edges: DataFrame) -> DataFrame:
     return edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _settled(links: DataFrame) -> bool:
+    """Whether every node hangs on one other at most, and nothing hangs on a node that hangs."""
+    seen = links.select(F.col("b").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds"))
+    seen = seen.unionByName(links.select(F.col("a").alias("node"), F.lit(0).alias("hangs"), F.lit(1).alias("holds")))
+    odd = seen.groupBy("node").agg(F.sum("hangs").alias("n"), F.max("holds").alias("held")).filter("n > 1 or n = 1 and held = 1")
+    return odd.isEmpty()
