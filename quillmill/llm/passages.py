@@ -12,7 +12,7 @@ digit, most significant first, and whatever is alone after a digit leaves:
    windows must.
 3. The last digit is the window itself, for the stretches that go on.
 
-Texts stay where they are: they lie in a bucketed table in blocks of about 2 MB. In each pass every block
+Texts stay where they are: they lie in a bucketed table in blocks of about 1 MB. In each pass every block
 sends each different digit once, with its smallest document, to the bucket of that digit's leading bits,
 and gets one answer per digit back, in the order of its questions. So no key is hot, however many
 documents share it. Digits are compared by hashes of 112 bits (48 of the anchor, 64 of the rest).
@@ -36,7 +36,7 @@ from quillmill.session import written
 LENGTH, GRAM = 50, 16
 SIDE = (LENGTH - GRAM) // 2
 #: Bytes of text in a block; a task holds one block, with some 150 bytes for each of its text.
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 1_000_000
 NO_DOC = np.iinfo(np.int64).max
 
 _TABLE = common._mix(21, 256)
