@@ -87,7 +87,7 @@ def phrase_matches(index: DataFrame, rare: DataFrame, small: bool) -> DataFrame:
     at = lambda off: F.get("around", start + off - F.col("lo"))  # noqa: E731  null outside the text
     hits = index.join(_sent(probe, small), "term").filter(start >= 0)
     hits = hits.filter(F.forall(F.slice("rare", 2, RAREST), lambda r: F.coalesce(at(r["off"]) == r["term"], F.lit(False))))
-    hits = hits.filter(F.slice("around", start - F.col("lo") + 1, F.size("window")) == F.col("window"))
+    hits = hits.filter(F.slice("around", F.greatest(start - F.col("lo") + 1, F.lit(1)), F.size("window")) == F.col("window"))
     return hits.select("doc_id", "row_key", start.alias("start"), "window")
 
 

@@ -23,7 +23,7 @@ WINDOW, STRIDE = 48, 24
 WORD_ROWS, CHAR_ROWS, WORD_SIZE, CHAR_SIZE, STATE = 1 << 16, 1 << 13, 8, 8, 8
 #: Labelled texts of each class used for fitting, and characters of each: the documented bound of the sample.
 PER_CLASS, SAMPLE_CHARS = 1500, 3000
-EPOCHS, RATE, SEED = 6, 0.01, 5
+EPOCHS, LEAST_STEPS, RATE, SEED = 6, 280, 0.01, 5
 TOXIC_FROM = 0.5
 #: Windows that go through the network together.
 TOGETHER = 4096
@@ -186,6 +186,7 @@ def fit(sample: list[tuple[str, int]], base_rate: float | None = None, epochs: i
     test, learn = [sample[i] for i in order[:held_back]], [sample[i] for i in order[held_back:]]
     w = new_weights()
     adam = Adam(w, RATE)
+    epochs = max(epochs, -(-LEAST_STEPS * 64 // len(learn)))  # small samples are gone through more often
     for epoch in range(epochs):
         adam.rate = RATE * (1 - epoch / epochs) + 1e-3
         mixed = rng.permutation(len(learn))
