@@ -14,10 +14,11 @@ sys.path.insert(0, str(ROOT / "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
 import check_queries  # noqa: E402
+from quillmill.plans import catalog, oracle  # noqa: E402
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables here")
 
-QUERIES = entry.queries()
+QUERIES, SQL = dict(catalog.REGISTRY), dict(oracle.SQL)
 # covered by tests/test_streaming.py; each takes seconds for its many small writes
 SLOW = {"stream_ingest_children", "stream_ingest_dashboard", "topic_to_papers"}
 
@@ -31,8 +32,9 @@ def duck():
 
 
 def test_every_sql_text_belongs_to_a_query():
-    assert set(entry.oracle_sql()) <= set(QUERIES)
-    assert set(QUERIES) - set(entry.oracle_sql()) == {"ivf_search", "ivf_recall"}
+    assert set(SQL) <= set(QUERIES) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql())
+    assert set(QUERIES) - set(SQL) == {"ivf_search", "ivf_recall"}
 
 
 def test_entry(spark):
@@ -43,7 +45,7 @@ def test_entry(spark):
 def test_query_equals_its_sql(spark, duck, name):
     df = QUERIES[name](spark, FOLDER)
     mine = check_queries.rows_of(df.columns, [tuple(r) for r in df.collect()])
-    sql = entry.oracle_sql().get(name)
+    sql = SQL.get(name)
     if sql is None:
         assert mine
         return
