@@ -45,6 +45,19 @@ _BACK = pow(_STEP, -1, 1 << 64)
 _U = np.uint64
 
 
+_HELD: list[np.ndarray] = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the step and of its inverse; a process keeps the longest so far."""
+    if len(_HELD[0]) < n:
+        for k, base in enumerate((_STEP, _BACK)):
+            grown = np.full(n, _U(base))
+            grown[0] = 1
+            _HELD[k] = np.multiply.accumulate(grown)
+    return _HELD[0][:n], _HELD[1][:n]
+
+
 class Windows:
     """Texts laid end to end, their stretches of windows with one anchor, and hashes of any piece.
 
@@ -56,36 +69,39 @@ class Windows:
         self.data = np.frombuffer(b"".join(bodies), dtype=np.uint8)
         self.ends = np.cumsum([len(b) for b in bodies]).astype(np.int64)
         n = len(self.data)
-        powers = np.full(n + 1, _U(_STEP))
-        powers[0] = 1
-        np.multiply.accumulate(powers, out=powers)
+        powers, self.back = _powers(n + 1)
         self.sums = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(_TABLE[self.data] * powers[:n], out=self.sums[1:])
-        powers[1:] = _U(_BACK)
-        self.back = np.multiply.accumulate(powers, out=powers)
         empty = np.zeros(0, dtype=np.int64)
         self.first = self.last = self.anchor = self.text = empty
         self.h = self.g = self.left = self.right = empty.astype(np.uint64)
-        sizes = np.diff(np.concatenate([[0], self.ends]))
-        valid = np.maximum(sizes - LENGTH + 1, 0)
-        if not valid.sum():
+        if n < LENGTH:
             return
-        begin = self.ends - sizes
-        starts = np.repeat(begin - (np.cumsum(valid) - valid), valid) + np.arange(int(valid.sum()))
-        grams = common._scramble((self.sums[GRAM:] - self.sums[:-GRAM]) * self.back[: n - GRAM + 1] + _U(GRAM) * _U(_BACK))
-        key = (grams & _U(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
+        # the last window starts of a text would run into the next one
+        valid = np.zeros(n - LENGTH + 3, dtype=bool)
+        for begin, end in zip(np.concatenate([[0], self.ends[:-1]]).tolist(), self.ends.tolist(), strict=True):
+            if end - begin >= LENGTH:
+                valid[begin + 1 : end - LENGTH + 2] = True
+        key = (self.sums[GRAM:] - self.sums[:-GRAM]) * self.back[: n - GRAM + 1]
+        key &= _U(0xFFFFFFFF00000000)
+        key |= np.arange(len(key), dtype=np.uint64)
         width, reach = LENGTH - GRAM + 1, 1
         while 2 * reach <= width:
             key = np.minimum(key[:-reach], key[reach:])
             reach *= 2
         if reach < width:
             key = np.minimum(key[: -(width - reach)], key[width - reach :])
-        place = (key[starts] & _U(0xFFFFFFFF)).astype(np.int64)
-        new = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-        self.first, self.anchor = starts[new], place[new]
-        self.last = np.concatenate([starts[new[1:] - 1], starts[-1:]])
+        place = key.astype(np.uint32)  # the least gram of each window, the leftmost of equals
+        other = np.ones(len(place) + 1, dtype=bool)
+        np.not_equal(place[1:], place[:-1], out=other[1:-1])
+        own = valid[1:-1]
+        self.first = np.flatnonzero(own & (other[:-1] | ~valid[:-2]))
+        self.last = np.flatnonzero(own & (other[1:] | ~valid[2:]))
+        if not len(self.first):
+            return
+        self.anchor = place[self.first].astype(np.int64)
+        self.h = self.hash(self.anchor, GRAM) >> _U(16)
         self.text = np.searchsorted(self.ends, self.first, side="right")
-        self.h = grams[self.anchor] >> _U(16)
         self.g = self.hash(self.first, self.last + LENGTH - self.first)
         self.left = self._side(self.anchor - SIDE, self.anchor - self.first >= SIDE)
         self.right = self._side(self.anchor, self.last + LENGTH - self.anchor >= GRAM + SIDE)
@@ -194,11 +210,9 @@ class Block:
         self.spans.append((gone, gone + LENGTH))
 
     def results(self) -> dict[str, list]:
-        marks = np.zeros(len(self.w.data) + 1, dtype=np.int32)
-        for starts, ends in self.spans:
-            np.add.at(marks, starts, 1)
-            np.add.at(marks, ends, -1)
-        gone = np.cumsum(marks[:-1]) > 0
+        size = len(self.w.data) + 1
+        starts, ends = (np.concatenate([s[k] for s in self.spans]) for k in (0, 1))
+        gone = np.cumsum(np.bincount(starts, minlength=size) - np.bincount(ends, minlength=size))[:-1] > 0
         out = {"doc_id": self.ids, "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": []}
         for body, end in zip(self.bodies, self.w.ends.tolist(), strict=True):
             part = gone[end - len(body) : end]
