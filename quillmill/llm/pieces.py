@@ -242,7 +242,7 @@ def encode_segments(vocabulary: Vocabulary, different: list[str]) -> tuple[np.nd
 class Encoder:
     """Encodes texts and remembers the segments it has solved, up to ``most`` of them."""
 
-    def __init__(self, vocabulary: Vocabulary, most: int = 300_000):
+    def __init__(self, vocabulary: Vocabulary, most: int = 150_000):
         self.vocabulary, self.most = vocabulary, most
         self._forget()
 
@@ -448,30 +448,37 @@ def _giant(docs: DataFrame, sent, longest: int, size: int) -> DataFrame:
     return traced.groupBy(*key).agg(F.unhex(ids).alias("ids"), F.sum("score").alias("score"))
 
 
+def _parts(docs: DataFrame, chunk: int, sent, longest: int) -> tuple[DataFrame, DataFrame]:
+    """Texts of one chunk (doc_id, text, row_key), and the longer ones with their ids and scores."""
+    rows = common.texts(docs).withColumn("row_key", common.row_key())
+    long = F.length("text") >= chunk  # with the mark in front, longer than a chunk
+    giants = rows.filter(long)
+    found = _giant(giants, sent, longest, chunk)
+    met = giants.join(found, common.same_row(giants, found)).select(giants["doc_id"], giants["text"], giants["row_key"], "ids", "score")
+    return rows.filter(~long), met
+
+
+def _encode(encoder: Encoder, batch: pa.RecordBatch) -> tuple[list[bytes], list[float]]:
+    ids, scores = encoder.texts([normalised(t) for t in batch.column("text").to_pylist()])
+    return [i.astype("<i4").tobytes() for i in ids], scores
+
+
 def encoded(docs: DataFrame, vocabulary: Vocabulary | None = None, model_path: str = MODEL_PATH, chunk: int = CHUNK) -> DataFrame:
-    """doc_id, row_key, text, ``ids`` (little-endian 32-bit numbers) and ``score`` of every row.
+    """doc_id, text, row_key, ``ids`` (little-endian 32-bit numbers) and ``score`` of every row.
 
     A null or empty text has no pieces and a score of 0.
     """
     vocabulary = vocabulary or Vocabulary.read(model_path)
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)  # the model's pieces: of fixed size
-    rows = common.texts(docs).withColumn("row_key", common.row_key())
-    long = F.length("text") >= chunk  # with the mark in front, longer than a chunk
 
     def encode(batches):
         encoder = Encoder(sent.value)
         for batch in common.batches_of(batches):
-            ids, scores = encoder.texts([normalised(t) for t in batch.column("text").to_pylist()])
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([i.astype("<i4").tobytes() for i in ids], pa.binary()), pa.array(scores, pa.float64())],
-                names=[*batch.schema.names, "ids", "score"],
-            )
+            ids, scores = _encode(encoder, batch)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary()), pa.array(scores, pa.float64())], names=[*batch.schema.names, "ids", "score"])
 
-    short = rows.filter(~long).mapInArrow(encode, "doc_id bigint, text string, row_key bigint, ids binary, score double")
-    giants = rows.filter(long)
-    found = _giant(giants, sent, vocabulary.longest, chunk)
-    met = giants.join(found, common.same_row(giants, found)).select(giants["doc_id"], giants["text"], giants["row_key"], "ids", "score")
-    return short.unionByName(met)
+    short, giants = _parts(docs, chunk, sent, vocabulary.longest)
+    return short.mapInArrow(encode, "doc_id bigint, text string, row_key bigint, ids binary, score double").unionByName(giants)
 
 
 def piece_digests(docs: DataFrame, model_path: str = MODEL_PATH, chunk: int = CHUNK) -> DataFrame:
@@ -482,18 +489,25 @@ def piece_digests(docs: DataFrame, model_path: str = MODEL_PATH, chunk: int = CH
     vocabulary = Vocabulary.read(model_path)
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
-    def digest(batches):
+    def digest(batch: pa.RecordBatch, ids: list[bytes], scores) -> pa.RecordBatch:
+        texts = batch.column("text").to_pylist()
+        same = [decode(sent.value, np.frombuffer(i, dtype="<i4")) == t.encode() for i, t in zip(ids, texts, strict=True)]
+        return pa.RecordBatch.from_pydict(
+            {
+                "doc_id": batch.column("doc_id"), "n_pieces": pa.array([len(i) // 4 for i in ids], pa.int64()), "score": pa.array(scores, pa.float64()),
+                "ids_sha256": pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()), "round_trip": pa.array(same, pa.bool_()),
+            }
+        )
+
+    def encode_short(batches):
+        encoder = Encoder(sent.value)
+        for batch in common.batches_of(batches, size=2_000_000):
+            yield digest(batch, *_encode(encoder, batch))
+
+    def digest_giant(batches):
         for batch in batches:
-            ids = batch.column("ids").to_pylist()
-            texts = batch.column("text").to_pylist()
-            same = [decode(sent.value, np.frombuffer(i, dtype="<i4")) == t.encode() for i, t in zip(ids, texts, strict=True)]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": batch.column("doc_id"), "n_pieces": pa.array([len(i) // 4 for i in ids], pa.int64()), "score": batch.column("score"),
-                    "ids_sha256": [hashlib.sha256(i).hexdigest() for i in ids], "round_trip": same,
-                }
-            )
-
-    return encoded(docs, vocabulary, chunk=chunk).select("doc_id", "text", "ids", "score").mapInArrow(
-        digest, "doc_id bigint, n_pieces bigint, score double, ids_sha256 string, round_trip boolean"
-    )
+            yield digest(batch, batch.column("ids").to_pylist(), batch.column("score").to_pylist())
+
+    schema = "doc_id bigint, n_pieces bigint, score double, ids_sha256 string, round_trip boolean"
+    short, giants = _parts(docs, chunk, sent, vocabulary.longest)
+    return short.mapInArrow(encode_short, schema).unionByName(giants.mapInArrow(digest_giant, schema))
