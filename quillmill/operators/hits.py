@@ -17,7 +17,6 @@ from quillmill.operators.dedupe import merge_hits
 log = logging.getLogger(__name__)
 
 # Fixed values
-MAX_QUERY_VARIANTS = 12
 HIT_DEFAULTS = {"title": "", "doi": "", "url": "", "year": 0, "source": "unknown", "score": 0.0}
 
 
@@ -35,11 +34,13 @@ class Provider:
 def topic_to_queries(
     topics: DataFrame,
     variants: Callable[[Column], Sequence[Column]] = lambda topic: [topic],
-    max_variants: int = MAX_QUERY_VARIANTS,
+    max_variants: int | None = None,
 ) -> DataFrame:
-    """``topic`` rows to ``(query_idx, topic, query)``: distinct variants, in order, at most ``max_variants``."""
-    wanted = F.array_compact(F.array(*variants(F.col("topic"))))
-    return topics.select("topic", F.posexplode(F.slice(F.array_distinct(wanted), 1, max_variants))).select(
+    """``topic`` rows to ``(query_idx, topic, query)``: distinct variants, in order; all of them, or the
+    first ``max_variants`` if the caller sets a number."""
+    wanted = F.array_distinct(F.array_compact(F.array(*variants(F.col("topic")))))
+    wanted = wanted if max_variants is None else F.slice(wanted, 1, max_variants)
+    return topics.select("topic", F.posexplode(wanted)).select(
         F.col("pos").alias("query_idx"), "topic", F.col("col").alias("query")
     )
 

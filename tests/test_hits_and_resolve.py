@@ -14,12 +14,14 @@ def hit(spark, *values):
     return spark.createDataFrame(list(values), HIT)
 
 
-def test_topic_expansion_is_distinct_and_bounded(spark, rows):
+def test_topic_expansion_is_distinct_and_whole(spark, rows):
     topics = spark.createDataFrame([("Creatine",), ("",)], "topic string")
     assert rows(hits.topic_to_queries(topics)) == [(0, "", ""), (0, "Creatine", "Creatine")]
     many = lambda t: [F.concat(t, F.lit(str(i % 15))) for i in range(40)]
     got = hits.topic_to_queries(topics.limit(1), many).collect()
-    assert [r["query"] for r in got] == [f"Creatine{i}" for i in range(12)]
+    assert [r["query"] for r in got] == [f"Creatine{i}" for i in range(15)]
+    first = hits.topic_to_queries(topics.limit(1), many, max_variants=3).collect()
+    assert [r["query"] for r in first] == ["Creatine0", "Creatine1", "Creatine2"]
 
 
 def test_defaults_of_missing_and_null_fields(spark, rows):
