@@ -1,25 +1,29 @@
-"""SentencePiece encoding and decoding by a max-plus scan.
-
-The pieces of a model file and their scores are read as weights of a lattice: the encoding of a text is
-the path of pieces with the largest sum (ties: the longer last piece), characters without a piece are
-spelled in byte pieces at a penalty. This is the segmentation that SentencePiece makes in unigram mode.
-
-A giant text is cut into chunks anywhere. At a cut the state is how many characters of the next chunk the
-crossing piece has taken, so a chunk is a matrix of best sums from each state at its start to each state at
-its end. Matrices multiply in the max-plus sense, which is associative: blocks of chunks are multiplied
-apart, then the blocks of a text, and the states at all cuts follow. Each chunk is then traced back for
-itself. Inside a chunk no piece crosses a place where a mark of space follows another character, so the
-lattice falls apart into segments there, and equal segments are solved once, many side by side. Of paths with
-equal sums, a cut takes the one with the smaller state.
+"""SentencePiece encoding and decoding in the model file's own mode (BPE), and best sums by a max-plus scan.
+
+The ids are those of the file's mode: characters are merged pair by pair, the pair whose piece has the highest
+score first, the leftmost of equal ones; characters without a piece are spelled in byte pieces. No piece lies
+across two characters that stand side by side in no piece, so a text falls apart there (before every mark of
+space that follows another character, and at many places more) and equal parts are merged once. A chunk of a
+giant text merges the parts that begin in it; the part across a cut is handed over whole to the chunk it
+begins in, so chunks and short texts agree.
+
+``score`` is another figure: the largest sum of scores that any path of pieces over the text has (a character
+without a piece counts the lowest score and a penalty). A max-plus scan finds it, and its path is that of
+SentencePiece's unigram mode, not of BPE: scores of a BPE file are merge ranks and do not add up to its choice.
+At a cut of a giant text the state is how many characters of the next chunk the crossing piece has taken, so a
+chunk is a matrix of best sums from each state at its start to each state at its end. Matrices multiply in the
+max-plus sense, which is associative: blocks of chunks are multiplied apart, then the blocks of a text.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 from dataclasses import dataclass
 from functools import cached_property
-from itertools import islice
+from itertools import chain, islice
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -38,6 +42,8 @@ CHUNK, BLOCK = 1 << 16, 256
 UNKNOWN_PENALTY = -10.0
 _B = np.uint64(0x9E3779B97F4A7C15)
 _SEGMENT = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+#: Characters up to which pairs are looked through in place of kept in a heap.
+SHORT = 64
 NEVER = -np.inf
 
 
@@ -74,6 +80,27 @@ class Vocabulary:
         """Whether no piece has a mark of space behind another character."""
         return not any(re.search(f"[^{SPACE}]{SPACE}", p) for p, o in zip(self.pieces, self.ordinary, strict=True) if o)
 
+    @cached_property
+    def number(self) -> dict[str, int]:
+        """Id of every piece that merges can make."""
+        return {p: i for i, (p, o) in enumerate(zip(self.pieces, self.ordinary, strict=True)) if o}
+
+    @cached_property
+    def rank(self) -> dict[str, float]:
+        """Score of every piece that merges can make: the highest goes first."""
+        return {p: self.scores[i] for p, i in self.number.items()}
+
+    @cached_property
+    def pairs(self) -> set[str]:
+        """Characters that stand side by side in some piece."""
+        return {p[k : k + 2] for p in self.number for k in range(len(p) - 1)}
+
+    def next_cut(self, text: str, at: int) -> int:
+        """The first place from ``at`` on that no piece can lie across; the ends of the text are such places."""
+        while 0 < at < len(text) and text[at - 1 : at + 1] in self.pairs:
+            at += 1
+        return at
+
     @cached_property
     def weights(self) -> np.ndarray:
         """Scores by id; the last, for id -1, is that of no piece."""
@@ -123,6 +150,69 @@ def segments(text: str, vocabulary: Vocabulary) -> list[str]:
     return _SEGMENT.findall(text) if vocabulary.parts_at_spaces else ([text] if text else [])
 
 
+def _merged_short(rank: dict[str, float], parts: list[str]) -> list[str]:
+    """Pair by pair by looking through all pairs each time: the faster way for a word."""
+    get = rank.get
+    worth = [get(pair, NEVER) for pair in map(add, parts, parts[1:])]
+    while worth and (best := max(worth)) > NEVER:
+        i = worth.index(best)  # the leftmost of equal ones
+        parts[i] += parts.pop(i + 1)
+        del worth[i]
+        if i < len(worth):
+            worth[i] = get(parts[i] + parts[i + 1], NEVER)
+        if i:
+            worth[i - 1] = get(parts[i - 1] + parts[i], NEVER)
+    return parts
+
+
+def _merged_long(rank: dict[str, float], parts: list[str]) -> list[str]:
+    """The same by a heap of pairs, which takes n log n steps."""
+    n = len(parts)
+    before, after, heap = list(range(-1, n - 1)), list(range(1, n + 1)), []
+
+    def offer(i: int) -> None:
+        j = after[i]
+        if j < n and (worth := rank.get(parts[i] + parts[j])) is not None:
+            heapq.heappush(heap, (-worth, i, len(parts[i]) + len(parts[j])))
+
+    for i in range(n - 1):
+        offer(i)
+    while heap:
+        _, i, size = heapq.heappop(heap)
+        j = after[i]
+        if not parts[i] or j >= n or len(parts[i]) + len(parts[j]) != size:
+            continue  # one of the two has been merged otherwise
+        parts[i], parts[j] = parts[i] + parts[j], ""
+        after[i] = after[j]
+        if after[j] < n:
+            before[after[j]] = i
+        offer(i)
+        if before[i] >= 0:
+            offer(before[i])
+    return list(filter(None, parts))
+
+
+def _merge(vocabulary: Vocabulary, text: str) -> list[int]:
+    parts = (_merged_short if len(text) <= SHORT else _merged_long)(vocabulary.rank, list(text))
+    number = vocabulary.number
+    try:
+        return [number[part] for part in parts]
+    except KeyError:
+        return [i for part in parts for i in ([number[part]] if part in number else [vocabulary.byte_ids[b] for b in part.encode()])]
+
+
+def merge(vocabulary: Vocabulary, text: str) -> list[int]:
+    """Ids of an (already normalised) text in BPE mode, its parts one after the other."""
+    if len(text) <= SHORT:
+        return _merge(vocabulary, text)
+    out, begin = [], 0
+    while begin < len(text):
+        end = vocabulary.next_cut(text, begin + 1)
+        out.extend(_merge(vocabulary, text[begin:end]))
+        begin = end
+    return out
+
+
 @dataclass
 class Solved:
     """Best sums [rows, positions] from each row's entry, the length of the last piece there, and its id."""
@@ -183,6 +273,29 @@ def solve(vocabulary: Vocabulary, codes: np.ndarray, sizes: np.ndarray, entries:
     return Solved(best, back, last)
 
 
+def _best_sums(vocabulary: Vocabulary, codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Best sum of each row, as ``solve`` has it, without the path; characters lie side by side for all rows."""
+    codes = np.ascontiguousarray(codes.T)
+    width, rows = codes.shape
+    inside = np.arange(width)[:, None] < sizes[None, :]
+    best = np.full((width + 1, rows), NEVER)
+    best[0] = 0.0
+    arcs, h = [], np.zeros((width, rows), dtype=np.uint64)
+    for size in range(1, min(vocabulary.longest, width) + 1):
+        h = h[: width - size + 1] * _B + (codes[size - 1 :] + np.uint64(1))
+        ids = vocabulary.find(common._scramble(h))
+        worth = vocabulary.weights[ids]
+        if size == 1:
+            worth[ids < 0] = vocabulary.unknown_score
+        worth[~inside[size - 1 :]] = NEVER
+        arcs.append(worth if size == 1 or (worth > NEVER).any() else None)
+    for end in range(1, width + 1):
+        for size, worth in enumerate(arcs[:end], 1):
+            if worth is not None:
+                np.maximum(best[end], best[end - size] + worth[end - size], out=best[end])
+    return best[sizes, np.arange(rows)]
+
+
 def _rows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     codes = np.zeros((len(texts), int(sizes.max())), dtype=np.uint64)
@@ -214,11 +327,11 @@ def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarr
 
 
 def encode_segments(vocabulary: Vocabulary, different: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids of the segments laid end to end, how many each has, and each one's best sum. Segments of about
-    the same length go together."""
+    """Ids of the segments laid end to end, how many each has, and each one's best sum. The sums of segments of
+    about the same length are found together."""
     lengths = np.array([len(d) for d in different], dtype=np.int64)
     order = np.argsort(lengths, kind="stable")
-    found, counts, sums = [np.zeros(0, dtype=np.int32)], np.zeros(len(different), dtype=np.int64), np.zeros(len(different))
+    sums = np.zeros(len(different))
     ordered = lengths[order]
     i = 0
     while i < len(order):
@@ -227,22 +340,16 @@ def encode_segments(vocabulary: Vocabulary, different: list[str]) -> tuple[np.nd
         j = min(i + most, int(np.searchsorted(ordered, width, side="right")))
         part = order[i:j]
         codes, sizes = _rows([different[k] for k in part.tolist()])
-        solved = solve(vocabulary, codes, sizes, np.zeros(len(part), dtype=np.int64))
-        sums[part] = solved.best[np.arange(len(part)), sizes]
-        ids, n = spell(vocabulary, *solved.trace(sizes))
-        found.append(ids)
-        counts[part] = n
+        sums[part] = _best_sums(vocabulary, codes, sizes)
         i = j
-    in_order = counts[order]
-    begins = np.empty(len(order), dtype=np.int64)
-    begins[order] = np.cumsum(in_order) - in_order
-    return _gather(np.concatenate(found), begins, counts), counts, sums
+    ids = [merge(vocabulary, d) for d in different]
+    return np.array(list(chain.from_iterable(ids)), dtype=np.int32), np.array([len(x) for x in ids], dtype=np.int64), sums
 
 
 class Encoder:
     """Encodes texts and remembers the segments it has solved, up to ``most`` of them."""
 
-    def __init__(self, vocabulary: Vocabulary, most: int = 150_000):
+    def __init__(self, vocabulary: Vocabulary, most: int = 400_000):
         self.vocabulary, self.most = vocabulary, most
         self._forget()
 
@@ -251,7 +358,7 @@ class Encoder:
         self.flat, self.sizes, self.sums = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64), np.zeros(0)
 
     def texts(self, texts: list[str]) -> tuple[list[np.ndarray], list[float]]:
-        """Ids and sum of each (already normalised) text."""
+        """Ids and best sum of each (already normalised) text."""
         if len(self.number) > self.most:
             self._forget()
         number, known = self.number, len(self.number)
@@ -309,8 +416,13 @@ def _solve_one(vocabulary: Vocabulary, text: str, entries: list[int]) -> Solved:
 def transfers(encoder: Encoder, chunks: list[Chunk]) -> list[np.ndarray]:
     """The chunks as matrices of best sums [state at the start, state at the end]; a state counts characters
     of the chunk behind the cut that the piece across it has taken."""
-    inner = encoder.texts(["".join(c.inside) for c in chunks])[1]
-    return [_transfer(encoder.vocabulary, c, x) for c, x in zip(chunks, inner, strict=True)]
+    return _weighed(encoder, chunks)[0]
+
+
+def _weighed(encoder: Encoder, chunks: list[Chunk]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The matrices of the chunks, and the ids of the segments inside them."""
+    ids, inner = encoder.texts(["".join(c.inside) for c in chunks])
+    return [_transfer(encoder.vocabulary, c, x) for c, x in zip(chunks, inner, strict=True)], ids
 
 
 def _transfer(vocabulary: Vocabulary, chunk: Chunk, inner: float) -> np.ndarray:
@@ -338,14 +450,14 @@ def _path(vocabulary: Vocabulary, text: str, entry: int, end: int) -> list[int]:
 
 
 def trace_chunks(encoder: Encoder, chunks: list[Chunk], entries: list[int], leaves: list[int]) -> list[list[int]]:
-    """For each chunk the ids of the pieces that begin in it, on the best path between its two states."""
-    inside = encoder.texts(["".join(c.inside) for c in chunks])[0]
+    """For each chunk the ids of the pieces that begin in it, on the path of the best sum between its two states."""
     v, out = encoder.vocabulary, []
-    for c, middle, i, j in zip(chunks, inside, entries, leaves, strict=True):
+    for c, i, j in zip(chunks, entries, leaves, strict=True):
         if c.last is None:
             out.append(_path(v, c.first, i, c.size + j) if i < c.size + j else [])
         else:
-            out.append(_path(v, c.first, i, len(c.first)) + middle.tolist() + _path(v, c.last, 0, c.last_size + j))
+            middle = [k for part in c.inside for k in _path(v, part, 0, len(part))]
+            out.append(_path(v, c.first, i, len(c.first)) + middle + _path(v, c.last, 0, c.last_size + j))
     return out
 
 
@@ -371,6 +483,27 @@ def _matrix(data: bytes) -> np.ndarray:
     return flat.reshape(int(len(flat) ** 0.5), -1)
 
 
+def chunk_ids(vocabulary: Vocabulary, body: str, inside: np.ndarray, head: int, tail: str) -> np.ndarray:
+    """Ids of what begins in a chunk behind its first ``head`` characters, which belong to the chunk before;
+    ``tail`` is the rest of its last part, and ``inside`` are the ids of its segments but the first and last."""
+    parts = segments(body, vocabulary)
+    if len(parts) == 1:
+        return np.array(merge(vocabulary, body[head:] + tail), dtype=np.int32) if head < len(body) else np.zeros(0, dtype=np.int32)
+    first, last = merge(vocabulary, parts[0][head:]), merge(vocabulary, parts[-1] + tail)
+    return np.concatenate([np.array(first, dtype=np.int32), inside, np.array(last, dtype=np.int32)])
+
+
+def cuts_of(vocabulary: Vocabulary, text: str, size: int):
+    """Start of each chunk, how many of its characters belong to a part that began before, and what its last
+    part has behind the chunk."""
+    head = 0
+    for start in range(0, len(text), size):
+        end = min(start + size, len(text))
+        after = vocabulary.next_cut(text, end) if head < end else head
+        yield start, min(head, end) - start, text[end:after] if head < end else ""
+        head = after
+
+
 def _giant(docs: DataFrame, sent, longest: int, size: int) -> DataFrame:
     """doc_id, row_key, ids (little-endian 32-bit numbers) and score of texts longer than a chunk."""
     key = ["doc_id", "row_key"]
@@ -379,73 +512,51 @@ def _giant(docs: DataFrame, sent, longest: int, size: int) -> DataFrame:
         for batch in batches:
             for doc_id, row_key, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row_key", "text")), strict=True):
                 text = normalised(text)
-                starts = range(0, len(text), size)
-                for n in range(0, len(starts), 64):
-                    part = starts[n : n + 64]
+                cuts = cuts_of(sent.value, text, size)
+                while part := list(islice(cuts, 64)):
+                    starts, heads, tails = zip(*part, strict=True)
                     yield pa.RecordBatch.from_pydict(
                         {
                             "doc_id": pa.array([doc_id] * len(part), pa.int64()), "row_key": pa.array([row_key] * len(part), pa.int64()),
-                            "chunk": pa.array([s // size for s in part], pa.int64()), "final": [s + size >= len(text) for s in part],
-                            "body": [text[s : s + size] for s in part], "ahead": [text[s + size : s + size + longest - 1] for s in part],
+                            "chunk": pa.array([s // size for s in starts], pa.int64()), "head": pa.array(heads, pa.int64()), "tail": pa.array(tails, pa.string()),
+                            "body": [text[s : s + size] for s in starts], "ahead": [text[s + size : s + size + longest - 1] for s in starts],
                         }
                     )
 
-    def chunks_of(batch):
-        return [Chunk.of(sent.value, b, a) for b, a in zip(batch.column("body").to_pylist(), batch.column("ahead").to_pylist(), strict=True)]
-
     def weigh(batches):
         encoder = Encoder(sent.value)
         for batch in common.batches_of(batches, "body"):
-            found = [m.tobytes() for m in transfers(encoder, chunks_of(batch))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], names=[*batch.schema.names, "matrix"])
+            bodies, aheads, heads, tails = (batch.column(c).to_pylist() for c in ("body", "ahead", "head", "tail"))
+            matrices, inside = _weighed(encoder, [Chunk.of(sent.value, b, a) for b, a in zip(bodies, aheads, strict=True)])
+            ids = [chunk_ids(sent.value, *x).astype("<i4").tobytes() for x in zip(bodies, inside, heads, tails, strict=True)]
+            held = [batch.column(c) for c in (*key, "chunk")]
+            yield pa.RecordBatch.from_arrays(
+                [*held, pa.array(ids, pa.binary()), pa.array([m.tobytes() for m in matrices], pa.binary())], names=[*key, "chunk", "ids", "matrix"]
+            )
 
-    cuts = docs.distinct().mapInArrow(cut, "doc_id bigint, row_key bigint, chunk bigint, final boolean, body string, ahead string")
-    weighed = cuts.repartition("row_key", "chunk").mapInArrow(
-        weigh, "doc_id bigint, row_key bigint, chunk bigint, final boolean, body string, ahead string, matrix binary"
-    )
+    cuts = docs.distinct().mapInArrow(cut, "doc_id bigint, row_key bigint, chunk bigint, head bigint, tail string, body string, ahead string")
+    weighed = cuts.repartition("row_key", "chunk").mapInArrow(weigh, "doc_id bigint, row_key bigint, chunk bigint, ids binary, matrix binary")
     chunks = written(weighed.withColumn("block", F.expr(f"chunk div {BLOCK}")), "piece-chunks")
 
-    def multiply(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("chunk")
-        product = None
-        for m in map(_matrix, rows["matrix"]):
-            product = m if product is None else times(product, m)
-        return rows.head(1)[[*key, "block"]].assign(matrix=[product.tobytes()])
+    def multiply(order: str):
+        def product_of(rows: pd.DataFrame) -> pd.DataFrame:
+            rows = rows.sort_values(order)
+            product = None
+            for m in map(_matrix, rows["matrix"]):
+                product = m if product is None else times(product, m)
+            if order == "block":
+                return rows.head(1)[key].assign(score=float(product[0, 0]))
+            return rows.head(1)[[*key, "block"]].assign(matrix=[product.tobytes()])
 
-    def join_blocks(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("block")
-        states = states_between([_matrix(m) for m in rows["matrix"]], 0, 0)
-        return rows[[*key, "block"]].assign(entry=states[:-1], leave=states[1:])
-
-    def join_chunks(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("chunk")
-        states = states_between([_matrix(m) for m in rows["matrix"]], int(rows["entry"].iloc[0]), int(rows["leave"].iloc[0]))
-        return rows[[*key, "chunk"]].assign(entry=states[:-1], leave=states[1:])
+        return product_of
 
     light = chunks.select(*key, "block", "chunk", "matrix")
-    blocks = light.groupBy(*key, "block").applyInPandas(multiply, "doc_id bigint, row_key bigint, block bigint, matrix binary")
-    ends = blocks.groupBy(*key).applyInPandas(join_blocks, "doc_id bigint, row_key bigint, block bigint, entry int, leave int")
-    met = light.join(ends.withColumnsRenamed({"doc_id": "d", "row_key": "r", "block": "b"}), (F.col("row_key") == F.col("r")) & F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("block") == F.col("b")))
-    cut_states = met.select(*key, "block", "chunk", "matrix", "entry", "leave").groupBy(*key, "block").applyInPandas(
-        join_chunks, "doc_id bigint, row_key bigint, chunk bigint, entry int, leave int"
-    )
-    names = cut_states.withColumnsRenamed({"doc_id": "d", "row_key": "r", "chunk": "c"})
-    known = chunks.join(names, (F.col("row_key") == F.col("r")) & F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("chunk") == F.col("c")))
-
-    def trace(batches):
-        encoder = Encoder(sent.value)
-        for batch in common.batches_of(batches, "body"):
-            entries, leaves = batch.column("entry").to_pylist(), batch.column("leave").to_pylist()
-            ids = [np.array(i, dtype="<i4").tobytes() for i in trace_chunks(encoder, chunks_of(batch), entries, leaves)]
-            sums = [float(_matrix(m)[i, j]) for m, i, j in zip(batch.column("matrix").to_pylist(), entries, leaves, strict=True)]
-            held = [batch.column(c) for c in (*key, "chunk")]
-            yield pa.RecordBatch.from_arrays([*held, pa.array(ids, pa.binary()), pa.array(sums, pa.float64())], names=[*key, "chunk", "ids", "score"])
-
-    traced = known.select(*key, "chunk", "body", "ahead", "matrix", "entry", "leave").mapInArrow(
-        trace, "doc_id bigint, row_key bigint, chunk bigint, ids binary, score double"
-    )
+    blocks = light.groupBy(*key, "block").applyInPandas(multiply("chunk"), "doc_id bigint, row_key bigint, block bigint, matrix binary")
+    sums = blocks.groupBy(*key).applyInPandas(multiply("block"), "doc_id bigint, row_key bigint, score double")
     ids = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "ids"))), lambda c: F.hex(c["ids"])), "")
-    return traced.groupBy(*key).agg(F.unhex(ids).alias("ids"), F.sum("score").alias("score"))
+    joined = chunks.groupBy(*key).agg(F.unhex(ids).alias("ids"))
+    names = sums.withColumnsRenamed({"doc_id": "d", "row_key": "r"})
+    return joined.join(names, (F.col("row_key") == F.col("r")) & F.col("doc_id").eqNullSafe(F.col("d"))).select(*key, "ids", "score")
 
 
 def _parts(docs: DataFrame, chunk: int, sent, longest: int) -> tuple[DataFrame, DataFrame]:

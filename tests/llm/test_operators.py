@@ -419,3 +419,22 @@ def test_pieces(spark, vocabulary):
     assert [g[2] for g in got] == [e[2] for e in sorted(((i, len(p), s) for (i, _), p, s in zip(rows, ids, sums)), key=repr)]
     assert [g[0] for g in got if not g[3]] == [101]
     assert pieces.piece_digests(table(spark, rows).limit(0)).count() == 0
+
+
+LONG = ["the cat sat, with a hat and  the rest  " * 40, "withandtheother" * 90, "aGVsbG8gd29ybGQ/" * 70, "日本語のテキスト" * 60, " " * 333 + "x", "x" * 700, "été\t\tœuf\n" * 80]
+
+
+def test_ids_are_the_library_s(spark, vocabulary):
+    """The ids of the file's own mode, for short texts, for whole texts with long ones, and for chunks of any size."""
+    import hashlib
+
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL_PATH)
+    texts = TEXTS + LONG + ["a\x00b", "and with", "𝔘nicode 🎉🎉"]
+    expected = [library.encode(t) for t in texts]
+    assert [i.tolist() for i in pieces.encode_texts(vocabulary, [pieces.normalised(t) for t in texts])[0]] == expected
+    digests = {t: hashlib.sha256(np.array(e, dtype="<i4").tobytes()).hexdigest() for t, e in zip(texts, expected)}
+    for size in (7, 64, 100_000):
+        got = pieces.piece_digests(table(spark, list(enumerate(texts))), chunk=size).collect()
+        assert {(r["doc_id"], r["n_pieces"], r["ids_sha256"]) for r in got} == {(k, len(e), digests[t]) for k, (t, e) in enumerate(zip(texts, expected))}
