@@ -776,7 +776,7 @@ def retry_schedule(i: Inputs) -> DataFrame:
 @query
 def stream_unique_urls(i: Inputs) -> DataFrame:
     """Event payloads as URLs: a stream with many repeats."""
-    events = jobs.landing_stream(i.spark, i.folder, _ddl(i, "events"), "events.parquet")
+    events = _table_stream(i, "events")
     urls = events.select(F.concat_ws("/", "event_type", F.get_json_object("props", "$.k")).alias("pdf_url"))
     output = work_dir(i.spark, "urls")
     jobs.append_unique(urls, output, work_dir(i.spark, "progress")).awaitTermination()
@@ -785,7 +785,7 @@ def stream_unique_urls(i: Inputs) -> DataFrame:
 
 @query
 def stream_status(i: Inputs) -> DataFrame:
-    events = jobs.landing_stream(i.spark, i.folder, _ddl(i, "events"), "events.parquet")
+    events = _table_stream(i, "events")
     reports = events.select(
         F.col("user_id").alias("ingest_id"), F.col("event_id").alias("ord"), F.col("event_type").alias("status"),
         F.when(F.col("event_type") == "error", F.concat(F.lit("code "), F.get_json_object("props", "$.k"))).alias("error"),
@@ -796,7 +796,7 @@ def stream_status(i: Inputs) -> DataFrame:
 
 
 def _page_landing(i: Inputs) -> DataFrame:
-    pages = jobs.landing_stream(i.spark, i.folder, _ddl(i, "pages"), "pages.parquet")
+    pages = _table_stream(i, "pages")
     return pages.select(
         F.concat(F.lit("10.1000/"), F.col("page_id").cast("string")).alias("doi"),
         F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1).alias("title"),
@@ -841,6 +841,14 @@ def stream_store_files(i: Inputs) -> DataFrame:
     return i.spark.read.parquet(output).select("sha256", "file_path", "size")
 
 
+def _table_stream(i: Inputs, name: str) -> DataFrame:
+    """A table as a stream, whether it is one file or a folder of part files.
+
+    The bracket makes the path a pattern: Spark takes a plain path for a folder, and a file filter sees file names only.
+    """
+    return jobs.landing_stream(i.spark, f"{i.folder.rstrip('/')}/{name}.parque[t]", _ddl(i, name))
+
+
 def _ddl(i: Inputs, name: str) -> str:
     return ", ".join(f"{column} {kind}" for column, kind in i.table(name).dtypes)
 

@@ -126,3 +126,31 @@ def test_topic_to_stored_papers(spark, tmp_path):
         "10.3/pmc": ("pmc", "https://www.ncbi.nlm.nih.gov/pmc/articles/PMC1/pdf"),
     }
     assert {(r["stage"], r["reason"]) for r in f.stage_log(spark).filter("not ok").collect()} == {("download", "HTTP 403")}
+
+
+def test_stream_queries_read_tables_of_part_files_and_single_files(spark, tmp_path, rows):
+    from pathlib import Path
+
+    from quillmill.plans import catalog
+    from quillmill.plans.inputs import Inputs
+
+    events = spark.range(40).selectExpr(
+        "id AS event_id", "id % 7 AS user_id", "timestamp'2024-01-01 00:00:00' AS ts",
+        "if(id % 4 = 0, 'error', 'view') AS event_type", "concat('{\"k\": ', id % 10, '}') AS props",
+    )
+    pages = spark.range(6).selectExpr(
+        "id AS page_id", "concat('http://h/', id) AS url", "concat('<html><title>T', id, '</title>', repeat('word ', 60), id, '</html>') AS html"
+    )
+    found = {}
+    for form, parts in (("one", 1), ("many", 3)):
+        for name, df in (("events", events), ("pages", pages)):
+            df.repartition(parts).write.parquet(str(tmp_path / form / f"{name}.parquet"))
+    for name in ("events", "pages"):
+        (part,) = Path(tmp_path / "one" / f"{name}.parquet").glob("part-*.parquet")
+        (tmp_path / "file").mkdir(exist_ok=True)
+        (tmp_path / "file" / f"{name}.parquet").write_bytes(part.read_bytes())
+    for form in ("many", "file"):
+        i = Inputs(spark, str(tmp_path / form))
+        found[form] = [rows(q(i)) for q in (catalog.stream_unique_urls, catalog.stream_status, catalog.stream_ingest_papers)]
+    assert [len(r) for r in found["many"]] == [15, 7, 6]
+    assert found["file"] == found["many"]
