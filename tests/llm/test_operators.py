@@ -242,6 +242,34 @@ def test_lm_probabilities_sum_to_one():
     assert np.allclose((10.0 ** lm.log_probabilities(weights)).sum(axis=2), 1, atol=1e-4)
 
 
+def test_lm_network_learns_from_every_training_token(spark):
+    import pyarrow as pa
+
+    # more than the sample's characters of a text, and more than 400 000 tokens
+    rows = [(i, f"a b {'c' * (i % 9)} " * 30_000 + "z z z") for i in range(12)] + [(20, ""), (21, "a")]
+    docs = table(spark, rows)
+    frequent = lm.fit(docs)[0].frequent
+    named = dict(zip(frequent.hashes.tolist(), frequent.own.tolist()))
+    expected = Counter()
+    for i, t in rows:
+        if zlib.crc32(str(i).encode()) % 5 != lm.HELD_OUT_FOLD:
+            tokens = lm.Tokens.of(pa.array([t]))
+            own = [named.get(h, -1) for h in tokens.hashes.tolist()]
+            text = [lm.END, lm.END, *(o if o >= 0 else lm.OWN + 1 + k for o, k in zip(own, tokens.kind.tolist())), lm.END]
+            expected.update(zip(text[1:], text, text[2:]))
+    got = lm.corpus_triples(docs, frequent)
+    assert got.sum() == lm.lm_scores(docs).first()["train_tokens"] > 400_000
+    assert {tuple(map(int, np.unravel_index(k, (lm.CLASSES,) * 3))): int(got[k]) for k in np.flatnonzero(got)} == expected
+
+
+def test_lm_training_reaches_the_corpus_shares():
+    triples = np.zeros((lm.CLASSES,) * 3, dtype=np.int64)
+    triples[3, 4, [5, 6]], triples[4, 3, [5, 6]] = [900, 100], [100, 900]
+    shares = triples.sum(axis=(0, 1))
+    learnt = 10 ** lm.log_probabilities(lm.train_counts(triples.ravel(), shares / shares.sum()))
+    assert abs(learnt[3, 4, 5] - 0.9) < 0.05 and abs(learnt[4, 3, 5] - 0.1) < 0.05
+
+
 def test_lm_of_no_rows(spark):
     assert lm.lm_scores(table(spark, ODD).limit(0)).count() == 0
     assert all(r["n_known"] == 0 for r in lm.lm_scores(table(spark, [(i, "x") for i in range(40) if zlib.crc32(str(i).encode()) % 5 == 1])).collect())
