@@ -1,7 +1,7 @@
-"""Suffix-array dedup of passages, by a depth-limited radix sort over the corpus.
+"""Dedup of passages by hash buckets over the corpus, in place of a suffix array.
 
-Only the first ``LENGTH`` bytes of a suffix count, so a suffix is a window. Windows are ordered digit by
-digit, most significant first, and whatever is alone after a digit leaves:
+Only the first ``LENGTH`` bytes of a suffix count, so a suffix is a window. Windows are not ordered: they
+are bucketed by hashes, called digits here, and whatever is alone after a digit leaves:
 
 1. The first digit is an anchor: of the 16-byte strings in a window, the one with the least hash. Windows
    that are equal have equal anchors, so this bucket sort keeps equal windows together, and consecutive
