@@ -2,9 +2,9 @@
 
 The index holds postings (term, document, position) of the terms that test phrases are looked up by, with
 the words around each position, which are the positions of all other terms that matter for that posting.
-For each phrase the corpus counts name its rarest terms. The postings of the rarest one, moved by its
-offset in the phrase, give the places where the phrase could start; the next rarest terms are
-intersected at their own offsets, and what is left is compared word by word. Proximity matches ask for
+For each phrase the corpus counts name its rarest terms. Only the rarest one has postings; moved by its
+offset in the phrase they give the places where the phrase could start. The next rarest terms are looked
+up in the words around, and what is left is compared word by word. Proximity matches ask for
 an item's rarest terms within a span of words, in any order.
 """
 
@@ -54,10 +54,10 @@ def term_counts(docs: DataFrame, terms: DataFrame, small: bool) -> DataFrame:
     return tokens.join(_sent(terms, small), "term").groupBy("term").agg(F.count("*").alias("n"))
 
 
-def rarest_terms(phrases: DataFrame, counts: DataFrame, how_many: int = RAREST) -> DataFrame:
+def rarest_terms(phrases: DataFrame, counts: DataFrame, how_many: int = RAREST, known: bool = False) -> DataFrame:
     """For each ``window``: ``rare``, its rarest (n, off, term) in order, ties by offset. Windows with a term
-    that no document has cannot occur and go."""
-    spread = phrases.select("window", F.posexplode("window").alias("off", "term")).join(counts, "term", "left")
+    that no document has cannot occur and go; with ``known``, terms that some document has are ranked alone."""
+    spread = phrases.select("window", F.posexplode("window").alias("off", "term")).join(counts, "term", "inner" if known else "left")
     rare = spread.groupBy("window").agg(
         F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "off", "term"))).alias("rare")
     )
@@ -94,13 +94,13 @@ def phrase_matches(index: DataFrame, rare: DataFrame, small: bool) -> DataFrame:
 def proximity_matches(docs: DataFrame, benchmark: DataFrame, span: int = 20, terms: int = RAREST) -> DataFrame:
     """doc_id, item_id, n_places: places of an item's rarest term with its other rare terms within ``span`` words.
 
-    An item's ``terms`` rarest different words must all be in reach, in any order; an item of fewer words
-    asks for those it has.
+    An item's ``terms`` rarest different words of those that the corpus has must all be in reach, in any
+    order; an item of fewer such words asks for those it has.
     """
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.array_distinct(words(F.col("text"))).alias("window"))
     items = items.filter(F.size("window") > 0)
     small = items.count() <= BROADCAST_WINDOWS
-    rare = written(rarest_terms(items.select("window").distinct(), term_counts(docs, _terms(items), small), terms), "rare-terms")
+    rare = written(rarest_terms(items.select("window").distinct(), term_counts(docs, _terms(items), small), terms, known=True), "rare-terms")
     index = postings(docs, rare.select(F.col("rare")[0]["term"].alias("term")).distinct(), span - 1, small)
     probe = rare.select(F.col("rare")[0]["term"].alias("term"), F.transform("rare", lambda r: r["term"]).alias("all"), "window")
     met = index.join(_sent(probe, small), "term").filter(F.size(F.array_intersect("around", "all")) == F.size("all"))

@@ -218,6 +218,12 @@ def test_proximity(spark):
     assert [tuple(r) for r in decontam.proximity_matches(docs, bench, span=8).collect()] == [(1, "7", 1)]
 
 
+def test_proximity_of_an_item_with_an_unseen_word(spark):
+    docs = table(spark, [(1, "red x x green x blue"), (2, "blue " + "x " * 30 + "red green")])
+    bench = spark.createDataFrame([(7, "red unseen green blue"), (8, "unseen")], "item_id bigint, text string")
+    assert [tuple(r) for r in decontam.proximity_matches(docs, bench, span=8).collect()] == [(1, "7", 1)]
+
+
 # -- 5: LM ---------------------------------------------------------------------------------------------
 
 
