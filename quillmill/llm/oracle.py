@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillmill.llm import decontam, repetition, secrets
+from quillmill.llm import decontam, mixing, repetition, secrets
 
 SQL: dict[str, str] = {}
 
@@ -123,3 +123,60 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND 100 * n_covered <= {repetition.MOST_COVERED_PERCENT} * n_words AND short_repeats AS kept
 FROM ruled
 """
+
+
+SQL["op11_negatives"] = """
+WITH usable AS (
+    SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), held AS (
+    SELECT * FROM usable QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY label, v) = 1
+), scored AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+    FROM held a JOIN held r ON a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id
+), positive AS (
+    SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, n.vec_id AS negative_id,
+       p.score AS positive_score, n.score AS negative_score
+FROM positive p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+WINDOW w AS (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)
+QUALIFY row_number() OVER w <= 3
+"""
+
+
+_MIX_OFFSET = "CAST(('0x' || substr(md5('{seed}:' || {name}), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE"
+
+SQL["op13_mix"] = f"""
+WITH sized AS (
+    SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, {_q(mixing.WORD)})), 0) AS BIGINT) AS size FROM documents
+), sources AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+           CAST(([{", ".join(map(str, mixing.WEIGHTS))}])[CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.WEIGHTS)} AS INTEGER) + 1] AS DOUBLE) AS w
+    FROM sized GROUP BY source
+), levels AS (
+    SELECT *, {mixing.SHARE}::DOUBLE * sum(source_size) OVER () - coalesce({mixing.MOST} * sum(source_size) OVER below, 0) AS rest,
+           sum(w) OVER () - coalesce(sum(w) OVER below, 0) AS left_w
+    FROM sources WINDOW below AS (ORDER BY source_size / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), capped AS (
+    SELECT source FROM levels WHERE w * rest / left_w > {mixing.MOST} * source_size
+), level AS (
+    SELECT {mixing.SHARE}::DOUBLE * sum(source_size) - {mixing.MOST} * coalesce(sum(source_size) FILTER (is_capped), 0) AS rest,
+           sum(w) FILTER (NOT is_capped) AS left_w
+    FROM (SELECT *, EXISTS (SELECT 1 FROM capped c WHERE c.source IS NOT DISTINCT FROM s.source) AS is_capped FROM sources s)
+), targets AS (
+    SELECT s.source, source_size, least(w * rest / left_w, CAST({mixing.MOST} * source_size AS DOUBLE)) AS target,
+           {_MIX_OFFSET.format(seed=mixing.SEED, name="CASE WHEN s.source IS NULL THEN 'none' ELSE 'source:' || s.source END")} AS u
+    FROM sources s, level
+), placed AS (
+    SELECT doc_id, size, source_size, target, u, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS rate,
+           row_number() OVER (PARTITION BY d.source ORDER BY size DESC, md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), doc_id) - 1 AS nth
+    FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+       CAST(least(floor((nth + 1) * rate + u) - floor(nth * rate + u), ceil(rate)) * size AS BIGINT) AS taken
+FROM placed
+"""

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmill.llm import decontam, lm, neardup, oracle, passages, pieces, pii, quality, repetition, secrets, toxicity
+from quillmill.llm import (
+    decontam, lm, mixing, neardup, negatives, oracle, passages, pieces, pii, quality, repair, repetition, secrets, toxicity,
+)
 from quillmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,7 +56,20 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, folder, "embeddings"))
+
+
+def op12_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.repair_report(table(spark, folder, "conversations"))
+
+
+def op13_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_toxicity, op2_repetition, op3_passages, op4_decontam, op5_lm, op6_pii, op7_neardup, op8_secrets, op9_pieces, op10_quality,
+    op11_negatives, op12_repair, op13_mix,
 )}
 SQL: dict[str, str] = dict(oracle.SQL)
