@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections import Counter
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +16,7 @@ from quillmill.operators.running import running_total
 CHUNK_CHARS = 4000
 MAX_EMBED_CHARS = 30000
 SECTIONS = {"title": (0, 200), "abstract": (200, 1000), "full_text": (0, MAX_EMBED_CHARS)}
+WHOLE = "full_text"
 MAX_SUMMARY_TOKENS = 500
 PROMPTS = {
     "executive": ("gpt-4o", "Provide a concise executive summary of the following research paper:\n\n"),
@@ -86,90 +86,109 @@ def assemble_chunks(
     return grouped.select(doc, "chunk_no", F.array_join(F.col("_pieces._piece"), "").alias("chunk"))
 
 
-def opening_text(chunks: DataFrame, doc: str, chars: int = MAX_EMBED_CHARS, size: int = CHUNK_CHARS) -> DataFrame:
-    """``(doc, text)``: the first ``chars`` characters of each document, from its first chunks."""
-    needed = -(-chars // size)
-    first = chunks.filter(F.col("chunk_no") < needed)
-    joined = first.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct("chunk_no", "chunk"))).alias("_c"))
-    return joined.select(doc, F.substring(F.array_join(F.col("_c.chunk"), ""), 1, chars).alias("text"))
+def text_parts(chunks: DataFrame, doc: str, chars: int = MAX_EMBED_CHARS, size: int = CHUNK_CHARS) -> DataFrame:
+    """``(doc, part_no, text)``: each document's whole text in parts of ``chars`` characters, from its chunks.
+
+    ``chars`` bounds what meets in one group: a chunk is cut where a part ends, and the pieces meet again by part.
+    """
+    begin = F.col("chunk_no").cast("bigint") * size
+    room = (F.lit(chars) - begin % chars).cast("int")
+    pieces = F.array(
+        F.struct(F.expr(f"chunk_no * {size} div {chars}").cast("bigint").alias("part_no"), F.substring(F.col("chunk"), F.lit(1), room).alias("piece")),
+        F.struct((F.expr(f"chunk_no * {size} div {chars}") + 1).cast("bigint").alias("part_no"), F.substring(F.col("chunk"), room + 1, F.lit(size)).alias("piece")),
+    )
+    cut = chunks.select(doc, "chunk_no", F.inline(pieces)).filter(F.length("piece") > 0)
+    joined = cut.groupBy(doc, "part_no").agg(F.array_sort(F.collect_list(F.struct("chunk_no", "piece"))).alias("_c"))
+    return joined.select(doc, "part_no", F.array_join(F.col("_c.piece"), "").alias("text"))
 
 
 def sections(df: DataFrame, text: str, *keys: str) -> DataFrame:
-    """``(*keys, embedding_type, section_text)``: the three positional sections, blank ones left out."""
-    parts = F.array(*[
-        F.struct(F.lit(name).alias("embedding_type"), tx.char_slice(F.col(text), start, stop).alias("section_text"))
-        for name, (start, stop) in SECTIONS.items()
-    ])
-    return df.select(*keys, F.inline(parts)).filter(~tx.is_blank(F.col("section_text")))
+    """``(*keys, embedding_type, part_no, section_text)``: the positional sections, blank ones left out.
+
+    ``full_text`` is the whole text, in parts of ``MAX_EMBED_CHARS`` characters, as long as an embedder takes.
+    """
+    parts = [
+        F.struct(F.lit(name).alias("embedding_type"), F.lit(0).alias("part_no"), tx.char_slice(F.col(text), start, stop).alias("section_text"))
+        for name, (start, stop) in SECTIONS.items() if name != WHOLE
+    ]
+    whole = F.transform(
+        tx.char_chunks(F.col(text), MAX_EMBED_CHARS),
+        lambda part, no: F.struct(F.lit(WHOLE).alias("embedding_type"), no.alias("part_no"), part.alias("section_text")),
+    )
+    return df.select(*keys, F.inline(F.concat(F.array(*parts), whole))).filter(~tx.is_blank(F.col("section_text")))
 
 
 def prompts(df: DataFrame, text: str, *keys: str) -> DataFrame:
-    """``(*keys, summary_type, model, prompt, max_tokens)``: every fixed instruction over the first chunk."""
-    first = tx.char_slice(F.col(text), 0, CHUNK_CHARS)
+    """``(*keys, chunk_no, summary_type, model, prompt, max_tokens)``: every fixed instruction over each chunk of the text."""
     rows = F.array(*[
         F.struct(
             F.lit(kind).alias("summary_type"),
             F.lit(model).alias("model"),
-            F.concat(F.lit(instruction), first).alias("prompt"),
+            F.concat(F.lit(instruction), F.col("chunk")).alias("prompt"),
             F.lit(MAX_SUMMARY_TOKENS).alias("max_tokens"),
         )
         for kind, (model, instruction) in PROMPTS.items()
     ])
-    return df.filter(F.length(text) > 0).select(*keys, F.inline(rows))
+    return chunk_text(df, text, *keys).select(*keys, "chunk_no", F.inline(rows))
 
 
 @F.pandas_udf(ArrayType(LongType()))
 def _sentence_scores(sentence_words: pd.Series) -> pd.Series:
-    """Per sentence, its words' mean count in the whole list, in thousandths."""
-
-    def score(lists) -> list[int]:
-        counts = Counter(word for one in lists for word in one)
-        return [sum(counts[word] for word in one) * 1000 // len(one) if len(one) else 0 for one in lists]
+    """Per sentence, its words' mean count in the whole text, in thousandths; one pass over the words of a text."""
+
+    def score(lists) -> np.ndarray | None:
+        if lists is None:
+            return None
+        sizes = np.array([len(one) for one in lists], dtype=np.int64)
+        if not sizes.sum():
+            return np.zeros(len(sizes), dtype=np.int64)
+        _, which, counts = np.unique(np.concatenate([one for one in lists if len(one)]), return_inverse=True, return_counts=True)
+        sums = np.concatenate([[0], np.cumsum(counts[which])])
+        ends = np.cumsum(sizes)
+        return (sums[ends] - sums[ends - sizes]) * 1000 // np.maximum(sizes, 1)
 
     return sentence_words.map(score)
 
 
-def _sentence_rows(df: DataFrame, text: str, keys: list[str]) -> DataFrame:
-    """``(*keys, sentence_no, sentence, words, score)`` over the first chunk of each text."""
-    first = df.select(*keys, tx.sentences(tx.char_slice(F.col(text), 0, CHUNK_CHARS)).alias("_sentences"))
-    split = first.withColumn("_words", F.transform("_sentences", tx.words))
-    rows = split.withColumn("_scores", _sentence_scores("_words")).select(
-        *keys, F.posexplode(F.arrays_zip("_sentences", "_words", "_scores"))
-    )
-    return rows.select(
-        *keys, F.col("pos").alias("sentence_no"), F.col("col._sentences").alias("sentence"),
-        F.col("col._words").alias("words"), F.col("col._scores").alias("score"),
-    ).filter(F.size("words") > 0)
-
-
 def extractive_summaries(df: DataFrame, text: str, *keys: str, top: int = 3) -> DataFrame:
-    """``(*keys, summary_type, content)``: for each kind the ``top`` best sentences, in document order.
+    """``(*keys, summary_type, content)``: for each kind the ``top`` best sentences of the whole text, in document order.
 
     Sentences with a cue word of the kind come before others, then higher scores, then earlier
-    ones. Only the first chunk is read, as in the prompts. ``keys`` identify a row.
+    ones. Everything happens inside the row: no sentence is sent anywhere. ``keys`` are carried along.
     """
-    rows = _sentence_rows(df, text, list(keys))
+    split = df.select(*keys, tx.sentences(F.col(text)).alias("_sentences"))
+    worded = split.withColumn("_words", F.transform("_sentences", tx.words)).withColumn("_scores", _sentence_scores("_words"))
+    every = F.transform(
+        F.arrays_zip("_sentences", "_words", "_scores"),
+        lambda s, no: F.struct(s["_words"].alias("words"), (-s["_scores"]).alias("minus"), no.alias("no"), s["_sentences"].alias("sentence")),
+    )
+    usable = worded.select(*keys, F.filter(every, lambda s: F.size(s["words"]) > 0).alias("_all")).filter(F.size("_all") > 0)
+
+    def best(cues: list[str]) -> Column:
+        def rank(s: Column) -> Column:
+            other = ~F.arrays_overlap(s["words"], F.array(*map(F.lit, cues))) if cues else F.lit(True)
+            return F.struct(other.alias("other"), s["minus"].alias("minus"), s["no"].alias("no"), s["sentence"].alias("sentence"))
+
+        picked = F.slice(F.array_sort(F.transform("_all", rank)), 1, top)
+        in_order = F.array_sort(F.transform(picked, lambda s: F.struct(s["no"].alias("no"), s["sentence"].alias("sentence"))))
+        return F.array_join(F.transform(in_order, lambda s: s["sentence"]), " ")
+
     kinds = F.array(*[
-        F.struct(
-            F.lit(kind).alias("summary_type"),
-            (F.arrays_overlap(F.col("words"), F.array(*map(F.lit, cues))) if cues else F.lit(False)).alias("cued"),
-        )
-        for kind, cues in SUMMARY_CUES.items()
+        F.struct(F.lit(kind).alias("summary_type"), best(cues).alias("content")) for kind, cues in SUMMARY_CUES.items()
     ])
-    by_kind = rows.select("*", F.inline(kinds))
-    # at most one chunk's sentences meet per key and kind
-    rank = F.struct((~F.col("cued")).alias("a"), (-F.col("score")).alias("b"), F.col("sentence_no").alias("c"), "sentence")
-    picked = by_kind.groupBy(*keys, "summary_type").agg(F.slice(F.array_sort(F.collect_list(rank)), 1, top).alias("_best"))
-    in_order = F.array_sort(F.transform("_best", lambda s: F.struct(s["c"].alias("no"), s["sentence"].alias("sentence"))))
-    return picked.select(*keys, "summary_type", F.array_join(F.transform(in_order, lambda s: s["sentence"]), " ").alias("content"))
+    return usable.select(*keys, F.inline(kinds))
+
 
+def keep_complete(summaries: DataFrame, key: str, wanted: int, among: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Summaries of documents that have all ``wanted`` kinds, and rejects of the others.
 
-def keep_complete(summaries: DataFrame, key: str, wanted: int) -> tuple[DataFrame, DataFrame]:
-    """Summaries of documents that have all ``wanted`` kinds, and rejects of the others."""
+    ``among`` has the documents that were to be summarised: those without any summary are rejects as well.
+    """
     usable = F.col("content").isNotNull() & (F.col("content") != "")
     complete = summaries.filter(usable).groupBy(key).agg(F.countDistinct("summary_type").alias("n"))
     complete = complete.filter(F.col("n") >= wanted).select(key)
-    failed = summaries.select(key).distinct().join(complete, key, "left_anti")
+    asked = (summaries if among is None else among).select(key).distinct()
+    failed = asked.join(complete, key, "left_anti")
     rejects = failed.select(
         F.lit("summarise").alias("stage"), F.col(key).cast("string").alias("key"), F.lit("summary_failed").alias("reason")
     )
@@ -197,6 +216,16 @@ def keywords(df: DataFrame, text: str, key: str, top: int = 5, min_letters: int
     return ranked.select(key, "rank", "keyword", "weight")
 
 
+def frequent_words(df: DataFrame, text: str, *keys: str, top: int = 5, min_letters: int = 5) -> DataFrame:
+    """``(*keys, keywords)``: the ``top`` words of each text by count alone, ties alphabetically: for texts that come in batches."""
+    long_words = F.filter(tx.words(F.col(text)), lambda w: F.length(w) >= min_letters)
+    counts = df.select(*keys, F.explode(long_words).alias("word")).groupBy(*keys, "word").agg(F.count("*").alias("n"))
+    best = Window.partitionBy(*keys).orderBy(F.desc("n"), "word")
+    ranked = counts.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
+    in_order = F.array_sort(F.collect_list(F.struct("rank", "word")))
+    return ranked.groupBy(*keys).agg(F.transform(in_order, lambda w: w["word"]).alias("keywords"))
+
+
 def _found(text: Column, pattern: str) -> Column:
     match = F.regexp_extract(text, pattern, 1)
     return F.when(match != "", match)

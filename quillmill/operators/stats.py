@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillmill.operators.documents import CHUNK_CHARS
+from quillmill.operators.documents import CHUNK_CHARS, extractive_summaries
 
 
 def resolution_rate(resolved: DataFrame) -> DataFrame:
@@ -49,15 +49,16 @@ def stage_dashboard(stage_log: DataFrame) -> DataFrame:
     )
 
 
-def topic_digest(papers: DataFrame, summaries: DataFrame, k: int = 3, kind: str = "executive") -> DataFrame:
+def topic_digest(papers: DataFrame, texts: DataFrame, k: int = 3, kind: str = "executive") -> DataFrame:
     """Per topic the ``k`` most relevant papers, newer first among equals, with their summary.
 
-    ``papers`` has ``topic, paper_id, title, year, score``. Every task sends on ``k`` papers per
-    topic at most, and summaries are joined to those only.
+    ``papers`` has ``topic, paper_id, title, year, score``, ``texts`` has ``paper_id, text``. Every task sends on ``k`` papers per
+    topic at most, and only their texts are summarised.
     """
     best = Window.partitionBy("topic").orderBy(F.desc("score"), F.desc_nulls_last("year"), "paper_id")
     top = papers.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-    texts = summaries.filter(F.col("summary_type") == kind).select("paper_id", "content")
-    entries = top.join(texts, "paper_id", "left")
+    wanted = texts.join(top.select("paper_id").distinct(), "paper_id", "left_semi")
+    summaries = extractive_summaries(wanted, "text", "paper_id").filter(F.col("summary_type") == kind)
+    entries = top.join(summaries.select("paper_id", "content"), "paper_id", "left")
     entry = F.struct("rank", "paper_id", "title", "year", "score", "content")
     return entries.groupBy("topic").agg(F.array_sort(F.collect_list(entry)).alias("entries"))

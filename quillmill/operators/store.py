@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quillmill.operators.dedupe import first_by_key, last_by_key
 from quillmill.operators.running import assign_ids
+from quillmill.session import written
 
 PAPER_UPDATES = ["title", "year", "pdf_url", "sha256", "source"]
 
@@ -251,6 +252,31 @@ def cascade_delete(tables: dict[str, DataFrame], root: str, key: str, ids: DataF
     return left
 
 
+def delete_cascade(batch, root: str, key: str, ids: DataFrame, children: Sequence[Child]) -> None:
+    """The same over stored tables, as edits of one ``sources.tables.Batch``.
+
+    A table keyed by the column that points at the dead rows has only their buckets rewritten; others are
+    read whole. Nothing counts before the batch commits.
+    """
+    gone = {root: written(_keeping(batch.read(root), ids.select(key).distinct(), key, "left_semi"), "dead")}
+    parts = {}
+    for child in children:
+        if child.parent not in gone:
+            continue
+        dead = gone[child.parent].select(F.col(child.parent_key).alias(child.column)).distinct()
+        removed = written(_keeping(batch.read(child.table), dead, child.column, "left_semi"), "dead")
+        gone[child.table] = gone[child.table].unionByName(removed) if child.table in gone else removed
+        parts.setdefault(child.table, []).append((child.column, dead))
+    parts[root] = [(key, gone[root].select(key).distinct())]
+    for name, dead_by in parts.items():
+        for column, dead in dead_by:
+            without = lambda old, asked, c=column: _keeping(old, asked, c, "left_anti")
+            if list(batch.store.tables[name].keys) == [column]:
+                batch.edit(name, dead, without)
+            else:
+                batch.replace(name, without(batch.read(name), dead))
+
+
 def save_hits(works: DataFrame, search_hits: DataFrame, hits: DataFrame, topic: str, as_of: Column, order: str = "ord") -> tuple[DataFrame, DataFrame]:
     """Works and search hits after saving: a work for every hit with a DOI, a search hit for each.
 

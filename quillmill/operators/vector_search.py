@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -238,18 +239,40 @@ def model_embedder(load):
     return embed
 
 
-def embed_sections(section_rows: DataFrame, embedder, key: str, text: str = "section_text") -> tuple[DataFrame, DataFrame]:
-    """``(key, embedding_type, embedding)`` of the sections that could be embedded, and rejects
-    of documents for which none could. The embedder sees every section once."""
-    embedded = embedder(section_rows, text).select(key, "embedding_type", "embedding")
-    return split_embedded(written(embedded, "embedded"), key)
+def embed_sections(
+    section_rows: DataFrame, embedder, key: str, text: str = "section_text", among: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """``(key, embedding_type, embedding)`` of the sections that could be embedded, and rejects of documents for which none could.
+
+    The embedder sees every part of a section once. A section in several parts (``part_no``) gets their mean by length, at
+    length one. ``among`` has the documents that were to be embedded: those without a section are rejects as well.
+    """
+    weight = F.length(text).cast("double").alias("_chars")
+    embedded = written(embedder(section_rows, text).select(key, "embedding_type", weight, "embedding"), "embedded")
+    return split_embedded(pooled(embedded, key), key, among)
+
+
+def pooled(parts: DataFrame, key: str) -> DataFrame:
+    """One vector for each ``(key, embedding_type)``: that of the only part, or the mean of several by ``_chars``, at length one.
+
+    Sums are made task by task, so a text of very many parts is no large group.
+    """
+    usable = parts.filter(F.col("embedding").isNotNull())
+    mean = Summarizer.mean(array_to_vector("embedding"), F.col("_chars"))
+    sums = usable.groupBy(key, "embedding_type").agg(F.count("*").alias("_n"), F.max("embedding").alias("_one"), mean.alias("_mean"))
+    unit = Normalizer(inputCol="_mean", outputCol="_unit", p=2.0).transform(sums)
+    one = F.when(F.col("_n") == 1, F.col("_one")).otherwise(vector_to_array("_unit", "float32"))
+    missing = parts.select(key, "embedding_type").distinct().join(sums.select(key, "embedding_type"), [key, "embedding_type"], "left_anti")
+    none = missing.withColumn("embedding", F.lit(None).cast("array<float>"))
+    return unit.select(key, "embedding_type", one.alias("embedding")).unionByName(none)
 
 
-def split_embedded(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+def split_embedded(rows: DataFrame, key: str, among: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """``(key, embedding_type, embedding)`` of the embedded rows, and rejects of documents without any."""
     embedded = rows.select(key, "embedding_type", "embedding")
     done = embedded.filter(F.col("embedding").isNotNull())
-    failed = embedded.groupBy(key).agg(F.count("embedding").alias("n")).filter(F.col("n") == 0)
+    asked = (rows if among is None else among).select(key).distinct()
+    failed = asked.join(done.select(key).distinct(), key, "left_anti")
     rejects = failed.select(
         F.lit("embed").alias("stage"), F.col(key).cast("string").alias("key"), F.lit("no_embedding").alias("reason")
     )

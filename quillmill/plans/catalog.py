@@ -19,7 +19,7 @@ from quillmill.plans.inputs import AS_OF, CREATED, Inputs, stamp
 from quillmill.session import work_dir
 from quillmill.sources import files, tables
 from quillmill.sources import hits as hit_files
-from quillmill.streaming import jobs
+from quillmill.streaming import fetches, jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -228,7 +228,7 @@ def stage_dashboard(i: Inputs) -> DataFrame:
 @query
 def topic_digest(i: Inputs) -> DataFrame:
     papers = i.hits.select(F.col("lang").alias("topic"), F.col("doc_id").alias("paper_id"), "title", "year", "score")
-    texts = documents.extractive_summaries(i.documents.withColumnRenamed("doc_id", "paper_id"), "text", "paper_id")
+    texts = i.documents.select(F.col("doc_id").alias("paper_id"), "text")
     digest = stats.topic_digest(papers, texts).select("topic", F.inline("entries"))
     return _longs(digest, "rank", "year").select("topic", "rank", "paper_id", "title", "year", "content")
 
@@ -293,7 +293,7 @@ def assembled_turns(i: Inputs) -> DataFrame:
 @query
 def opening_of_turns(i: Inputs) -> DataFrame:
     chunks = documents.assemble_chunks(i.table("conversations"), "conv_id", "turn", "text")
-    return documents.opening_text(chunks, "conv_id")
+    return documents.text_parts(chunks, "conv_id")
 
 
 @query
@@ -309,12 +309,12 @@ def chunks_4000(i: Inputs) -> DataFrame:
 
 @query
 def section_slices(i: Inputs) -> DataFrame:
-    return documents.sections(i.documents, "text", "doc_id")
+    return _longs(documents.sections(i.documents, "text", "doc_id"), "part_no")
 
 
 @query
 def prompt_table(i: Inputs) -> DataFrame:
-    return _longs(documents.prompts(i.documents, "text", "doc_id"), "max_tokens")
+    return _longs(documents.prompts(i.documents, "text", "doc_id"), "max_tokens", "chunk_no")
 
 
 @query
@@ -346,7 +346,7 @@ def metadata_fields(i: Inputs) -> DataFrame:
 @query
 def metadata_rows(i: Inputs) -> DataFrame:
     extracted = documents.extract_metadata(i.documents, "text", "doc_id")
-    return documents.metadata_rows(extracted, "doc_id").filter(F.col("key").isin("keywords", "duration"))
+    return documents.metadata_rows(extracted, "doc_id")
 
 
 # -- vectors --------------------------------------------------------------------------------------------
@@ -469,12 +469,56 @@ def upsert_papers(i: Inputs) -> DataFrame:
 def upsert_papers_stored(i: Inputs) -> DataFrame:
     path = work_dir(i.spark, "papers")
     keys, buckets = ["doi"], 8
-    tables.create_table(i.papers, path, keys, buckets)
-    schema = i.papers.schema
-    greatest = tables.read_table(i.spark, path, schema).agg(F.max("id")).first()[0] or 0
-    edit = lambda old, new: store.upsert_papers(old, new, stamp(AS_OF), max_id=greatest)
-    tables.edit_table(i.spark, path, schema, keys, i.incoming_papers, edit, buckets)
-    return _papers_out(tables.read_table(i.spark, path, schema))
+    held = tables.Store(path, {"papers": tables.Table(i.papers.schema, keys, "id")}, buckets)
+    held.create(i.spark)
+    batch = held.begin(i.spark)
+    batch.replace("papers", i.papers)
+    batch.edit("papers", i.incoming_papers, lambda old, new: store.upsert_papers(old, new, stamp(AS_OF), max_id=batch.last_id("papers")))
+    batch.commit()
+    return _papers_out(held.read(i.spark, "papers"))
+
+
+def _stored_works(i: Inputs) -> tables.Store:
+    """Works and their children as stored tables, the children keyed by what they point with."""
+    before = {"works": (i.works, "work_id"), "files": (i.files, "work_id"), "chunks": (i.chunks, "file_id"),
+              "file_summaries": (i.file_summaries, "file_id"), "ingest_queue": (i.file_jobs, "file_id")}
+    held = tables.Store(work_dir(i.spark, "works"), {n: tables.Table(df.schema, [key]) for n, (df, key) in before.items()}, 8)
+    held.create(i.spark)
+    batch = held.begin(i.spark)
+    for name, (df, _) in before.items():
+        batch.replace(name, df)
+    batch.commit()
+    return held
+
+
+@query
+def delete_works_stored(i: Inputs) -> DataFrame:
+    """A cascade over stored tables: in each one the buckets of the dead keys are rewritten, and all tables change together."""
+    held = _stored_works(i)
+    batch = held.begin(i.spark)
+    store.delete_cascade(batch, "works", "work_id", _dead_works(i), store.WORK_CHILDREN)
+    batch.commit()
+    return _counted({name: held.read(i.spark, name) for name in held.tables})
+
+
+@query
+def delete_papers_stored(i: Inputs) -> DataFrame:
+    """The labelled papers with their vectors as stored tables, without those labelled toxic."""
+    vectors = i.vectors.select("paper_id", "embedding_type", F.size("embedding").alias("dims"))
+    kept = {"papers": (i.papers, ["id"]), "embeddings": (vectors, ["paper_id"])}
+    held = tables.Store(work_dir(i.spark, "papers"), {n: tables.Table(df.schema, keys) for n, (df, keys) in kept.items()}, 8)
+    held.create(i.spark)
+    batch = held.begin(i.spark)
+    for name, (df, _) in kept.items():
+        batch.replace(name, df)
+    batch.commit()
+    batch = held.begin(i.spark)
+    toxic = i.table("labels").filter("toxic = 1").select(F.col("doc_id").alias("id"))
+    store.delete_cascade(batch, "papers", "id", toxic, [store.Child("embeddings", "paper_id", "papers", "id")])
+    batch.commit()
+    left = held.read(i.spark, "papers").select(F.lit("papers").alias("table"), "id", F.lit("").alias("kind"))
+    return left.unionByName(held.read(i.spark, "embeddings").select(
+        F.lit("embeddings").alias("table"), F.col("paper_id").alias("id"), F.col("embedding_type").alias("kind")))
 
 
 def _incoming_summaries(i: Inputs) -> DataFrame:
@@ -607,7 +651,10 @@ def delete_report(i: Inputs) -> DataFrame:
 @query
 def cascade_delete(i: Inputs) -> DataFrame:
     before = {"works": i.works, "files": i.files, "chunks": i.chunks, "file_summaries": i.file_summaries, "ingest_queue": i.file_jobs}
-    after = store.cascade_delete(before, "works", "work_id", _dead_works(i), store.WORK_CHILDREN)
+    return _counted(store.cascade_delete(before, "works", "work_id", _dead_works(i), store.WORK_CHILDREN))
+
+
+def _counted(after: dict[str, DataFrame]) -> DataFrame:
     rows = [
         df.select(F.lit(name).alias("table"), F.col("work_id" if name == "works" else "file_id").alias("key"))
         for name, df in after.items()
@@ -823,9 +870,10 @@ def stream_ingest_papers(i: Inputs) -> DataFrame:
 def stream_ingest_children(i: Inputs) -> DataFrame:
     flow = _run_flow(i)
     dois = flow.table(i.spark, "papers").select(F.col("id").alias("paper_id"), "doi")
-    summaries = flow.table(i.spark, "summaries").select("paper_id", F.col("summary_type").alias("kind"))
-    vectors = flow.table(i.spark, "embeddings").select("paper_id", F.col("embedding_type").alias("kind"))
-    return summaries.unionByName(vectors).join(dois, "paper_id").select("doi", "kind")
+    summaries = flow.table(i.spark, "summaries").select("paper_id", F.col("summary_type").alias("kind"), "content")
+    dims = F.concat_ws(" ", F.size("embedding"), F.lit("numbers"))
+    vectors = flow.table(i.spark, "embeddings").select("paper_id", F.col("embedding_type").alias("kind"), dims.alias("content"))
+    return summaries.unionByName(vectors).join(dois, "paper_id").select("doi", "kind", "content")
 
 
 @query
@@ -834,6 +882,30 @@ def stream_ingest_dashboard(i: Inputs) -> DataFrame:
     return dashboard.select("stage", "items", "succeeded")
 
 
+@query
+def stream_ingest_metadata(i: Inputs) -> DataFrame:
+    flow = _run_flow(i)
+    dois = flow.table(i.spark, "papers").select(F.col("id").alias("paper_id"), "doi")
+    return flow.table(i.spark, "paper_metadata").select("paper_id", "key", "value").join(dois, "paper_id").select("doi", "key", "value")
+
+
+@query
+def stream_fetch_outcomes(i: Inputs) -> DataFrame:
+    """Every event as an attempt to fetch the URL that user and payload name: what became of each URL."""
+    events = _table_stream(i, "events", max_files=1_000_000)
+    ok = F.col("event_type").isin("purchase", "signup")
+    attempts = events.select(
+        F.concat_ws("/", F.col("user_id"), F.get_json_object("props", "$.k")).alias("pdf_url"),
+        F.when(ok, 200).when(F.col("event_type") == "error", 403).otherwise(404).alias("status"),
+        F.col("event_id").alias("ord"), F.col("ts").cast("timestamp").alias("at"),
+    )
+    output = work_dir(i.spark, "outcomes")
+    told = fetches.fetch_outcomes(attempts).writeStream.format("parquet").option("checkpointLocation", work_dir(i.spark, "progress"))
+    told.outputMode("append").trigger(availableNow=True).start(output).awaitTermination()
+    found = i.spark.read.schema(f"pdf_url string, status int, ord bigint, at timestamp, {fetches.OUTCOME}").parquet(output)
+    return _longs(found, "status", "attempts").withColumn("next_at", F.col("next_at").cast("timestamp_ntz")).drop("at")
+
+
 @query
 def stream_store_files(i: Inputs) -> DataFrame:
     output = work_dir(i.spark, "files")
@@ -841,12 +913,12 @@ def stream_store_files(i: Inputs) -> DataFrame:
     return i.spark.read.parquet(output).select("sha256", "file_path", "size")
 
 
-def _table_stream(i: Inputs, name: str) -> DataFrame:
+def _table_stream(i: Inputs, name: str, **options) -> DataFrame:
     """A table as a stream, whether it is one file or a folder of part files.
 
     The bracket makes the path a pattern: Spark takes a plain path for a folder, and a file filter sees file names only.
     """
-    return jobs.landing_stream(i.spark, f"{i.folder.rstrip('/')}/{name}.parque[t]", _ddl(i, name))
+    return jobs.landing_stream(i.spark, f"{i.folder.rstrip('/')}/{name}.parque[t]", _ddl(i, name), **options)
 
 
 def _ddl(i: Inputs, name: str) -> str:

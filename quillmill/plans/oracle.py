@@ -307,9 +307,11 @@ _CUES = "\n".join(
     if cues
 ).removeprefix("UNION ALL ")
 _KINDS = ", ".join(f"'{kind}'" for kind in documents.SUMMARY_CUES)
-SUMMARIES = f"""
+def _summaries(source: str, key: str = "doc_id") -> str:
+    """Summaries of the texts of ``source``, one row for each ``key``."""
+    return f"""
 cues(kind, cue) AS ({_CUES}),
-runs AS (SELECT doc_id, regexp_extract_all(substr(text, 1, 4000), '[^.!?]+[.!?]*') AS raw FROM documents),
+runs AS (SELECT {key} AS doc_id, regexp_extract_all(text, '[^.!?]+[.!?]*') AS raw FROM {source}),
 cleaned AS (
     SELECT doc_id, list_filter(list_transform(raw, lambda r: {_clean('r')}), lambda r: length(r) > 0) AS s FROM runs),
 sentences AS (SELECT doc_id, unnest(s) AS sentence, generate_subscripts(s, 1) - 1 AS sentence_no FROM cleaned),
@@ -326,6 +328,9 @@ ranked AS (
         EXISTS (SELECT 1 FROM cues WHERE kind = summary_type AND list_contains(words, cue)) DESC, score DESC, sentence_no) <= 3),
 summaries AS (
     SELECT doc_id, summary_type, string_agg(sentence, ' ' ORDER BY sentence_no) AS content FROM ranked GROUP BY ALL)"""
+
+
+SUMMARIES = _summaries("documents")
 _add("extractive_summaries", "SELECT * FROM summaries", SUMMARIES)
 _add(
     "complete_summaries",
@@ -414,7 +419,12 @@ _add(
     FROM (SELECT conv_id, text, unnest(range(0, (length(text) + 3999) // 4000)) AS i FROM turns)""",
     TURNS,
 )
-_add("opening_of_turns", "SELECT conv_id, substr(text, 1, 30000) AS text FROM turns WHERE length(text) > 0", TURNS)
+_PARTS = "unnest(range(0, (length(text) + 29999) // 30000)) AS part_no"
+_add(
+    "opening_of_turns",
+    f"""SELECT conv_id, part_no, substr(text, part_no * 30000 + 1, 30000) AS text FROM (SELECT conv_id, text, {_PARTS} FROM turns)""",
+    TURNS,
+)
 _add(
     "empty_text_rejects",
     rf"""SELECT 'parse' AS stage, page_id::VARCHAR AS key, 'empty_text' AS reason FROM pages
@@ -427,10 +437,11 @@ _add(
 )
 _add(
     "section_slices",
-    f"""SELECT doc_id, embedding_type, section_text FROM (
-        SELECT doc_id, 'title' AS embedding_type, substr(text, 1, 200) AS section_text FROM documents
-        UNION ALL SELECT doc_id, 'abstract', substr(text, 201, 800) FROM documents
-        UNION ALL SELECT doc_id, 'full_text', substr(text, 1, 30000) FROM documents)
+    f"""SELECT doc_id, embedding_type, part_no, section_text FROM (
+        SELECT doc_id, 'title' AS embedding_type, 0::BIGINT AS part_no, substr(text, 1, 200) AS section_text FROM documents
+        UNION ALL SELECT doc_id, 'abstract', 0, substr(text, 201, 800) FROM documents
+        UNION ALL SELECT doc_id, 'full_text', part_no, substr(text, part_no * 30000 + 1, 30000)
+        FROM (SELECT doc_id, text, {_PARTS} FROM documents))
     WHERE {_clean('section_text')} <> ''""",
 )
 _PROMPT_ROWS = ", ".join(
@@ -438,8 +449,8 @@ _PROMPT_ROWS = ", ".join(
 )
 _add(
     "prompt_table",
-    """SELECT doc_id, summary_type, model, instruction || chr(10) || chr(10) || substr(text, 1, 4000) AS prompt, 500::BIGINT AS max_tokens
-    FROM documents, prompts WHERE text <> ''""",
+    f"""SELECT doc_id, i AS chunk_no, summary_type, model, instruction || chr(10) || chr(10) || chunk AS prompt, 500::BIGINT AS max_tokens
+    FROM (SELECT doc_id, i, {_CUT} FROM (SELECT doc_id, text, unnest(range(0, (length(text) + 3999) // 4000)) AS i FROM documents)), prompts""",
     f"prompts(summary_type, model, instruction) AS (VALUES {_PROMPT_ROWS})",
 )
 KEYWORDS = f"""
@@ -467,12 +478,30 @@ def _field(name: str) -> str:
 
 
 _add("metadata_fields", f"SELECT doc_id, {', '.join(map(_field, documents.METADATA_PATTERNS))} FROM documents")
+
+
+def _json_field(name: str) -> str:
+    """A field as JSON text: lists and strings in quotes with marks escaped, numbers as they are."""
+    if name in ("citations", "sample_size"):
+        return f"{name}::VARCHAR"
+    if name in ("authors", "institutions"):
+        return f"to_json(string_split({name}, '|'))::VARCHAR"
+    return f"to_json({name})::VARCHAR"
+
+
+def _field_rows(source: str, key: str) -> str:
+    fields = ", ".join(map(_field, documents.METADATA_PATTERNS))
+    return " UNION ALL ".join(
+        f"SELECT {key}, '{name}' AS key, {_json_field(name)} AS value FROM (SELECT {key}, {fields} FROM {source}) WHERE {name} IS NOT NULL"
+        for name in documents.METADATA_PATTERNS
+    )
+
+
 _add(
     "metadata_rows",
     f"""SELECT doc_id AS paper_id, 'keywords' AS key, '[' || string_agg('"' || keyword || '"', ',' ORDER BY rank) || ']' AS value
     FROM best GROUP BY doc_id
-    UNION ALL SELECT doc_id, 'duration', '"' || duration || '"' FROM (SELECT doc_id, {_field('duration')} FROM documents)
-    WHERE duration IS NOT NULL""",
+    UNION ALL {_field_rows('documents', 'doc_id')}""",
     KEYWORDS,
 )
 
@@ -525,7 +554,7 @@ _add(
 _add("ivf_search_all_cells", f"SELECT paper_id, round(similarity, 6) AS similarity FROM (FROM scored {_TOP})", VECTORS)
 _add("wrong_dimension", "SELECT vec_id AS paper_id, len(embedding) AS dims FROM embeddings WHERE len(embedding) <> 768")
 SQL["embed_sections"] = (
-    "SELECT doc_id, embedding_type, 256::BIGINT AS dims, 1.0::DOUBLE AS length FROM (" + SQL["section_slices"] + ")"
+    "SELECT DISTINCT doc_id, embedding_type, 256::BIGINT AS dims, 1.0::DOUBLE AS length FROM (" + SQL["section_slices"] + ")"
 )
 
 # -- table edits ----------------------------------------------------------------------------------------------
@@ -673,6 +702,14 @@ _add(
         WHERE l_returnflag = 'R' GROUP BY ALL""",
     "kept AS (SELECT * FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0))",
 )
+SQL["delete_works_stored"] = SQL["cascade_delete"]
+_add(
+    "delete_papers_stored",
+    """SELECT 'papers' AS "table", id, '' AS kind FROM papers WHERE id NOT IN (SELECT * FROM toxic)
+    UNION ALL SELECT 'embeddings', vec_id, ['title', 'abstract', 'full_text'][label % 3 + 1] FROM embeddings
+    WHERE vec_id NOT IN (SELECT * FROM toxic WHERE doc_id IN (SELECT id FROM papers))""",
+    PAPERS, "toxic AS (SELECT doc_id FROM labels WHERE toxic = 1)",
+)
 _add(
     "save_hits_works",
     f"""SELECT doi, CAST(NULL AS VARCHAR) AS title, 36::BIGINT AS id_chars, TIMESTAMP '{AS_OF}' AS created_at
@@ -785,7 +822,8 @@ fetched AS (
         {_clean(_DECODED)} AS text
     FROM pages QUALIFY row_number() OVER (PARTITION BY url ORDER BY page_id) = 1),
 parsed AS (SELECT * FROM fetched WHERE status = 200 AND text <> ''),
-stored AS (SELECT * FROM parsed QUALIFY row_number() OVER (PARTITION BY sha256 ORDER BY page_id) = 1)"""
+unique_files AS (SELECT * FROM parsed QUALIFY row_number() OVER (PARTITION BY sha256 ORDER BY page_id) = 1),
+stored AS (SELECT * FROM unique_files WHERE len({_words('text')}) > 0)"""
 _add(
     "stream_ingest_papers",
     "SELECT doi, title, 2024::BIGINT AS year, pdf_url, sha256, 'web' AS source FROM stored",
@@ -793,19 +831,47 @@ _add(
 )
 _add(
     "stream_ingest_children",
-    """SELECT doi, unnest(['executive', 'key_findings', 'methodology', 'implications']) AS kind FROM stored
-    UNION ALL SELECT doi, 'title' FROM stored
-    UNION ALL SELECT doi, 'abstract' FROM stored WHERE trim(substr(text, 201, 800)) <> ''
-    UNION ALL SELECT doi, 'full_text' FROM stored""",
+    """SELECT doc_id AS doi, summary_type AS kind, content FROM summaries
+    UNION ALL SELECT doi, 'title', '64 numbers' FROM stored WHERE trim(substr(text, 1, 200)) <> ''
+    UNION ALL SELECT doi, 'abstract', '64 numbers' FROM stored WHERE trim(substr(text, 201, 800)) <> ''
+    UNION ALL SELECT doi, 'full_text', '64 numbers' FROM stored""",
+    _FETCHED, _summaries("stored", "doi"),
+)
+_add(
+    "stream_ingest_metadata",
+    f"""{_field_rows("stored", "doi")}
+    UNION ALL SELECT doi, 'keywords', '[' || string_agg('"' || keyword || '"', ',' ORDER BY n DESC, keyword) || ']' FROM (
+        SELECT doi, keyword, count(*) AS n FROM (
+            SELECT doi, unnest(list_filter({_words('text')}, lambda w: length(w) >= 5)) AS keyword FROM stored) GROUP BY doi, keyword
+        QUALIFY row_number() OVER (PARTITION BY doi ORDER BY count(*) DESC, keyword) <= 5) GROUP BY doi""",
     _FETCHED,
 )
 _add(
     "stream_ingest_dashboard",
     """SELECT 'download' AS stage, count(*) AS items, count(*) FILTER (WHERE status = 200) AS succeeded FROM fetched
     UNION ALL SELECT 'parse', count(*) FILTER (WHERE status = 200), (SELECT count(*) FROM parsed) FROM fetched
-    UNION ALL SELECT 'store', count(*), (SELECT count(*) FROM stored) FROM parsed""",
+    UNION ALL SELECT 'summarise', count(*), (SELECT count(*) FROM stored) FROM unique_files
+    UNION ALL SELECT 'embed', count(*), count(*) FROM unique_files
+    UNION ALL SELECT 'store', (SELECT count(*) FROM parsed) - count(*) + (SELECT count(*) FROM stored), (SELECT count(*) FROM stored) FROM unique_files""",
     _FETCHED,
 )
+_add(
+    "stream_fetch_outcomes",
+    """SELECT pdf_url, status, ord, 'accepted' AS outcome, failed AS attempts, CAST(NULL AS TIMESTAMP) AS next_at FROM won WHERE failed < 3
+    UNION ALL SELECT pdf_url, status, ord, 'rejected', 3, NULL FROM lost
+    UNION ALL SELECT pdf_url, arg_max(status, ord), max(ord), 'retry', count(*),
+        max(tried_at) + to_seconds(least(10, greatest(4, pow(2, count(*) - 1)))::INT)
+    FROM tried WHERE pdf_url NOT IN (SELECT pdf_url FROM won WHERE failed < 3 UNION ALL SELECT pdf_url FROM lost) GROUP BY pdf_url""",
+    """tried AS (
+        SELECT user_id || '/' || json_extract_string(props, '$.k') AS pdf_url, event_id AS ord, ts AS tried_at,
+            CASE WHEN event_type IN ('purchase', 'signup') THEN 200::BIGINT WHEN event_type = 'error' THEN 403 ELSE 404 END AS status
+        FROM events)""",
+    "counted AS (SELECT *, count(*) FILTER (WHERE status <> 200) OVER (PARTITION BY pdf_url ORDER BY ord) AS failed FROM tried)",
+    "won AS (SELECT * FROM counted WHERE status = 200 QUALIFY row_number() OVER (PARTITION BY pdf_url ORDER BY ord) = 1)",
+    """lost AS (
+        SELECT * FROM counted c WHERE status <> 200 AND failed = 3
+            AND NOT EXISTS (SELECT 1 FROM won w WHERE w.pdf_url = c.pdf_url AND w.failed < 3))""",
+)
 _add(
     "stream_store_files",
     """SELECT DISTINCT sha256(html) AS sha256, sha256(html) || '.pdf' AS file_path, strlen(html) AS size FROM pages

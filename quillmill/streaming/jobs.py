@@ -20,16 +20,16 @@ from quillmill.operators import documents, ingest, store, vector_search
 from quillmill.operators.dedupe import last_by_key
 from quillmill.session import written
 from quillmill.sources import files, tables
+from quillmill.streaming import fetches
 
 # Fixed value: how much may wait, here as files per micro-batch
 MAX_FILES_PER_BATCH = 200
 
-ROCKSDB_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 PAPER_TABLES = {
-    "papers": (schemas.PAPERS, ["doi"]),
-    "summaries": (schemas.SUMMARIES, ["paper_id", "summary_type"]),
-    "embeddings": (schemas.EMBEDDINGS, ["paper_id", "embedding_type"]),
+    "papers": tables.Table(schemas.PAPERS, ["doi"], "id"),
+    "summaries": tables.Table(schemas.SUMMARIES, ["paper_id", "summary_type"], "id"),
+    "embeddings": tables.Table(schemas.EMBEDDINGS, ["paper_id", "embedding_type"], "id"),
+    "paper_metadata": tables.Table(schemas.PAPER_METADATA, ["paper_id", "key"], "id"),
 }
 STAGE_LOG = "stage string, key string, ok boolean, reason string, at timestamp, batch_id bigint"
 
@@ -39,7 +39,7 @@ LANDING = "doi string, title string, year int, source string, pdf_url string, st
 
 def use_rocksdb_state(spark: SparkSession) -> None:
     """Keep streaming state on the executors' disks instead of their heaps: for many keys."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_STATE)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", fetches.ROCKSDB_STATE)
 
 
 def landing_stream(
@@ -78,68 +78,94 @@ def parse_text(content: Column) -> Column:
     return tx.strip_html(F.try_validate_utf8(content.cast("string")))
 
 
+def describe_text(df: DataFrame, text: str, key: str) -> DataFrame:
+    """Default metadata of texts, ``(key, metadata)``: what the patterns find, and the most frequent words of each text."""
+    found = documents.metadata_fields(df, text, key).join(documents.frequent_words(df, text, key), key, "left")
+    fields = F.struct("keywords", *documents.METADATA_PATTERNS).cast(documents.METADATA_SCHEMA)
+    return found.select(key, fields.alias("metadata"))
+
+
 @dataclass
 class IngestFlow:
-    """The staged flow: fetched -> parsed -> summarised and embedded -> stored.
+    """The staged flow: fetched -> parsed -> described, summarised and embedded -> stored.
+
+    ``parse`` turns bytes into text; ``describe(df, text, key)`` gives ``metadata``; ``summarise(df, text, *keys)`` gives
+    ``(*keys, summary_type, content)``; ``embedder`` fills ``embedding``. A document without all kinds of summary, or without any
+    embedding, is not stored. Items that fail a stage go to the stage log with a reason and the rest goes on.
 
-    ``parse`` turns bytes into text; ``summarise(df, text, key)`` gives ``(key, summary_type, content)``;
-    ``embedder`` fills ``embedding``. Items that fail a stage go to the stage log with a reason
-    and the rest goes on.
+    A batch's edits of all tables count together: whatever ends it early, the tables stay as they were before it.
     """
 
     folder: str
     parse: Callable[[Column], Column] = parse_text
     summarise: Callable[..., DataFrame] = documents.extractive_summaries
+    describe: Callable[..., DataFrame] = describe_text
     embedder: Callable[..., DataFrame] = field(default_factory=vector_search.hash_embedder)
     buckets: int = tables.DEFAULT_BUCKETS
     as_of: Column | None = None
+    summary_kinds: int = len(documents.PROMPTS)
 
-    def path(self, name: str) -> str:
-        return f"{self.folder}/{name}"
+    @property
+    def store(self) -> tables.Store:
+        return tables.Store(f"{self.folder}/tables", PAPER_TABLES, self.buckets)
 
     def create(self, spark: SparkSession) -> None:
         """Make the empty tables."""
-        for name, (schema, keys) in PAPER_TABLES.items():
-            tables.create_table(spark.createDataFrame([], schema), self.path(name), keys, self.buckets)
+        self.store.create(spark)
         log = spark.createDataFrame([], STAGE_LOG)
-        log.write.partitionBy("batch_id").parquet(self.path("stage_log"))
+        log.write.partitionBy("batch_id").parquet(f"{self.folder}/stage_log")
 
     def table(self, spark: SparkSession, name: str) -> DataFrame:
-        return tables.read_table(spark, self.path(name), PAPER_TABLES[name][0])
+        return self.store.read(spark, name)
 
     def stage_log(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(STAGE_LOG).parquet(self.path("stage_log"))
+        return spark.read.schema(STAGE_LOG).parquet(f"{self.folder}/stage_log")
 
-    def start(self, landing: DataFrame, checkpoint: str, unique_key: str | None = "pdf_url") -> StreamingQuery:
-        """Start the flow over a stream of ``LANDING`` rows."""
-        stream = unique_stream(landing, unique_key) if unique_key else landing
+    def start(self, landing: DataFrame, checkpoint: str, retries: bool = True) -> StreamingQuery:
+        """Start the flow over a stream of ``LANDING`` rows.
+
+        With ``retries`` a URL stays open until an attempt succeeds or its attempts are used up; without, every row is taken.
+        """
+        stream = fetches.fetch_outcomes(landing) if retries else landing
         writer = stream.writeStream.foreachBatch(self.store_batch).option("checkpointLocation", checkpoint)
-        return writer.trigger(availableNow=True).start()
+        return writer.outputMode("append").trigger(availableNow=True).start()
 
     def store_batch(self, batch: DataFrame, batch_id: int) -> None:
         """One micro-batch, or a whole backlog as a batch job, through all stages.
 
-        Each stage's result is written once to the work folder; the steps after it read that.
+        Each stage's result is written once to the work folder; the steps after it read that. A batch that runs again
+        after its tables counted overwrites them with the same values, and its part of the log.
         """
         spark = batch.sparkSession
         now = F.current_timestamp() if self.as_of is None else self.as_of
+        edits = self.store.begin(spark)
         parsed = written(self._parsed(batch), "parsed")
-        judged = written(self._judged(spark, parsed), "judged")
-        usable = judged.filter(F.col("reason").isNull())
-        self._upsert(spark, "papers", usable.select("doi", "title", "year", "pdf_url", "sha256", "source", "ord"),
-                     lambda old, new, **ids: store.upsert_papers(old, new, now, **ids))
-        stored = self.table(spark, "papers").select("doi", F.col("id").alias("paper_id"))
-        texts = parsed.join(usable.select("doi", "ord"), ["doi", "ord"], "left_semi").select("doi", "text", "ord")
-        texts = written(texts.join(stored, "doi"), "texts")
-        summaries = self.summarise(texts, "text", "paper_id", "ord")
-        self._upsert(spark, "summaries", summaries,
-                     lambda old, new, **ids: store.upsert(old, new, ["paper_id", "summary_type"], ["content"], now, **ids))
-        vectors, unembedded = vector_search.embed_sections(
-            documents.sections(texts, "text", "paper_id"), self.embedder, "paper_id"
+        judged = written(self._judged(edits, parsed), "judged")
+        unique = judged.filter(F.col("reason").isNull())
+        texts = written(parsed.join(unique.select("doi", "ord"), ["doi", "ord"], "left_semi").select("doi", "text", "ord"), "texts")
+        summaries, unsummarised = documents.keep_complete(
+            written(self.summarise(texts, "text", "doi"), "summaries"), "doi", self.summary_kinds, texts)
+        vectors, unembedded = vector_search.embed_sections(documents.sections(texts, "text", "doi"), self.embedder, "doi", among=texts)
+        failed = written(unsummarised.unionByName(unembedded), "failed")
+        good = unique.join(failed.select(F.col("key").alias("doi")).distinct(), "doi", "left_anti")
+        edits.edit(
+            "papers", good.select("doi", "title", "year", "pdf_url", "sha256", "source", "ord"),
+            lambda old, new: store.upsert_papers(old, new, now, max_id=edits.last_id("papers")),
         )
-        self._upsert(spark, "embeddings", vectors.withColumn("ord", F.col("paper_id")),
-                     lambda old, new, **ids: store.upsert(old, new, ["paper_id", "embedding_type"], ["embedding"], now, touch=False, **ids))
-        self._log(parsed, judged, unembedded, now, batch_id)
+        known = edits.read("papers").select("doi", F.col("id").alias("paper_id"))
+        ids = written(good.select("doi", "ord").join(known, "doi"), "paper-ids")
+        described = documents.metadata_rows(self.describe(texts, "text", "doi"), "doi").withColumnRenamed("paper_id", "doi")
+        for name, rows, keys, value, touch in (
+            ("summaries", summaries, ["paper_id", "summary_type"], "content", True),
+            ("embeddings", vectors, ["paper_id", "embedding_type"], "embedding", False),
+            ("paper_metadata", described, ["paper_id", "key"], "value", True),
+        ):
+            edits.edit(
+                name, rows.join(ids, "doi").drop("doi"),
+                lambda old, new, n=name, k=keys, v=value, t=touch: store.upsert(old, new, k, [v], now, touch=t, max_id=edits.last_id(n)),
+            )
+        edits.commit()
+        self._log(parsed, judged, failed, now, batch_id)
 
     def _parsed(self, batch: DataFrame) -> DataFrame:
         """Every fetched row with its hash and text, or with the reason why there is none."""
@@ -147,18 +173,21 @@ class IngestFlow:
         text = F.when(accepted, self.parse(F.col("content")))
         rows = batch.withColumn("sha256", F.when(accepted, tx.sha256_hex(F.col("content")))).withColumn("text", text)
         empty = F.col("text").isNull() | tx.is_blank(F.col("text"))
-        reason = F.when(~F.coalesce(accepted, F.lit(False)), ingest.http_reason(F.col("status"))).when(empty, "empty_text")
+        refused = ingest.http_reason(F.col("status"))
+        if "outcome" in batch.columns:
+            refused = F.when(F.col("outcome") == fetches.REJECTED, F.concat(refused, F.lit(", given up"))).otherwise(refused)
+        reason = F.when(~F.coalesce(accepted, F.lit(False)), refused).when(empty, "empty_text")
         return rows.withColumn("reason", reason).drop("content")
 
-    def _judged(self, spark: SparkSession, parsed: DataFrame) -> DataFrame:
+    def _judged(self, edits: tables.Batch, parsed: DataFrame) -> DataFrame:
         """Parsed rows without their texts, one per DOI, with a reason for those not to be stored.
 
         The last row of a DOI counts, and the first DOI of each file; DOIs stored before go first.
         """
-        narrow = parsed.filter(F.col("reason").isNull()).drop("text")
+        narrow = parsed.filter(F.col("reason").isNull()).select("doi", "title", "year", "source", "pdf_url", "ord", "sha256")
         latest = last_by_key(narrow, ["doi"], ["ord"])
         first = latest.groupBy("sha256").agg(F.min_by("doi", "ord").alias("_first"))
-        stored = self.table(spark, "papers").select("sha256", F.col("doi").alias("_stored"))
+        stored = edits.read("papers").select("sha256", F.col("doi").alias("_stored"))
         owners = first.join(stored, "sha256", "left").select(
             "sha256", F.coalesce("_stored", "_first").alias("doi"), F.lit(True).alias("_owns")
         )
@@ -166,23 +195,24 @@ class IngestFlow:
         marked = latest.join(owners, ["sha256", "doi"], "left")
         return marked.withColumn("reason", F.when(F.col("_owns").isNull(), "duplicate_sha256")).drop("_owns")
 
-    def _log(self, parsed: DataFrame, judged: DataFrame, unembedded: DataFrame, now: Column, batch_id: int) -> None:
+    def _log(self, parsed: DataFrame, judged: DataFrame, failed: DataFrame, now: Column, batch_id: int) -> None:
+        """What became of every item at every stage; a document that failed a stage goes no further."""
+
         def stage(name: str, rows: DataFrame, reason: Column) -> DataFrame:
             return rows.select(F.lit(name).alias("stage"), F.col("pdf_url").alias("key"), reason.alias("reason"))
 
         fetched = F.col("sha256").isNotNull()
         log = stage("download", parsed, F.when(~fetched, F.col("reason")))
         log = log.unionByName(stage("parse", parsed.filter(fetched), F.col("reason")))
-        log = log.unionByName(stage("store", judged, F.col("reason"))).unionByName(unembedded)
+        for name in ("summarise", "embed"):
+            lost = failed.filter(F.col("stage") == name).select(F.col("key").alias("doi"), F.col("reason").alias("_failed"))
+            of_stage = judged.filter(F.col("reason").isNull()).join(lost, "doi", "left")
+            log = log.unionByName(stage(name, of_stage, F.col("_failed")))
+        lost = failed.select(F.col("key").alias("doi")).distinct()
+        log = log.unionByName(stage("store", judged.join(lost, "doi", "left_anti"), F.col("reason")))
         log = log.withColumn("ok", F.col("reason").isNull()).withColumn("at", now)
         writer = log.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
-        writer.option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(self.path("stage_log"))
-
-    def _upsert(self, spark: SparkSession, name: str, incoming: DataFrame, edit) -> None:
-        schema, keys = PAPER_TABLES[name]
-        max_id = self.table(spark, name).agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-        tables.edit_table(spark, self.path(name), schema, keys, incoming,
-                          lambda old, new: edit(old, new, max_id=max_id), self.buckets)
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{self.folder}/stage_log")
 
 
 def store_files(landing: DataFrame, output: str, checkpoint: str) -> StreamingQuery:

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from quillmill import schemas
@@ -170,6 +171,62 @@ def test_keyed_table_rewrites_only_touched_buckets(spark, tmp_path):
     assert stored.count() == 40 and stored.filter("doi = '10.1/3'").first()["title"] == "changed"
 
 
+def two_tables(spark, tmp_path, buckets=4):
+    made = tables.Store(str(tmp_path / "store"), {"a": tables.Table("k string, v string", ["k"]), "b": tables.Table("id bigint, k string", ["k"], "id")}, buckets)
+    made.create(spark)
+    return made
+
+
+def insert(old, new):
+    return old.join(new.select("k"), "k", "left_anti").select(*old.columns).unionByName(new)
+
+
+def test_edits_of_several_tables_count_together(spark, tmp_path, rows):
+    s = two_tables(spark, tmp_path)
+    first = s.begin(spark)
+    first.edit("a", spark.createDataFrame([("x", "1"), ("y", "1")], "k string, v string"), insert)
+    first.edit("b", spark.createDataFrame([(7, "x")], "id bigint, k string"), insert)
+    assert rows(s.read(spark, "a")) == [] and rows(first.read("a")) == [("x", "1"), ("y", "1")]
+    assert first.last_id("b") == 7
+    first.commit()
+    assert rows(s.read(spark, "a")) == [("x", "1"), ("y", "1")] and rows(s.read(spark, "b")) == [(7, "x")]
+    held = s.read(spark, "a")
+    # a batch that dies between its tables, here with the second edit, changes nothing
+    broken = s.begin(spark)
+    broken.edit("a", spark.createDataFrame([("x", "2")], "k string, v string"), insert)
+    with pytest.raises(Exception):
+        broken.edit("b", spark.createDataFrame([(8, "x")], "id bigint, k string"), lambda old, new: new.select(F.raise_error(F.lit("no")).cast("bigint").alias("id"), "k"))
+    assert rows(s.read(spark, "a")) == [("x", "1"), ("y", "1")] and s.begin(spark).last_id("b") == 7
+    # of two batches from the same state one counts
+    one, two = s.begin(spark), s.begin(spark)
+    for batch, value in ((one, "3"), (two, "4")):
+        batch.edit("a", spark.createDataFrame([("x", value)], "k string, v string"), insert)
+    one.commit()
+    with pytest.raises(RuntimeError):
+        two.commit()
+    assert rows(s.read(spark, "a")) == [("x", "3"), ("y", "1")]
+    assert rows(held) == [("x", "1"), ("y", "1")]  # a reader keeps what it began with
+    assert s.forget(spark, keep=1) > 0
+    assert rows(s.read(spark, "a")) == [("x", "3"), ("y", "1")] and rows(s.read(spark, "b")) == [(7, "x")]
+
+
+def test_the_last_row_of_a_bucket_can_be_deleted(spark, tmp_path, rows):
+    s = two_tables(spark, tmp_path, buckets=64)
+    batch = s.begin(spark)
+    batch.replace("a", spark.createDataFrame([(k, k) for k in "pqrs"], "k string, v string"))
+    batch.commit()
+    batch = s.begin(spark)
+    store.delete_cascade(batch, "a", "k", spark.createDataFrame([("q",), ("zz",)], "k string"), [store.Child("b", "k", "a", "k")])
+    batch.commit()
+    assert rows(s.read(spark, "a")) == [(k, k) for k in "prs"]
+
+
+def test_rows_must_stay_in_the_buckets_that_were_read(spark, tmp_path):
+    s = two_tables(spark, tmp_path, buckets=64)
+    with pytest.raises(ValueError):
+        s.begin(spark).edit("a", spark.createDataFrame([("x", "1")], "k string, v string"), lambda old, new: new.withColumn("k", F.lit("moved")))
+
+
 def test_constraints(spark, rows):
     df = spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (4, None), (None, "b")], "id bigint, k string")
     assert rows(constraints.unique_violations(df, ["k"])) == [("a", 2)]

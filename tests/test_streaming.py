@@ -1,4 +1,5 @@
 import uuid
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -6,7 +7,7 @@ from quillmill import schemas
 from quillmill.operators import ingest, stats, vector_search
 from quillmill.operators.hits import Provider
 from quillmill.plans import literature
-from quillmill.streaming import jobs
+from quillmill.streaming import fetches, jobs
 
 
 
@@ -31,18 +32,22 @@ def flow(tmp_path, spark):
 
 
 BATCHES = [
-    [row(1), row(2, status=403), row(3, body="  \n "), row(4, url="http://h/1.pdf")],
-    [row(5, body="Paper 1. " + "word " * 60), row(6), row(7, doi="10.1/6"), row(8, url="http://h/6.pdf")],
+    [row(1), row(2, status=403), row(3, body="  \n "), row(4, url="http://h/1.pdf"), row(9, body="... !")],
+    [row(5, body="Paper 1. " + "word " * 60), row(6), row(7, doi="10.1/6"), row(8, url="http://h/6.pdf"), row(10, url="http://h/2.pdf", doi="10.1/2")],
 ]
 
 
 def check(spark, f):
     papers = {r["doi"]: (r["id"], r["title"]) for r in f.table(spark, "papers").collect()}
-    assert papers == {"10.1/1": (1, "T1"), "10.1/6": (2, "T7")}
-    assert f.table(spark, "summaries").count() == 8
-    assert sorted(r["embedding_type"] for r in f.table(spark, "embeddings").collect()) == ["abstract"] * 2 + ["full_text"] * 2 + ["title"] * 2
+    # the URL that failed first is stored by its second attempt
+    assert papers == {"10.1/1": (1, "T1"), "10.1/6": (2, "T7"), "10.1/2": (3, "T10")}
+    assert f.table(spark, "summaries").count() == 12
+    assert sorted(r["embedding_type"] for r in f.table(spark, "embeddings").collect()) == ["abstract"] * 3 + ["full_text"] * 3 + ["title"] * 3
+    found = {(r["key"], r["value"]) for r in f.table(spark, "paper_metadata").collect()}
+    assert found == {("keywords", '["paper"]')}
     failed = {(r["stage"], r["key"], r["reason"]) for r in f.stage_log(spark).filter("not ok").collect()}
-    assert failed == {("download", "http://h/2.pdf", "HTTP 403"), ("parse", "http://h/3.pdf", "empty_text"), ("store", "http://h/5.pdf", "duplicate_sha256")}
+    assert failed == {("download", "http://h/2.pdf", "HTTP 403"), ("parse", "http://h/3.pdf", "empty_text"),
+                      ("store", "http://h/5.pdf", "duplicate_sha256"), ("summarise", "http://h/9.pdf", "summary_failed")}
 
 
 def test_flow_over_two_runs_and_a_repeated_batch(spark, tmp_path):
@@ -53,13 +58,82 @@ def test_flow_over_two_runs_and_a_repeated_batch(spark, tmp_path):
         f.start(stream, str(tmp_path / "progress")).awaitTermination()
     check(spark, f)
     dashboard = {r["stage"]: (r["items"], r["succeeded"]) for r in stats.stage_dashboard(f.stage_log(spark)).collect()}
-    assert dashboard == {"download": (6, 5), "parse": (5, 4), "store": (3, 2)}
+    assert dashboard == {"download": (8, 7), "parse": (7, 6), "summarise": (4, 3), "embed": (4, 4), "store": (4, 3)}
     # a batch that runs again changes nothing
     seen_before = [r for r in BATCHES[1] if r[4] != "http://h/8.pdf" and r[4] != "http://h/6.pdf"] + [BATCHES[1][1]]
     f.store_batch(spark.createDataFrame(seen_before, jobs.LANDING), 1)
     check(spark, f)
 
 
+def test_a_batch_that_dies_leaves_the_tables(spark, tmp_path):
+    f = flow(tmp_path, spark)
+    f.store_batch(spark.createDataFrame([row(1)], jobs.LANDING), 0)
+    broken = jobs.IngestFlow(f.folder, buckets=4, as_of=as_of(), embedder=vector_search.hash_embedder(16),
+                             describe=lambda df, text, key: df.select(key, F.raise_error(F.lit("model is gone")).alias("metadata")))
+    try:
+        broken.store_batch(spark.createDataFrame([row(2), row(3, doi="10.1/1")], jobs.LANDING), 1)
+        raise AssertionError("it should have failed")
+    except AssertionError:
+        raise
+    except Exception:
+        pass
+    assert [(r["doi"], r["title"]) for r in f.table(spark, "papers").collect()] == [("10.1/1", "T1")]
+    assert f.table(spark, "summaries").count() == 4
+    f.store_batch(spark.createDataFrame([row(2), row(3, doi="10.1/1")], jobs.LANDING), 1)
+    assert sorted((r["doi"], r["title"]) for r in f.table(spark, "papers").collect()) == [("10.1/1", "T3"), ("10.1/2", "T2")]
+
+
+ATTEMPTS = "pdf_url string, status int, ord bigint, content binary, at timestamp"
+
+
+def attempts(*rows):
+    start = datetime(2024, 1, 1)
+    return [(u, s, o, bytearray(b"body"), start + timedelta(seconds=sec)) for u, s, o, sec in rows]
+
+
+def outcomes(spark, tmp_path, name, **options):
+    found = []
+    stream = jobs.landing_stream(spark, str(tmp_path / "in"), ATTEMPTS, max_files=1)
+    told = fetches.fetch_outcomes(stream, **options).writeStream.option("checkpointLocation", str(tmp_path / name)).outputMode("append")
+    keep = lambda b, _: found.extend((r["pdf_url"], r["outcome"], r["attempts"], r["ord"], r["next_at"]) for r in b.collect())
+    told.foreachBatch(keep).trigger(availableNow=True).start().awaitTermination()
+    return sorted(found, key=repr)
+
+
+def test_outcomes_of_urls(spark, tmp_path):
+    def put(*rows):
+        spark.createDataFrame(attempts(*rows), ATTEMPTS).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    at = lambda sec: datetime(2024, 1, 1) + timedelta(seconds=sec)
+    put(("a", 403, 1, 0), ("b", 200, 5, 1), ("b", 200, 3, 2), ("c", 500, 1, 0), ("c", 500, 2, 0), ("c", None, 3, 0), ("c", 200, 4, 0))
+    first = [("a", "retry", 1, 1, at(4)), ("b", "accepted", 0, 3, None), ("c", "rejected", 3, 3, None)]
+    assert outcomes(spark, tmp_path, "plain") == first
+    # the state lives on in the progress folder: what is done stays done, and the failed URL is accepted
+    put(("a", 200, 9, 30), ("b", 200, 1, 31), ("c", 200, 9, 33), ("d", 403, 1, 100), ("d", 403, 2, 101))
+    second = [("a", "accepted", 1, 9, None), ("d", "retry", 2, 2, at(105))]
+    assert outcomes(spark, tmp_path, "plain") == second
+    # with event time a retry that nobody made is told as due, and done URLs are forgotten
+    put(("e", 200, 1, 5000), ("b", 200, 6, 5001))
+    put(("b", 200, 7, 90_000))
+    timed = outcomes(spark, tmp_path, "timed", event_time=True, forget=600.0)
+    due = [o for o in timed if o[1] == "due"]
+    assert due == [("d", "due", 2, None, at(105))]
+    assert [o for o in timed if o[0] == "b"] == [("b", "accepted", 0, 3, None), ("b", "accepted", 0, 7, None)]
+
+
+def test_a_hot_url_is_read_once(spark, tmp_path):
+    """One URL with most of the rows, in many Arrow batches: the first success by number, few failures before it."""
+    rows = spark.range(40_000).selectExpr(
+        "'hot' AS pdf_url", "CASE WHEN id IN (3, 7) THEN 404 ELSE 200 END AS status", "40000 - id AS ord", "CAST('x' AS binary) AS content",
+        "timestamp'2024-01-01 00:00:00' AS at")
+    rows.repartition(3).write.parquet(str(tmp_path / "in"))
+    stream = jobs.landing_stream(spark, str(tmp_path / "in"), ATTEMPTS)
+    told = fetches.fetch_outcomes(stream).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "p"))
+    told.trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+    found = spark.read.schema(f"{ATTEMPTS}, {fetches.OUTCOME}").parquet(str(tmp_path / "out")).collect()
+    assert [(r["outcome"], r["ord"], r["attempts"]) for r in found] == [("accepted", 1, 0)]
+
+
 def test_unique_stream_remembers_across_runs(spark, tmp_path):
     for i in range(2):
         land(spark, tmp_path / "landing", [row(1), row(i + 10), row(i + 10)])

@@ -27,8 +27,9 @@ def test_chunks_join_to_the_text(spark, length):
     df = spark.createDataFrame([(1, text)], "id bigint, text string")
     chunks = [r["chunk"] for r in docs.chunk_text(df, "text", "id").orderBy("chunk_no").collect()]
     assert chunks == [text[i : i + 4000] for i in range(0, length, 4000)]
-    got = {r["embedding_type"]: r["section_text"] for r in docs.sections(df, "text", "id").collect()}
-    want = {"title": text[:200], "abstract": text[200:1000], "full_text": text[:30000]}
+    got = {(r["embedding_type"], r["part_no"]): r["section_text"] for r in docs.sections(df, "text", "id").collect()}
+    want = {("title", 0): text[:200], ("abstract", 0): text[200:1000]}
+    want |= {("full_text", k): text[i : i + 30000] for k, i in enumerate(range(0, length, 30000))}
     assert got == {k: v for k, v in want.items() if v.strip()}
 
 
@@ -54,8 +55,9 @@ def test_assembled_chunks_equal_the_joined_text(spark, size):
         got[r["doc"]].append(r["chunk"])
     assert got == want
     chunks = docs.assemble_chunks(df, "doc", "page", "t", size=size, range_pages=4)
-    opening = {r["doc"]: r["text"] for r in docs.opening_text(chunks, "doc", chars=50, size=size).collect()}
-    assert opening == {d: "".join(c)[:50] for d, c in want.items() if c}
+    parts = {(r["doc"], r["part_no"]): r["text"] for r in docs.text_parts(chunks, "doc", chars=50, size=size).collect()}
+    whole = {d: "".join(c) for d, c in want.items()}
+    assert parts == {(d, k): t[i : i + 50] for d, t in whole.items() for k, i in enumerate(range(0, len(t), 50))}
 
 
 def test_empty_texts_are_rejected(spark, rows):
@@ -67,10 +69,10 @@ def test_empty_texts_are_rejected(spark, rows):
 
 def test_prompts(spark):
     df = spark.createDataFrame([(1, "y" * 4001), (2, "")], "id bigint, t string")
-    got = {r["summary_type"]: r for r in docs.prompts(df, "t", "id").collect()}
-    assert set(got) == {"executive", "key_findings", "methodology", "implications"}
-    assert got["executive"]["model"] == "gpt-4o" and got["implications"]["model"] == "gpt-4o-mini"
-    assert all(r["prompt"].endswith("\n\n" + "y" * 4000) and r["max_tokens"] == 500 for r in got.values())
+    got = {(r["summary_type"], r["chunk_no"]): r for r in docs.prompts(df, "t", "id").collect()}
+    assert set(got) == {(kind, no) for kind in ("executive", "key_findings", "methodology", "implications") for no in (0, 1)}
+    assert got["executive", 0]["model"] == "gpt-4o" and got["implications", 1]["model"] == "gpt-4o-mini"
+    assert all(r["prompt"].endswith("\n\n" + "y" * (4000 if no == 0 else 1)) and r["max_tokens"] == 500 for (_, no), r in got.items())
 
 
 def test_summaries_pick_cued_and_frequent_sentences_in_order(spark):
@@ -83,11 +85,22 @@ def test_summaries_pick_cued_and_frequent_sentences_in_order(spark):
     assert got["implications"] == "Alpha alpha beta! Future delta."
 
 
+def test_summaries_read_the_whole_text(spark):
+    text = "Calm words. " * 800 + "Results showed late findings here. " * 3
+    df = spark.createDataFrame([(1, text), (2, "... !!"), (3, None)], "id bigint, t string")
+    got = {(r["id"], r["summary_type"]): r["content"] for r in docs.extractive_summaries(df, "t", "id", top=2).collect()}
+    assert set(got) == {(1, kind) for kind in docs.SUMMARY_CUES}
+    assert got[1, "key_findings"] == "Results showed late findings here. Results showed late findings here."
+    assert got[1, "executive"] == "Calm words. Calm words."
+
+
 def test_incomplete_summaries_reject_the_document(spark, rows):
     df = spark.createDataFrame([(1, "a", "x"), (1, "b", "y"), (2, "a", "x"), (2, "b", None)], "id bigint, summary_type string, content string")
     kept, rejects = docs.keep_complete(df, "id", wanted=2)
     assert rows(kept.select("id").distinct()) == [(1,)]
     assert rows(rejects) == [("summarise", "2", "summary_failed")]
+    among = spark.createDataFrame([(1,), (2,), (3,)], "id bigint")
+    assert rows(docs.keep_complete(df, "id", 2, among)[1]) == [("summarise", k, "summary_failed") for k in ("2", "3")]
 
 
 def test_metadata_extraction(spark):

@@ -137,3 +137,14 @@ def test_sql_functions(spark, stored, papers):
     assert spark.sql("SELECT cosine_distance(array(1D, 0D), array(0D, 0D))").first()[0] is None
     parsed = spark.createDataFrame([("[0.5, 1]",), ("x",)], "s string").select(vec.parse_vector(F.col("s"))).collect()
     assert [r[0] for r in parsed] == [[0.5, 1.0], None]
+
+
+def test_parts_of_a_section_are_pooled_by_length(spark):
+    parts = [(1, "full_text", 30.0, [1.0, 0.0]), (1, "full_text", 10.0, [0.0, 1.0]), (1, "title", 5.0, [0.6, 0.8]),
+             (2, "full_text", 9.0, None), (2, "title", 9.0, None), (3, "full_text", 1.0, None), (3, "full_text", 2.0, [2.0, 0.0])]
+    df = spark.createDataFrame(parts, "id bigint, embedding_type string, _chars double, embedding array<float>")
+    asked = spark.createDataFrame([(1,), (2,), (3,), (4,)], "id bigint")
+    done, rejects = vs.split_embedded(vs.pooled(df, "id"), "id", asked)
+    got = {(r["id"], r["embedding_type"]): [round(x, 5) for x in r["embedding"]] for r in done.collect()}
+    assert got == {(1, "full_text"): [round(3 / 10**0.5, 5), round(1 / 10**0.5, 5)], (1, "title"): [0.6, 0.8], (3, "full_text"): [2.0, 0.0]}
+    assert sorted(r["key"] for r in rejects.collect()) == ["2", "4"]
