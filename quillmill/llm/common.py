@@ -35,6 +35,13 @@ def row_key() -> Column:
     return F.xxhash64("doc_id", "text")
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """The caller's rows in one column ``kept_row``, beside ``doc_id`` and ``row_key``: whatever their columns are called, nothing clashes."""
+    row = F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns]).alias("kept_row")
+    doc_id, text = F.col("doc_id").cast("bigint"), F.coalesce(F.col("text"), F.lit(""))
+    return docs.select(row, doc_id.alias("doc_id"), F.xxhash64(doc_id, text).alias("row_key"))
+
+
 def same_row(left: DataFrame, right: DataFrame) -> Column:
     """Join condition of two tables that both carry ``doc_id`` and ``row_key``."""
     return (left["row_key"] == right["row_key"]) & left["doc_id"].eqNullSafe(right["doc_id"])

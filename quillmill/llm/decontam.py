@@ -151,6 +151,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without any occurrence of a test window, columns as they are."""
-    found = contamination(docs, benchmark)[1].select(F.col("doc_id").alias("_doc"), F.col("row_key").alias("_row"))
-    key = F.xxhash64(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")))
-    return docs.join(found, (key == F.col("_row")) & F.col("doc_id").cast("bigint").eqNullSafe(F.col("_doc")), "left_anti")
+    found, rows = contamination(docs, benchmark)[1], common.packed(docs)
+    return rows.join(found, common.same_row(rows, found), "left_anti").select("kept_row.*")

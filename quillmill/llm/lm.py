@@ -156,7 +156,7 @@ def rare_sums(docs: DataFrame, frequent: Frequent) -> DataFrame:
             )
 
     rows = common.texts(docs).select(
-        "text", F.coalesce("doc_id", F.lit(0)).alias("doc"), _short_key().alias("key"), (common.fold() != HELD_OUT_FOLD).alias("train")
+        "text", _doc().alias("doc"), _short_key().alias("key"), (common.fold() != HELD_OUT_FOLD).alias("train")
     )
     words = rows.mapInArrow(spread, "h bigint, doc bigint, packed bigint")
     times, train, kind = F.expr("shiftright(packed, 32)"), F.expr("(packed & 16) > 0"), F.expr("packed & 15")
@@ -171,6 +171,11 @@ def rare_sums(docs: DataFrame, frequent: Frequent) -> DataFrame:
     )
 
 
+def _doc():
+    """The id, or 64 bits of the text of a row without one: such rows are as many as they like."""
+    return F.coalesce(F.col("doc_id"), F.xxhash64("text", F.lit("no id")))
+
+
 def _short_key():
     """24 bits that tell texts under one id apart; a null id and id 0 differ in it as well."""
     return F.xxhash64("doc_id", "text", F.col("doc_id").isNull()).bitwiseAND(F.lit((1 << 24) - 1))
@@ -347,13 +352,13 @@ def lm_scores(docs: DataFrame) -> DataFrame:
         table = log_probabilities(sent.value.weights)
         for batch in common.batches_of(batches):
             found = _dense(sent.value, Tokens.of(batch.column("text")), table)
-            held = [batch.column(c) for c in ("doc_id", "key", "held_out")]
-            yield pa.RecordBatch.from_arrays([*held, *(pa.array(v) for v in found.values())], names=["doc_id", "key", "held_out", *found])
+            held = [batch.column(c) for c in ("doc_id", "doc", "key", "held_out")]
+            yield pa.RecordBatch.from_arrays([*held, *(pa.array(v) for v in found.values())], names=["doc_id", "doc", "key", "held_out", *found])
 
-    rows = common.texts(docs).select("doc_id", "text", _short_key().alias("key"), (common.fold() == HELD_OUT_FOLD).alias("held_out"))
+    rows = common.texts(docs).select("doc_id", "text", _doc().alias("doc"), _short_key().alias("key"), (common.fold() == HELD_OUT_FOLD).alias("held_out"))
     scored = rows.mapInArrow(
-        score, "doc_id bigint, key bigint, held_out boolean, n_tokens bigint, dense_known bigint, dense_log double, dense_score double"
-    ).withColumn("doc", F.coalesce("doc_id", F.lit(0)))
+        score, "doc_id bigint, doc bigint, key bigint, held_out boolean, n_tokens bigint, dense_known bigint, dense_log double, dense_score double"
+    )
     same = scored.withColumn("same", F.expr("count(*) OVER (PARTITION BY doc, key)"))
     met = same.join(rare.select("doc", "key", "rare_log", "rare_known"), ["doc", "key"], "left")
     part = lambda c: F.coalesce(F.col(c), F.lit(0)) / F.col("same")

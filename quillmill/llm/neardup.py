@@ -310,10 +310,11 @@ def same_enough(held: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndar
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, row_key, class_id, n_links, n_copies.
+    """One row per row of ``docs``: doc_id, row_key, class_id, class_key, n_links, n_copies.
 
     Rows are of one class if a chain of links connects them; a link is a Jaccard similarity of at least 0.8.
-    class_id is the least doc_id of the class (null if all are null). n_links counts the other shingle sets
+    class_id is the least doc_id of the class (null if all are null); rows that share an id but not a text may be of several
+    classes, so class_key, which no two classes share, tells classes apart (null for a text without words). n_links counts the other shingle sets
     that are linked to the row's own, n_copies the rows that have its set, itself among them. A text
     without words has no links and no copies; its class is its own.
     """
@@ -331,10 +332,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     counted = links.groupBy("set").agg(F.sum("links").alias("n_links"))
     named = sets.select("set", "n_copies", "least").join(classes, "set", "left").withColumn("root", F.coalesce("root", "set"))
     ids = named.groupBy("root").agg(F.min("least").alias("class_id"))
-    known = named.join(ids, "root").join(counted, "set", "left").select("set", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_copies")
-    full = some.select("doc_id", "row_key", "set").join(known, "set").select("doc_id", "row_key", "class_id", "n_links", "n_copies")
+    known = named.join(ids, "root").join(counted, "set", "left").select(
+        "set", "class_id", F.lower(F.hex("root")).alias("class_key"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_copies")
+    full = some.select("doc_id", "row_key", "set").join(known, "set").select("doc_id", "row_key", "class_id", "class_key", "n_links", "n_copies")
     empty = held.filter(F.col("set").isNull())
-    alone = empty.select("doc_id", "row_key", F.col("doc_id").alias("class_id"), F.lit(0).cast("bigint").alias("n_links"), F.lit(1).cast("bigint").alias("n_copies"))
+    alone = empty.select("doc_id", "row_key", F.col("doc_id").alias("class_id"), F.lit(None).cast("string").alias("class_key"), F.lit(0).cast("bigint").alias("n_links"), F.lit(1).cast("bigint").alias("n_copies"))
     return full.unionByName(alone)
 
 
@@ -342,15 +344,12 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each class the row with the least id (ties: least
     hash of the text, then the other columns). Texts without words all stay."""
     classes = near_duplicates(docs)
-    linked = classes.filter("n_links > 0 or n_copies > 1")
-    best = linked.groupBy("class_id").agg(F.min(F.struct("doc_id", "row_key")).alias("best"))
+    linked = classes.filter("n_links > 0 or n_copies > 1").select("doc_id", "row_key", "class_key")
+    best = linked.groupBy("class_key").agg(F.min(F.struct("doc_id", "row_key")).alias("best"))
     # rows to leave out, and of the best rows of a class all but the first if they repeat
-    rest = linked.join(best, linked["class_id"].eqNullSafe(best["class_id"])).select(
-        linked["doc_id"].alias("_doc"), linked["row_key"].alias("_row"), (F.struct("doc_id", "row_key") == F.col("best")).alias("_best")
-    ).distinct()
-    key = F.xxhash64(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")))
-    met = docs.withColumn("_key", key).join(rest, (F.col("_key") == F.col("_row")) & F.col("doc_id").cast("bigint").eqNullSafe(F.col("_doc")), "left")
-    met = met.filter(F.col("_best").isNull() | F.col("_best"))
-    again = Window.partitionBy("_key", "doc_id").orderBy(*[c for c in docs.columns if c not in ("doc_id", "text")] or [F.lit(1)])
-    firsts = met.filter(F.col("_best").isNotNull()).withColumn("_nth", F.row_number().over(again)).filter("_nth = 1")
-    return met.filter(F.col("_best").isNull()).select(*docs.columns).unionByName(firsts.select(*docs.columns))
+    rest = linked.join(best, "class_key").select("doc_id", "row_key", (F.struct("doc_id", "row_key") == F.col("best")).alias("is_best")).distinct()
+    rows = common.packed(docs)
+    met = rows.join(rest, common.same_row(rows, rest), "left").select("kept_row", rows["doc_id"], rows["row_key"], "is_best")
+    again = Window.partitionBy("row_key", "doc_id").orderBy(F.to_json("kept_row"))
+    firsts = met.filter("is_best").withColumn("nth", F.row_number().over(again)).filter("nth = 1")
+    return met.filter("is_best is null").select("kept_row").unionByName(firsts.select("kept_row")).select("kept_row.*")

@@ -34,24 +34,24 @@ WITH docs AS (
     UNION ALL {_matches(2, secrets.HEX, 0, "true")}
     UNION ALL {_matches(3, secrets.OPAQUE, 0, "regexp_matches(v, '[0-9]') AND regexp_matches(v, '[a-z]') AND regexp_matches(v, '[A-Z]')")}
 ), held AS (
-    SELECT v, count(DISTINCT owner) AS n_owners FROM found GROUP BY v
+    SELECT v, count(DISTINCT owner) AS n_owners, count(DISTINCT (owner, repo)) AS n_repos FROM found GROUP BY v
 ), judged AS (
-    SELECT f.*, n_owners < {secrets.EXAMPLE_OWNERS} AND len(list_distinct(string_split(f.v, ''))) >= {secrets.LEAST_CHARACTERS}
+    SELECT f.*, n_owners, n_repos, n_owners < {secrets.EXAMPLE_OWNERS} AND n_repos < {secrets.EXAMPLE_REPOS} AND len(list_distinct(string_split(f.v, ''))) >= {secrets.LEAST_CHARACTERS}
         AND NOT regexp_matches(f.v, {_q(secrets.PLACEHOLDERS)}) AS live
     FROM found f JOIN held h ON f.v = h.v
 ), kept AS (
     SELECT * FROM judged j WHERE k < 3 OR live AND NOT EXISTS (
         SELECT 1 FROM found b WHERE b.doc_id = j.doc_id AND b.k < 3 AND b.beg < j.stop AND j.beg < b.stop)
 ), texts AS (
-    SELECT doc_id, k, beg, live, (['assign', 'access', 'hex', 'opaque'])[k + 1] || ':' || beg || ':' || stop AS span FROM kept
+    SELECT doc_id, k, beg, live, n_owners || ':' || n_repos AS held_by, (['assign', 'access', 'hex', 'opaque'])[k + 1] || ':' || beg || ':' || stop AS span FROM kept
 ), per_doc AS (
     SELECT doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
            string_agg(span, ',' ORDER BY beg, k) FILTER (k < 3) AS base, string_agg(span, ',' ORDER BY beg, k) AS spans,
-           count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_example
+           count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_example, string_agg(held_by, ',' ORDER BY beg, k) AS held_by
     FROM texts GROUP BY doc_id
 )
 SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
-       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example, coalesce(held_by, '') AS held_by
 FROM docs d LEFT JOIN per_doc p USING (doc_id)
 """
 

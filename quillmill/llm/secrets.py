@@ -2,8 +2,8 @@
 
 Every candidate (a password-like assignment, an access key, a long hexadecimal run, an opaque token) is
 hashed by value, and for each value the distinct owners and repositories over the whole corpus are
-counted. A value that several owners hold is a copied example; one that few hold, and that looks random,
-is taken for a live credential. Opaque tokens have no telling context, so they count only when live.
+counted. A value that several owners hold, or that is copied through many repositories of few owners, is an example; one
+that few hold, and that looks random, is taken for a live credential. Opaque tokens have no telling context, so they count only when live.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ PLACEHOLDERS = r"(?i)example|changeme|placeholder|your|dummy|xxxx|0000000|123456
 
 #: A value that this many owners hold is an example.
 EXAMPLE_OWNERS = 3
+#: So is one that stands in this many repositories, whoever owns them.
+EXAMPLE_REPOS = 4
 #: A value of fewer different characters than this does not look random.
 LEAST_CHARACTERS = 6
 
@@ -60,6 +62,14 @@ def _spans(k: int, pattern: str, may_match: Column, keep, value_group: int = 0)
     return F.when(may_match, spans).otherwise(F.array().cast(SPAN))
 
 
+def _may_hold() -> list[Column]:
+    """Which texts may have a candidate, by kind: all that have one."""
+    named = F.lit(False)
+    for word in KEYWORDS:
+        named = named | F.contains(F.lower("text"), F.lit(word))
+    return [named, F.contains("text", F.lit("AKIA")), F.col("text").rlike(HEX), F.col("text").rlike(OPAQUE)]
+
+
 def candidates(docs: DataFrame, owner: str = "source", repository: str = "lang") -> DataFrame:
     """doc_id, row_key, owner, repo and ``spans`` (by start, then kind) of every row; one pass, no shuffle.
 
@@ -70,17 +80,14 @@ def candidates(docs: DataFrame, owner: str = "source", repository: str = "lang")
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
         F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner"), F.coalesce(F.col(repository).cast("string"), F.lit("")).alias("repo"),
     )
-    low = F.lower("text")
-    named = F.contains(low, F.lit(KEYWORDS[0]))
-    for word in KEYWORDS[1:]:
-        named = named | F.contains(low, F.lit(word))
+    may = _may_hold()
     always = lambda v: F.lit(True)
     mixed = lambda v: v.rlike("[0-9]") & v.rlike("[a-z]") & v.rlike("[A-Z]")
     spans = F.concat(
-        _spans(0, ASSIGN, named, lambda v: F.length(v) >= 8, value_group=2),
-        _spans(1, ACCESS, F.contains("text", F.lit("AKIA")), always),
-        _spans(2, HEX, F.col("text").rlike(HEX), always),
-        _spans(3, OPAQUE, F.col("text").rlike(OPAQUE), mixed),
+        _spans(0, ASSIGN, may[0], lambda v: F.length(v) >= 8, value_group=2),
+        _spans(1, ACCESS, may[1], always),
+        _spans(2, HEX, may[2], always),
+        _spans(3, OPAQUE, may[3], mixed),
     )
     return base.select("doc_id", common.row_key().alias("row_key"), "owner", "repo", F.array_sort(spans).alias("spans"))
 
@@ -100,7 +107,7 @@ def looks_random(value: Column) -> Column:
     return (F.size(F.array_distinct(F.split(value, ""))) >= LEAST_CHARACTERS) & ~value.rlike(PLACEHOLDERS)
 
 
-def judged(found: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+def judged(found: DataFrame, example_owners: int = EXAMPLE_OWNERS, example_repos: int = EXAMPLE_REPOS) -> DataFrame:
     """doc_id, row_key and ``spans`` (with n_owners, n_repos, live) of the rows of ``found`` that keep any span.
 
     Base spans all stay, with their verdict; opaque tokens stay if live and clear of the base spans.
@@ -109,7 +116,7 @@ def judged(found: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
     clear = ~F.exists("spans", lambda o: (o["k"] < 3) & (o["start"] < F.col("s.stop")) & (F.col("s.start") < o["stop"]))
     spans = spans.withColumn("usable", (F.col("s.k") < 3) | clear).filter("usable").select("doc_id", "row_key", "s")
     counted = spans.withColumn("value_hash", F.sha2(F.col("s.value"), 256)).join(ownership(found), "value_hash")
-    live = (F.col("n_owners") < example_owners) & looks_random(F.col("s.value"))
+    live = (F.col("n_owners") < example_owners) & (F.col("n_repos") < example_repos) & looks_random(F.col("s.value"))
     kept = counted.withColumn("live", live).filter((F.col("s.k") < 3) | F.col("live"))
     return kept.groupBy("doc_id", "row_key").agg(
         # repeated rows give the same spans again
@@ -143,6 +150,8 @@ def secret_scan(docs: DataFrame, owner: str = "source", repository: str = "lang"
         "doc_id", *[of(_of_kind(k)).alias(f"n_{KINDS[k]}") for k in range(3)],
         F.sha2(_named(base), 256).alias("base_sha256"), _named(F.col("spans")).alias("spans"),
         of(lambda s: s["live"]).alias("n_live"), of(lambda s: ~s["live"]).alias("n_example"),
+        # for each span, in their order, how many owners and repositories hold its value
+        F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["n_owners"], s["n_repos"])), ",").alias("held_by"),
     )
 
 
@@ -152,18 +161,12 @@ def redacted(docs: DataFrame, owner: str = "source", repository: str = "lang") -
     Only texts with a candidate are shuffled, to meet their verdicts. ``n_chars``, if there, follows the new text.
     """
     found = written(candidates(docs, owner, repository), "secret-candidates")
-    verdicts = judged(found).select("doc_id", "row_key", F.filter("spans", lambda s: s["live"]).alias("_cuts")).filter(F.size("_cuts") > 0)
-    suspect = F.col("text").rlike(HEX) | F.col("text").rlike(OPAQUE) | F.contains("text", F.lit("AKIA"))
-    for word in KEYWORDS:
-        suspect = suspect | F.contains(F.lower("text"), F.lit(word))
-    suspect = F.coalesce(suspect, F.lit(False))
-    dirty = docs.filter(suspect)
-    keyed = dirty.withColumn("_key", F.xxhash64(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit(""))))
-    met = keyed.join(
-        verdicts.withColumnRenamed("doc_id", "_doc").withColumnRenamed("row_key", "_row"),
-        (F.col("_key") == F.col("_row")) & F.col("doc_id").cast("bigint").eqNullSafe(F.col("_doc")), "left",
-    )
-    text = F.col("text")
+    verdicts = judged(found).select("doc_id", "row_key", F.filter("spans", lambda s: s["live"]).alias("cuts")).filter(F.size("cuts") > 0)
+    named, access, long_hex, opaque = _may_hold()
+    suspect = F.coalesce(named | access | long_hex | opaque, F.lit(False))
+    rows = common.packed(docs.filter(suspect))
+    met = rows.join(verdicts, common.same_row(rows, verdicts), "left").select("kept_row", "cuts")
+    text = F.col("kept_row.text")
 
     def step(seen, s):
         skip = F.greatest(seen["at"], s["stop"])
@@ -172,7 +175,7 @@ def redacted(docs: DataFrame, owner: str = "source", repository: str = "lang") -
         return F.struct(skip.alias("at"), F.when(fresh, piece).otherwise(seen["out"]).alias("out"))
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate("_cuts", start, step, lambda seen: F.concat(seen["out"], text.substr(seen["at"] + 1, F.length(text))))
-    new = F.when(F.col("_cuts").isNotNull(), clean).otherwise(text)
+    clean = F.aggregate("cuts", start, step, lambda seen: F.concat(seen["out"], text.substr(seen["at"] + 1, F.length(text))))
+    new = F.when(F.col("cuts").isNotNull(), clean).otherwise(text)
     changed = {"text": new} | ({"n_chars": F.length(new).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
-    return docs.filter(~suspect).unionByName(met.withColumns(changed).select(*docs.columns))
+    return docs.filter(~suspect).unionByName(met.select(*[changed.get(c, F.col("kept_row")[c]).alias(c) for c in docs.columns]))

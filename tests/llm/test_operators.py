@@ -281,6 +281,14 @@ def test_lm_of_no_rows(spark):
     assert all(r["n_known"] == 0 for r in lm.lm_scores(table(spark, [(i, "x") for i in range(40) if zlib.crc32(str(i).encode()) % 5 == 1])).collect())
 
 
+def test_rows_without_an_id_are_told_apart(spark):
+    """Many rows without an id: their words are counted each for itself."""
+    docs = spark.createDataFrame([(None, f"only{k} again") for k in range(3000)], "doc_id bigint, text string")
+    told = lm.lm_scores(docs).collect()
+    counts = Counter(w for r in range(3000) for w in (f"only{r}", "again")) if zlib.crc32(b"") % 5 != 1 else Counter()
+    assert Counter(r["n_known"] for r in told) == Counter({3 if counts else 0: 3000})
+
+
 # -- 6: personal data ----------------------------------------------------------------------------------
 
 PII = ["write to a.b@c.de or call +1 (275) 555-7228 now", "ip 1.2.3.4 or 300.1.1.1", "card 4111 1111 1111 1111 and 4111111111111112", "@ a@b a@b.c@d.e", "+49 30 1"]
@@ -366,10 +374,42 @@ def test_near_duplicates(spark):
     kept = neardup.one_of_each(docs)
     assert kept.columns == docs.columns
     single = [e for e in expected if e[2] == 0 and e[3] == 1]
+    # no id stands for two classes here
     assert kept.count() == len(single) + len({e[1] for e in expected if e[2] or e[3] > 1})
     assert neardup.near_duplicates(docs.limit(0)).count() == 0
 
 
+CLASHING = "doc_id bigint, text string, lang string, source string, n_chars bigint, _key string, _row string, _doc string, _best string, _nth string, _cuts string, kept_row string, row_key string, cuts string, class_key string"
+
+
+def clashing(spark, rows):
+    return spark.createDataFrame([(i, t, "en", "s", len(t or ""), *(f"{k}{n}" for n in range(10))) for k, (i, t) in enumerate(rows)], CLASHING)
+
+
+def test_one_of_each_class_stays_whatever_the_ids(spark):
+    text = {name: " ".join(f"{name}{k}" for k in range(30)) for name in "ABCDE"}
+    rows = [(4, text["A"]), (5, text["A"]), (4, text["B"]), (6, text["B"]), (None, text["C"]), (None, text["C"]), (None, text["D"]), (None, text["D"]), (9, text["E"])]
+    docs = clashing(spark, rows)
+    kept = neardup.one_of_each(docs)
+    assert kept.dtypes == docs.dtypes
+    before = {tuple(r) for r in docs.collect()}
+    found = kept.collect()
+    assert all(tuple(r) in before for r in found)
+    assert sorted((r["text"], r["doc_id"] or 0) for r in found) == sorted([(text["A"], 4), (text["B"], 4), (text["C"], 0), (text["D"], 0), (text["E"], 9)])
+    told = neardup.near_duplicates(docs).collect()
+    assert len({r["class_key"] for r in told}) == 5
+
+
+def test_stages_with_clashing_columns(spark):
+    rows = [(1, "token=aB3dE5gH7jK9mN1p end"), (None, "nothing here"), (2, "one two three four five six seven eight nine ten"), (2, None)]
+    docs = clashing(spark, rows)
+    bench = spark.createDataFrame([("q", "one two three four five six seven eight nine ten")], "item_id string, text string")
+    clean, cut = decontam.clean(docs, bench), secrets.redacted(docs)
+    assert clean.dtypes == cut.dtypes == docs.dtypes
+    assert sorted((r["text"] or "") for r in clean.collect()) == ["", "nothing here", "token=aB3dE5gH7jK9mN1p end"]
+    assert {r["_key"]: r["text"] for r in cut.collect()} == {"00": "[SECRET] end", "10": "nothing here", "20": rows[2][1], "30": None}
+
+
 def test_posterior_and_pruning():
     xs = (np.arange(200_000) + 0.5) / 200_000
     for m, n in ((3, 16), (14, 32), (57, 96)):
@@ -402,6 +442,13 @@ def test_secrets(spark):
     assert secrets.secret_scan(docs.limit(0)).count() == 0
 
 
+def test_a_value_copied_through_the_repositories_of_one_owner_is_an_example(spark):
+    rows = [(i, "token=aB3dE5gH7jK9mN1p", f"r{i}", "one") for i in range(5)] + [(9, "token=zY3dE5gH7jK9mN1p", "r1", "one"), (10, "token=zY3dE5gH7jK9mN1p", "r2", "one")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    got = {r["doc_id"]: (r["n_live"], r["n_example"], r["held_by"]) for r in secrets.secret_scan(docs).collect()}
+    assert got == {**{i: (0, 1, "1:5") for i in range(5)}, 9: (1, 0, "1:2"), 10: (1, 0, "1:2")}
+
+
 # -- 9: pieces -----------------------------------------------------------------------------------------
 
 
