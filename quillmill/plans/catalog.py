@@ -11,7 +11,7 @@ from quillmill import schemas
 from quillmill.functions import text as tx
 from quillmill.functions import vectors as vec
 from quillmill.operators import (
-    constraints, dedupe, documents, graph, hits, ingest, lookups, ranking, resolve, stats, store, vector_search,
+    constraints, dedupe, documents, fuzzy, graph, hits, ingest, lookups, ranking, resolve, stats, store, vector_search,
 )
 from quillmill.operators.running import assign_ids
 from quillmill.plans import literature
@@ -201,6 +201,11 @@ def merge_by_title(i: Inputs) -> DataFrame:
     return dedupe.merge_by_title(i.hits).select("doc_id", "title")
 
 
+@query
+def merge_similar_titles(i: Inputs) -> DataFrame:
+    return fuzzy.merge_similar_titles(i.hits).select("doc_id", "title")
+
+
 @query
 def unique_items(i: Inputs) -> DataFrame:
     return stats.unique_items(resolve.keep_resolved(_resolved(i)))

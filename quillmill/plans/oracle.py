@@ -279,6 +279,19 @@ _add(
     HITS,
     f"keyed AS (SELECT *, list_sort({_words('title')}) AS w FROM hits)",
 )
+_add(
+    "merge_similar_titles",
+    """SELECT doc_id, title FROM keyed WHERE t = '' OR ord IN (SELECT id FROM titles) AND ord NOT IN (SELECT x FROM reached WHERE y < x)""",
+    HITS,
+    f"""keyed AS (SELECT *, array_to_string({_words('title')}, ' ') AS t FROM hits),
+titles AS (SELECT t, min(ord) AS id FROM keyed WHERE t <> '' GROUP BY t),
+near AS (
+    SELECT a.id AS x, b.id AS y FROM titles a JOIN titles b ON a.id <> b.id
+        AND least(length(a.t), length(b.t)) >= 0.85 * greatest(length(a.t), length(b.t)) - 0.000000001
+        AND levenshtein(a.t, b.t) <= floor(greatest(length(a.t), length(b.t)) * (1 - 0.85::DOUBLE) + 0.000000001))""",
+    "reached(x, y) AS (SELECT x, y FROM near UNION SELECT r.x, n.y FROM reached r JOIN near n ON r.y = n.x)",
+)
+SQL["merge_similar_titles"] = SQL["merge_similar_titles"].replace("WITH ", "WITH RECURSIVE ", 1)
 _add("unique_items", "SELECT count(DISTINCT pdf_url) AS unique_items FROM resolved", RESOLVED)
 _add(
     "dedup_ratio",
