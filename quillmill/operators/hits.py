@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from quillmill import schemas
 from quillmill.functions import text as tx
 from quillmill.operators.dedupe import merge_hits
+from quillmill.operators.running import laid_in_order
 
 log = logging.getLogger(__name__)
 
@@ -99,11 +100,12 @@ def search(spark: SparkSession, queries: DataFrame, providers: Sequence[Provider
     )
 
 
-def packed_order(ord: Column) -> Column:
-    """The order struct as one number that sorts alike (up to 2^10 queries, 2^9 providers, 2^44 hits each)."""
-    query = F.shiftleft(ord["query_idx"].cast("bigint"), 53)
-    source = F.shiftleft(ord["source_idx"].cast("bigint"), 44)
-    return query + source + ord["hit_idx"]
+def numbered(found: DataFrame, key: str, order: str = "ord") -> DataFrame:
+    """``(key, n)``: a number that sorts as the order struct does, for rows that ``key`` tells apart, however many queries there are.
+
+    Only key and order are laid in order, by ranges.
+    """
+    return laid_in_order(found.select(key, order), [order, key], "n", "numbered").select(key, "n")
 
 
 def search_and_merge(spark: SparkSession, queries: DataFrame, providers: Sequence[Provider]) -> DataFrame:

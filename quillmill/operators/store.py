@@ -278,14 +278,26 @@ def delete_cascade(batch, root: str, key: str, ids: DataFrame, children: Sequenc
 
 
 def save_hits(works: DataFrame, search_hits: DataFrame, hits: DataFrame, topic: str, as_of: Column, order: str = "ord") -> tuple[DataFrame, DataFrame]:
-    """Works and search hits after saving: a work for every hit with a DOI, a search hit for each.
+    """Works and search hits after saving: one work for each DOI, old or new, and a search hit for each hit.
 
-    Both rows of a hit share ``work_id``. Ids come from the hit itself, so saving again after a
-    lost task gives the same ones.
+    Hits with a DOI share the ``work_id`` of its work; each of the others has one of its own. Ids come from what they name (the
+    DOI, or the hit, its place in ``order`` and how many equal ones it follows), so that saving again after a lost task gives
+    the same ones, and no two hits of a topic share one.
     """
-    keyed = hits.withColumn("work_id", stable_uuid(F.lit("work"), F.lit(topic), F.to_json(F.struct(order))))
-    keyed = keyed.withColumn("hit_id", stable_uuid(F.lit("hit"), F.col("work_id"), F.coalesce("url", F.lit(""))))
-    with_doi = keyed.filter(F.col("doi").isNotNull() & (F.col("doi") != ""))
-    new_works = create_rows(works, with_doi.select("work_id", "doi"), {"created_at": as_of})
-    new_hits = keyed.select("hit_id", "work_id", "url", F.col("source").alias("provider"), F.lit(topic).alias("topic"))
+    named = hits.select(
+        F.when(F.col("doi") != "", F.col("doi")).alias("doi"), "url", F.col("source").alias("provider"),
+        F.xxhash64(*hits.columns).alias("_mark"), F.to_json(F.struct(order), {"ignoreNullFields": "false"}).alias("_place"),
+    )
+    # equal hits are counted first, so that they are one row however many they are
+    counted = named.groupBy(*named.columns).agg(F.count("*").cast("int").alias("_n"))
+    each = counted.withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("_n"))))
+    parts = [F.lit(topic), *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in ("doi", "url", "provider", "_mark", "_place", "_nth")]]
+    own = each.select("doi", "url", "provider", stable_uuid(F.lit("hit"), *parts).alias("hit_id"), stable_uuid(F.lit("alone"), *parts).alias("_alone"))
+    fresh = own.filter(F.col("doi").isNotNull()).select("doi").distinct().join(works.select("doi").distinct(), "doi", "left_anti")
+    new_works = create_rows(works, fresh.select(stable_uuid(F.lit("work"), F.col("doi")).alias("work_id"), "doi"), {"created_at": as_of})
+    known = new_works.filter(F.col("doi").isNotNull()).groupBy("doi").agg(F.min("work_id").alias("_work"))
+    with_doi, without = own.filter(F.col("doi").isNotNull()), own.filter(F.col("doi").isNull())
+    met = with_doi.join(known, "doi").withColumn("work_id", F.col("_work")).drop("_work")
+    saved = met.unionByName(without.withColumn("work_id", F.col("_alone")))
+    new_hits = saved.select("hit_id", "work_id", "url", "provider", F.lit(topic).alias("topic"))
     return new_works, create_rows(search_hits, new_hits, {})

@@ -13,6 +13,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from quillmill import schemas
 from quillmill.functions import text as tx
@@ -24,8 +26,8 @@ SIMILARITY_THRESHOLD = 0.7
 SEARCH_LIMIT = 10
 IVF_CELLS = 100
 
-# Largest number of bytes of query vectors sent to every task; more queries are searched in several rounds
-MAX_QUERY_BYTES = 64 * 1024 * 1024
+# Vectors of one block, and results that a task holds before it sends them on
+QUERY_BLOCK, VECTOR_BLOCK, HELD_RESULTS = 1024, 2048, 2_000_000
 
 
 def find_similar_papers(
@@ -66,76 +68,98 @@ def search_many(
     similarity_threshold: float | None = None,
     vector_id: str = "paper_id",
     vector: str = "embedding",
+    query_block: int = QUERY_BLOCK,
+    vector_block: int = VECTOR_BLOCK,
 ) -> DataFrame:
     """``(query_id, <vector_id>, similarity, rank)``: the exact ``k`` nearest vectors of every query.
 
-    ``queries`` has ``query_id`` and ``embedding``. Query vectors go to every task; a task multiplies
-    its vectors with them in blocks and sends on only its ``k`` best per query. Queries that exceed
-    ``MAX_QUERY_BYTES`` are searched in several rounds over the vectors.
+    ``queries`` has ``query_id`` and ``embedding``; ids may be of any type that can be ordered. Queries and vectors become
+    blocks, a row each; every block of queries meets every block of vectors of its dimension, one matrix product a pair, and a task
+    sends on its ``k`` best per query. The vectors are read once and sent nowhere while Spark can broadcast the query blocks; when they
+    are too many for that, blocks of both sides are dealt out, large ones split. Vectors without a direction match nothing.
     """
-    queries = written(queries.select("query_id", "embedding"), "queries")
-    size = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("dim")).first()
-    dim = size["dim"] or 0
-    rounds = max(1, -(-size["n"] * dim * 8 // MAX_QUERY_BYTES))
-    results = None
-    for i in range(rounds):
-        mine = queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(rounds)) == i)
-        found = _search_round(vectors.select(vector_id, vector), mine, dim, k, similarity_threshold, vector_id)
-        results = found if results is None else results.unionByName(found)
+    id_type, query_type = dict(vectors.dtypes)[vector_id], dict(queries.dtypes)["query_id"]
+    asked = _in_blocks(queries.select(F.col("query_id").alias("id"), F.col("embedding").alias("vector")), query_type, query_block)
+    asked = written(asked.withColumn("q_block", F.monotonically_increasing_id()), "query-blocks")
+    numbers = [r["q_block"] for r in asked.select("q_block").collect()]  # one for each block of queries
+    held = _in_blocks(vectors.select(F.col(vector_id).alias("id"), F.col(vector).alias("vector")), id_type, vector_block)
+    held = held.withColumn("q_block", F.explode(F.array(*[F.lit(n) for n in numbers]).cast("array<bigint>")))
+    sides = asked.select("q_block", "dim", F.col("ids").alias("query_ids"), F.col("matrix").alias("targets"))
+    met = held.join(sides, ["q_block", "dim"])
+    floor = -np.inf if similarity_threshold is None else similarity_threshold
+    schema = f"query_id {query_type}, {vector_id} {id_type}, similarity double"
+    found = met.mapInArrow(_best_of_blocks(k, floor, vec.SIMILARITY_DIGITS, schema), schema)
     best = Window.partitionBy("query_id").orderBy(F.desc("similarity"), vector_id)
-    return results.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
-def _search_round(
-    vectors: DataFrame, queries: DataFrame, dim: int, k: int, threshold: float | None, vector_id: str
-) -> DataFrame:
-    rows = queries.select("query_id", "embedding").toPandas()
-    spark = vectors.sparkSession
-    digits = vec.SIMILARITY_DIGITS
-    matrix = np.array(rows["embedding"].tolist(), dtype="float64").reshape(len(rows), dim)
-    lengths = np.linalg.norm(matrix, axis=1)
-    usable = lengths > 0
-    shared = spark.sparkContext.broadcast((
-        rows["query_id"].to_numpy()[usable], np.ascontiguousarray((matrix[usable] / lengths[usable, None]).T)
-    ))
-    floor = -np.inf if threshold is None else threshold
-
-    def keep_best(found):
-        q, scores, ids = found
-        place = np.lexsort((ids, -scores, q))
-        ordered = q[place]
-        rank = np.arange(len(q)) - np.searchsorted(ordered, ordered, "left")
-        kept = place[rank < k]
+def _in_blocks(rows: DataFrame, id_type: str, size: int) -> DataFrame:
+    """``(dim, ids, matrix)``: vectors at length one packed into blocks of at most ``size``, by dimension."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            sizes = np.asarray(lists.value_lengths().fill_null(-1))
+            for dim in np.unique(sizes[sizes > 0]):
+                chosen = pa.array(sizes == dim)
+                ids, flat = batch.column(0).filter(chosen), lists.filter(chosen).flatten()
+                matrix = flat.cast("float64").to_numpy(zero_copy_only=False).reshape(len(ids), dim)
+                lengths = np.linalg.norm(matrix, axis=1)
+                usable = np.flatnonzero(np.isfinite(lengths) & (lengths > 0))
+                for start in range(0, len(usable), size):
+                    part = usable[start : start + size]
+                    body = np.ascontiguousarray(matrix[part] / lengths[part, None])
+                    listed = pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), ids.take(pa.array(part)))
+                    yield pa.RecordBatch.from_arrays([pa.array([dim], pa.int32()), listed, pa.array([body.tobytes()], pa.binary())], names=["dim", "ids", "matrix"])
+
+    return rows.mapInArrow(pack, f"dim int, ids array<{id_type}>, matrix binary")
+
+
+def _best_of_blocks(k: int, floor: float, digits: int, schema: str):
+    """The ``k`` best vectors of every query among the block pairs of a task, above ``floor``; equal ones by id."""
+
+    def keep(q, scores, ids):
+        # ids of any type: their places in order stand for them
+        _, place = np.unique(ids, return_inverse=True)
+        order = np.lexsort((place, -scores, q))
+        first = np.searchsorted(q[order], q[order], "left")
+        kept = order[np.arange(len(q)) - first < k]
         return q[kept], scores[kept], ids[kept]
 
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_ids, targets = shared.value
-        best = None
-        worst = np.full(len(query_ids), -np.inf)  # the k-th best score so far, per query
+        best: dict[int, tuple] = {}
+        names: dict[int, pa.Array] = {}
+        worst: dict[int, np.ndarray] = {}
+
+        def told():
+            for block, (q, scores, ids) in best.items():
+                columns = [names[block].take(pa.array(q)), pa.array(ids.tolist(), arrow.field(1).type), pa.array(scores)]
+                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+            best.clear()
+            worst.clear()
+
         for batch in batches:
-            column = batch.column(1)
-            fitting = np.asarray(column.value_lengths().fill_null(-1)) == dim
-            ids = np.asarray(batch.column(0))[fitting]
-            block = column.filter(pa.array(fitting)).flatten().to_numpy(zero_copy_only=False)
-            block = block.astype("float64").reshape(len(ids), dim)
-            step = max(1, 4_000_000 // max(1, len(query_ids)))
-            for start in range(0, len(ids), step):
-                part = block[start : start + step]
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    scores = np.round(part @ targets / np.linalg.norm(part, axis=1)[:, None], digits)
-                r, q = np.nonzero((scores > floor) & (scores >= worst))
-                fresh = (q, scores[r, q], ids[start + r])
-                best = keep_best(fresh if best is None else tuple(map(np.concatenate, zip(best, fresh))))
-                full, where = np.unique(best[0], return_counts=True)
-                last = np.cumsum(where) - 1
-                worst[full[where == k]] = best[1][last[where == k]]
-        if best is not None:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(query_ids[best[0]]), pa.array(best[2]), pa.array(best[1])],
-                names=["query_id", vector_id, "similarity"],
-            )
-
-    return vectors.mapInArrow(search, f"query_id bigint, {vector_id} bigint, similarity double")
+            for row in range(batch.num_rows):
+                block, dim = batch.column("q_block")[row].as_py(), batch.column("dim")[row].as_py()
+                if block not in names:
+                    names[block] = batch.column("query_ids")[row].values
+                ids = batch.column("ids")[row].values.to_numpy(zero_copy_only=False)
+                targets, held = (np.frombuffer(batch.column(c)[row].as_buffer(), dtype="float64").reshape(-1, dim) for c in ("targets", "matrix"))
+                scores = np.round(targets @ held.T, digits)
+                least = worst.setdefault(block, np.full(len(targets), -np.inf))
+                q, r = np.nonzero((scores > floor) & (scores >= least[:, None]))
+                fresh = (q, scores[q, r], ids[r])
+                best[block] = keep(*(fresh if block not in best else tuple(map(np.concatenate, zip(best[block], fresh)))))
+                numbers, counts = np.unique(best[block][0], return_counts=True)
+                last = np.cumsum(counts) - 1
+                least[numbers[counts == k]] = best[block][1][last[counts == k]]
+                if sum(len(b[0]) for b in best.values()) > HELD_RESULTS:
+                    yield from told()
+        yield from told()
+
+    return search
 
 
 def wrong_dimension(df: DataFrame, dim: int, vector: str = "embedding") -> DataFrame:

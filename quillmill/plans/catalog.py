@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillmill import schemas
@@ -46,6 +46,19 @@ def hit_json_roundtrip(i: Inputs) -> DataFrame:
     return _longs(hit_files.read_hits_json(i.spark, path, multi_line=False), "year")
 
 
+@query
+def hit_json_rejects(i: Inputs) -> DataFrame:
+    """The hits as JSON lines, those of one language cut short: what is read, and what is told as broken."""
+    path = work_dir(i.spark, "broken")
+    line = F.to_json(F.struct(*schemas.HIT_COLUMNS))
+    cut = F.when(F.col("lang") == "de", line.substr(F.lit(1), F.length(line) - 1)).otherwise(line)
+    i.hits.select(cut.alias("value")).write.text(path)
+    read, rejects = hit_files.read_hits(i.spark, path, multi_line=False)
+    of_reads = read.select(F.lit("read").alias("outcome"), "source")
+    return of_reads.unionByName(rejects.select(F.col("reason").alias("outcome"), F.col("stage").alias("source"))).groupBy(
+        "outcome", "source").agg(F.count("*").alias("n"))
+
+
 @query
 def resolved_json_roundtrip(i: Inputs) -> DataFrame:
     path = work_dir(i.spark, "resolved")
@@ -150,11 +163,7 @@ def resolve_success_rate(i: Inputs) -> DataFrame:
 
 @query
 def fetch_plan(i: Inputs) -> DataFrame:
-    plan = resolve.fetch_plan(_resolved(i))
-    return plan.select(
-        "pdf_url", F.col("try_no").cast("bigint").alias("try_no"), "request_url",
-        F.col("headers")["Referer"].alias("referer"), F.size("headers").cast("bigint").alias("n_headers"),
-    )
+    return _longs(resolve.fetch_plan(_resolved(i)), "try_no")
 
 
 @query
@@ -685,7 +694,15 @@ def save_hits_works(i: Inputs) -> DataFrame:
 def save_hits(i: Inputs) -> DataFrame:
     works, found = _saved(i)
     joined = found.join(works.select("work_id", "doi"), "work_id", "left")
-    return joined.select("doi", "url", "provider", "topic")
+    shared = F.count("*").over(Window.partitionBy("hit_id"))
+    return joined.select("doi", "url", "provider", "topic", shared.alias("hits_with_this_id"))
+
+
+@query
+def save_hits_again(i: Inputs) -> DataFrame:
+    """Saving the same hits a second time adds search hits, but no work."""
+    works, found = _saved(i)
+    return store.save_hits(works, found, i.hits, "a topic", stamp(CREATED))[0].select("doi", "created_at")
 
 
 @query

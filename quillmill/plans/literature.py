@@ -42,10 +42,10 @@ def with_fetches(resolved: DataFrame, fetch_log: DataFrame) -> DataFrame:
     best = plan.groupBy("pdf_url").agg(F.min_by(F.struct("request_url", "_try.attempt"), preference).alias("_best"))
     chosen = best.select("pdf_url", "_best.request_url", "_best.attempt")
     bodies = chosen.join(log.select("request_url", "attempt", "status", "content"), ["request_url", "attempt"])
-    joined = resolved.join(bodies, "pdf_url")
+    joined = resolved.join(hits.numbered(resolved, "pdf_url"), "pdf_url").join(bodies, "pdf_url")
     return joined.select(
         "doi", "title", "year", F.col("resolver_source").alias("source"), "pdf_url", "status", "content",
-        hits.packed_order(F.col("ord")).alias("ord"),
+        F.col("n").alias("ord"),
     )
 
 

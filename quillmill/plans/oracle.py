@@ -214,13 +214,10 @@ _add(
 )
 _add(
     "fetch_plan",
-    """SELECT pdf_url, 0::BIGINT AS try_no, replace(pdf_url, '/pdf', '/pdf/') AS request_url,
-        'https://www.ncbi.nlm.nih.gov/' AS referer, 13::BIGINT AS n_headers
+    """SELECT pdf_url, 0::BIGINT AS try_no, replace(pdf_url, '/pdf', '/pdf/') AS request_url
     FROM resolved WHERE pdf_url LIKE '%ncbi.nlm.nih.gov%' AND pdf_url LIKE '%/pdf%'
     UNION ALL
-    SELECT pdf_url, CASE WHEN pdf_url LIKE '%ncbi.nlm.nih.gov%' AND pdf_url LIKE '%/pdf%' THEN 1 ELSE 0 END, pdf_url,
-        CASE WHEN pdf_url LIKE '%ncbi.nlm.nih.gov%' THEN 'https://www.ncbi.nlm.nih.gov/' END,
-        CASE WHEN pdf_url LIKE '%ncbi.nlm.nih.gov%' THEN 13 ELSE 11 END
+    SELECT pdf_url, CASE WHEN pdf_url LIKE '%ncbi.nlm.nih.gov%' AND pdf_url LIKE '%/pdf%' THEN 1 ELSE 0 END, pdf_url
     FROM resolved WHERE pdf_url IS NOT NULL""",
     RESOLVED,
 )
@@ -725,13 +722,20 @@ _add(
 )
 _add(
     "save_hits_works",
-    f"""SELECT doi, CAST(NULL AS VARCHAR) AS title, 36::BIGINT AS id_chars, TIMESTAMP '{AS_OF}' AS created_at
+    f"""SELECT DISTINCT doi, CAST(NULL AS VARCHAR) AS title, 36::BIGINT AS id_chars, TIMESTAMP '{AS_OF}' AS created_at
     FROM hits WHERE doi <> ''""",
     HITS,
 )
+_add("save_hits_again", f"SELECT DISTINCT doi, TIMESTAMP '{AS_OF}' AS created_at FROM hits WHERE doi <> ''", HITS)
 _add(
     "save_hits",
-    "SELECT nullif(doi, '') AS doi, url, source AS provider, 'a topic' AS topic FROM hits",
+    "SELECT nullif(doi, '') AS doi, url, source AS provider, 'a topic' AS topic, 1::BIGINT AS hits_with_this_id FROM hits",
+    HITS,
+)
+_add(
+    "hit_json_rejects",
+    """SELECT 'read' AS outcome, source, count(*) AS n FROM hits WHERE lang <> 'de' GROUP BY source
+    UNION ALL SELECT 'broken_json', 'read', count(*) FROM hits WHERE lang = 'de' HAVING count(*) > 0""",
     HITS,
 )
 _add(

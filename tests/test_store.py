@@ -153,6 +153,21 @@ def test_saved_hits_share_the_work_id(spark):
     assert found.select("hit_id").distinct().count() == 3 and len(found.first()["hit_id"]) == 36
 
 
+def test_saved_hits_have_ids_of_their_own_and_one_work_for_a_doi(spark, rows):
+    schema = "title string, doi string, url string, source string, ord struct<a:int,b:int>"
+    hits = spark.createDataFrame(
+        [("t", "10.1/a", "u1", "p", (1, None)), ("t", "10.1/a", "u1", "p", (None, 1)), ("t", "10.1/a", "u1", "p", (1, None)), ("t", "10.1/b", "u", "p", (2, 2)),
+         ("x", None, None, "p", (3, 3)), ("x", "", None, "p", (3, 3)), ("x", None, None, "p", (3, 3))], schema)
+    works = spark.createDataFrame([("w-old", "10.1/b", None, None, None, None)], schemas.WORKS)
+    after, found = store.save_hits(works, spark.createDataFrame([], schemas.SEARCH_HITS), hits, "topic", now())
+    assert sorted(r["doi"] for r in after.collect()) == ["10.1/a", "10.1/b"]
+    saved = found.collect()
+    assert len(saved) == 7 and len({r["hit_id"] for r in saved}) == 7
+    assert len({r["work_id"] for r in saved}) == 5 and "w-old" in {r["work_id"] for r in saved}
+    again = store.save_hits(works, spark.createDataFrame([], schemas.SEARCH_HITS), hits.repartition(3), "topic", now())[1]
+    assert rows(again) == rows(found)
+
+
 def test_keyed_table_rewrites_only_touched_buckets(spark, tmp_path):
     path = str(tmp_path / "papers")
     tables.create_table(spark.createDataFrame([], PAPERS), path, ["doi"], 8)

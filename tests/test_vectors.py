@@ -71,14 +71,14 @@ def test_nearest_chunks_puts_missing_vectors_last(stored):
     assert [r["chunk_id"] for r in got[-3:]] == [60, 61, 62]
 
 
-@pytest.mark.parametrize("limit", [64 * 1024 * 1024, 100])
-def test_many_queries_equal_brute_force(spark, stored, monkeypatch, limit):
-    monkeypatch.setattr(vs, "MAX_QUERY_BYTES", limit)
+@pytest.mark.parametrize("blocks", [(1024, 2048), (1, 7), (2, 1)])
+def test_many_queries_equal_brute_force(spark, stored, blocks):
+    q_block, v_block = blocks
     asked = {11: VECTORS[3], 12: VECTORS[9], 13: RNG.normal(size=8)}
     rows = [(k, [float(x) for x in v]) for k, v in asked.items()] + [(14, [0.0] * 8)]
     queries = spark.createDataFrame(rows, "query_id bigint, embedding array<double>")
     for threshold in (None, 0.3):
-        got = vs.search_many(stored, queries, k=5, similarity_threshold=threshold).orderBy("query_id", "rank").collect()
+        got = vs.search_many(stored, queries, k=5, similarity_threshold=threshold, query_block=q_block, vector_block=v_block).orderBy("query_id", "rank").collect()
         want = []
         for k, v in asked.items():
             sims = similarities(np.asarray(v, dtype="float64"))
@@ -86,6 +86,22 @@ def test_many_queries_equal_brute_force(spark, stored, monkeypatch, limit):
         assert [(r["query_id"], r["paper_id"]) for r in got] == want
 
 
+def test_many_queries_with_ids_of_any_type(spark, stored):
+    named = stored.select(F.concat(F.lit("chunk-"), F.lpad(F.col("paper_id").cast("string"), 3, "0")).alias("chunk_id"), "embedding")
+    queries = spark.createDataFrame([(f"q{k}", [float(x) for x in VECTORS[k]]) for k in range(30)], "query_id string, embedding array<double>")
+    got = vs.search_many(named, queries, k=4, vector_id="chunk_id", query_block=4, vector_block=9).orderBy("query_id", "rank").collect()
+    want = [(f"q{k}", f"chunk-{i:03d}") for k in sorted(range(30), key=lambda k: f"q{k}") for i in best(similarities(VECTORS[k].astype("float64")), 4)]
+    assert [(r["query_id"], r["chunk_id"]) for r in got] == want
+    assert vs.search_many(named, queries.limit(0), vector_id="chunk_id").collect() == []
+
+
+def test_results_that_a_task_cannot_hold_are_sent_on(spark, stored, monkeypatch):
+    queries = spark.createDataFrame([(k, [float(x) for x in VECTORS[k]]) for k in range(20)], "query_id bigint, embedding array<double>")
+    whole = vs.search_many(stored, queries, k=3).orderBy("query_id", "rank").collect()
+    monkeypatch.setattr(vs, "HELD_RESULTS", 5)
+    assert vs.search_many(stored, queries, k=3, query_block=3, vector_block=4).orderBy("query_id", "rank").collect() == whole
+
+
 def test_cells_find_what_exact_search_finds(spark):
     centres = RNG.normal(size=(6, 16)) * 4
     points = np.concatenate([c + RNG.normal(size=(40, 16)) for c in centres])
