@@ -84,13 +84,13 @@ def running_total(
     return joined.withColumn(out, total).drop("_range", "_value", "_offset")
 
 
-def assign_ids(
-    df: DataFrame, order: str, out: str, after: Column | int = 0, ties: Sequence[str] = (), width: int = 65536
-) -> DataFrame:
+def assign_ids(df: DataFrame, order: str, out: str, after: Column | int = 0, ties: Sequence[str] = ()) -> DataFrame:
     """Serial ids in arrival order, from ``after`` + 1 without gaps.
 
-    ``order`` is the arrival number; ``ties`` tell rows of one arrival apart.
+    ``order`` is the arrival number, of any type that can be ordered and however sparse; ``ties`` tell rows of one arrival
+    apart. Rows are laid in order by ranges, and a task's rows are numbered from how many stand before it.
     """
     after = after if isinstance(after, Column) else F.lit(after)
-    numbered = running_total(df, F.lit(1), order, "_rank", ties=ties, width=width)
-    return numbered.withColumn(out, (after + F.col("_rank") + 1).cast("bigint")).drop("_rank")
+    placed = laid_in_order(df, [order, *ties], "_at", "numbered")
+    ids = (after + F.col("_rank") + 1).cast("bigint")
+    return ranked(placed, "_at", "_rank").select(*[c for c in df.columns if c != out], ids.alias(out))

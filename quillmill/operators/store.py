@@ -83,6 +83,11 @@ def _updated(existing, latest, keys, updates, as_of, touch) -> DataFrame:
 def _inserted(existing, keyed, unkeyed, keys, as_of, order, id_column, max_id) -> DataFrame:
     """The new rows: keyed ones whose key is not there, and all without a key, which skip the join."""
     new = keyed.join(existing.select(*keys), keys, "left_anti").unionByName(unkeyed)
+    return _as_rows(existing, new, keys, as_of, order, id_column, max_id)
+
+
+def _as_rows(existing, new, keys, as_of, order, id_column, max_id) -> DataFrame:
+    """New rows with ids that go on after the greatest, both audit columns, and the columns of ``existing``."""
     if id_column in existing.columns and id_column not in keys and id_column not in new.columns:
         if max_id is None:
             max_id = existing.agg(F.coalesce(F.max(id_column), F.lit(0))).scalar()
@@ -140,16 +145,20 @@ def insert_if_absent(existing: DataFrame, incoming: DataFrame, keys: Sequence[st
 
 
 def insert_edges(edges: DataFrame, incoming: DataFrame, as_of: Column, order: str = "ord") -> tuple[DataFrame, DataFrame]:
-    """Edges after the insert, and the incoming rows in conflict with an edge or with each other."""
+    """Edges after the insert, and the incoming rows in conflict with an edge or with each other.
+
+    The present edges and the first arrival of each incoming one meet in one aggregate; the verdict comes back to the rows by key and
+    arrival number, so that a pair that comes very often is no hot key, and is written once for both results.
+    """
     keys = ["source_paper_id", "target_paper_id", "relationship_type"]
     keyed, unkeyed = incoming.filter(_all_set(keys)), incoming.filter(~_all_set(keys))
-    firsts = keyed.groupBy(*keys).agg(F.min(order).alias(order))
-    accepted = firsts.join(edges.select(*keys), keys, "left_anti")
-    # the arrival number is part of the key here, so a pair that comes very often is no hot key
-    inserted = _inserted(
-        edges, keyed.join(accepted, [*keys, order], "left_semi").select(*incoming.columns), unkeyed, keys, as_of, order, "id", None
-    )
-    conflicts = keyed.join(accepted, [*keys, order], "left_anti").select(*incoming.columns)
+    there = edges.select(*keys, F.lit(None).cast(dict(incoming.dtypes)[order]).alias(order), F.lit(True).alias("_there"))
+    seen = there.unionByName(keyed.select(*keys, order, F.lit(False).alias("_there"))).groupBy(*keys)
+    firsts = seen.agg(F.min(order).alias(order), F.bool_or("_there").alias("_there")).filter(~F.col("_there"))
+    verdicts = written(keyed.join(firsts.select(*keys, order, F.lit(True).alias("_first")), [*keys, order], "left"), "edge-verdicts")
+    accepted = verdicts.filter("_first").select(*incoming.columns)
+    inserted = _as_rows(edges, accepted.unionByName(unkeyed), keys, as_of, order, "id", None)
+    conflicts = verdicts.filter("_first is null").select(*incoming.columns)
     return edges.unionByName(inserted), conflicts.withColumn("reason", F.lit("duplicate_edge"))
 
 

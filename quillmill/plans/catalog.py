@@ -596,7 +596,7 @@ def insert_if_absent(i: Inputs) -> DataFrame:
 
 def _new_edges(i: Inputs) -> tuple[DataFrame, DataFrame]:
     present = i.edges.filter(F.col("relationship_type") == "cites").select(
-        F.xxhash64("source_paper_id", "target_paper_id").alias("id"), "*", stamp(CREATED).alias("created_at")
+        (F.col("source_paper_id") * 1_000_000 + F.col("target_paper_id")).alias("id"), "*", stamp(CREATED).alias("created_at")
     )
     incoming = i.table("lineitem").select(
         F.col("l_partkey").alias("source_paper_id"), F.col("l_suppkey").alias("target_paper_id"),
@@ -612,7 +612,7 @@ def _new_edges(i: Inputs) -> tuple[DataFrame, DataFrame]:
 @query
 def insert_edges(i: Inputs) -> DataFrame:
     after, _ = store.insert_edges(*_new_edges(i), stamp(AS_OF))
-    return after.select("source_paper_id", "target_paper_id", "relationship_type", "confidence", "created_at")
+    return after.select("id", "source_paper_id", "target_paper_id", "relationship_type", "confidence", "created_at")
 
 
 @query

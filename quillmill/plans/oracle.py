@@ -662,9 +662,11 @@ judged AS (
         USING (source_paper_id, target_paper_id, relationship_type))"""
 _add(
     "insert_edges",
-    f"""SELECT source_paper_id, target_paper_id, relationship_type, confidence, TIMESTAMP '{CREATED}' AS created_at
+    f"""SELECT source_paper_id * 1000000 + target_paper_id AS id, source_paper_id, target_paper_id, relationship_type, confidence,
+        TIMESTAMP '{CREATED}' AS created_at
     FROM edges WHERE relationship_type = 'cites'
-    UNION ALL SELECT source_paper_id, target_paper_id, relationship_type, confidence, TIMESTAMP '{AS_OF}' FROM judged WHERE NOT bad""",
+    UNION ALL SELECT (SELECT max(source_paper_id * 1000000 + target_paper_id) FROM edges WHERE relationship_type = 'cites') + row_number() OVER (ORDER BY ord, source_paper_id, target_paper_id, relationship_type),
+        source_paper_id, target_paper_id, relationship_type, confidence, TIMESTAMP '{AS_OF}' FROM judged WHERE NOT bad""",
     EDGES, NEW_EDGES,
 )
 _add(

@@ -39,11 +39,29 @@ def test_running_total_equals_a_window(spark):
 
 def test_ids_are_serial_in_arrival_order(spark):
     df = spark.createDataFrame([(o // 2, str(o)) for o in range(100)], "o bigint, name string")
-    got = assign_ids(df, "o", "id", 10, ties=["name"], width=7).orderBy("id").collect()
+    got = assign_ids(df, "o", "id", 10, ties=["name"]).orderBy("id").collect()
     assert [r["id"] for r in got] == list(range(11, 111))
     assert [(r["o"], r["name"]) for r in got] == sorted((o // 2, str(o)) for o in range(100))
 
 
+def test_ids_of_sparse_and_tied_orders(spark):
+    sparse = spark.createDataFrame([(int(o) * 7919 * 10**12 % (2**62), o % 3) for o in range(500)], "o bigint, k int")
+    got = assign_ids(sparse, "o", "id", F.lit(0)).orderBy("id").collect()
+    assert [r["id"] for r in got] == list(range(1, 501)) and [r["o"] for r in got] == sorted(r["o"] for r in got)
+    tied = spark.createDataFrame([("one", k) for k in range(300)], "o string, k int").repartition(6)
+    got = assign_ids(tied, "o", "id", 5, ties=["k"]).orderBy("id").collect()
+    assert [(r["k"], r["id"]) for r in got] == [(k, k + 6) for k in range(300)]
+    assert assign_ids(tied.limit(0), "o", "id").collect() == []
+
+
+def test_edges_that_come_very_often(spark, rows):
+    df = spark.range(3000).selectExpr("id % 2 AS source_paper_id", "id % 3 AS target_paper_id", "'cites' AS relationship_type", "0.5D AS confidence", "3000 - id AS ord")
+    edges = spark.createDataFrame([(9, 0, 0, "cites", 0.1, None)], schemas.PAPER_RELATIONSHIPS)
+    after, conflicts = store.insert_edges(edges, df, now())
+    assert after.count() == 6 and conflicts.count() == 3000 - 5
+    assert sorted(r["id"] for r in after.collect()) == [9, 10, 11, 12, 13, 14]
+
+
 def test_upsert_overwrites_inserts_and_keeps(spark):
     have = papers(spark, (1, "10.1/a", "A", "h1"), (2, "10.1/b", "B", "h2"), (5, None, "N", "h5"))
     new = incoming(spark, ("10.1/b", "first", "x", 1), ("10.1/b", None, "y", 2), ("10.1/c", "C", "z", 3), (None, "M", "q", 4), (None, "M2", "r", 5))
