@@ -77,6 +77,8 @@ def _sampled(docs: DataFrame, payload: bool, weights: Sequence[int], share: floa
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
         *([F.struct(*docs.columns).alias("_row")] if payload else []),
     ).withColumn("_key", _shuffled())
+    if not payload:  # dealing out ranges reads its input twice, once for the bounds: words are counted before
+        rows = written(rows, "sizes")
     order = [F.col("source").asc_nulls_last(), F.col("size").desc(), F.col("_key"), F.col("doc_id")]
     placed = laid_in_order(rows, order, "_at", "mixed")
     # by task first: no source meets in one place
