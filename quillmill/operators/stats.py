@@ -49,16 +49,24 @@ def stage_dashboard(stage_log: DataFrame) -> DataFrame:
     )
 
 
-def topic_digest(papers: DataFrame, texts: DataFrame, k: int = 3, kind: str = "executive") -> DataFrame:
-    """Per topic the ``k`` most relevant papers, newer first among equals, with their summary.
+def top_papers(papers: DataFrame, k: int) -> DataFrame:
+    """Per topic the ``k`` most relevant papers with their ``rank``, newer first among equals. Every task sends on ``k`` per topic at most."""
+    best = Window.partitionBy("topic").orderBy(F.desc("score"), F.desc_nulls_last("year"), "paper_id")
+    return papers.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+
+
+def topic_digest(papers: DataFrame, summaries: DataFrame, k: int = 3, kind: str = "executive") -> DataFrame:
+    """Per topic the ``top_papers`` with their summary, which is joined to those only.
 
-    ``papers`` has ``topic, paper_id, title, year, score``, ``texts`` has ``paper_id, text``. Every task sends on ``k`` papers per
-    topic at most, and only their texts are summarised.
+    ``papers`` has ``topic, paper_id, title, year, score``.
     """
-    best = Window.partitionBy("topic").orderBy(F.desc("score"), F.desc_nulls_last("year"), "paper_id")
-    top = papers.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-    wanted = texts.join(top.select("paper_id").distinct(), "paper_id", "left_semi")
-    summaries = extractive_summaries(wanted, "text", "paper_id").filter(F.col("summary_type") == kind)
-    entries = top.join(summaries.select("paper_id", "content"), "paper_id", "left")
+    texts = summaries.filter(F.col("summary_type") == kind).select("paper_id", "content")
+    entries = top_papers(papers, k).join(texts, "paper_id", "left")
     entry = F.struct("rank", "paper_id", "title", "year", "score", "content")
     return entries.groupBy("topic").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+
+
+def topic_digest_of_texts(papers: DataFrame, texts: DataFrame, k: int = 3, kind: str = "executive") -> DataFrame:
+    """The same from ``(paper_id, text)``: only the texts of top papers are summarised."""
+    wanted = texts.join(top_papers(papers, k).select("paper_id").distinct(), "paper_id", "left_semi")
+    return topic_digest(papers, extractive_summaries(wanted, "text", "paper_id"), k, kind)

@@ -243,7 +243,7 @@ def stage_dashboard(i: Inputs) -> DataFrame:
 def topic_digest(i: Inputs) -> DataFrame:
     papers = i.hits.select(F.col("lang").alias("topic"), F.col("doc_id").alias("paper_id"), "title", "year", "score")
     texts = i.documents.select(F.col("doc_id").alias("paper_id"), "text")
-    digest = stats.topic_digest(papers, texts).select("topic", F.inline("entries"))
+    digest = stats.topic_digest_of_texts(papers, texts).select("topic", F.inline("entries"))
     return _longs(digest, "rank", "year").select("topic", "rank", "paper_id", "title", "year", "content")
 
 
