@@ -4,15 +4,18 @@ Windows of ``WINDOW`` characters overlap by half. The network gives each charact
 (outside; begin and inside of each kind), the CRF adds transition scores, and Viterbi finds the best tag
 row of each window. A span can show up in several windows: the one in whose middle it lies most decides,
 over the whole text. Decoding is held to spans whose numbers add up (``_allowed``); all of those have an
-@ or ``FEWEST_DIGITS`` digits, so a window with neither has no span whatever the network says, and is not
-run. Spans of the base patterns stay; the network adds those clear of them.
+@, a spelled-out one or ``FEWEST_DIGITS`` digits, so a window with none of them has no span whatever the
+network says, and is not run. Spans of the base patterns stay; the network adds those clear of them.
 
-The labelled spans for fitting are those of the base patterns, in a bounded sample of windows.
+Fitting uses a bounded sample of windows, labelled with the spans of the base patterns. In part of them a
+value of a kind is written in a form that the patterns miss (``other_form``) and labelled as that kind, or
+something that only looks like one (``lookalike``) and is left unlabelled.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,14 +36,22 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 #: Digits that a span of any kind but email has at least: an address of four numbers.
 FEWEST_DIGITS = 4
 _DIGITS = re.compile("[0-9]")
-_ANCHOR = re.compile("[0-9@]")
+#: An @ in words: bracketed, or between a name and a host whose dots are in words too.
+SPELLED = re.compile(r"[\[({] ?at ?[\])}]| at [A-Za-z0-9-]+ dot [A-Za-z]", re.IGNORECASE)
+_ANCHOR = re.compile("[0-9@]|" + SPELLED.pattern, re.IGNORECASE)
+_ANCHOR_JVM = "(?i)" + _ANCHOR.pattern
 
 WINDOW, STRIDE = 128, 64
-SYMBOLS, EMBED, STATE = 130, 12, 16  # code points below 128, all others, beyond the end
+SYMBOLS, EMBED, STATE = 130, 16, 24  # code points below 128, all others, beyond the end
 TAGS = 1 + 2 * len(KINDS)
 #: Windows used for fitting: the documented bound of the sample.
 SAMPLE_WINDOWS = 1200
-EPOCHS, RATE, SEED = 8, 0.02, 7
+#: Rounds over the sample, and the fewest steps of ``BATCH`` windows, whatever its size.
+EPOCHS, STEPS, BATCH, RATE, SEED = 36, 160, 128, 0.02, 7
+#: Shares of the windows that get a value in another form and a lookalike, drawn anew in each round.
+OTHER_FORMS, LOOKALIKES = 0.5, 0.25
+#: Windows (candidates or not) under the cut of the sample: what reaches the driver does not grow with the corpus.
+SAMPLED_FROM = 40 * SAMPLE_WINDOWS
 TOGETHER = 256
 
 
@@ -93,8 +104,8 @@ def window_starts(n: int) -> range:
 
 
 def can_hold(piece: str) -> bool:
-    """Whether a window can hold a span of any kind: an @, or the fewest digits that a kind needs."""
-    return "@" in piece or len(_DIGITS.findall(piece)) >= FEWEST_DIGITS
+    """Whether a window can hold a span of any kind: an @, also in words, or the fewest digits that a kind needs."""
+    return "@" in piece or len(_DIGITS.findall(piece)) >= FEWEST_DIGITS or SPELLED.search(piece) is not None
 
 
 def candidate_windows(text: str) -> list[int]:
@@ -198,7 +209,9 @@ def gradients(w: dict, codes: np.ndarray, tags: np.ndarray) -> tuple[float, dict
         x, _, held = sides[k]
         dx, g[f"u{side}"] = lstm_back(w[f"u{side}"], x, mask[turn], held, d_hidden[turn][:, :, k * STATE : (k + 1) * STATE])
         d_projected = np.zeros((SYMBOLS, 4 * STATE), dtype=x.dtype)
-        np.add.at(d_projected, numbers[turn].ravel(), dx.reshape(-1, 4 * STATE))
+        which = np.zeros((SYMBOLS, numbers.size), dtype=x.dtype)
+        which[numbers[turn].ravel(), np.arange(numbers.size)] = 1
+        d_projected += which @ dx.reshape(-1, 4 * STATE)
         g[f"w{side}"], g[f"c{side}"] = w["embed"].T @ d_projected, d_projected.sum(axis=0)
         g["embed"] += d_projected @ w[f"w{side}"].T
     return loss, {k: v / len(codes) for k, v in g.items()}
@@ -224,48 +237,153 @@ def viterbi(scores: np.ndarray, moves: np.ndarray, mask: np.ndarray) -> np.ndarr
     return tags
 
 
+def _digits(rng: np.random.Generator, n: int) -> str:
+    return "".join(str(d) for d in rng.integers(0, 10, n))
+
+
+def _pick(rng: np.random.Generator, forms: list[str]) -> str:
+    return forms[rng.integers(len(forms))]
+
+
+def other_form(kind: int, rng: np.random.Generator, words: list[str]) -> str:
+    """A made-up value of a kind, written in a way that the base patterns miss."""
+    value = _written(kind, rng, words)
+    return other_form(kind, rng, words) if base_spans(value) else value  # by chance a number is one of another kind
+
+
+def _written(kind: int, rng: np.random.Generator, words: list[str]) -> str:
+    if KINDS[kind] == "email":
+        name = _pick(rng, words) + _pick(rng, ["", ".", "_"]) + _pick(rng, [_digits(rng, 2), _pick(rng, words)])
+        at = _pick(rng, [" (at) ", " [at] ", "(at)", "[at]", " at ", " @ ", "@ ", " {at} "])
+        dot = " dot " if at == " at " else _pick(rng, [".", ".", " dot ", " (dot) ", "[dot]"]) if "at" in at else "."
+        return name + at + dot.join([_pick(rng, words) + _pick(rng, ["", _digits(rng, 1)]), _pick(rng, words), _pick(rng, ["com", "org", "net", "de"])][rng.integers(2) :])
+    if KINDS[kind] == "ip":
+        return _pick(rng, ["-", " . ", "[.]", " - ", "(.)", ". ", " .", ":", "_"]).join(str(n) for n in rng.integers(0, 256, 4))
+    if KINDS[kind] == "card":
+        lead = _pick(rng, ["4", "5", "6"]) + _digits(rng, 14)
+        number = next(lead + d for d in "0123456789" if _luhn(lead + d))
+        joints = [_pick(rng, [".", "/", "  ", " - ", "_", "\n", ". "])] * 3
+        if rng.random() < 0.3:
+            joints[rng.integers(1, 3)] = _pick(rng, [" ", "-", "."])
+        return "".join(number[4 * i : 4 * i + 4] + joint for i, joint in enumerate([*joints, ""]))
+    area, first, last = _digits(rng, 3), _digits(rng, 3), _digits(rng, 4)
+    code = _pick(rng, ["1", "44", "49", "33"])
+    sign = _pick(rng, ["-", ".", " "])
+    return _pick(rng, [
+        f"{code}-{area}-{first}-{last}", f"00{code} {area} {first}{last}", f"({area}) {first}-{last}", f"+{code}/{area}/{first}/{last}",
+        f"{code} ({area}) {first}{sign}{last}", f"00{code}{sign}{area}{sign}{first}{sign}{last}", f"{area}-{first}-{last}", f"0{area[:2]}/{first}{last}",
+    ])
+
+
+def lookalike(rng: np.random.Generator) -> str:
+    """A made-up date, time, version, amount, number or turn of phrase that is no personal data."""
+    year, month, day = rng.integers(1900, 2040), rng.integers(1, 13), rng.integers(1, 29)
+    hour, minute, n = rng.integers(24), rng.integers(60), rng.integers(1, 9, 4)
+    return _pick(rng, [
+        f"{year}-{month:02}-{day:02}", f"{day}.{month}.{year}", f"{month}/{day}/{year} {hour:02}:{minute:02}", f"{year}-{month:02}-{day:02}T{hour:02}:{minute:02}:{minute:02}",
+        f"{year}-{month:02}-{day:02} {hour:02}:{minute:02}:{minute:02}", f"v{n[0]}.{n[1]}.{n[2]}", f"{n[0]}.{n[1]}.{_digits(rng, 2)}", f"{n[0]},{_digits(rng, 3)},{_digits(rng, 3)}",
+        f"{n[0]},{_digits(rng, 3)},{_digits(rng, 3)},{_digits(rng, 3)}", _digits(rng, int(rng.integers(5, 20))), f"{n[0]}.{_digits(rng, 10)}", f"978-{n[0]}-{_digits(rng, 2)}-{_digits(rng, 6)}-{n[1]}",
+        f"{year}-{year + 1}", f"#{_digits(rng, 8)}", f"{_digits(rng, 2)}-{_digits(rng, 4)}-{_digits(rng, 2)}", f"{n[0]} {n[1]} {n[2]} {n[3]}", f"(at {hour}:{minute:02})", f"at {n[0]} dot",
+    ])
+
+
+def labelled(window: str, rng: np.random.Generator, words: list[str]) -> tuple[str, list[tuple[int, int, int]]]:
+    """A window for fitting and its spans: as it is, with a value in another form, or with a lookalike.
+
+    What is put in takes the place of a span of the base patterns, or stands between two words.
+    """
+    draw, base = rng.random(), base_spans(window)
+    if draw >= OTHER_FORMS + LOOKALIKES:
+        return window, base
+    if base and rng.random() < 0.5:
+        _, a, b = base[rng.integers(len(base))]
+    else:
+        gaps = [m.end() for m in re.finditer(r"\s", window[: WINDOW - STRIDE // 2])]
+        a = b = gaps[rng.integers(len(gaps))] if gaps else 0
+    kind = int(rng.integers(len(KINDS))) if draw < OTHER_FORMS else -1
+    put = lookalike(rng) if kind < 0 else other_form(kind, rng, words)
+    before, after = window[:a], window[b:]
+    if a == b:
+        before, after = before + ("" if a == 0 else _pick(rng, ["", "(", "<"]) if rng.random() < 0.2 else ""), _pick(rng, [" ", " ", ", ", ". ", "\n", ") "]) + after
+    text = before + put + after
+    spans = [(max(kind, 0), len(before), len(before) + len(put))] if kind >= 0 else []
+    base = base_spans(text)
+    return text[:WINDOW], [(k, x, min(y, WINDOW)) for k, x, y in all_spans(base, spans) if x < WINDOW]
+
+
+def _tags(spans: list[tuple[int, int, int]]) -> np.ndarray:
+    row = np.zeros(WINDOW, dtype=np.int64)
+    for kind, start, end in reversed(spans):
+        row[start:end] = 2 + 2 * kind
+        row[start] = 1 + 2 * kind
+    before = 0
+    for i, tag in enumerate(row):  # where kinds overlap the earlier listed won; an inside without its begin becomes one
+        if tag and tag % 2 == 0 and before not in (tag, tag - 1):
+            row[i] = tag - 1
+        before = row[i]
+    return row
+
+
 def fit(windows: list[str], epochs: int = EPOCHS) -> Model:
-    """From windows of text, labelled with their base spans. Without any, weights that find nothing."""
+    """From windows of text, each labelled anew in every round (``labelled``): ``epochs`` rounds, and more until ``STEPS`` steps.
+
+    Without any window, weights that find nothing.
+    """
     w = new_weights()
     if not windows:
         w["lean"][0] = 1e3
         return Model(w)
-    codes = np.stack([_codes(x) for x in windows])
-    tags = np.zeros(codes.shape, dtype=np.int64)
-    for row, window in zip(tags, windows, strict=True):
-        for kind, start, end in reversed(base_spans(window)):
-            row[start:end] = 2 + 2 * kind
-            row[start] = 1 + 2 * kind
-    for row in tags:  # where kinds overlap the earlier listed won; an inside without its begin becomes one
-        before = 0
-        for i, tag in enumerate(row):
-            if tag and tag % 2 == 0 and before not in (tag, tag - 1):
-                row[i] = tag - 1
-            before = row[i]
     rng = np.random.default_rng(SEED)
+    words = sorted({x.lower() for piece in windows for x in re.findall("[A-Za-z]{2,10}", piece)}) or ["name"]
+    epochs = max(epochs, -(-STEPS // -(-len(windows) // BATCH)))
     adam = Adam(w, RATE)
     for epoch in range(epochs):
         adam.rate = RATE * (1 - epoch / epochs) + 1e-3
-        mixed = rng.permutation(len(codes))
-        for i in range(0, len(mixed), 64):
-            part = mixed[i : i + 64]
-            adam.step(w, gradients(w, codes[part], tags[part])[1])
+        mixed = rng.permutation(len(windows))
+        for i in range(0, len(mixed), BATCH):
+            drawn = [labelled(windows[k], rng, words) for k in mixed[i : i + BATCH]]
+            adam.step(w, gradients(w, np.stack([_codes(t) for t, _ in drawn]), np.stack([_tags(spans) for _, spans in drawn]))[1])
     return Model(w)
 
 
 def _allowed(kind: int, piece: str) -> bool:
-    """What a span of the network must be to count: the numbers of its kind must add up."""
-    digits = "".join(_DIGITS.findall(piece))
+    """What a span of the network must be to count: the numbers of its kind must add up, in whatever form."""
     if KINDS[kind] == "email":
-        return "@" in piece
+        return "@" in piece or SPELLED.search(piece) is not None
+    if re.search(r"[^\W\d_]", piece):
+        return False
+    digits = "".join(_DIGITS.findall(piece))
     if KINDS[kind] == "ip":
         parts = re.findall("[0-9]+", piece)
         return len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts)
     if KINDS[kind] == "card":
-        return 13 <= len(digits) <= 19 and CARD.fullmatch(piece) is not None and _luhn(digits)
+        return 13 <= len(digits) <= 19 and _luhn(digits)
     return 9 <= len(digits) <= 15
 
 
+def clear_of(spans: list[tuple[int, int, int]], more: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Those of ``more`` that touch none of ``spans``."""
+    ordered = sorted((a, b) for _, a, b in spans)
+    starts = [a for a, _ in ordered]
+    ends = np.maximum.accumulate([b for _, b in ordered]) if ordered else []
+    out = []
+    for m in more:
+        i = bisect_left(starts, m[2])
+        if not i or ends[i - 1] <= m[1]:
+            out.append(m)
+    return out
+
+
+def _reconciled(found: list[tuple]) -> list[tuple[int, int, int]]:
+    """Spans ``(rank, kind, start, end)`` that touch no span of lower rank that stays, by start."""
+    kept: list[tuple[int, int, int]] = []  # clear of each other, so the neighbours by start settle a clash
+    for _, kind, start, end in sorted(found):
+        i = bisect_left(kept, (start,))
+        if (not i or kept[i - 1][1] <= start) and (i == len(kept) or end <= kept[i][0]):
+            kept.insert(i, (start, end, kind))
+    return sorted((kind, start, end) for start, end, kind in kept)
+
+
 def decoded(model: Model, texts: list[str]) -> list[list[tuple[int, int, int]]]:
     """Spans that the network finds in each text, reconciled over the windows."""
     places = [(k, s) for k, text in enumerate(texts) for s in candidate_windows(text)]
@@ -284,14 +402,7 @@ def decoded(model: Model, texts: list[str]) -> list[list[tuple[int, int, int]]]:
                 if (b > 0 or s == 0) and (e < size or s + size >= len(texts[k])) and _allowed(kind, texts[k][s + b : s + e]):
                     off_middle = abs(2 * s + WINDOW - (2 * s + b + e))
                     found[k].append((off_middle, kind, s + int(b), s + int(e)))
-    out = []
-    for spans in found:
-        kept: list[tuple[int, int, int]] = []
-        for _, kind, start, end in sorted(spans):
-            if all(end <= a or b <= start for _, a, b in kept):
-                kept.append((kind, start, end))
-        out.append(sorted(kept))
-    return out
+    return [_reconciled(spans) for spans in found]
 
 
 def named(spans: list[tuple[int, int, int]]) -> str:
@@ -300,19 +411,25 @@ def named(spans: list[tuple[int, int, int]]) -> str:
 
 def all_spans(base: list[tuple[int, int, int]], more: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """The base spans, and those of the network that touch none of them."""
-    return sorted(base + [m for m in more if all(m[2] <= a or b <= m[1] for _, a, b in base)])
+    return sorted(base + clear_of(base, more))
 
 
 def sample_windows(docs: DataFrame, most: int = SAMPLE_WINDOWS) -> list[str]:
-    """At most ``most`` windows of texts of the corpus that can hold a span, in the order of a hash of the window."""
-    rows = common.texts(docs).filter(F.col("text").rlike("[0-9@]")).select("text")
+    """At most ``most`` windows of texts of the corpus that can hold a span, in the order of a hash of the window.
+
+    The hash is cut so that some ``SAMPLED_FROM`` of all windows of such texts lie under it.
+    """
+    rows = common.texts(docs).filter(F.col("text").rlike(_ANCHOR_JVM)).select("text")
+    every = rows.agg(F.sum(F.length("text") / STRIDE + 1)).first()[0] or 0
+    below = int(2**62 * min(1.0, SAMPLED_FROM / max(every, 1.0))) * 2
 
     def cut(batches):
         for batch in batches:
             pieces = [t[s : s + WINDOW] for t in batch.column("text").to_pylist() for s in candidate_windows(t)]
             yield pa.RecordBatch.from_arrays([pa.array(pieces, pa.string())], names=["piece"])
 
-    pieces = rows.mapInArrow(cut, "piece string").withColumn("h", F.xxhash64("piece"))
+    pieces = rows.mapInArrow(cut, "piece string").withColumn("h", F.shiftrightunsigned(F.xxhash64("piece"), 1))
+    pieces = pieces.filter(F.col("h") <= F.lit(min(below, 2**63 - 1)))
     return [r["piece"] for r in pieces.orderBy("h", "piece").limit(most).collect()]
 
 
@@ -329,7 +446,7 @@ def personal_data(docs: DataFrame, model: Model | None = None) -> DataFrame:
     import hashlib
 
     model = model or fit(sample_windows(docs))
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # weights of fixed size, under 50 kB
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # weights of fixed size, under 100 kB
 
     def find(batches):
         for batch in common.batches_of(batches):

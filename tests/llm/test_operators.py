@@ -2,8 +2,10 @@
 empty tables and columns whose names clash."""
 
 import hashlib
+import itertools
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -318,6 +320,63 @@ def test_windows_that_are_not_run_have_no_spans():
     assert gated[0] and not gated[1]
 
 
+def test_other_forms_are_missed_by_the_patterns_and_found_by_the_network():
+    rng = np.random.default_rng(3)
+    words = ["ofer", "lana", "thister", "mendo", "ai", "quell", "saro", "entin", "vor", "doch"]
+    prose = lambda n: " ".join(rng.choice(words, n))
+    for kind in range(len(pii.KINDS)):
+        for _ in range(300):
+            assert not pii.base_spans(f"a {pii.other_form(kind, rng, words)} b")
+    windows = [f"{prose(8)} {v} {prose(8)}"[: pii.WINDOW] for v in ["b.12@c3.org", "10.4.0.7", "+1 (204) 555-1030", "4111 1111 1111 1111"] * 60]
+    model = pii.fit(windows, epochs=80)
+    other = np.random.default_rng(4)
+    for kind in range(len(pii.KINDS)):
+        values = [pii.other_form(kind, other, words) for _ in range(100)]
+        texts = [f"{prose(30)} {v} {prose(30)}" for v in values]
+        found = pii.decoded(model, texts)
+        assert sum((kind, t.index(v), t.index(v) + len(v)) in f for t, v, f in zip(texts, values, found, strict=True)) >= 80, pii.KINDS[kind]
+    texts = [f"{prose(30)} {pii.lookalike(other)} {prose(30)}" for _ in range(300)]
+    assert sum(bool(pii.clear_of(pii.base_spans(t), f)) for t, f in zip(texts, pii.decoded(model, texts), strict=True)) <= 15
+
+
+def test_tag_rows_by_brute_force():
+    rng = np.random.default_rng(5)
+    steps, n = 3, pii.TAGS
+    scores, moves = rng.standard_normal((steps, 2, n)), rng.standard_normal((n, n))
+    mask = np.ones((steps, 2))
+    mask[2, 1] = 0
+    barred = moves + pii.BARRED
+    best = pii.viterbi(scores, moves, mask)
+    right = np.array([[1, 0], [2, 3], [0, 0]])
+    loss, d_scores, d_moves = pii.crf_gradient(scores, moves, mask, right)
+    want = 0.0
+    for b, size in enumerate([3, 2]):
+        rows = list(itertools.product(range(n), repeat=size))
+        value = lambda row: pii.START[row[0]] + sum(scores[t, b, k] for t, k in enumerate(row)) + sum(barred[i, k] for i, k in itertools.pairwise(row))
+        values = np.array([value(row) for row in rows])
+        assert tuple(best[:size, b]) == rows[int(values.argmax())]
+        want += np.log(np.exp(values - values.max()).sum()) + values.max() - value(tuple(right[:size, b]))
+    assert loss == pytest.approx(want, abs=1e-6)
+    for place in [(0, 0, 1), (1, 0, 2), (1, 1, 0), (2, 0, 4)]:
+        up = scores.copy()
+        up[place] += 1e-5
+        assert (pii.crf_gradient(up, moves, mask, right)[0] - loss) / 1e-5 == pytest.approx(d_scores[place], abs=1e-3)
+    for place in [(0, 0), (1, 2), (2, 0)]:
+        up = moves.copy()
+        up[place] += 1e-5
+        assert (pii.crf_gradient(scores, up, mask, right)[0] - loss) / 1e-5 == pytest.approx(d_moves[place], abs=1e-3)
+
+
+def test_many_spans_of_one_text():
+    spans = [(k % 4, 10 * k, 10 * k + 8) for k in range(100_000)]
+    shifted = [(0, 10 * k + (8 if k % 2 else 4), 10 * k + 10) for k in range(100_000)]
+    start = time.perf_counter()
+    assert pii.clear_of(spans, shifted) == shifted[1::2]
+    assert pii._reconciled([(k % 7, *s) for k, s in enumerate(spans)]) == sorted(spans)
+    assert time.perf_counter() - start < 5
+    assert pii._reconciled([(2, 0, 0, 6), (1, 1, 4, 9), (3, 2, 9, 12), (4, 3, 8, 10)]) == [(1, 4, 9), (2, 9, 12)]
+
+
 def test_personal_data(spark):
     rows = [(i, f"{p} {i}") for i, p in enumerate(PII)] + ODD
     got = {(r["doc_id"], r["spans"]): r for r in pii.personal_data(table(spark, rows)).collect()}
