@@ -47,7 +47,9 @@ TAGS = 1 + 2 * len(KINDS)
 #: Windows used for fitting: the documented bound of the sample.
 SAMPLE_WINDOWS = 1200
 #: Rounds over the sample, and the fewest steps of ``BATCH`` windows, whatever its size.
-EPOCHS, STEPS, BATCH, RATE, SEED = 36, 160, 128, 0.02, 7
+EPOCHS, STEPS, BATCH, RATE, SEED = 30, 160, 128, 0.02, 7
+#: Characters of a sampled window that are learnt from, and in the first of which something is put in.
+LEARNT, PUT_IN = 80, 36
 #: Shares of the windows that get a value in another form and a lookalike, drawn anew in each round.
 OTHER_FORMS, LOOKALIKES = 0.5, 0.25
 #: Windows (candidates or not) under the cut of the sample: what reaches the driver does not grow with the corpus.
@@ -209,9 +211,10 @@ def gradients(w: dict, codes: np.ndarray, tags: np.ndarray) -> tuple[float, dict
         x, _, held = sides[k]
         dx, g[f"u{side}"] = lstm_back(w[f"u{side}"], x, mask[turn], held, d_hidden[turn][:, :, k * STATE : (k + 1) * STATE])
         d_projected = np.zeros((SYMBOLS, 4 * STATE), dtype=x.dtype)
-        which = np.zeros((SYMBOLS, numbers.size), dtype=x.dtype)
-        which[numbers[turn].ravel(), np.arange(numbers.size)] = 1
-        d_projected += which @ dx.reshape(-1, 4 * STATE)
+        symbols = numbers[turn].ravel()
+        order = np.argsort(symbols, kind="stable")
+        present, starts = np.unique(symbols[order], return_index=True)
+        d_projected[present] = np.add.reduceat(dx.reshape(-1, 4 * STATE)[order], starts, axis=0)
         g[f"w{side}"], g[f"c{side}"] = w["embed"].T @ d_projected, d_projected.sum(axis=0)
         g["embed"] += d_projected @ w[f"w{side}"].T
     return loss, {k: v / len(codes) for k, v in g.items()}
@@ -298,7 +301,7 @@ def labelled(window: str, rng: np.random.Generator, words: list[str]) -> tuple[s
     if base and rng.random() < 0.5:
         _, a, b = base[rng.integers(len(base))]
     else:
-        gaps = [m.end() for m in re.finditer(r"\s", window[: WINDOW - STRIDE // 2])]
+        gaps = [m.end() for m in re.finditer(r"\s", window[:PUT_IN])]
         a = b = gaps[rng.integers(len(gaps))] if gaps else 0
     kind = int(rng.integers(len(KINDS))) if draw < OTHER_FORMS else -1
     put = lookalike(rng) if kind < 0 else other_form(kind, rng, words)
@@ -342,7 +345,7 @@ def fit(windows: list[str], epochs: int = EPOCHS) -> Model:
         mixed = rng.permutation(len(windows))
         for i in range(0, len(mixed), BATCH):
             drawn = [labelled(windows[k], rng, words) for k in mixed[i : i + BATCH]]
-            adam.step(w, gradients(w, np.stack([_codes(t) for t, _ in drawn]), np.stack([_tags(spans) for _, spans in drawn]))[1])
+            adam.step(w, gradients(w, np.stack([_codes(t) for t, _ in drawn])[:, :LEARNT], np.stack([_tags(spans) for _, spans in drawn])[:, :LEARNT])[1])
     return Model(w)
 
 
