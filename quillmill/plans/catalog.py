@@ -11,7 +11,7 @@ from quillmill import schemas
 from quillmill.functions import text as tx
 from quillmill.functions import vectors as vec
 from quillmill.operators import (
-    constraints, dedupe, documents, fuzzy, graph, hits, ingest, lookups, ranking, resolve, stats, store, vector_search,
+    cells, constraints, dedupe, documents, fuzzy, graph, hits, ingest, lookups, ranking, resolve, stats, store, vector_search,
 )
 from quillmill.operators.running import assign_ids
 from quillmill.plans import literature
@@ -434,21 +434,33 @@ def ivf_search_all_cells(i: Inputs) -> DataFrame:
 
 @query
 def ivf_search(i: Inputs) -> DataFrame:
-    path = work_dir(i.spark, "cells")
-    model = vector_search.train_cells(i.vectors, cells=16)
-    vector_search.assign_cells(i.vectors, model).write.partitionBy("cell").parquet(path)
-    placed = i.spark.read.parquet(path)
-    found = vector_search.search_cells(placed, model, i.vector(0), probes=8)
-    return found.withColumn("rank", F.lit(None).cast("bigint")).drop("rank")
+    asked = i.vectors.filter(F.col("paper_id") == 0).select(F.col("paper_id").alias("query_id"), "embedding")
+    found = _by_cells(i, asked)
+    return _similarity_digits(found).select("paper_id", "similarity")
+
+
+@query
+def ivf_search_many(i: Inputs) -> DataFrame:
+    return _longs(_similarity_digits(_by_cells(i, _asked_vectors(i))), "rank")
 
 
 @query
 def ivf_recall(i: Inputs) -> DataFrame:
-    model = vector_search.train_cells(i.vectors, cells=16)
-    placed = vector_search.assign_cells(i.vectors, model)
-    asked = i.vector(0)
-    found = vector_search.search_cells(placed, model, asked, probes=8)
-    return vector_search.recall(found, vector_search.search_cells(placed, model, asked, probes=16), ["paper_id"])
+    exact = vector_search.search_many(i.vectors, _asked_vectors(i), k=10)
+    return vector_search.recall(_by_cells(i, _asked_vectors(i)), exact, ["query_id", "paper_id"])
+
+
+def _asked_vectors(i: Inputs) -> DataFrame:
+    """Every hundredth vector as a query."""
+    chosen = i.vectors.filter(F.col("paper_id") % 100 == 0)
+    return chosen.select(F.col("paper_id").alias("query_id"), "embedding")
+
+
+def _by_cells(i: Inputs, queries: DataFrame) -> DataFrame:
+    index = cells.train_index(i.vectors, cells=16, words=32, parts=16, rounds=3)
+    path = work_dir(i.spark, "cells")
+    cells.place(i.vectors, index).write.partitionBy("cell").parquet(path)
+    return cells.search_index(i.spark.read.parquet(path), i.vectors, queries, index, probes=14, refine=16)
 
 
 @query

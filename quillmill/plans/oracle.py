@@ -562,6 +562,78 @@ _add(
         FROM embeddings, centres)""",
 )
 _add("ivf_search_all_cells", f"SELECT paper_id, round(similarity, 6) AS similarity FROM (FROM scored {_TOP})", VECTORS)
+def _means(name: str, points: str, count: int, rounds: int) -> str:
+    """K-means over ``points (s, place, v)``, for every ``s``: tables ``<name>_0`` to ``<name>_<rounds>`` of ``(s, c, v)``."""
+    steps = [f"{name}_0 AS MATERIALIZED (SELECT s, place AS c, v FROM {points} WHERE place <= {count})"]
+    for n in range(1, rounds + 1):
+        steps.append(f"""
+        {name}_near_{n} AS MATERIALIZED (
+            SELECT p.s, o.c, p.v FROM {points} p JOIN {name}_{n - 1} o USING (s)
+            QUALIFY row_number() OVER (PARTITION BY p.s, p.place ORDER BY round(list_distance(p.v, o.v) ** 2, 9), o.c) = 1),
+        {name}_mean_{n} AS (
+            SELECT s, c, list(x ORDER BY d) AS v FROM (
+                SELECT s, c, d, round(avg(x), 9) AS x FROM (
+                    SELECT s, c, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM {name}_near_{n}) GROUP BY ALL)
+            GROUP BY ALL),
+        {name}_{n} AS MATERIALIZED (
+            SELECT s, c, coalesce(m.v, o.v) AS v FROM {name}_{n - 1} o LEFT JOIN {name}_mean_{n} m USING (s, c))""")
+    return ",".join(steps)
+
+
+def _coded(cells: int, words: int, parts: int, rounds: int, probes: int, candidates: int) -> str:
+    """``found (query_id, paper_id, similarity, rank)`` over ``asked (query_id, q)`` with ``q`` at length one."""
+    sliced = f"list_slice({{0}}, part * 64 // {parts} + 1, (part + 1) * 64 // {parts})"
+    part = f"generate_series(0, {parts - 1})"
+    return f"""
+    units AS MATERIALIZED (
+        SELECT vec_id AS id, list_transform(e, lambda x: x / sqrt(list_inner_product(e, e))) AS v
+        FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)),
+    points AS MATERIALIZED (
+        SELECT 0 AS s, row_number() OVER (ORDER BY md5(id::VARCHAR)) AS place, v FROM units QUALIFY place <= {64 * max(cells, words)}),
+    {_means("cell", "points", cells, rounds)},
+    left_over AS MATERIALIZED (
+        SELECT p.place, list_transform(list_zip(p.v, o.v), lambda z: z[1] - z[2]) AS r FROM points p, cell_{rounds} o
+        QUALIFY row_number() OVER (PARTITION BY p.place ORDER BY round(list_distance(p.v, o.v) ** 2, 9), o.c) = 1),
+    part_points AS MATERIALIZED (
+        SELECT part AS s, place, {sliced.format("r")} AS v FROM left_over, (SELECT unnest({part}) AS part)),
+    {_means("word", "part_points", words, rounds)},
+    placed AS MATERIALIZED (
+        SELECT u.id, o.c AS cell, list_transform(list_zip(u.v, o.v), lambda z: z[1] - z[2]) AS r FROM units u, cell_{rounds} o
+        QUALIFY row_number() OVER (PARTITION BY u.id ORDER BY round(list_distance(u.v, o.v) ** 2, 9), o.c) = 1),
+    coded AS MATERIALIZED (
+        SELECT id, cell, part, w.v AS word FROM (SELECT id, cell, part, {sliced.format("r")} AS v FROM placed, (SELECT unnest({part}) AS part)) p
+        JOIN word_{rounds} w ON w.s = part
+        QUALIFY row_number() OVER (PARTITION BY id, part ORDER BY round(list_distance(p.v, w.v) ** 2, 9), w.c) = 1),
+    probed AS (
+        SELECT query_id, q, c AS cell, list_inner_product(q, v) AS base FROM asked, cell_{rounds}
+        QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(list_distance(q, v) ** 2, 9), c) <= {probes}),
+    by_code AS (
+        SELECT query_id, id, any_value(q) AS q, round(any_value(base) + sum(list_inner_product({sliced.format("q")}, word)), 6) AS score
+        FROM probed JOIN coded USING (cell) GROUP BY query_id, id
+        QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) <= {candidates}),
+    found AS (
+        SELECT query_id, id AS paper_id, round(list_inner_product(q, v), 9) AS similarity,
+            row_number() OVER (PARTITION BY query_id ORDER BY round(list_inner_product(q, v), 9) DESC, id) AS rank
+        FROM by_code JOIN units USING (id) QUALIFY rank <= 10)"""
+
+
+def _asked(condition: str) -> str:
+    return f"""asked AS (
+        SELECT vec_id AS query_id, list_transform(e, lambda x: x / sqrt(list_inner_product(e, e))) AS q
+        FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE {condition}))"""
+
+
+_CODED = _coded(cells=16, words=32, parts=16, rounds=3, probes=14, candidates=160)
+_add("ivf_search", "SELECT paper_id, round(similarity, 6) AS similarity FROM found", _asked("vec_id = 0"), _CODED)
+_add("ivf_search_many", "SELECT query_id, paper_id, round(similarity, 6) AS similarity, rank FROM found", _asked("vec_id % 100 = 0"), _CODED)
+_add(
+    "ivf_recall",
+    """SELECT count(found.paper_id) / count(*) AS recall FROM exact LEFT JOIN found USING (query_id, paper_id)""",
+    _asked("vec_id % 100 = 0"), _CODED,
+    """exact AS (
+        SELECT query_id, id AS paper_id FROM asked, units
+        QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(list_inner_product(q, v), 9) DESC, id) <= 10)""",
+)
 _add("wrong_dimension", "SELECT vec_id AS paper_id, len(embedding) AS dims FROM embeddings WHERE len(embedding) <> 768")
 SQL["embed_sections"] = (
     "SELECT DISTINCT doc_id, embedding_type, 256::BIGINT AS dims, 1.0::DOUBLE AS length FROM (" + SQL["section_slices"] + ")"
