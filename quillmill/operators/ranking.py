@@ -6,8 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillmill.functions import text as tx
@@ -17,8 +16,6 @@ from quillmill.session import written
 RELEVANCE_THRESHOLD = 0.35
 
 SCORE_DIGITS = 9
-# Largest number of bytes of query weights sent to every task; more queries are scored in several rounds
-MAX_QUERY_BYTES = 64 * 1024 * 1024
 
 Scorer = Callable[[DataFrame, str, str], DataFrame]
 
@@ -105,87 +102,71 @@ def rank_documents(
 def top_sentences(
     sentences: DataFrame, queries: DataFrame, k: int, order: str = "ord", sentence: str = "sentence"
 ) -> DataFrame:
-    """``(query_id, <order>, score, rank)``: the ``k`` best sentences of every query, scores above 0 only.
+    """``(query_id, <order>, score, rank)``: the ``k`` best sentences of every query, scores above 0 only; equal scores in order.
 
-    ``queries`` has ``query_id`` and ``query``. The queries' word weights go to every task, which
-    sends on its own ``k`` best per query; so nothing of the size queries x sentences is shuffled.
-    Queries whose weights exceed ``MAX_QUERY_BYTES`` are scored in several rounds.
+    ``queries`` has ``query_id`` and ``query``; both ids are unique and may be of any type that can be ordered. Sentences of one set of words
+    score alike and stand as one, with the first ``k`` of them. Every query first scores the shortest sentences of each of its
+    words: its kth score there is a bound that its result cannot fall below. A query's words in order of weight say what a
+    sentence can still reach if its heaviest word is this one; only words, and sentences short enough, that can reach the bound
+    make candidates, which are scored exactly. So a word of every sentence and every query brings in next to nothing.
     """
-    spark = sentences.sparkSession
+    own = F.array_sort(F.array_distinct(tx.words(F.col(sentence))))
+    held = sentences.select(F.col(order).alias("_order"), own.alias("own")).filter(F.size("own") > 0)
+    copies = _first_copies(held.withColumn("key", F.md5(F.array_join("own", " "))), k)
+    copies = written(copies, "copies")
+    sets = copies.filter(F.col("nth") == 1).select("key", "own")
+    weights = written(_weights_of_queries(sentences, queries, own), "weights")
+    by_query = weights.groupBy("query_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "w"))).alias("weight_of"))
+    # "key" stands for a set of words, "size" for its number
+    postings = sets.select("key", F.size("own").alias("size"), F.explode("own").alias("word"))
+    postings = written(postings.join(weights.select("word").distinct(), "word", "left_semi"), "postings")
+    shortest = Window.partitionBy("word").orderBy("size", "key")
+    champions = postings.withColumn("_nth", F.row_number().over(shortest)).filter(F.col("_nth") <= k)
+    first = _scored(champions.join(weights, "word").select("query_id", "key").distinct(), sets, by_query)
+    ranked = first.withColumn("_nth", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "key")))
+    bounds = ranked.filter(F.col("_nth") == k).select("query_id", F.col("score").alias("bound"))
+    # the margin covers the rounding of scores
+    needed = F.coalesce("bound", F.lit(0.0)) - F.lit(10.0 ** (1 - SCORE_DIGITS))
+    heavy = weights.join(bounds, "query_id", "left").withColumn("needed", needed).filter(F.col("rest_length") >= F.col("needed"))
+    heavy = heavy.select("query_id", "word", "rest_sum", "needed")
+    reachable = F.col("rest_sum") >= F.col("needed") * F.sqrt(F.col("size").cast("double"))
+    candidates = postings.join(heavy, "word").filter(reachable).select("query_id", "key").distinct()
+    scored = _scored(candidates, sets, by_query).filter(F.col("score") > 0)
+    # the kth set of a query ends its list: every set gives one sentence at least
+    kth = Window.partitionBy("query_id").orderBy(F.desc("score"))
+    scored = scored.withColumn("_nth", F.rank().over(kth)).filter(F.col("_nth") <= k)
+    rows = scored.join(copies.select("key", "_order"), "key")
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "_order")
+    rows = rows.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    return rows.select("query_id", F.col("_order").alias(order), "score", "rank")
+
+
+def _first_copies(rows: DataFrame, k: int) -> DataFrame:
+    """The first ``k`` rows of every ``key`` with their number ``nth``; a task sends on no more of a key."""
+    in_order = Window.partitionBy("key").orderBy("_order")
+    return rows.withColumn("nth", F.row_number().over(in_order)).filter(F.col("nth") <= k)
+
+
+def _weights_of_queries(sentences: DataFrame, queries: DataFrame, own: Column) -> DataFrame:
+    """``(query_id, word, w, rest_sum, rest_length)``: weights at length one, and sum and length of a word's own and all lesser weights."""
     asked = queries.select("query_id", F.explode(tx.words(F.col("query"))).alias("word"))
     asked = asked.groupBy("query_id", "word").agg(F.count(F.lit(1)).alias("tf"))
-    vocabulary = asked.select("word").distinct()
-    own = F.array_distinct(tx.words(F.col(sentence)))
-    counts = sentences.select(F.explode(own).alias("word")).join(vocabulary, "word", "left_semi")
+    counts = sentences.select(F.explode(own).alias("word")).join(asked.select("word").distinct(), "word", "left_semi")
     counts = counts.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    total = sentences.count()
-    idf = F.ln(F.lit(1.0 + total) / (1 + F.coalesce("df", F.lit(0)))) + 1
+    idf = F.ln(F.lit(1.0 + sentences.count()) / (1 + F.coalesce("df", F.lit(0)))) + 1
     weighted = asked.join(counts, "word", "left").withColumn("w", (1 + F.ln("tf")) * idf)
-    lengths = weighted.groupBy("query_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
-    weights = weighted.join(lengths, "query_id").select(
-        "query_id", "word", (F.col("w") / F.col("length")).alias("w")
-    )
-    weights = written(weights, "weights")
-    sizes = weights.agg(F.count_distinct("query_id").alias("q"), F.count_distinct("word").alias("v")).first()
-    rounds = max(1, -(-sizes["q"] * sizes["v"] * 8 // MAX_QUERY_BYTES))
-    results = None
-    for i in range(rounds):
-        part = weights.filter(F.pmod(F.xxhash64("query_id"), F.lit(rounds)) == i).toPandas()
-        scored = _score_round(sentences.select(order, own.alias("_own")), part, k, order)
-        results = scored if results is None else results.unionByName(scored)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), order)
-    return results.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-
-
-def _score_round(sentences: DataFrame, weights: pd.DataFrame, k: int, order: str) -> DataFrame:
-    query_ids = np.sort(weights["query_id"].unique())
-    vocabulary = pa.array(np.sort(weights["word"].unique()), pa.string())
-    matrix = np.zeros((len(vocabulary), len(query_ids)))
-    rows = np.searchsorted(vocabulary.to_numpy(zero_copy_only=False), weights["word"])
-    matrix[rows, np.searchsorted(query_ids, weights["query_id"])] = weights["w"]
-    shared = sentences.sparkSession.sparkContext.broadcast((query_ids, vocabulary, matrix))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.compute as pc
-
-        ids, words, matrix = shared.value
-        best = None
-        for batch in batches:
-            lists = batch.column(1)
-            sizes = np.asarray(pc.fill_null(pc.list_value_length(lists), 0))
-            codes = pc.index_in(lists.flatten(), value_set=words)
-            known = np.asarray(pc.is_valid(codes))
-            row = np.repeat(np.arange(len(sizes)), sizes)[known]
-            code = np.asarray(codes.drop_null())
-            orders = np.asarray(batch.column(0))
-            step = max(1, 4_000_000 // max(1, len(ids)))
-            for start in range(0, len(code), step):
-                # a sentence's words may straddle two steps: cut at the next sentence instead
-                lo = np.searchsorted(row, row[start], "left") if start else 0
-                end = min(start + step, len(code))
-                hi = np.searchsorted(row, row[end], "left") if end < len(code) else len(code)
-                if hi <= lo:
-                    continue
-                present, first = np.unique(row[lo:hi], return_index=True)
-                sums = np.add.reduceat(matrix[code[lo:hi]], first, axis=0)
-                scores = np.round(sums / np.sqrt(sizes[present])[:, None], SCORE_DIGITS)
-                r, q = np.nonzero(scores > 0)
-                fresh = (q, scores[r, q], orders[present][r])
-                best = _keep_best(fresh if best is None else tuple(map(np.concatenate, zip(best, fresh))), k)
-        if best is not None:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[best[0]]), pa.array(best[2]), pa.array(best[1])], names=["query_id", order, "score"]
-            )
-
-    def _keep_best(found, k):
-        q, scores, orders = found
-        place = np.lexsort((orders, -scores, q))
-        q = q[place]
-        rank = np.arange(len(q)) - np.searchsorted(q, q, "left")
-        kept = place[rank < k]
-        return found[0][kept], scores[kept], orders[kept]
-
-    return sentences.mapInArrow(score, f"query_id bigint, {order} bigint, score double")
+    query, rest = Window.partitionBy("query_id"), Window.partitionBy("query_id").orderBy("w", "word")
+    unit = weighted.withColumn("w", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(query)))
+    lengths = F.sqrt(F.sum(F.col("w") * F.col("w")).over(rest))
+    return unit.select("query_id", "word", "w", F.sum("w").over(rest).alias("rest_sum"), lengths.alias("rest_length"))
+
+
+def _scored(pairs: DataFrame, sets: DataFrame, by_query: DataFrame) -> DataFrame:
+    """``(query_id, key, score)`` of pairs of a query and a set of words."""
+    met = pairs.join(sets, "key").join(by_query, "query_id")
+    shared = F.array_intersect("own", F.map_keys("weight_of"))
+    dot = F.aggregate(shared, F.lit(0.0), lambda total, word: total + F.col("weight_of")[word])
+    return met.select("query_id", "key", F.round(dot / F.sqrt(F.size("own").cast("double")), SCORE_DIGITS).alias("score"))
 
 
 def rank_sentence(spark: SparkSession, query: str, sentence: str, scorer: Scorer = tfidf_scorer) -> DataFrame:

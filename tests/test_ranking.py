@@ -1,8 +1,10 @@
 import math
+import random
 import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from quillmill.operators import ranking
 
@@ -55,21 +57,47 @@ def test_queries_without_known_words(sentences):
     assert {r["score"] for r in ranking.rank_sentences(sentences, "?!").collect()} == {0.0}
 
 
-@pytest.mark.parametrize("limit", [64 * 1024 * 1024, 200])
-def test_many_queries_equal_brute_force(spark, sentences, monkeypatch, limit):
-    monkeypatch.setattr(ranking, "MAX_QUERY_BYTES", limit)
-    asked = [(7, QUERY), (3, "registered clubs"), (5, "zzz"), (9, "")]
-    queries = spark.createDataFrame(asked, "query_id bigint, query string")
-    got = sorted((r["query_id"], r["rank"], r["ord"], r["score"]) for r in ranking.top_sentences(sentences, queries, k=3).collect())
+def best_of(asked, texts, k):
     want = []
     for number, query in asked:
-        if not words(query):
-            continue
-        scores = brute(query, SENTENCES)
-        best = sorted((i for i in range(len(SENTENCES)) if round(scores[i], 9) > 0), key=lambda i: (-round(scores[i], 9), i))[:3]
-        want += [(number, k + 1, i, scores[i]) for k, i in enumerate(best)]
-    assert [g[:3] for g in got] == [w[:3] for w in sorted(want)]
-    assert all(abs(g[3] - w[3]) < 1e-8 for g, w in zip(got, sorted(want)))
+        scores = [round(x, 9) for x in brute(query, texts)] if words(query) else [0.0] * len(texts)
+        best = sorted((i for i in range(len(texts)) if scores[i] > 0), key=lambda i: (-scores[i], i))[:k]
+        want += [(number, n + 1, i, scores[i]) for n, i in enumerate(best)]
+    return sorted(want)
+
+
+def found(df):
+    return sorted((r["query_id"], r["rank"], r["ord"], r["score"]) for r in df.collect())
+
+
+def same(got, want):
+    return [g[:3] for g in got] == [w[:3] for w in want] and all(abs(g[3] - w[3]) < 1e-8 for g, w in zip(got, want))
+
+
+@pytest.mark.parametrize("k", [1, 3, 20])
+def test_many_queries_equal_brute_force(spark, sentences, k):
+    asked = [(7, QUERY), (3, "registered clubs"), (5, "zzz"), (9, ""), (2, "kiel"), (1, "Kiel students zzz kiel")]
+    queries = spark.createDataFrame(asked, "query_id bigint, query string")
+    assert same(found(ranking.top_sentences(sentences, queries, k=k)), best_of(asked, SENTENCES, k))
+
+
+def test_a_word_of_all_sentences_and_queries_brings_few_candidates(spark, monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join(["the"] + [f"w{int(rng.paretovariate(0.7)) % 400}" for _ in range(rng.randint(2, 9))]) for _ in range(600)]
+    texts += ["the same line again"] * 300 + [None, "", "the"]
+    asked = [(n, "the " + " ".join(rng.sample(texts[n].split(), 2) + [f"w{n}"])) for n in range(40)] + [(99, "the")]
+    rows = spark.createDataFrame(list(enumerate(texts)), "ord bigint, sentence string").repartition(4)
+    queries = spark.createDataFrame(asked, "query_id bigint, query string")
+    pairs, scored = [], ranking._scored
+    monkeypatch.setattr(ranking, "_scored", lambda p, *rest: (pairs.append(p), scored(p, *rest))[1])
+    got = found(ranking.top_sentences(rows, queries, k=4))
+    assert same(got, best_of(asked, [t or "" for t in texts], 4))
+    # every query shares a word with 901 sentences
+    assert pairs[1].count() < 0.1 * len(asked) * len(texts)
+    named = rows.select(F.format_string("s%04d", "ord").alias("ord"), "sentence")
+    by_name = ranking.top_sentences(named, queries.select(F.format_string("q%02d", "query_id").alias("query_id"), "query"), k=4)
+    assert [(f"q{q:02d}", r, f"s{o:04d}") for q, r, o, _ in got] == [g[:3] for g in found(by_name)]
+    assert ranking.top_sentences(rows.limit(0), queries, k=4).count() == ranking.top_sentences(rows, queries.limit(0), k=4).count() == 0
 
 
 def test_pair_model_is_used_in_batches(spark, sentences):
