@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmill.functions import text as tx
+from quillmill.session import written
 
 
 def _one_by_key(df: DataFrame, keys: list[str], order: list[str], pick) -> DataFrame:
@@ -46,15 +47,20 @@ def drop_processed(items: DataFrame, processed: DataFrame, key: str = "pdf_url")
 def split_by_content(df: DataFrame, content: Column, row_id: str) -> tuple[DataFrame, DataFrame]:
     """Kept rows and rejects by SHA-256 of ``content``: the lowest ``row_id`` of each hash is kept.
 
-    Only hash and id are grouped; the payload meets the winners again on the unique
-    ``row_id``, so many copies of one content do not gather in one task. NULL content
-    equals nothing and is kept.
+    Only hash and id are shuffled. The rows that lose are looked up by ``row_id``, which is unique, and are as many
+    as there are copies; while these ids can be broadcast no payload leaves its task. NULL content equals nothing and is kept,
+    and so is a row without an id.
     """
     hashed = df.withColumn("sha256", tx.sha256_hex(content))
-    known = hashed.filter(F.col("sha256").isNotNull())
-    winners = known.groupBy("sha256").agg(F.min(row_id).alias(row_id)).select(row_id)
-    kept = known.join(winners, row_id, "left_semi").unionByName(hashed.filter(F.col("sha256").isNull()))
-    rejects = known.join(winners, row_id, "left_anti").withColumn("reason", F.lit("duplicate_sha256"))
+    marks = hashed.filter(F.col("sha256").isNotNull()).select("sha256", row_id)
+    # one row a hash from every task
+    groups = marks.groupBy("sha256").agg(F.min(row_id).alias("_first"), F.max(row_id).alias("_last"))
+    copied = groups.filter(F.col("_first") != F.col("_last")).select("sha256", "_first")
+    # read back from a table, so that Spark may split the ids of a hash that very many rows have
+    copied = written(copied, "copied")
+    losers = written(marks.join(copied, "sha256").filter(F.col(row_id) != F.col("_first")).select(row_id), "copies")
+    kept = hashed.join(losers, row_id, "left_anti")
+    rejects = hashed.join(losers, row_id, "left_semi").withColumn("reason", F.lit("duplicate_sha256"))
     return kept.select(*hashed.columns), rejects.select(*hashed.columns, "reason")
 
 

@@ -2,22 +2,44 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def salted_lookup(facts: DataFrame, lookup: DataFrame, key: str, spread_by: str, salts: int = 16) -> DataFrame:
-    """Left join of ``facts`` with ``lookup`` (one row per ``key``), hot keys spread over ``salts`` tasks.
+# A key is hot that holds at least this share of the facts; there cannot be more hot keys than one over it
+HOT_SHARE = 0.005
+# Keys that a task's sketch tracks: counts are off by much less than the share
+TRACKED_KEYS = 8192
+
+
+def hot_keys(facts: DataFrame, key: str) -> list:
+    """The keys that hold ``HOT_SHARE`` of the facts or more, by a sketch of fixed size: one pass over the key column."""
+    most = int(1 / HOT_SHARE)
+    known = facts.select(F.col(key).alias("k")).filter(F.col("k").isNotNull())
+    found = known.agg(F.expr(f"approx_top_k(k, {most}, {TRACKED_KEYS})").alias("top"), F.count(F.lit(1)).alias("n")).first()
+    return [item["item"] for item in found["top"] or () if item["count"] >= max(2.0, HOT_SHARE * found["n"])]
+
+
+def salted_lookup(
+    facts: DataFrame, lookup: DataFrame, key: str, spread_by: str, salts: int = 16, hot: Sequence | None = None
+) -> DataFrame:
+    """Left join of ``facts`` with ``lookup`` (one row per ``key``), the rows of hot keys spread over ``salts`` tasks.
 
-    Facts of one key are spread by a hash of ``spread_by``, so the lookup rows are repeated
-    ``salts`` times: meant for lookups much smaller than the facts. Rows without a key match
-    nothing and are spread in the same way, instead of meeting in one task.
+    Facts of a hot key are spread by a hash of ``spread_by``, and only the lookup rows of hot keys are repeated ``salts`` times: the rest
+    of a lookup is sent once, however large it is. ``hot`` has the keys if they are known, else ``hot_keys`` finds them. Rows without
+    a key match nothing and are spread over all tasks, instead of meeting in one.
     """
     if salts <= 1:
         return facts.join(lookup, key, "left")
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [key, "_salt"], "left").drop("_salt")
+    hot = hot_keys(facts, key) if hot is None else hot
+    is_hot = F.coalesce(F.col(key).isin(*hot), F.lit(False)) if hot else F.lit(False)
+    spread = F.xxhash64(spread_by)
+    salt = F.when(F.col(key).isNull(), spread).when(is_hot, F.pmod(spread, F.lit(salts))).otherwise(F.lit(0).cast("bigint"))
+    last = F.when(is_hot, F.lit(salts - 1)).otherwise(0).cast("bigint")
+    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    return facts.withColumn("_salt", salt).join(repeated, [key, "_salt"], "left").drop("_salt")
 
 
 def frequent_first_lookup(

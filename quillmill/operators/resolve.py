@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmill import schemas
-from quillmill.operators.joins import salted_lookup
+from quillmill.operators.joins import hot_keys, salted_lookup
 
 # DOI prefixes and URL forms
 ARXIV_DOI = "10.48550/arxiv."
@@ -119,8 +119,8 @@ def resolve(
 
     Rules that stand before the first snapshot rule are tried alone; only hits that
     they leave open and that have a DOI are shuffled to the snapshots. Hits without a DOI go on to the later rules
-    where they are, with nothing found in the snapshots. ``salts=1`` drops
-    the salting, for hits that are already one per DOI.
+    where they are, with nothing found in the snapshots. DOIs of very many hits are found
+    by a sketch and spread; ``salts=1`` drops that, for hits that are already one per DOI.
     """
     first_lookup = next((i for i, rule in enumerate(rules) if not rule.local), len(rules))
     has_doi = F.col("doi").isNotNull() & (F.col("doi") != "")
@@ -131,8 +131,9 @@ def resolve(
     settled = tried.filter(~F.coalesce(needs_lookup, F.lit(False))).withColumns(nothing | {"_ldoi": _doi()})
     settled = settled.withColumn("_found", F.coalesce("_found", first_match(rest))).drop("_ldoi", *nothing)
     waiting = tried.filter(needs_lookup).drop("_found").withColumn("_ldoi", _doi())
-    enriched = salted_lookup(waiting, open_access_lookup(oa_snapshot), "_ldoi", order, salts)
-    enriched = salted_lookup(enriched, pmc_lookup(pmc_snapshot), "_ldoi", order, salts)
+    hot = hot_keys(waiting, "_ldoi") if rest and salts > 1 else []
+    enriched = salted_lookup(waiting, open_access_lookup(oa_snapshot), "_ldoi", order, salts, hot)
+    enriched = salted_lookup(enriched, pmc_lookup(pmc_snapshot), "_ldoi", order, salts, hot)
     looked_up = enriched.withColumn("_found", first_match(rest))
     everything = settled.unionByName(looked_up.drop("_ldoi", "oa_pdf_url", "pmcid"))
     return everything.select(
