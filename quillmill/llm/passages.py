@@ -27,7 +27,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmill.llm import common
@@ -37,6 +37,8 @@ LENGTH, GRAM = 50, 16
 SIDE = (LENGTH - GRAM) // 2
 #: Bytes of text in a block; a task holds one block, with some 150 bytes for each of its text.
 BLOCK_BYTES = 1_000_000
+#: Buckets of the table of blocks; Spark allows 100 000, and there may be more blocks than that.
+MAX_BUCKETS = 20_000
 NO_DOC = np.iinfo(np.int64).max
 
 _TABLE = common._mix(21, 256)
@@ -295,7 +297,9 @@ def _blocks(docs: DataFrame, size: int) -> tuple[str, int]:
 
     packed = keyed.mapInArrow(pack, "doc_id bigint, row_key bigint, body binary").withColumn("block", F.pmod("row_key", F.lit(n)))
     name = f"passages_{uuid.uuid4().hex}"
-    packed.repartition(n, "block").write.bucketBy(n, "block").sortBy("block").format("parquet").saveAsTable(name)
+    # a bucket may hold several blocks, one after the other
+    buckets = min(n, MAX_BUCKETS)
+    packed.repartition(buckets, "block").write.bucketBy(buckets, "block").sortBy("block").format("parquet").saveAsTable(name)
     return name, n
 
 
@@ -304,10 +308,16 @@ def removed_passages(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFra
 
     Removed is each byte of a ``LENGTH``-byte string that also starts in a document with a smaller id. A
     null text is empty; a null id counts as larger than all others; rows of one id do not remove each
-    other's passages.
+    other's passages. No rows give no rows. The table of blocks is dropped at the end, also of a run that fails.
     """
-    spark = docs.sparkSession
     name, n_blocks = _blocks(docs, block_bytes)
+    try:
+        return _removed(docs.sparkSession, name, n_blocks)
+    finally:
+        docs.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _removed(spark: SparkSession, name: str, n_blocks: int) -> DataFrame:
     n_buckets = max(1, n_blocks // 4)
     answers = spark.createDataFrame([], _ANSWERED)
 
@@ -346,6 +356,4 @@ def removed_passages(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFra
         asked = with_blocks(answers).applyInArrow(asker(k), _ASKED)
         answered = asked.groupBy("bucket").applyInPandas(answerer(k), _ANSWERED)
         answers = answers.unionByName(written(answered, f"passages-{step}"))
-    result = written(with_blocks(answers).applyInArrow(finish, RESULT), "passages")
-    spark.sql(f"DROP TABLE {name}")
-    return result
+    return written(with_blocks(answers).applyInArrow(finish, RESULT), "passages")

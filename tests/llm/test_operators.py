@@ -179,6 +179,14 @@ def test_passages(spark, seed):
     assert sorted(map(tuple, got.collect()), key=repr) == passages_by_hand(rows)
 
 
+def test_passages_with_more_blocks_than_buckets(spark, monkeypatch):
+    monkeypatch.setattr(passages, "MAX_BUCKETS", 3)
+    rows = shaken(2)
+    got = passages.removed_passages(table(spark, rows), block_bytes=700)
+    assert sorted(map(tuple, got.collect()), key=repr) == passages_by_hand(rows)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("passages_")]
+
+
 def test_passages_of_no_rows(spark):
     assert passages.removed_passages(table(spark, ODD).limit(0)).count() == 0
 
