@@ -101,8 +101,10 @@ def register_find_similar_papers(spark: SparkSession, embeddings_view: str, pape
             query_embedding ARRAY<DOUBLE>, similarity_threshold DOUBLE DEFAULT 0.7)
         RETURNS TABLE (paper_id BIGINT, title STRING, similarity DOUBLE)
         RETURN
-            SELECT p.id, p.title, cosine_similarity(e.embedding, query_embedding)
-            FROM {embeddings_view} e JOIN {papers_view} p ON p.id = e.paper_id
-            WHERE cosine_similarity(e.embedding, query_embedding) > similarity_threshold
+            WITH near AS (
+                SELECT paper_id, cosine_similarity(embedding, query_embedding) AS similarity FROM {embeddings_view})
+            SELECT paper_id, title, similarity
+            FROM near JOIN (SELECT id AS paper_id, title FROM {papers_view}) USING (paper_id)
+            WHERE similarity > similarity_threshold
         """
     )

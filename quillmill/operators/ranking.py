@@ -173,3 +173,21 @@ def rank_sentence(spark: SparkSession, query: str, sentence: str, scorer: Scorer
     """One row ``(query, sentence, score)``."""
     one = spark.range(1).select(F.lit(query).alias("query"), F.lit(sentence).alias("sentence"))
     return scorer(one, query, "sentence")
+
+
+def rank_pairs(pairs: DataFrame, query: str = "query", sentence: str = "sentence") -> DataFrame:
+    """``pairs`` with the ``score`` that ``rank_sentence`` gives each of them; 0 where either has no word."""
+    listed = pairs.withColumns({"_asked": tx.words(F.col(query)), "_own": F.array_distinct(tx.words(F.col(sentence)))})
+    # of the one sentence, a word is either in all or in none
+    missing = F.lit(float(np.log(2.0) + 1))
+
+    def weigh(word):
+        times = F.size(F.filter("_asked", lambda other: other == word)).cast("double")
+        held = F.array_contains("_own", word)
+        return F.struct(((1 + F.ln(times)) * F.when(held, 1.0).otherwise(missing)).alias("w"), held.alias("held"))
+
+    weighed = listed.withColumn("_weights", F.transform(F.array_distinct("_asked"), weigh))
+    dot = F.aggregate("_weights", F.lit(0.0), lambda total, x: total + F.when(x["held"], x["w"]).otherwise(0.0))
+    square = F.aggregate("_weights", F.lit(0.0), lambda total, x: total + x["w"] * x["w"])
+    cosine = F.try_divide(dot, F.sqrt(square) * F.sqrt(F.size("_own").cast("double")))
+    return weighed.withColumn("score", F.round(F.coalesce(cosine, F.lit(0.0)), SCORE_DIGITS)).drop("_asked", "_own", "_weights")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -46,6 +47,16 @@ def hit_json_roundtrip(i: Inputs) -> DataFrame:
     return _longs(hit_files.read_hits_json(i.spark, path, multi_line=False), "year")
 
 
+@query
+def hit_json_arrays(i: Inputs) -> DataFrame:
+    """The hits as files of one JSON array each, a thousand documents a file."""
+    path = work_dir(i.spark, "arrays")
+    hit = F.struct(*schemas.HIT_COLUMNS)
+    blocks = i.hits.groupBy(F.floor(F.col("doc_id") / 1000).alias("block")).agg(F.to_json(F.collect_list(hit)).alias("value"))
+    blocks.write.partitionBy("block").text(path)
+    return _longs(hit_files.read_hits_json(i.spark, path), "year").drop("block")
+
+
 @query
 def hit_json_rejects(i: Inputs) -> DataFrame:
     """The hits as JSON lines, those of one language cut short: what is read, and what is told as broken."""
@@ -282,6 +293,31 @@ def top_titles_per_query(i: Inputs) -> DataFrame:
     return _longs(top, "rank").withColumn("score", F.round("score", 6))
 
 
+@query
+def rank_pairs(i: Inputs) -> DataFrame:
+    """Every title against the rest of its own text."""
+    rest = F.substr("text", F.length("title") + 1)
+    pairs = i.documents.withColumn("title", _title()).select("doc_id", F.col("title").alias("query"), rest.alias("sentence"))
+    return ranking.rank_pairs(pairs).select("doc_id", F.round("score", 6).alias("score"))
+
+
+def _shared_letters_words():
+    """A pair model: the words in both texts among the words in either."""
+
+    def predict(queries, texts):
+        own = lambda text: set(re.findall("[A-Za-z]+", text))
+        pairs = [(own(q), own(t)) for q, t in zip(queries, texts)]
+        return [len(a & b) / len(a | b) if a | b else 0.0 for a, b in pairs]
+
+    return predict
+
+
+@query
+def rank_titles_by_model(i: Inputs) -> DataFrame:
+    ranked = ranking.rank_sentences(_titles(i), RANK_QUERY, scorer=ranking.model_scorer(_shared_letters_words))
+    return ranked.withColumn("score", F.round("score", 6))
+
+
 # -- text ---------------------------------------------------------------------------------------------
 
 
@@ -463,6 +499,29 @@ def _by_cells(i: Inputs, queries: DataFrame) -> DataFrame:
     return cells.search_index(i.spark.read.parquet(path), i.vectors, queries, index, probes=14, refine=16)
 
 
+@query
+def parsed_vectors(i: Inputs) -> DataFrame:
+    """The vectors as text and back; every tenth text is cut short, which gives no vector."""
+    text = F.to_json("embedding")
+    text = F.when(F.col("paper_id") % 10 == 3, F.concat(F.lit("["), F.substr(text, F.lit(3), F.lit(9)), F.lit("x"))).otherwise(text)
+    parsed = i.vectors.select("paper_id", vec.parse_vector(text).alias("v"))
+    return parsed.select(
+        "paper_id", F.when(F.col("v").isNotNull(), F.size("v")).cast("bigint").alias("dims"), F.round(vec.norm(F.col("v")), 5).alias("length"),
+    )
+
+
+def _vowel_counts():
+    """An embedding model: how often each vowel comes; it fails on texts without any."""
+    return lambda texts: [[float(t.count(c)) for c in "aeiou"] if any(c in t for c in "aeiou") else None for t in texts]
+
+
+@query
+def embed_by_model(i: Inputs) -> DataFrame:
+    parts = i.documents.select("doc_id", F.lit("full_text").alias("embedding_type"), F.col("text").alias("section_text"), F.lit(0).alias("part_no"))
+    done, _ = vector_search.embed_sections(parts, vector_search.model_embedder(_vowel_counts), "doc_id")
+    return done.select("doc_id", *[F.col("embedding")[n].cast("double").alias(c) for n, c in enumerate("aeiou")])
+
+
 @query
 def wrong_dimension(i: Inputs) -> DataFrame:
     return _longs(vector_search.wrong_dimension(i.vectors, schemas.CHUNK_VECTOR_DIM), "dims").select("paper_id", "dims")

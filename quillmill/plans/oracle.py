@@ -150,6 +150,7 @@ _add(
     "SELECT title, coalesce(doi, '') AS doi, url, year, source, score FROM hits",
     HITS,
 )
+SQL["hit_json_arrays"] = SQL["hit_json_roundtrip"]
 _add(
     "resolved_json_roundtrip",
     "SELECT title, doi, url, year, source, score, pdf_url, resolver_source FROM resolved WHERE pdf_url IS NOT NULL",
@@ -403,6 +404,26 @@ _add(
     ),
 )
 
+_add(
+    "rank_pairs",
+    """SELECT doc_id, round(round(coalesce(sum(w) FILTER (held) / (sqrt(sum(w * w)) * sqrt(any_value(n))), 0), 9), 6) AS score
+    FROM pairs LEFT JOIN weighed USING (doc_id) GROUP BY doc_id""",
+    f"""pairs AS (
+        SELECT doc_id, {_words("title")} AS asked, list_distinct({_words("rest")}) AS own
+        FROM (SELECT doc_id, {_TITLE} AS title, substr(text, length({_TITLE}) + 1) AS rest FROM documents))""",
+    """weighed AS (
+        SELECT doc_id, (1 + ln(tf)) * CASE WHEN held THEN 1 ELSE 1 + ln(2) END AS w, held, n FROM (
+            SELECT doc_id, count(*) AS tf, list_contains(any_value(own), word) AS held, nullif(len(any_value(own)), 0) AS n
+            FROM (SELECT doc_id, own, unnest(asked) AS word FROM pairs) GROUP BY doc_id, word))""",
+)
+_LETTER_WORDS = "list_distinct(regexp_extract_all({0}, '[A-Za-z]+'))"
+_add(
+    "rank_titles_by_model",
+    f"""SELECT ord, sentence, round(coalesce(len(list_intersect(a, b)) / nullif(len(list_distinct(list_concat(a, b))), 0), 0), 6) AS score
+    FROM (SELECT *, {_LETTER_WORDS.format(repr(RANK_QUERY))} AS a, {_LETTER_WORDS.format("sentence")} AS b FROM titles)""",
+    f"titles AS ({_TITLE_ROWS})",
+)
+
 # -- text ------------------------------------------------------------------------------------------------
 
 _add(
@@ -634,6 +655,14 @@ _add(
         SELECT query_id, id AS paper_id FROM asked, units
         QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(list_inner_product(q, v), 9) DESC, id) <= 10)""",
 )
+_add(
+    "parsed_vectors",
+    """SELECT vec_id AS paper_id, CASE WHEN vec_id % 10 <> 3 THEN len(embedding) END AS dims,
+        CASE WHEN vec_id % 10 <> 3 THEN round(sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))), 5) END AS length
+    FROM embeddings""",
+)
+_VOWELS = ", ".join(f"(length(text) - length(replace(text, '{c}', '')))::DOUBLE AS {c}" for c in "aeiou")
+_add("embed_by_model", f"SELECT doc_id, {_VOWELS} FROM documents WHERE regexp_matches(text, '[aeiou]')")
 _add("wrong_dimension", "SELECT vec_id AS paper_id, len(embedding) AS dims FROM embeddings WHERE len(embedding) <> 768")
 SQL["embed_sections"] = (
     "SELECT DISTINCT doc_id, embedding_type, 256::BIGINT AS dims, 1.0::DOUBLE AS length FROM (" + SQL["section_slices"] + ")"

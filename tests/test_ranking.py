@@ -113,3 +113,12 @@ def test_pair_model_is_used_in_batches(spark, sentences):
     one = ranking.rank_sentence(spark, "a b", "b c", scorer=scorer).first()
     assert one["score"] == 0.5
     assert ranking.rank_sentence(spark, "kiel", "Kiel is big").first()["score"] > 0
+
+
+def test_pairs_score_as_one_sentence_does(spark):
+    pairs = [("kiel kiel gulls", "Kiel is big"), ("", "a b"), ("zzz", "a b"), ("a", ""), (None, "a"), ("a", None), ("b a", "a a b c")]
+    got = ranking.rank_pairs(spark.createDataFrame(pairs, "query string, sentence string")).collect()
+    for (query, sentence), row in zip(pairs, got):
+        want = ranking.rank_sentence(spark, query, sentence).first()["score"] if query and sentence else 0.0
+        assert abs(row["score"] - want) < 1e-8 and (row["query"], row["sentence"]) == (query, sentence)
+    assert got[0]["score"] > 0 and got[-1]["score"] == round(math.sqrt(2 / 3), 9)
