@@ -1,6 +1,7 @@
 import uuid
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from quillmill import schemas
@@ -134,6 +135,35 @@ def test_a_hot_url_is_read_once(spark, tmp_path):
     assert [(r["outcome"], r["ord"], r["attempts"]) for r in found] == [("accepted", 1, 0)]
 
 
+class OneUrl:
+    """The state of one URL, as the handle and the value state of a task."""
+
+    def __init__(self):
+        self.value = None
+
+    def getValueState(self, name, schema):  # noqa: N802
+        return self
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+def test_a_url_is_judged_from_plain_rows():
+    """No data frame for each URL: with millions of URLs a batch's time was that of making them."""
+    attempt = Row("pdf_url", "status", "ord", "at")
+    start = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    url, state = fetches.UrlProgress(["pdf_url", "status", "ord", "at"], False, 60.0), OneUrl()
+    url.init(state)
+    judged = lambda *rows: [(r.outcome, r.attempts, r.ord, r.next_at) for r in url.handleInputRows(("u",), iter(rows), None)]
+    assert judged(attempt("u", 404, None, start), attempt("u", 403, 7, None)) == [("retry", 2, None, start + timedelta(seconds=4))]
+    assert state.value == (False, 2, 1704067204000)
+    assert judged(attempt("u", 200, 9, start), attempt("u", None, 8, start), attempt("u", 200, 3, start)) == [("accepted", 2, 3, None)]
+    assert judged(attempt("u", 200, 1, start)) == [] and state.value == (True, 2, None)
+
+
 def test_unique_stream_remembers_across_runs(spark, tmp_path):
     for i in range(2):
         land(spark, tmp_path / "landing", [row(1), row(i + 10), row(i + 10)])
