@@ -163,6 +163,15 @@ def test_fetch_plan(spark):
     ]
 
 
+def test_fetch_plan_has_the_headers_of_each_request(spark):
+    pmc = "https://www.ncbi.nlm.nih.gov/pmc/articles/PMC1/pdf"
+    df = spark.createDataFrame([(pmc, "pmc"), ("http://h/x.pdf", "s")], "pdf_url string, resolver_source string")
+    plan = resolve.fetch_plan(df).orderBy("pdf_url", "try_no").collect()
+    assert [len(r["headers"]) for r in plan] == [11, 13, 13]
+    assert "Referer" not in plan[0]["headers"] and plan[1]["headers"]["DNT"] == "1"
+    assert {r["headers"]["Referer"] for r in plan[1:]} == {"https://www.ncbi.nlm.nih.gov/"}
+
+
 def test_url_and_content_dedupe(spark, rows):
     df = spark.createDataFrame([("u1", 3), ("u1", 1), ("u2", 2), (None, 4)], "pdf_url string, ord bigint")
     assert rows(dedupe.unique_by_url(df.filter("pdf_url is not null"))) == [("u1", 1), ("u2", 2)]
