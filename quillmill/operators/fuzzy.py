@@ -7,8 +7,14 @@ grams cannot all be spoilt. Grams are told apart by their number within a title,
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from quillmill.functions import text as tx
 from quillmill.operators.components import component_labels
@@ -28,11 +34,54 @@ def title_text(title: Column) -> Column:
     return F.when(F.size(words) > 0, F.array_join(words, " "))
 
 
-def _grams(text: Column) -> Column:
-    """The grams of a text with its edges, each with its number among equal ones, and its place."""
-    padded = F.concat(F.lit(_EDGE), text, F.lit(_EDGE))
-    plain = F.transform(F.sequence(F.lit(1), F.length(padded) - (GRAM - 1)), lambda i: F.substring(padded, i, F.lit(GRAM)))
-    return F.transform(plain, lambda g, i: F.struct(g.alias("gram"), i.alias("place")))
+@F.pandas_udf(ArrayType(StringType()))
+def _grams(texts: pd.Series) -> pd.Series:
+    """The grams of a text with its edges, in order, each with its number among equal ones."""
+
+    def numbered(text: str) -> list[str]:
+        padded, seen, found = _EDGE + text + _EDGE, {}, []
+        for start in range(len(padded) - GRAM + 1):
+            gram = padded[start:start + GRAM]
+            seen[gram] = nth = seen.get(gram, 0) + 1
+            found.append(f"{gram}\x03{nth}")
+        return found
+
+    return texts.map(numbered)
+
+
+# A text's marks are bits: for each of _BINS kinds of characters (code points modulo _BINS) the counts in _LEVELS that it
+# reaches, and for each of _GRAM_BINS kinds of grams whether there is one
+_BINS = 32
+_LEVELS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 12, 14, 17, 21, 26, 33])
+_GRAM_BINS = 512
+_CHARACTER_MARKS = [f"mark{k}" for k in range(_BINS * len(_LEVELS) // 64)]
+_GRAM_MARKS = [f"gram_mark{k}" for k in range(_GRAM_BINS // 64)]
+
+
+@F.pandas_udf(StructType([StructField(c, LongType()) for c in _CHARACTER_MARKS + _GRAM_MARKS]))
+def _marks(texts: pd.Series) -> pd.DataFrame:
+    odd = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], dtype=np.uint32)
+    found = np.zeros((len(texts), len(_CHARACTER_MARKS + _GRAM_MARKS)), dtype=np.int64)
+    for n, text in enumerate(texts):
+        codes = np.frombuffer((_EDGE + text + _EDGE).encode("utf-32-le"), dtype=np.uint32)
+        counts = np.bincount(codes[len(_EDGE):-len(_EDGE)] % _BINS, minlength=_BINS)
+        mixed = sum(codes[k:len(codes) - GRAM + 1 + k] * odd[k] for k in range(GRAM))
+        there = np.zeros(_GRAM_BINS, dtype=bool)
+        there[(mixed >> np.uint32(16)) % _GRAM_BINS] = True
+        found[n] = np.concatenate([np.packbits(counts[:, None] >= _LEVELS), np.packbits(there)]).view(np.int64)
+    return pd.DataFrame(found, columns=_CHARACTER_MARKS + _GRAM_MARKS)
+
+
+def _may_be_near(longer: str, shorter: str, edits: Column) -> Column:
+    """Whether ``edits`` may do, by the texts' marks and lengths (columns with these prefixes).
+
+    Counts of characters differ by at least the number of levels between them. An edit changes two counts by one, or one count and
+    the length, so all differences and that of the lengths are at most twice the edits of a near pair. Likewise an edit
+    takes away and brings no more than ``GRAM`` grams each.
+    """
+    differ = lambda marks: reduce(add, [F.bit_count(F.col(longer + c).bitwiseXOR(F.col(shorter + c))) for c in marks])
+    lengths = F.col(longer + "length") - F.col(shorter + "length")
+    return (differ(_GRAM_MARKS) <= edits * (2 * GRAM)) & (differ(_CHARACTER_MARKS) + lengths <= edits * 2)
 
 
 def _most_edits(length: Column, ratio: float) -> Column:
@@ -50,35 +99,38 @@ def _length_class(length: Column, ratio: float) -> Column:
 
 
 def rare_grams(texts: DataFrame, ratio: float) -> DataFrame:
-    """``(id, length, gram, place)``: a row for each of a text's rarest grams, as many as edits could spoil and one more.
+    """``(id, length, gram, place, nth)``: a row for each of a text's rarest grams, as many as edits could spoil and one more.
 
     A gram of more than 1 % of the texts, which are few by counting, is looked up by broadcast.
     """
-    numbered = texts.select("id", F.length("text").alias("length"), F.posexplode(_grams(F.col("text"))).alias("_pos", "_g"))
-    nth = F.row_number().over(Window.partitionBy("id", "_g.gram").orderBy("_g.place"))
-    grams = numbered.select("id", "length", "_g.place", F.concat_ws("\x03", "_g.gram", nth.cast("string")).alias("gram"))
+    grams = texts.select("id", F.length("text").alias("length"), F.posexplode(_grams("text")).alias("place", "gram"))
     counts = grams.groupBy("gram").agg(F.count("*").alias("df"))
     n = texts.count()
     met = frequent_first_lookup(grams, counts, "gram", "df", F.col("df") * 100 >= n, "id")
     rarest = Window.partitionBy("id").orderBy("df", "gram")
-    ranked = met.withColumn("_nth", F.row_number().over(rarest))
-    return ranked.filter(F.col("_nth") <= _most_edits(F.col("length"), ratio) * GRAM + 1).select("id", "length", "gram", "place")
+    ranked = met.withColumn("nth", F.row_number().over(rarest))
+    return ranked.filter(F.col("nth") <= _most_edits(F.col("length"), ratio) * GRAM + 1).select("id", "length", "gram", "place", "nth")
 
 
 def similar_links(texts: DataFrame, ratio: float = RATIO) -> DataFrame:
     """``(a, b)``, a < b: pairs of ``(id, text)`` rows within the ratio; texts are different from each other.
 
     Candidates meet by gram and class of length, so that a gram of very many titles is no one group, and Spark
-    splits what still is large. Only ids travel until pairs are distinct; then the texts come to them.
+    splits what still is large. Each gram brings its text's marks: a pair that they rule out ends where it meets and
+    is never written. Only ids travel until pairs are distinct; then the texts come to them.
     """
-    held = written(rare_grams(texts, ratio).withColumn("class", _length_class(F.col("length"), ratio)), "rare-grams")
+    marked = texts.select("id", _marks("text").alias("_m")).select("id", "_m.*")
+    classed = rare_grams(texts, ratio).withColumn("class", _length_class(F.col("length"), ratio))
+    held = written(classed.join(marked, "id"), "rare-grams")
     left = held.select(*[F.col(c).alias(f"_{c}") for c in held.columns])
+    # of two texts, those grams meet that the edits allowed to the longer one could spoil, and one more
+    left = left.filter(F.col("_nth") <= _allowed(F.col("_length"), F.col("_length"), ratio) * GRAM + 1)
     asking = left.withColumn("_wanted", F.explode(F.array(F.col("_class"), F.col("_class") - 1)))
     edits = _allowed(F.col("_length"), F.col("length"), ratio)
     # the longer one asks; of equal lengths the greater id
     asks = (F.col("length") < F.col("_length")) | ((F.col("length") == F.col("_length")) & (F.col("id") < F.col("_id")))
-    fits = (F.col("_length") - F.col("length") <= edits) & (F.abs(F.col("_place") - F.col("place")) <= edits)
-    met = asking.join(held, (F.col("_gram") == F.col("gram")) & (F.col("_wanted") == F.col("class")) & asks & fits)
+    fits = (F.col("_length") - F.col("length") <= edits) & (F.abs(F.col("_place") - F.col("place")) <= edits) & (F.col("nth") <= edits * GRAM + 1)
+    met = asking.join(held, (F.col("_gram") == F.col("gram")) & (F.col("_wanted") == F.col("class")) & asks & fits & _may_be_near("_", "", edits))
     pairs = met.groupBy("_id", "id").agg(F.first(edits).alias("_edits"))
     own = texts.select(F.col("id").alias("_id"), F.col("text").alias("_text"))
     compared = pairs.join(own, "_id").join(texts, "id")

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from quillmill.operators import fuzzy
 from quillmill.operators.components import component_labels
@@ -78,3 +79,25 @@ def test_components(spark):
     got = {r["node"]: r["label"] for r in component_labels(spark.createDataFrame(chain, "x bigint, y bigint"), "x", "y").collect()}
     want = {k: 200 for k in range(200, 301)} | {k: 5 for k in (5, 7, 9, 1000)} | {k: 2000 for k in range(2000, 2500)}
     assert got == want
+
+
+def test_marks_rule_out_far_pairs_and_no_near_one(spark):
+    """Random pairs a few edits apart are never ruled out; unlike texts of the same letters' kind are, before they are written."""
+    draw = random.Random(5)
+    rows = []
+    for n in range(300):
+        left = "".join(draw.choices("abcde fghé", k=draw.randint(1, 120)))
+        right = list(left)
+        for _ in range(draw.randint(0, 12)):
+            at, new = draw.randrange(len(right) + 1), draw.choice("abcdex")
+            right[at:at + draw.randint(0, 1)] = [new] * draw.randint(0, 1)
+        rows.append((n, *sorted((left, "".join(right)), key=len, reverse=True)))
+    df = spark.createDataFrame(rows, "n int, one string, two string").filter("two <> ''")
+    sides = [df.select("n", F.length(c).alias("length"), fuzzy._marks(c).alias("m")).select("n", "length", "m.*") for c in ("one", "two")]
+    left = sides[0].select("n", *[F.col(c).alias(f"_{c}") for c in sides[0].columns if c != "n"])
+    met = left.join(sides[1], "n").join(df, "n").withColumn("edits", F.levenshtein("one", "two"))
+    assert met.filter(~fuzzy._may_be_near("_", "", F.col("edits"))).count() == 0
+    far = spark.createDataFrame([("abcdefgh" * 5, "stuvwxyz" * 5)], "one string, two string")
+    marked = far.select(F.length("one").alias("_length"), F.length("two").alias("length"), fuzzy._marks("one").alias("o"), fuzzy._marks("two").alias("m"))
+    both = marked.select("*", *[F.col(f"o.{c}").alias(f"_{c}") for c in fuzzy._CHARACTER_MARKS + fuzzy._GRAM_MARKS], "m.*")
+    assert both.select(fuzzy._may_be_near("_", "", F.lit(6))).first()[0] is False
