@@ -124,3 +124,12 @@ def test_html(spark):
     html = "<html><style>p{}</style><script>var t='</p>';</script><p>A &amp; B<br>c</p><!-- no --></html>"
     df = spark.createDataFrame([(html,)], "h string")
     assert df.select(tx.strip_html(F.col("h"))).first()[0] == "A & B c"
+
+
+def test_summaries_make_their_sentences_once(spark):
+    """The array of scored sentences is made by one step of the plan; a filter on it had it made a second time."""
+    df = spark.createDataFrame([(1, "One fish. Two fish."), (2, " .. "), (3, None)], "id int, t string")
+    found = docs.extractive_summaries(df, "t", "id")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("arrays_zip(") == 1
+    assert {r["id"] for r in found.collect()} == {1}
