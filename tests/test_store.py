@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 from quillmill import schemas
 from quillmill.operators import constraints, dedupe, lookups, store
 from quillmill.operators.running import assign_ids, running_total
+from quillmill.plans import catalog
+from quillmill.plans.inputs import Inputs
 from quillmill.sources import files, seed, tables
 
 PAPERS = schemas.PAPERS
@@ -305,3 +307,34 @@ def test_first_and_last_by_key_with_many_copies(spark):
     df = spark.range(5000).select(F.lit("hot").alias("k"), F.col("id").alias("ord"), F.col("id").cast("string").alias("v"))
     assert dedupe.first_by_key(df, ["k"], ["ord"]).first()["v"] == "0"
     assert dedupe.last_by_key(df, ["k"], ["ord"]).first()["v"] == "4999"
+
+
+def _lines(spark, folder, n=2000):
+    """Line items of different parts, each of them twice."""
+    lines = spark.range(n).select(
+        F.col("id").alias("l_partkey"), (F.col("id") % 7).alias("l_suppkey"), F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"),
+        F.lit("A").alias("l_returnflag"), F.lit("O").alias("l_linestatus"), F.lit(0.05).alias("l_discount"),
+        F.lit(1.0).alias("l_quantity"), F.lit(2.0).alias("l_extendedprice"),
+    )
+    lines.unionByName(lines.withColumn("l_discount", F.lit(0.1))).write.parquet(f"{folder}/lineitem.parquet")
+    return Inputs(spark, str(folder))
+
+
+def _most_in_a_task(df):
+    return max(r["count"] for r in df.groupBy(F.spark_partition_id().alias("task")).count().collect())
+
+
+def test_incoming_edges_are_dealt_out_by_their_number(spark, tmp_path, monkeypatch):
+    """With the shuffle's own partitions a task held a quarter of the rows here, however many there were."""
+    monkeypatch.setattr(tables, "ROWS_A_TASK", 100)
+    _, incoming = catalog._new_edges(_lines(spark, tmp_path))
+    assert _most_in_a_task(incoming) < 250
+    found = incoming.agg(F.count("*"), F.countDistinct("ord"), F.min("confidence")).first()
+    assert tuple(found) == (2000, 2000, 0.1)
+
+
+def test_edges_are_dealt_out_by_their_number(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "ROWS_A_TASK", 100)
+    i = _lines(spark, tmp_path)
+    assert _most_in_a_task(i.edges) < 250
+    assert tuple(i.edges.agg(F.count("*"), F.min("confidence")).first()) == (2000, 0.1)
