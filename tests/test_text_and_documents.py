@@ -133,3 +133,24 @@ def test_summaries_make_their_sentences_once(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("arrays_zip(") == 1
     assert {r["id"] for r in found.collect()} == {1}
+
+
+def test_blank_texts_are_those_that_collapse_to_nothing(spark):
+    texts = ["", " ", "\t\x0b\x1c\x85\u00a0\u2028\u3000", "\u200b", " a", None, "\n.\n"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select(tx.is_blank(F.col("t")), F.length(tx.collapse_whitespace(F.col("t"))) == 0).collect()
+    assert [tuple(r) for r in got] == [(True, True)] * 3 + [(False, False)] * 2 + [(None, None), (False, False)]
+
+
+def test_frequent_words_of_a_text_are_counted_in_its_row(spark, rows):
+    """Only texts that share their keys have words to shuffle."""
+    texts = [
+        ("a", "delta delta gamma ALPHA alpha, betas betas kappa tiny tiny tiny zetas"), ("b", "gamma gamma alpha"), ("b", "alpha alpha"),
+        (None, "omega"), (None, "gamma gamma"), ("c", "four tiny"), ("d", None), ("e", "größe groß \U0001d533\U0001d533\U0001d533\U0001d533\U0001d533"),
+    ]
+    found = docs.frequent_words(spark.createDataFrame(texts, "k string, t string"), "t", "k")
+    assert {r["k"]: r["keywords"] for r in found.collect()} == {
+        "a": ["alpha", "betas", "delta", "gamma", "kappa"], "b": ["alpha", "gamma"], None: ["gamma", "omega"],
+        "e": ["größe", "\U0001d533" * 5],
+    }
+    assert "_most_frequent" in found._jdf.queryExecution().optimizedPlan().toString()

@@ -164,3 +164,11 @@ def test_parts_of_a_section_are_pooled_by_length(spark):
     got = {(r["id"], r["embedding_type"]): [round(x, 5) for x in r["embedding"]] for r in done.collect()}
     assert got == {(1, "full_text"): [round(3 / 10**0.5, 5), round(1 / 10**0.5, 5)], (1, "title"): [0.6, 0.8], (3, "full_text"): [2.0, 0.0]}
     assert sorted(r["key"] for r in rejects.collect()) == ["2", "4"]
+
+
+def test_vectors_of_sections_are_pooled_once(spark):
+    """They are read back by the store, the rejects and the log; each of these pooled them anew."""
+    texts = spark.createDataFrame([("a", "one two"), ("b", "three")], "id string, t string")
+    done, rejects = vs.embed_sections(documents.sections(texts, "t", "id"), vs.hash_embedder(8), "id", among=texts)
+    assert "Aggregate" not in done._jdf.queryExecution().optimizedPlan().toString()
+    assert done.count() == 4 and rejects.count() == 0
