@@ -12,10 +12,11 @@ are bucketed by hashes, called digits here, and whatever is alone after a digit
    windows must.
 3. The last digit is the window itself, for the stretches that go on.
 
-Texts stay where they are: they lie in a bucketed table in blocks of about 1 MB. In each pass every block
+Texts stay where they are: they lie in a bucketed table in blocks of about 8 MB. In each pass every block
 sends each different digit once, with its smallest document, to the bucket of that digit's leading bits,
-and gets one answer per digit back, in the order of its questions. So no key is hot, however many
-documents share it. Digits are compared by hashes of 112 bits (48 of the anchor, 64 of the rest).
+and gets one answer of a few bits per digit back, in the order of its questions. So no key is hot, however
+many documents share it. With its questions a block sends a note to itself, from which the next pass goes on:
+anchors are looked for once, and only what goes on is hashed again. Digits are compared by hashes of 112 bits (48 of the anchor, 64 of the rest).
 """
 
 from __future__ import annotations
@@ -35,8 +36,12 @@ from quillmill.session import written
 
 LENGTH, GRAM = 50, 16
 SIDE = (LENGTH - GRAM) // 2
-#: Bytes of text in a block; a task holds one block, with some 150 bytes for each of its text.
-BLOCK_BYTES = 1_000_000
+#: Bytes of text in a block; a task holds one block, and the questions that it asks.
+BLOCK_BYTES = 8_000_000
+#: Windows hashed at a time: what is made of them stays in a core's cache.
+CHUNK = 32_768
+#: Blocks whose digits come to as many as a bucket holds, in each pass. Each block sends a message to each bucket.
+BLOCKS_A_BUCKET = 4
 #: Buckets of the table of blocks; Spark allows 100 000, and there may be more blocks than that.
 MAX_BUCKETS = 20_000
 NO_DOC = np.iinfo(np.int64).max
@@ -47,181 +52,257 @@ _BACK = pow(_STEP, -1, 1 << 64)
 _U = np.uint64
 
 
-_HELD: list[np.ndarray] = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
+def _powers(base: int) -> np.ndarray:
+    out = np.full(CHUNK + 4 * LENGTH, _U(base))
+    out[0] = 1
+    return np.multiply.accumulate(out)
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of the step and of its inverse; a process keeps the longest so far."""
-    if len(_HELD[0]) < n:
-        for k, base in enumerate((_STEP, _BACK)):
-            grown = np.full(n, _U(base))
-            grown[0] = 1
-            _HELD[k] = np.multiply.accumulate(grown)
-    return _HELD[0][:n], _HELD[1][:n]
+_FORTH, _BACKS = _powers(_STEP), _powers(_BACK)
+_COMPRESS, _DECOMPRESS = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
 
-class Windows:
-    """Texts laid end to end, their stretches of windows with one anchor, and hashes of any piece.
+def _sums(data: np.ndarray) -> np.ndarray:
+    """Sums of the bytes' numbers times powers of the step, before each byte and after the last."""
+    out = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(_TABLE.take(data) * _FORTH[: len(data)], out=out[1:])
+    return out
 
-    Per stretch: ``first`` and ``last`` window start, ``anchor`` (place of its gram), ``text`` (number of
-    the text), ``h`` (48 bits), ``g`` (64 bits) and ``left``, ``right`` (32 bits; 0: not in the stretch).
-    """
 
-    def __init__(self, bodies: list[bytes]):
-        self.data = np.frombuffer(b"".join(bodies), dtype=np.uint8)
-        self.ends = np.cumsum([len(b) for b in bodies]).astype(np.int64)
-        n = len(self.data)
-        powers, self.back = _powers(n + 1)
-        self.sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_TABLE[self.data] * powers[:n], out=self.sums[1:])
-        empty = np.zeros(0, dtype=np.int64)
-        self.first = self.last = self.anchor = self.text = empty
-        self.h = self.g = self.left = self.right = empty.astype(np.uint64)
-        if n < LENGTH:
-            return
-        # the last window starts of a text would run into the next one
-        valid = np.zeros(n - LENGTH + 3, dtype=bool)
-        for begin, end in zip(np.concatenate([[0], self.ends[:-1]]).tolist(), self.ends.tolist(), strict=True):
-            if end - begin >= LENGTH:
-                valid[begin + 1 : end - LENGTH + 2] = True
-        key = (self.sums[GRAM:] - self.sums[:-GRAM]) * self.back[: n - GRAM + 1]
-        key &= _U(0xFFFFFFFF00000000)
-        key |= np.arange(len(key), dtype=np.uint64)
-        width, reach = LENGTH - GRAM + 1, 1
+def stretches(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The stretches of windows with one anchor in texts laid end to end; they also part where a chunk begins.
+
+    Per stretch: its first window's start, the place of its anchor, and 48 bits of the anchor's hash.
+    """
+    empty = np.zeros(0, dtype=np.int64)
+    out = [(empty, empty, empty.astype(np.uint64))]
+    # the last window starts of a text would run into the next one
+    begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+    long = ends - begins >= LENGTH
+    edge = np.zeros(len(data) + 1, dtype=np.int8)
+    edge[begins[long]] = 1
+    edge[ends[long] - LENGTH + 1] = -1
+    valid = np.cumsum(edge, dtype=np.int8).astype(bool)
+    numbers, width = np.arange(CHUNK + LENGTH, dtype=np.uint64), LENGTH - GRAM + 1
+    for a in range(0, len(data) - LENGTH + 1, CHUNK):
+        own = valid[a : min(a + CHUNK, len(data) - LENGTH + 1)]
+        sums = _sums(data[a : a + len(own) + LENGTH - 1])
+        grams = sums[GRAM:] - sums[:-GRAM]
+        grams *= _BACKS[: len(grams)]
+        key = grams & _U(0xFFFFFFFF00000000)
+        key |= numbers[: len(key)]
+        reach = 1
         while 2 * reach <= width:
             key = np.minimum(key[:-reach], key[reach:])
             reach *= 2
         if reach < width:
             key = np.minimum(key[: -(width - reach)], key[width - reach :])
         place = key.astype(np.uint32)  # the least gram of each window, the leftmost of equals
-        other = np.ones(len(place) + 1, dtype=bool)
-        np.not_equal(place[1:], place[:-1], out=other[1:-1])
-        own = valid[1:-1]
-        self.first = np.flatnonzero(own & (other[:-1] | ~valid[:-2]))
-        self.last = np.flatnonzero(own & (other[1:] | ~valid[2:]))
-        if not len(self.first):
-            return
-        self.anchor = place[self.first].astype(np.int64)
-        self.h = self.hash(self.anchor, GRAM) >> _U(16)
-        self.text = np.searchsorted(self.ends, self.first, side="right")
-        self.g = self.hash(self.first, self.last + LENGTH - self.first)
-        self.left = self._side(self.anchor - SIDE, self.anchor - self.first >= SIDE)
-        self.right = self._side(self.anchor, self.last + LENGTH - self.anchor >= GRAM + SIDE)
-
-    def hash(self, start: np.ndarray, size) -> np.ndarray:
-        """64-bit hashes of the pieces of ``size`` bytes from each start."""
-        return common._scramble((self.sums[start + size] - self.sums[start]) * self.back[start] + np.asarray(size).astype(np.uint64) * _U(_BACK))
-
-    def _side(self, start: np.ndarray, inside: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(start), dtype=np.uint64)
-        out[inside] = (self.hash(start[inside], GRAM + SIDE) >> _U(32)) | _U(1)
-        return out
+        new = own.copy()
+        new[1:] &= (place[1:] != place[:-1]) | ~own[:-1]
+        first = np.flatnonzero(new)
+        anchor = place[first].astype(np.int64)
+        out.append((first + a, anchor + a, _finished(grams[anchor], GRAM) >> _U(16)))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def _finished(sums: np.ndarray, size) -> np.ndarray:
+    return common._scramble(sums + np.asarray(size).astype(np.uint64) * _U(_BACK))
+
+
+def hashes(data: np.ndarray, *pieces: tuple[np.ndarray, np.ndarray | int]) -> list[np.ndarray]:
+    """64-bit hashes of pieces of text, each given by starts in ascending order and sizes (or one size) of at most ``2 * LENGTH``."""
+    out = [np.zeros(len(start), dtype=np.uint64) for start, _ in pieces]
+    cuts = np.arange(0, len(data) + CHUNK, CHUNK)
+    rows = [np.searchsorted(start, cuts) for start, _ in pieces]
+    for k, a in enumerate(cuts[:-1].tolist()):
+        if all(r[k] == r[k + 1] for r in rows):
+            continue
+        sums = _sums(data[a : a + CHUNK + 2 * LENGTH])
+        for (start, size), r, found in zip(pieces, rows, out, strict=True):
+            own = slice(r[k], r[k + 1])
+            at, n = start[own] - a, size if isinstance(size, int) else size[own]
+            found[own] = _finished((sums[at + n] - sums[at]) * _BACKS[at], n)
+    return out
+
+
+def _pressed(data: bytes) -> bytes:
+    return _COMPRESS.compress(data)
 
 
 def _pack(*columns: np.ndarray) -> bytes:
-    return zstandard.compress(b"".join(np.ascontiguousarray(c).tobytes() for c in columns), 1)
+    return _pressed(b"".join(np.ascontiguousarray(c).tobytes() for c in columns))
+
 
+def _planes(x: np.ndarray, k: int) -> np.ndarray:
+    """The ``k`` low bytes of 64-bit numbers, byte by byte, so that they pack well."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8)[:, :k].T
 
-def _unpack(blob: bytes, n: int, *kinds: str) -> list[np.ndarray]:
-    data, at, out = zstandard.decompress(blob), 0, []
+
+def _unpack(blob: bytes, n: int, *kinds: int | str) -> list[np.ndarray]:
+    """Columns of ``n`` numbers: a type, or how many low bytes of 64-bit numbers were kept."""
+    data, at, out = np.frombuffer(_DECOMPRESS.decompress(blob), np.uint8), 0, []
     for kind in kinds:
-        size = n * np.dtype(kind).itemsize
-        out.append(np.frombuffer(data, dtype=kind, count=n, offset=at))
+        size = n * (kind if isinstance(kind, int) else np.dtype(kind).itemsize)
+        part = data[at : at + size]
+        if isinstance(kind, int):
+            whole = np.zeros((n, 8), dtype=np.uint8)
+            whole[:, :kind] = part.reshape(kind, n).T
+            out.append(whole.reshape(-1).view(np.uint64))
+        else:
+            out.append(part.view(kind))
         at += size
     return out
 
 
-def _six(h: np.ndarray) -> np.ndarray:
-    """48-bit numbers as six bytes each, column by column, so that they pack well."""
-    return np.ascontiguousarray(h).view(np.uint8).reshape(-1, 8)[:, :6].T
+def _note(*columns: np.ndarray) -> bytes:
+    """Columns of numbers below 2^32, of any lengths, byte by byte."""
+    sizes = np.array([len(c) for c in columns], dtype=np.int64)
+    return _pack(sizes, *(np.ascontiguousarray(c, dtype=np.uint32).view(np.uint8).reshape(-1, 4).T for c in columns))
+
+
+def _from_note(blob: bytes, count: int) -> list[np.ndarray]:
+    data = np.frombuffer(_DECOMPRESS.decompress(blob), np.uint8)
+    ends = 8 * count + 4 * np.cumsum(data[: 8 * count].view(np.int64))
+    parts = np.split(data[8 * count :], ends[:-1] - 8 * count)
+    return [np.ascontiguousarray(p.reshape(4, -1).T).view(np.uint32).ravel().astype(np.int64) for p in parts]
 
 
-def _from_six(data: np.ndarray, n: int) -> np.ndarray:
-    out = np.zeros((n, 8), dtype=np.uint8)
-    out[:, :6] = data.reshape(6, n).T
-    return out.reshape(-1).view(np.uint64)
+def _gaps(places: np.ndarray) -> np.ndarray:
+    return np.diff(places, prepend=0)
+
+
+def _runs(low: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """``n`` numbers from each of ``low`` on."""
+    return np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
 
 
 def _least(doc: np.ndarray, *keys: np.ndarray):
     """Different keys in order, the least document of each, whether it has two, and each row's key number."""
     order = np.lexsort((doc, *keys[::-1]))
-    rows = [k[order] for k in keys]
     new = np.zeros(len(order), dtype=bool)
     new[:1] = True
-    for k in rows:
-        new[1:] |= k[1:] != k[:-1]
+    for k in keys:
+        row = k[order]
+        new[1:] |= row[1:] != row[:-1]
     at = np.flatnonzero(new)
     number = np.empty(len(order), dtype=np.int64)
     number[order] = np.cumsum(new) - 1
     d = doc[order]
     last = np.append(at[1:], len(order)) - 1 if len(order) else at
-    return [k[at] for k in rows], d[at], d[last] > d[at], number
+    return [k[order[at]] for k in keys], d[at], d[last] > d[at], number
+
+
+def _bits(blobs: list[tuple[int, bytes]]) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.uint8), *(np.unpackbits(np.frombuffer(b, np.uint8), count=n) for n, b in blobs)]).astype(bool)
+
+
+def _later(doc: np.ndarray, number: np.ndarray, elsewhere: np.ndarray) -> np.ndarray:
+    """Rows of a key that a smaller document has, in the block or ``elsewhere``."""
+    least = np.full(len(elsewhere), NO_DOC)
+    np.minimum.at(least, number, doc)
+    return elsewhere[number] | (doc > least[number])
 
 
 class Block:
-    """A block of documents, brought as far as the answers it has got."""
+    """A block of documents. Each pass leaves a note of what the next ones need, so that none is done again."""
 
     def __init__(self, docs: pa.Table):
         order = np.argsort(np.array(docs.column("row_key").to_pylist(), dtype=np.int64), kind="stable")
         docs = docs.take(pa.array(order))
-        self.ids, self.keys = docs.column("doc_id").to_pylist(), docs.column("row_key").to_pylist()
-        self.bodies = [zstandard.decompress(b) for b in docs.column("body").to_pylist()]
+        self.ids = docs.column("doc_id").to_pylist()
+        self.bodies = [_DECOMPRESS.decompress(b) for b in docs.column("body").to_pylist()]
         self.doc = np.array([NO_DOC if i is None else i for i in self.ids], dtype=np.int64)
-        self.w = Windows(self.bodies)
-        self.d = self.doc[self.w.text]
+        self.data = np.frombuffer(b"".join(self.bodies), dtype=np.uint8)
+        self.ends = np.cumsum([len(b) for b in self.bodies]).astype(np.int64)
 
-    def ask_anchors(self):
-        (h,), _, several, self.h_number = _least(self.d, self.w.h)
-        return h, lambda a, b: (_six(h[a:b]), np.packbits(several[a:b]))
+    def text(self, place: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.ends, place, side="right")
 
-    def take_anchors(self, blobs: list[tuple[int, bytes]]) -> None:
-        shared = np.concatenate([np.zeros(0, np.uint8), *(np.unpackbits(np.frombuffer(b, np.uint8), count=n) for n, b in blobs)]).astype(bool)
-        self.on = np.flatnonzero(shared[self.h_number]) if len(self.w.h) else np.zeros(0, np.int64)
+    def ask_anchors(self):
+        first, anchor, key = stretches(self.data, self.ends)
+        (h,), _, several, _ = _least(self.doc[self.text(first)], key)
+        return h, _note(_gaps(first), anchor - first), lambda a, b: (_planes(h[a:b], 6), np.packbits(several[a:b]))
+
+    def take_anchors(self, note: bytes, blobs: list[tuple[int, bytes]]) -> None:
+        gap, offset = _from_note(note, 2)
+        first = np.cumsum(gap)
+        anchor, text = first + offset, self.text(first)
+        # each window is in a stretch, so one ends where the next begins, or with its text
+        last = self.ends[text] - LENGTH
+        same = np.flatnonzero(text[1:] == text[:-1])
+        last[same] = first[same + 1] - 1
+        h = hashes(self.data, (anchor, GRAM))[0] >> _U(16)
+        on = _bits(blobs)[np.unique(h, return_inverse=True)[1]]
+        self.first, self.last, self.anchor, self.h = first[on], last[on], anchor[on], h[on]
 
     def ask_stretches(self):
-        w, on = self.w, self.on
-        (h, g), least, _, self.g_number = _least(self.d[on], w.h[on], w.g[on])
+        first, last, anchor = self.first, self.last, self.anchor
+        has = [np.flatnonzero(anchor - first >= SIDE), np.flatnonzero(last + LENGTH - anchor >= GRAM + SIDE)]
+        begins = [anchor[has[0]] - SIDE, anchor[has[1]]]
+        g, *sides = hashes(self.data, (first, last + LENGTH - first), *((b, GRAM + SIDE) for b in begins))
+        left, right = np.zeros((2, len(first)), dtype=np.uint64)  # 32 bits; 0: not in the stretch
+        for side, rows, found in zip((left, right), has, sides, strict=True):
+            side[rows] = (found >> _U(32)) | _U(1)
+        (h, g), least, _, number = _least(self.doc[self.text(first)], self.h, g)
         one = np.empty(len(h), dtype=np.int64)
-        one[self.g_number] = on
-        return h, lambda a, b: (_six(h[a:b]), g[a:b], w.left[one[a:b]].astype(np.uint32), w.right[one[a:b]].astype(np.uint32), least[a:b])
-
-    def take_stretches(self, blobs: list[tuple[int, bytes]]) -> None:
-        parts = [_unpack(b, n, "i8", "u1") for n, b in blobs]
-        least = np.concatenate([np.zeros(0, np.int64), *(p[0] for p in parts)])[self.g_number]
-        sides = np.concatenate([np.zeros(0, np.uint8), *(p[1] for p in parts)])[self.g_number]
-        on, w = self.on, self.w
-        gone = on[self.d[on] > least]
-        self.spans = [(w.first[gone], w.last[gone] + LENGTH)]
-        stays = (self.d[on] == least) & (sides > 0)
-        on, sides = on[stays], sides[stays]
+        one[number] = np.arange(len(number))
+        note = _note(_gaps(first), last - first, anchor - first, number)
+        return h, note, lambda a, b: (
+            _planes(h[a:b], 6), g[a:b], left[one[a:b]].astype(np.uint32), right[one[a:b]].astype(np.uint32), _planes(least[a:b], 8)
+        )
+
+    def take_stretches(self, note: bytes, blobs: list[tuple[int, bytes]]) -> None:
+        gap, length, offset, number = _from_note(note, 4)
+        first = np.cumsum(gap)
+        last, anchor, d = first + length, first + offset, self.doc[self.text(first)]
+        flags = np.concatenate([np.zeros(0, np.uint8), *(_unpack(b, n, "u1")[0] for n, b in blobs)])
+        gone = _later(d, number, flags >= 4)
+        sides = flags[number]
+        self.gone = first[gone], last[gone] + LENGTH
+        stays = ~gone & (sides > 0)
+        first, last, anchor, sides = first[stays], last[stays], anchor[stays], sides[stays]
         # left of the middle for those that agree to the left, right of it for the others
-        low = np.where(sides & 1, w.first[on], np.maximum(w.first[on], w.anchor[on] - SIDE))
-        high = np.where(sides & 2, w.last[on], np.minimum(w.last[on], w.anchor[on] - SIDE))
-        n = np.maximum(high - low + 1, 0)
-        self.start = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        self.start_of = np.repeat(on, n)
+        low = np.where(sides & 1, first, np.maximum(first, anchor - SIDE))
+        high = np.where(sides & 2, last, np.minimum(last, anchor - SIDE))
+        some = high >= low
+        self.low, self.n, self.anchor = low[some], (high - low + 1)[some], anchor[some]
 
     def ask_windows(self):
-        w = self.w
-        (h, x), least, _, self.x_number = _least(self.d[self.start_of], w.h[self.start_of], w.hash(self.start, LENGTH))
-        return h, lambda a, b: (_six(h[a:b]), x[a:b], least[a:b])
-
-    def take_windows(self, blobs: list[tuple[int, bytes]]) -> None:
-        least = np.concatenate([np.zeros(0, np.int64), *(_unpack(b, n, "i8")[0] for n, b in blobs)])[self.x_number]
-        gone = self.start[self.d[self.start_of] > least]
-        self.spans.append((gone, gone + LENGTH))
+        grams, x = hashes(self.data, (self.anchor, GRAM), (_runs(self.low, self.n), LENGTH))
+        x >>= _U(16)
+        # by the window and not its anchor: near copies have many windows of one anchor
+        (x, grams), least, _, number = _least(np.repeat(self.doc[self.text(self.low)], self.n), x, np.repeat(grams, self.n))
+        begin, end = self.gone
+        note = _note(_gaps(begin), end - begin, _gaps(self.low), self.n, number)
+        return x, note, lambda a, b: (_planes(x[a:b], 6), grams[a:b], _planes(least[a:b], 8))
+
+    def take_windows(self, note: bytes, blobs: list[tuple[int, bytes]]) -> None:
+        gap, size, low, n, number = _from_note(note, 5)
+        low = np.cumsum(low)
+        begin = np.cumsum(gap)
+        start = _runs(low, n)[_later(np.repeat(self.doc[self.text(low)], n), number, _bits(blobs))]
+        self.gone = np.concatenate([begin, start]), np.concatenate([begin + size, start + LENGTH])
 
     def results(self) -> dict[str, list]:
-        size = len(self.w.data) + 1
-        starts, ends = (np.concatenate([s[k] for s in self.spans]) for k in (0, 1))
-        gone = np.cumsum(np.bincount(starts, minlength=size) - np.bincount(ends, minlength=size))[:-1] > 0
+        order = np.argsort(self.gone[0], kind="stable")
+        begin, end = (x[order] for x in self.gone)
+        text, upto = self.text(begin), np.maximum.accumulate(end)
+        new = np.flatnonzero(np.append(True, (begin[1:] > upto[:-1]) | (text[1:] != text[:-1]))[: len(begin)])
+        begin, end, text = begin[new], upto[np.append(new[1:], len(order)) - 1] if len(new) else end, text[new]
+        cuts = np.searchsorted(text, np.arange(len(self.bodies) + 1)).tolist()
         out = {"doc_id": self.ids, "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": []}
-        for body, end in zip(self.bodies, self.w.ends.tolist(), strict=True):
-            part = gone[end - len(body) : end]
+        for k, (body, base) in enumerate(zip(self.bodies, self.ends.tolist(), strict=True)):
+            base -= len(body)
+            at, removed, kept = 0, 0, hashlib.sha256()
+            for b, e in zip((begin[cuts[k] : cuts[k + 1]] - base).tolist(), (end[cuts[k] : cuts[k + 1]] - base).tolist(), strict=True):
+                kept.update(body[at:b])
+                at, removed = e, removed + e - b
+            kept.update(body[at:])
             out["n_bytes"].append(len(body))
-            out["n_removed"].append(int(part.sum()))
-            out["n_spans"].append(int((part[1:] & ~part[:-1]).sum() + part[:1].sum()))
-            out["kept_sha256"].append(hashlib.sha256(np.frombuffer(body, np.uint8)[~part].tobytes()).hexdigest())
+            out["n_removed"].append(removed)
+            out["n_spans"].append(cuts[k + 1] - cuts[k])
+            out["kept_sha256"].append(kept.hexdigest())
         return out
 
 
@@ -232,19 +313,22 @@ def _answer_anchors(sizes: list[int], blobs: list[bytes]) -> list[bytes]:
     """Which anchors two documents have: sent by two blocks, or by one that has it twice."""
     h, several = [], []
     for n, b in zip(sizes, blobs, strict=True):
-        data = np.frombuffer(zstandard.decompress(b), np.uint8)
-        h.append(_from_six(data[: 6 * n], n))
-        several.append(np.unpackbits(data[6 * n :], count=n))
+        numbers, bits = _unpack(b, n, 6)[0], _DECOMPRESS.decompress(b)[6 * n :]
+        h.append(numbers)
+        several.append(np.unpackbits(np.frombuffer(bits, np.uint8), count=n))
     _, number, times = np.unique(np.concatenate(h), return_inverse=True, return_counts=True)
     shared = (times > 1) | (np.bincount(number, weights=np.concatenate(several)) > 0)
     return [np.packbits(x).tobytes() for x in np.split(shared[number], np.cumsum(sizes)[:-1])]
 
 
+def _questions(sizes: list[int], blobs: list[bytes], *kinds: int | str) -> list[np.ndarray]:
+    return [np.concatenate(c) for c in zip(*(_unpack(b, n, *kinds) for n, b in zip(sizes, blobs, strict=True)), strict=True)]
+
+
 def _answer_stretches(sizes: list[int], blobs: list[bytes]) -> list[bytes]:
-    """The least document of each stretch, and the sides on which another stretch of its anchor agrees."""
-    columns = [_unpack(b, n, *["u1"] * 6, "u8", "u4", "u4", "i8") for n, b in zip(sizes, blobs, strict=True)]
-    h = np.concatenate([_from_six(np.concatenate(c[:6]), n) for n, c in zip(sizes, columns, strict=True)])
-    g, left, right, doc = (np.concatenate([c[k] for c in columns]) for k in (6, 7, 8, 9))
+    """The sides on which another stretch of the anchor agrees (1 and 2), and if another block has a smaller document (4)."""
+    h, g, left, right, doc = _questions(sizes, blobs, 6, "u8", "u4", "u4", 8)
+    doc = doc.view(np.int64)
     (kind_h, _), least, _, number = _least(doc, h, g)
     one = np.empty(len(kind_h), dtype=np.int64)
     one[number] = np.arange(len(number))
@@ -253,31 +337,29 @@ def _answer_stretches(sizes: list[int], blobs: list[bytes]) -> list[bytes]:
         has = np.flatnonzero(side > 0)
         _, _, _, same = _least(np.zeros(len(has), np.int64), kind_h[has], side[has])
         flags[has[np.bincount(same)[same] > 1] if len(has) else has] |= bit
-    cuts = np.cumsum(sizes)[:-1]
-    return [_pack(d, f) for d, f in zip(np.split(least[number], cuts), np.split(flags[number], cuts), strict=True)]
+    answers = flags[number] | (4 * (doc > least[number])).astype(np.uint8)
+    return [_pack(x) for x in np.split(answers, np.cumsum(sizes)[:-1])]
 
 
 def _answer_windows(sizes: list[int], blobs: list[bytes]) -> list[bytes]:
-    """The least document of each window."""
-    columns = [_unpack(b, n, *["u1"] * 6, "u8", "i8") for n, b in zip(sizes, blobs, strict=True)]
-    h = np.concatenate([_from_six(np.concatenate(c[:6]), n) for n, c in zip(sizes, columns, strict=True)])
-    _, least, _, number = _least(np.concatenate([c[7] for c in columns]), h, np.concatenate([c[6] for c in columns]))
-    return [_pack(d) for d in np.split(least[number], np.cumsum(sizes)[:-1])]
+    """If another block has the window in a smaller document."""
+    x, grams, doc = _questions(sizes, blobs, 6, "u8", 8)
+    doc = doc.view(np.int64)
+    _, least, _, number = _least(doc, x, grams)
+    return [np.packbits(later).tobytes() for later in np.split(doc > least[number], np.cumsum(sizes)[:-1])]
 
 
 _ANSWERS = {"anchors": _answer_anchors, "stretches": _answer_stretches, "windows": _answer_windows}
-_ASKED = "bucket bigint, block bigint, n bigint, blob binary"
-_ANSWERED = "pass int, bucket bigint, block bigint, n bigint, blob binary"
+_ROWS = "bucket bigint, block bigint, n bigint, blob binary"
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 
 
-def _advanced(docs: pa.Table, answers: pa.Table, passes: int) -> Block:
-    """The block with the answers of ``passes`` passes; each pass's come in the order of its buckets."""
+def _advanced(docs: pa.Table, answers: pa.Table, k: int) -> Block:
+    """The block after the first ``k`` passes, by the note and the answers of the last, which come in the order of its buckets."""
     block = Block(docs)
-    rows = sorted(zip(*(answers.column(c).to_pylist() for c in ("pass", "bucket", "n", "blob")), strict=True), key=lambda r: r[:2])
-    for k in range(passes):
-        getattr(block, f"ask_{PASSES[k]}")()
-        getattr(block, f"take_{PASSES[k]}")([(n, b) for p, _, n, b in rows if p == k])
+    if k and docs.num_rows:
+        (_, _, note), *rows = sorted(zip(*(answers.column(c).to_pylist() for c in ("bucket", "n", "blob")), strict=True), key=lambda r: r[0])
+        getattr(block, f"take_{PASSES[k - 1]}")(note, [(n, b) for _, n, b in rows])
     return block
 
 
@@ -291,7 +373,7 @@ def _blocks(docs: DataFrame, size: int) -> tuple[str, int]:
 
     def pack(batches):
         for batch in common.batches_of(batches):
-            bodies = [zstandard.compress(t, 3) for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
+            bodies = [_pressed(t) for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
             held = [batch.column("doc_id"), batch.column("row_key"), pa.array(bodies, pa.binary())]
             yield pa.RecordBatch.from_arrays(held, names=["doc_id", "row_key", "body"])
 
@@ -318,20 +400,22 @@ def removed_passages(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFra
 
 
 def _removed(spark: SparkSession, name: str, n_blocks: int) -> DataFrame:
-    n_buckets = max(1, n_blocks // 4)
-    answers = spark.createDataFrame([], _ANSWERED)
+    n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_blocks // BLOCKS_A_BUCKET)
+    answers = spark.createDataFrame([], _ROWS)
 
     def asker(k: int):
         def ask(docs: pa.Table, answers: pa.Table) -> pa.Table:
-            h, columns = getattr(_advanced(docs, answers, k), f"ask_{PASSES[k]}")()
+            h, note, columns = getattr(_advanced(docs, answers, k), f"ask_{PASSES[k]}")()
             bucket = (((h >> _U(16)) * _U(n_buckets)) >> _U(32)).astype(np.int64)
             cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(h) else np.zeros(0, np.int64)
             ends = np.append(cuts[1:], len(h)) if len(h) else cuts
-            block = docs.column("block")[0].as_py() if docs.num_rows else None
+            block = docs.column("block")[0].as_py()
+            blobs = [note, *(_pack(*columns(a, b)) for a, b in zip(cuts.tolist(), ends.tolist(), strict=True))]
+            # a block's note goes along in a bucket of its own
             return pa.table(
                 {
-                    "bucket": pa.array(bucket[cuts], pa.int64()), "block": pa.array([block] * len(cuts), pa.int64()), "n": pa.array(ends - cuts, pa.int64()),
-                    "blob": pa.array([_pack(*columns(a, b)) for a, b in zip(cuts.tolist(), ends.tolist(), strict=True)], pa.binary()),
+                    "bucket": pa.array([-1 - block, *bucket[cuts].tolist()], pa.int64()), "block": pa.array([block] * len(blobs), pa.int64()),
+                    "n": pa.array([0, *(ends - cuts).tolist()], pa.int64()), "blob": pa.array(blobs, pa.binary()),
                 }
             )
 
@@ -339,8 +423,10 @@ def _removed(spark: SparkSession, name: str, n_blocks: int) -> DataFrame:
 
     def answerer(k: int):
         def answer(rows: pd.DataFrame) -> pd.DataFrame:
+            if rows["bucket"].iloc[0] < 0:
+                return rows
             sizes = rows["n"].tolist()
-            return pd.DataFrame({"pass": k, "bucket": rows["bucket"], "block": rows["block"], "n": sizes, "blob": _ANSWERS[PASSES[k]](sizes, rows["blob"].tolist())})
+            return rows.assign(blob=_ANSWERS[PASSES[k]](sizes, rows["blob"].tolist()))
 
         return answer
 
@@ -353,7 +439,6 @@ def _removed(spark: SparkSession, name: str, n_blocks: int) -> DataFrame:
         return spark.table(name).groupBy("block").cogroup(answers.groupBy("block"))
 
     for k, step in enumerate(PASSES):
-        asked = with_blocks(answers).applyInArrow(asker(k), _ASKED)
-        answered = asked.groupBy("bucket").applyInPandas(answerer(k), _ANSWERED)
-        answers = answers.unionByName(written(answered, f"passages-{step}"))
+        asked = with_blocks(answers).applyInArrow(asker(k), _ROWS)
+        answers = written(asked.groupBy("bucket").applyInPandas(answerer(k), _ROWS), f"passages-{step}")
     return written(with_blocks(answers).applyInArrow(finish, RESULT), "passages")

@@ -6,10 +6,12 @@ import itertools
 import math
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quillmill.llm import common, decontam, lm, neardup, passages, pieces, pii, quality, recurrent, repetition, secrets, toxicity
@@ -187,6 +189,43 @@ def test_passages_with_more_blocks_than_buckets(spark, monkeypatch):
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("passages_")]
 
 
+def held_block(rows, number=0):
+    """The rows of one block, as a pass gets them."""
+    bodies = [passages._pressed((t or "").encode()) for _, t in rows]
+    return pa.table({"doc_id": pa.array([i for i, _ in rows], pa.int64()), "row_key": list(range(len(rows))), "body": bodies, "block": [number] * len(rows)})
+
+
+def test_passages_look_for_anchors_once_and_chunk_by_chunk(monkeypatch):
+    rows = shaken(3, 80) + [(70, "x" * 300), (71, "x" * 49), (72, "x" * 50), (None, "x" * 60), (80, "ab" * 200), (81, "ab" * 30 + "c")]
+    monkeypatch.setattr(passages, "CHUNK", 64)
+    tables = [held_block(rows[k::3], k) for k in range(3)]
+    answers, looked = [None] * 3, []
+    found = passages.stretches
+    monkeypatch.setattr(passages, "stretches", lambda *a: looked.append(1) or found(*a))
+    for k, step in enumerate(passages.PASSES):
+        asked = [getattr(passages._advanced(t, a, k), f"ask_{step}")() for t, a in zip(tables, answers)]
+        told = passages._ANSWERS[step]([len(h) for h, _, _ in asked], [passages._pack(*columns(0, len(h))) for h, _, columns in asked])
+        answers = [
+            pa.table({"bucket": [-1 - b, 0], "n": [0, len(h)], "blob": [note, blob]}) for b, ((h, note, _), blob) in enumerate(zip(asked, told))
+        ]
+    got = []
+    for t, a in zip(tables, answers):
+        got += list(zip(*passages._advanced(t, a, len(passages.PASSES)).results().values()))
+    assert sorted(got, key=repr) == passages_by_hand(rows)
+    assert len(looked) == len(tables)
+
+
+def test_passages_hold_few_bytes_for_each_of_a_text():
+    rng = np.random.default_rng(0)
+    docs = held_block([(k, "".join(rng.choice(list("abcdefgh "), 20_000))) for k in range(50)])
+    passages.Block(docs).ask_anchors()
+    tracemalloc.start()
+    passages.Block(docs).ask_anchors()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 15 * 1_000_000  # 28.6 MB before windows were hashed chunk by chunk
+
+
 def test_passages_of_no_rows(spark):
     assert passages.removed_passages(table(spark, ODD).limit(0)).count() == 0
 
