@@ -15,8 +15,10 @@ def component_labels(links: DataFrame, a: str, b: str) -> DataFrame:
     names, and then every label is replaced by the label of the node that it names. Rounds grow with the logarithm of the longest
     chain. Only least values are aggregated, so a node with very many links sends on one row a task; each round is written.
     """
-    both = links.select(F.col(a).alias("node"), F.col(b).alias("other")).filter("node <> other")
-    both = written(both.unionByName(both.select(F.col("other").alias("node"), F.col("node").alias("other"))).distinct(), "links")
+    ways = [F.struct(F.col(x).alias("node"), F.col(y).alias("other")) for x, y in ((a, b), (b, a))]
+    # both ways of a link in one go: a union would work the links out twice
+    both = links.filter(F.col(a) != F.col(b)).select(F.explode(F.array(*ways)).alias("_way")).select("_way.*")
+    both = written(both.distinct(), "links")
     labels = written(both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("label")), "labels")
     while True:
         seen = both.join(labels.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.min("label").alias("seen"))

@@ -1,5 +1,6 @@
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,3 +102,86 @@ def test_marks_rule_out_far_pairs_and_no_near_one(spark):
     marked = far.select(F.length("one").alias("_length"), F.length("two").alias("length"), fuzzy._marks("one").alias("o"), fuzzy._marks("two").alias("m"))
     both = marked.select("*", *[F.col(f"o.{c}").alias(f"_{c}") for c in fuzzy._CHARACTER_MARKS + fuzzy._GRAM_MARKS], "m.*")
     assert both.select(fuzzy._may_be_near("_", "", F.lit(6))).first()[0] is False
+
+
+def block(texts):
+    """Texts as a packed block that is opened again."""
+    marks = fuzzy._marks.func(pd.Series(texts))
+    titles = pd.DataFrame({"block": 0, "id": range(len(texts)), "text": texts, "length": [len(t) for t in texts]})
+    return fuzzy._Block(*fuzzy._packed(pd.concat([titles, marks], axis=1)).iloc[0][1:])
+
+
+def test_distance_in_bits():
+    draw = random.Random(2)
+    for _ in range(200):
+        one, two = ("".join(draw.choices("abé 𝄞", k=draw.randint(1, 90))) for _ in range(2))
+        assert fuzzy._distance(one, two) == distance(one, two)
+
+
+def test_long_unlike_texts_are_not_compared(monkeypatch):
+    """Long texts have all grams that there are, so it is their numbers that tell them apart before any edit distance."""
+    draw = random.Random(7)
+    words = ["".join(draw.choices("aeionrst", k=draw.randint(2, 5))) for _ in range(400)]
+    texts = [" ".join(draw.choices(draw.sample(words, 40), k=300)) for _ in range(30)]
+    near = [t[:20] + "x" + t[20:700] + t[720:] for t in texts[:10]]
+    asked, distance_of = [], fuzzy._distance
+    monkeypatch.setattr(fuzzy, "_distance", lambda one, other: asked.append(1) or distance_of(one, other))
+    all_texts = block(texts + near)
+    links = [sorted((all_texts.ids[a], all_texts.ids[b])) for a, b in fuzzy._links(all_texts, all_texts, 0.85)]
+    assert sorted(links) == [[k, 30 + k] for k in range(10)]
+    met = sum(len(i) for i, _ in fuzzy._met(all_texts, all_texts, 0.85))
+    assert len(asked) < 20 < 300 < met
+
+
+def test_a_group_of_near_titles_gives_a_link_for_each():
+    texts = [f"annual report of the society for the study of rivers number {k:03d}" for k in range(300)]
+    one, two = block(texts[:200]), block(texts[200:])
+    assert len(fuzzy._links(one, one, 0.85)) == 199
+    assert len(fuzzy._links(one, two, 0.85)) == 299
+
+
+def test_counts_and_marks_rule_out_no_near_pair():
+    draw = random.Random(11)
+    left, right = [], []
+    for _ in range(150):
+        text = "".join(draw.choices("abcde fghé", k=draw.choice([3, 9, 30, 150, 900])))
+        edits, other = int(fuzzy._allowed(len(text), 0.85)), list(text)
+        for _ in range(edits):
+            at, new = draw.randrange(len(other)), draw.choice("abcdex")
+            other[at:at + draw.randint(0, 1)] = [new] * draw.randint(0, 1)
+            other = other or ["a"]
+        if len(other) <= len(text):
+            left.append(text)
+            right.append("".join(other))
+    longer, shorter = block(left), block(right)
+    wanted = {(a, b) for b, t in enumerate(sorted(left, key=len)) for a, s in enumerate(sorted(right, key=len))
+              if len(s) <= len(t) and abs(len(s) - len(t)) <= 140 and fuzzy._distance(t, s) <= fuzzy._allowed(len(t), 0.85)}
+    met = [fuzzy._counted(shorter, longer, i, j, 0.85) for i, j in fuzzy._met(shorter, longer, 0.85)]
+    assert wanted <= {(a, b) for i, j in met for a, b in zip(i.tolist(), j.tolist())} and len(wanted) > 60
+
+
+def test_titles_of_many_blocks(spark, monkeypatch):
+    """Blocks of few titles, and parts of one length."""
+    monkeypatch.setattr(fuzzy, "_LEAST_ROWS", 12)
+    titles = some_titles(12, n=60)
+    df = spark.createDataFrame([(t, k) for k, t in titles], "title string, ord bigint")
+    assert sorted(r["ord"] for r in fuzzy.merge_similar_titles(df).collect()) == grouped(titles, 0.85)
+
+
+def test_blocks_meet_all_that_fit():
+    draw = random.Random(1)
+    for ratio in (0.5, 0.85, 1.0):
+        lengths = sorted({draw.randint(1, 400): draw.randint(1, 3000) for _ in range(100)}.items())
+        dealt, blocks = fuzzy._blocks(lengths, ratio)
+        of = {length: range(first, first + parts) for length, first, parts in dealt}
+        meet = {(x, y) for y, lowest, _ in blocks for x in range(lowest, y + 1)}
+        assert meet == {(x, y) for x, _, highest in blocks for y in range(x, highest + 1)}
+        for long, _ in lengths:
+            for short, _ in lengths:
+                if long - int(fuzzy._allowed(long, ratio)) <= short <= long:
+                    assert all((min(x, y), max(x, y)) in meet for x in of[short] for y in of[long])
+
+
+def test_parts_that_no_title_falls_to():
+    titles = pd.DataFrame([[0, 1, [1], b"", b"", ""]])
+    assert fuzzy._linking(0.85)((0, 1), titles, titles.iloc[:0]).empty and fuzzy._linking(0.85)((0, 1), titles.iloc[:0], titles).empty
