@@ -1,3 +1,4 @@
+import random
 import uuid
 from datetime import datetime, timedelta, timezone
 
@@ -164,6 +165,49 @@ def test_a_url_is_judged_from_plain_rows():
     assert judged(attempt("u", 200, 1, start)) == [] and state.value == (True, 2, None)
 
 
+class OnePage(OneUrl):
+    """Counts how often its state is read and written."""
+
+    def __init__(self):
+        super().__init__()
+        self.reads = self.writes = 0
+
+    def get(self):
+        self.reads += 1
+        return self.value
+
+    def update(self, value):
+        self.writes += 1
+        self.value = value
+
+
+def test_urls_of_a_page_share_their_messages():
+    """Reading and writing the state costs far more than the work on a URL: a page does it once a batch, with the outcomes of its URLs."""
+    draw, start = random.Random(4), datetime(2024, 1, 1, tzinfo=timezone.utc)
+    attempt, columns = Row("pdf_url", "status", "ord", "at", "_page"), ["pdf_url", "status", "ord", "at"]
+    page, kept = fetches.PageProgress(columns), OnePage()
+    page.init(kept)
+    names = [None, "null", "None", "", "é\n\"[", *(f"u{k}" for k in range(60))]
+    urls = {name: (fetches.UrlProgress(columns, False, 60.0), OneUrl()) for name in names}
+    for url, state in urls.values():
+        url.init(state)
+    told = 0
+    for batch in range(5):
+        rows = []
+        for name in names:
+            for _ in range(draw.choice([0, 1, 1, 2, 6])):
+                at = draw.choice([None, start + timedelta(seconds=draw.randint(0, 99))])
+                rows.append(attempt(name, draw.choice([200, 403, 404, None]), draw.choice([None, *range(9)]), at, 0))
+        draw.shuffle(rows)
+        got = sorted(map(tuple, page.handleInputRows((0,), iter(rows), None)), key=repr)
+        of = {name: [Row(*columns)(*r[:4]) for r in rows if r["pdf_url"] == name] for name in names}
+        want = [tuple(r) for name, (url, _) in urls.items() if of[name] for r in url.handleInputRows((name,), iter(of[name]), None)]
+        assert got == sorted(want, key=repr)
+        told += len(got)
+        assert kept.reads == batch + 1 and kept.writes <= batch + 1  # once all are done there is nothing to write
+    assert told > 60
+
+
 def test_unique_stream_remembers_across_runs(spark, tmp_path):
     for i in range(2):
         land(spark, tmp_path / "landing", [row(1), row(i + 10), row(i + 10)])
